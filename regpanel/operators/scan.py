@@ -189,16 +189,19 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value_col: str,
                  F.least(F.floor((F.col("_n") - 1) * F.lit(float(p))) + 1,
                          F.col("_n") - 1).cast("long").alias("k1"))
         for p in probs])).alias("_t")).select(*groups, "_t.*")
-    cond = [(r["_before"] <= targets["k1"])
-            & ((r["_before"] + r["_cnt"]) > targets["k0"])]
+    # Group columns of both sides descend from ``df``: rename one side.
+    targets = targets.select(*[F.col(g).alias(f"_t_{g}") for g in groups],
+                             "p", "k0", "k1", "frac")
+    cond = [(F.col("_before") <= F.col("k1"))
+            & ((F.col("_before") + F.col("_cnt")) > F.col("k0"))]
     for g in groups:
-        cond.append(r[g].eqNullSafe(targets[g]))
+        cond.append(F.col(g).eqNullSafe(F.col(f"_t_{g}")))
     from functools import reduce
     # Without groups the lookup is a range condition only: targets has one
     # row per probability, so it is the broadcast side.
     tgt = targets if groups else F.broadcast(targets)
     hit = r.join(tgt, reduce(lambda a, b: a & b, cond), "inner").select(
-        *[targets[g] for g in groups], "p", "k0", "k1", "frac", value_col, "_before")
+        *groups, "p", "k0", "k1", "frac", value_col, "_before")
     agg = (hit.groupBy(*groups, "p", "frac")
               .agg(F.max(F.when(F.col("_before") <= F.col("k0"), F.col(value_col))).alias("_x0"),
                    F.max(F.when(F.col("_before") <= F.col("k1"), F.col(value_col))).alias("_x1")))

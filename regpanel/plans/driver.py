@@ -232,3 +232,803 @@ def yearly_latest_confidence(spark, sf_dir):
     out = yearly_panel(intervals, key="tin", tiebreak=["o_orderkey"])
     return out.select("tin", F.col("year").cast("long").alias("year"), "o_orderkey",
                       "confidence")
+
+
+# ------------------------------------------------------------ helpers
+def _customers_with_nation(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
+
+
+# ------------------------------------------------------------ P4
+EXCLUDED_NATIONS = ["nation_1", "ATION_2"]
+
+
+@register("exclude_patterns", """
+SELECT c_custkey, region_name FROM (
+  SELECT c.c_custkey,
+         CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE n.n_name END AS region_name
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
+WHERE NOT (region_name ILIKE '%nation_1%' OR region_name ILIKE '%ATION_2%')
+""")
+def exclude_patterns_q(spark, sf_dir):
+    """Drop rows whose region name contains any excluded pattern
+    (case-insensitive); a null region name drops the row too."""
+    from ..operators.keys import exclude_substrings
+    df = _customers_with_nation(spark, sf_dir).select(
+        "c_custkey", F.when(F.col("c_custkey") % 11 == 0, F.lit(None))
+                      .otherwise(F.col("n_name")).alias("region_name"))
+    return exclude_substrings(df, "region_name", EXCLUDED_NATIONS)
+
+
+# ------------------------------------------------------------ P5-P7
+@register("normalize_keys", """
+SELECT c_custkey,
+       coalesce(lpad(ind_tin, 12, '0'), lpad(org_tin, 10, '0')) AS tin,
+       coalesce(ind_number, org_number) AS reg_number,
+       upper(c_name) AS name
+FROM (SELECT c_custkey, c_name,
+             CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS ind_tin,
+             CAST(c_custkey * 100000007 AS VARCHAR) AS org_tin,
+             CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'IP' || CAST(c_custkey AS VARCHAR) END AS ind_number,
+             'OGRN' || CAST(c_nationkey AS VARCHAR) AS org_number
+      FROM customer)
+""")
+def normalize_keys_q(spark, sf_dir):
+    """P5 + P6 + P7: person ids padded to 12, organisation ids to 10 (longer
+    ones cut), person id preferred; names upper-cased."""
+    from ..operators.keys import entity_key, upper_columns
+    c = table(spark, sf_dir, "customer")
+    df = c.select(
+        "c_custkey", F.col("c_name").alias("name"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit(None))
+         .otherwise(F.col("c_custkey").cast("string")).alias("ind_tin"),
+        (F.col("c_custkey") * 100000007).cast("string").alias("org_tin"),
+        F.when(F.col("c_custkey") % 4 == 0, F.lit(None))
+         .otherwise(F.concat(F.lit("IP"), F.col("c_custkey").cast("string"))).alias("ind_number"),
+        F.concat(F.lit("OGRN"), F.col("c_nationkey").cast("string")).alias("org_number"))
+    df = upper_columns(df, ["name"])
+    df = entity_key(df, "ind_tin", "org_tin", person_reg="ind_number", org_reg="org_number")
+    return df.select("c_custkey", "tin", "reg_number", "name")
+
+
+# ------------------------------------------------------------ P3
+REQUESTED_CODES = ["E", "Brand#1", "Brand#27", "Brand#3.05"]
+
+_CLASSIFIER_SQL = """
+cls AS (SELECT DISTINCT upper(substr(p_type, 1, 1)) AS grp,
+               p_brand || '.' || lpad(CAST(p_size % 10 AS VARCHAR), 2, '0') AS code
+        FROM part),
+req AS (SELECT * FROM (VALUES ('E'), ('Brand#1'), ('Brand#27'), ('Brand#3.05')) t(c)),
+hit AS (SELECT DISTINCT code FROM cls, req
+        WHERE (length(c) = 1 AND c BETWEEN 'A' AND 'Z' AND grp = c)
+           OR (NOT (length(c) = 1 AND c BETWEEN 'A' AND 'Z') AND starts_with(code, c))),
+miss AS (SELECT c AS code FROM req WHERE NOT EXISTS (
+           SELECT 1 FROM cls
+           WHERE (length(c) = 1 AND c BETWEEN 'A' AND 'Z' AND grp = c)
+              OR (NOT (length(c) = 1 AND c BETWEEN 'A' AND 'Z') AND starts_with(code, c)))),
+codes AS (SELECT code FROM hit UNION SELECT code FROM miss)"""
+
+
+def _classifier(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.upper(F.substring("p_type", 1, 1)).alias("group"),
+        F.concat(F.col("p_brand"), F.lit("."),
+                 F.lpad((F.col("p_size") % 10).cast("string"), 2, "0")).alias("code")
+    ).distinct()
+
+
+@register("code_filter", f"""
+WITH {_CLASSIFIER_SQL}
+SELECT l_orderkey, l_linenumber, code FROM (
+  SELECT l_orderkey, l_linenumber,
+         'Brand#' || CAST(l_partkey % 30 AS VARCHAR) || '.'
+           || lpad(CAST(l_suppkey % 12 AS VARCHAR), 2, '0') AS code
+  FROM lineitem)
+WHERE code IN (SELECT code FROM codes)
+""")
+def code_filter_q(spark, sf_dir):
+    """Activity-code filter -- group letters and prefixes expanded through
+    the classifier, unknown requests kept as is, exact membership."""
+    from ..operators.keys import filter_by_codes
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.lit("Brand#"), (F.col("l_partkey") % 30).cast("string"), F.lit("."),
+                 F.lpad((F.col("l_suppkey") % 12).cast("string"), 2, "0")).alias("code"))
+    return filter_by_codes(li, "code", _classifier(spark, sf_dir), REQUESTED_CODES)
+
+
+# ------------------------------------------------------------ A2 + U1 + J3
+@register("first_wins_dictionary", """
+WITH v AS (
+  SELECT upper(p_brand) AS name, upper(p_name) AS name_full, 0 AS pr, p_partkey AS o FROM part
+  UNION ALL SELECT upper(p_name), upper(p_name), 1, p_partkey FROM part
+  UNION ALL SELECT upper(p_brand || '.'), upper(p_name), 2, p_partkey FROM part
+            WHERE NOT ends_with(p_brand, '.')),
+d AS (SELECT name, name_full FROM (
+        SELECT *, row_number() OVER (PARTITION BY name ORDER BY pr, o) AS rn FROM v)
+      WHERE rn = 1),
+data AS (SELECT p_partkey,
+                CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN p_brand || '.'
+                                   WHEN 2 THEN p_name ELSE 'unknown ' || CAST(p_size AS VARCHAR) END AS raw
+         FROM part)
+SELECT p_partkey, raw, d.name_full AS expanded
+FROM data LEFT JOIN d ON upper(data.raw) = d.name
+""")
+def first_wins_dictionary_q(spark, sf_dir):
+    """A2 + U1 + J3: abbreviation dictionary from three variants (short,
+    full, dotted short), first variant / earliest row wins; lookup replaces
+    the value or gives null."""
+    from ..operators.matching import abbreviation_dictionary, dictionary_lookup
+    p = table(spark, sf_dir, "part")
+    abbr = p.select(F.col("p_brand").alias("name"), F.col("p_name").alias("name_full"),
+                    F.col("p_partkey").alias("_row"))
+    d = abbreviation_dictionary(abbr)
+    k = F.col("p_partkey") % 4
+    data = p.select("p_partkey", F.when(k == 0, F.col("p_brand"))
+                    .when(k == 1, F.concat("p_brand", F.lit(".")))
+                    .when(k == 2, F.col("p_name"))
+                    .otherwise(F.concat(F.lit("unknown "), F.col("p_size").cast("string")))
+                    .alias("raw"))
+    data = data.withColumn("expanded", F.col("raw"))
+    return dictionary_lookup(data, "expanded", d).select("p_partkey", "raw", "expanded")
+
+
+# ------------------------------------------------------------ A3
+@register("drop_ambiguous", """
+SELECT p_partkey, p_name, p_brand FROM (
+  SELECT p_partkey, p_name,
+         CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_brand END AS p_brand
+  FROM part)
+QUALIFY count(*) OVER (PARTITION BY p_name, p_brand) = 1
+""")
+def drop_ambiguous_q(spark, sf_dir):
+    """A3: drop every row whose (name, brand) key occurs more than once;
+    null brands compare equal."""
+    from ..operators.dedupe import drop_ambiguous
+    p = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name",
+        F.when(F.col("p_partkey") % 13 == 0, F.lit(None)).otherwise(F.col("p_brand"))
+         .alias("p_brand"))
+    return drop_ambiguous(p, ["p_name", "p_brand"]).select("p_partkey", "p_name", "p_brand")
+
+
+# ------------------------------------------------------------ J4 / J5 / J6 / A9
+_WATERFALL_SQL = """
+addr AS (
+  SELECT l.l_orderkey, l.l_linenumber, p.p_brand AS region,
+         CASE WHEN l.l_linenumber % 3 = 0 THEN NULL ELSE p.p_type END AS district,
+         CASE WHEN l.l_orderkey % 5 = 0 THEN p.p_name || ' X' ELSE p.p_name END AS settlement_name,
+         CASE WHEN l.l_suppkey % 4 = 0 THEN NULL ELSE CAST(p.p_size % 5 AS VARCHAR) END AS settlement_type,
+         CASE WHEN l.l_orderkey % 5 = 0 THEN p.p_name ELSE NULL END AS city_name
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+s AS (SELECT p_partkey AS id, p_brand AS region,
+             CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_type END AS municipality,
+             p_name AS settlement, CAST(p_size % 5 AS VARCHAR) AS type FROM part),
+c AS (SELECT p_partkey + 1000000000 AS id, p_brand AS region, p_name AS city FROM part),
+s1 AS (SELECT region, municipality, settlement, type, min(id) AS gid FROM s
+       GROUP BY region, municipality, settlement, type HAVING count(*) = 1),
+s2 AS (SELECT region, municipality, settlement, min(id) AS gid FROM s
+       GROUP BY region, municipality, settlement HAVING count(*) = 1),
+s3 AS (SELECT region, settlement, type, min(id) AS gid FROM s
+       GROUP BY region, settlement, type HAVING count(*) = 1),
+s4 AS (SELECT region, settlement, min(id) AS gid FROM s GROUP BY region, settlement
+       HAVING count(*) = 1 AND region IS NOT NULL AND settlement IS NOT NULL),
+c5 AS (SELECT region, city, min(id) AS gid FROM c GROUP BY region, city
+       HAVING count(*) = 1 AND region IS NOT NULL AND city IS NOT NULL),
+matched AS (
+  SELECT a.l_orderkey, a.l_linenumber,
+         coalesce(s1.gid, s2.gid, s3.gid, s4.gid, c5.gid) AS geo_id,
+         CASE WHEN coalesce(s1.gid, s2.gid, s3.gid, s4.gid) IS NOT NULL THEN 's'
+              WHEN c5.gid IS NOT NULL THEN 'c' END AS geo_type,
+         CAST(CASE WHEN s1.gid IS NOT NULL THEN 1 WHEN s2.gid IS NOT NULL THEN 2
+                   WHEN s3.gid IS NOT NULL THEN 3 WHEN s4.gid IS NOT NULL THEN 4
+                   WHEN c5.gid IS NOT NULL THEN 5 END AS BIGINT) AS match_pass
+  FROM addr a
+  LEFT JOIN s1 ON a.region IS NOT DISTINCT FROM s1.region
+              AND a.district IS NOT DISTINCT FROM s1.municipality
+              AND a.settlement_name IS NOT DISTINCT FROM s1.settlement
+              AND a.settlement_type IS NOT DISTINCT FROM s1.type
+  LEFT JOIN s2 ON a.region IS NOT DISTINCT FROM s2.region
+              AND a.district IS NOT DISTINCT FROM s2.municipality
+              AND a.settlement_name IS NOT DISTINCT FROM s2.settlement
+  LEFT JOIN s3 ON a.region IS NOT DISTINCT FROM s3.region
+              AND a.settlement_name IS NOT DISTINCT FROM s3.settlement
+              AND a.settlement_type IS NOT DISTINCT FROM s3.type
+  LEFT JOIN s4 ON a.region IS NOT DISTINCT FROM s4.region
+              AND a.settlement_name IS NOT DISTINCT FROM s4.settlement
+  LEFT JOIN c5 ON a.region IS NOT DISTINCT FROM c5.region
+              AND a.city_name IS NOT DISTINCT FROM c5.city)"""
+
+
+def _waterfall(spark, sf_dir):
+    from ..operators.matching import MatchPass, waterfall_match
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    perturbed = F.col("l_orderkey") % 5 == 0
+    addr = li.join(p, li["l_partkey"] == p["p_partkey"]).select(
+        "l_orderkey", "l_linenumber", F.col("p_brand").alias("region"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit(None)).otherwise(F.col("p_type"))
+         .alias("district"),
+        F.when(perturbed, F.concat("p_name", F.lit(" X"))).otherwise(F.col("p_name"))
+         .alias("settlement_name"),
+        F.when(F.col("l_suppkey") % 4 == 0, F.lit(None))
+         .otherwise((F.col("p_size") % 5).cast("string")).alias("settlement_type"),
+        F.when(perturbed, F.col("p_name")).alias("city_name"))
+    settlements = p.select(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("region"),
+        F.when(F.col("p_partkey") % 17 == 0, F.lit(None)).otherwise(F.col("p_type"))
+         .alias("municipality"),
+        F.col("p_name").alias("settlement"), (F.col("p_size") % 5).cast("string").alias("type"))
+    cities = p.select((F.col("p_partkey") + 1000000000).alias("id"),
+                      F.col("p_brand").alias("region"), F.col("p_name").alias("city"))
+    passes = [
+        MatchPass("all parts", ["region", "district", "settlement_name", "settlement_type"],
+                  ["region", "municipality", "settlement", "type"], "s"),
+        MatchPass("all but type", ["region", "district", "settlement_name"],
+                  ["region", "municipality", "settlement"], "s"),
+        MatchPass("settlement with type", ["region", "settlement_name", "settlement_type"],
+                  ["region", "settlement", "type"], "s"),
+        MatchPass("settlement", ["region", "settlement_name"], ["region", "settlement"], "s"),
+        MatchPass("city", ["region", "city_name"], ["region", "city"], "c"),
+    ]
+    return waterfall_match(addr, {"s": settlements, "c": cities}, passes)
+
+
+@register("waterfall_match", f"""
+WITH {_WATERFALL_SQL}
+SELECT * FROM matched
+""")
+def waterfall_match_q(spark, sf_dir):
+    """J4 + J5 + J6: ordered null-safe key cascade against de-ambiguated
+    standards; first hit wins."""
+    m = _waterfall(spark, sf_dir)
+    return m.select("l_orderkey", "l_linenumber", "geo_id", "geo_type",
+                    F.col("match_pass").cast("long").alias("match_pass"))
+
+
+@register("match_stats", f"""
+WITH {_WATERFALL_SQL}
+SELECT match_pass, count(*) AS n FROM matched GROUP BY match_pass
+""")
+def match_stats_q(spark, sf_dir):
+    """Matches per pass (null = unmatched)."""
+    from ..operators.matching import match_stats
+    m = match_stats(_waterfall(spark, sf_dir))
+    return m.select(F.col("match_pass").cast("long").alias("match_pass"),
+                    F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------ R4 / R5 / P11 / P14 / P19
+# How an area is rendered with its type (type, prefix, suffix).
+AREA_RULES = [("г", "Город ", ""), ("р-н", "", " район"), ("у", "", " улус")]
+
+_GEO_SQL = """
+cities AS (
+  SELECT c.c_custkey AS id, n.n_name AS region,
+         CASE WHEN c.c_custkey % 7 = 0 THEN NULL ELSE c.c_mktsegment END AS area,
+         CASE c.c_custkey % 4 WHEN 0 THEN 'г' WHEN 1 THEN 'р-н' WHEN 2 THEN 'у' ELSE 'п' END AS area_type,
+         CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE c.c_name END AS city,
+         CASE WHEN c.c_custkey % 3 = 0 THEN 'S' || CAST(c.c_custkey AS VARCHAR) END AS settlement,
+         CAST(c.c_custkey * 97 AS VARCHAR) AS oktmo,
+         c.c_acctbal / 100 AS geo_lat, CAST(c.c_nationkey AS DOUBLE) AS geo_lon
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+settlements AS (
+  SELECT s.s_suppkey AS id, n.n_name AS region,
+         'MUNI_' || CAST(s.s_suppkey % 7 AS VARCHAR) AS municipality, s.s_name AS settlement,
+         CASE s.s_suppkey % 3 WHEN 0 THEN 'п' WHEN 1 THEN 'с' END AS type,
+         CAST(s.s_suppkey AS VARCHAR) AS oktmo,
+         s.s_acctbal / 1000 AS latitude_dd, CAST(s.s_nationkey AS DOUBLE) AS longitude_dd
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey)"""
+
+
+def _geo_dims(spark, sf_dir):
+    cn = _customers_with_nation(spark, sf_dir)
+    k = F.col("c_custkey")
+    cities = cn.select(
+        k.alias("id"), F.col("n_name").alias("region"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("area"),
+        F.when(k % 4 == 0, "г").when(k % 4 == 1, "р-н").when(k % 4 == 2, "у")
+         .otherwise("п").alias("area_type"),
+        F.when(k % 5 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("city"),
+        F.when(k % 3 == 0, F.concat(F.lit("S"), k.cast("string"))).alias("settlement"),
+        (k * 97).cast("string").alias("oktmo"),
+        (F.col("c_acctbal") / 100).alias("geo_lat"),
+        F.col("c_nationkey").cast("double").alias("geo_lon"))
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    sk = F.col("s_suppkey")
+    settlements = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(
+        sk.alias("id"), F.col("n_name").alias("region"),
+        F.concat(F.lit("MUNI_"), (sk % 7).cast("string")).alias("municipality"),
+        F.col("s_name").alias("settlement"),
+        F.when(sk % 3 == 0, "п").when(sk % 3 == 1, "с").alias("type"),
+        sk.cast("string").alias("oktmo"),
+        (F.col("s_acctbal") / 1000).alias("latitude_dd"),
+        F.col("s_nationkey").cast("double").alias("longitude_dd"))
+    return cities, settlements
+
+
+@register("conform_union", f"""
+WITH {_GEO_SQL}
+SELECT id AS geo_id, 'c' AS type, region,
+       CASE WHEN a IS NULL OR area_type IS NULL THEN NULL
+            WHEN area_type = 'г' THEN 'Город ' || a
+            WHEN area_type = 'р-н' THEN a || ' район'
+            WHEN area_type = 'у' THEN a || ' улус' ELSE a END AS area,
+       coalesce(settlement, city, area) AS settlement, 'г' AS settlement_type,
+       oktmo, geo_lat AS lat, geo_lon AS lon
+FROM (SELECT *, CASE WHEN area_type = 'г' THEN NULL ELSE area END AS a FROM cities)
+UNION ALL
+SELECT id, 's', region, municipality, settlement, type, oktmo, latitude_dd, longitude_dd
+FROM settlements
+""")
+def conform_union_q(spark, sf_dir):
+    """R4 + P11 + P14 + P19: city and settlement dimensions conformed to one
+    column set and tagged by source."""
+    from ..operators.reshape import joint_geodata
+    cities, settlements = _geo_dims(spark, sf_dir)
+    return joint_geodata(cities, settlements, AREA_RULES)
+
+
+@register("cities_standard", f"""
+WITH {_GEO_SQL}
+SELECT id, region, area, city, settlement FROM cities
+UNION ALL
+SELECT id, region, NULL AS area, area AS city, settlement FROM cities
+WHERE area_type = 'г' AND city IS NULL
+""")
+def cities_standard_q(spark, sf_dir):
+    """City standard plus areas that are cities moved to the city column."""
+    from ..operators.reshape import cities_standard
+    cities, _ = _geo_dims(spark, sf_dir)
+    return cities_standard(cities)
+
+
+# ------------------------------------------------------------ J7 / J8 / A8 / F14
+REGION_TYPE_WORDS = ["republic ", " oblast"]
+
+_REGIONS_SQL = """
+reg AS (SELECT n_nationkey AS rid, CAST(n_nationkey AS VARCHAR) AS code, n_name AS name,
+               lower(n_name) || 'ia' AS short_name,
+               'R' || CAST(n_regionkey AS VARCHAR) || '-' || CAST(n_nationkey AS VARCHAR) AS iso_code
+        FROM nation)"""
+
+
+def _regions_dim(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    return n.select(
+        F.col("n_nationkey").alias("_row"), F.col("n_nationkey").cast("string").alias("code"),
+        F.col("n_name").alias("name"),
+        F.concat(F.lower("n_name"), F.lit("ia")).alias("short_name"),
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string"), F.lit("-"),
+                 F.col("n_nationkey").cast("string")).alias("iso_code"))
+
+
+@register("region_exact_then_fuzzy", f"""
+WITH {_REGIONS_SQL},
+keys AS (
+  SELECT c.c_custkey,
+         CASE c.c_custkey % 6
+           WHEN 0 THEN n.n_name
+           WHEN 1 THEN lower(n.n_name)
+           WHEN 2 THEN lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0')
+           WHEN 3 THEN 'Republic ' || replace(lower(n.n_name) || 'ia', 'tio', 'to')
+           WHEN 4 THEN 'Zz' || CAST(c.c_custkey AS VARCHAR)
+           ELSE NULL END AS raw
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+dk AS (SELECT DISTINCT raw FROM keys WHERE raw IS NOT NULL AND raw <> ''),
+ex AS (
+  SELECT raw, regexp_full_match(raw, '[0-9]+') AS digits,
+         CASE WHEN regexp_full_match(raw, '[0-9]+')
+              THEN (SELECT max(rid) FROM reg WHERE TRY_CAST(code AS BIGINT) = TRY_CAST(dk.raw AS BIGINT))
+              ELSE coalesce((SELECT max(rid) FROM reg WHERE lower(name) = lower(dk.raw)),
+                            (SELECT max(rid) FROM reg WHERE lower(short_name) = lower(dk.raw)))
+         END AS r_exact
+  FROM dk),
+fz AS (SELECT raw, trim(replace(replace(lower(raw), 'republic ', ''), ' oblast', '')) AS q
+       FROM ex WHERE r_exact IS NULL AND NOT digits),
+sh AS (SELECT lower(short_name) AS ls, min(rid) AS first_rid, max(rid) AS last_rid
+       FROM reg GROUP BY lower(short_name)),
+sc AS (SELECT fz.raw, sh.first_rid, sh.last_rid,
+              100.0 * (1.0 - CAST(levenshtein(fz.q, sh.ls) AS DOUBLE)
+                       / CAST(greatest(length(fz.q), length(sh.ls)) AS DOUBLE)) AS score
+       FROM fz, sh),
+best AS (SELECT raw, last_rid FROM (
+           SELECT *, row_number() OVER (PARTITION BY raw ORDER BY score DESC, first_rid) AS rn
+           FROM sc WHERE score > 80) WHERE rn = 1),
+map AS (SELECT ex.raw, coalesce(ex.r_exact, best.last_rid) AS rid
+        FROM ex LEFT JOIN best ON ex.raw = best.raw)
+SELECT k.c_custkey, k.raw, reg.name AS region_name, reg.code AS region_code,
+       reg.iso_code AS region_iso_code
+FROM keys k LEFT JOIN map m ON k.raw = m.raw LEFT JOIN reg ON m.rid = reg.rid
+""")
+def region_exact_then_fuzzy_q(spark, sf_dir):
+    """J7 + J8: region by code / exact name / short name / fuzzy short name
+    after removing type words; unknown -> null record."""
+    from ..operators.regions import normalize_regions
+    cn = _customers_with_nation(spark, sf_dir)
+    k = F.col("c_custkey") % 6
+    short = F.concat(F.lower("n_name"), F.lit("ia"))
+    raw = (F.when(k == 0, F.col("n_name"))
+            .when(k == 1, F.lower("n_name"))
+            .when(k == 2, F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+            .when(k == 3, F.concat(F.lit("Republic "), F.replace(short, F.lit("tio"), F.lit("to"))))
+            .when(k == 4, F.concat(F.lit("Zz"), F.col("c_custkey").cast("string"))))
+    keys = cn.select("c_custkey", raw.alias("raw"), raw.alias("region_name"))
+    out = normalize_regions(keys, "region_name", _regions_dim(spark, sf_dir),
+                            REGION_TYPE_WORDS, threshold=80.0)
+    return out.select("c_custkey", "raw", "region_name", "region_code", "region_iso_code")
+
+
+# ------------------------------------------------------------ P13
+FEDERAL_REGIONS = ["NATION_1", "NATION_2"]
+
+
+@register("fill_federal", """
+SELECT c.c_custkey, n.n_name AS region,
+       CASE WHEN n.n_name IN ('NATION_1', 'NATION_2') AND c.c_custkey % 4 = 0 THEN n.n_name
+            WHEN c.c_custkey % 4 = 0 THEN NULL ELSE c.c_name END AS settlement
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+""")
+def fill_federal_q(spark, sf_dir):
+    """A federal-city region with no settlement is its own settlement."""
+    from ..operators.keys import fill_when_null_and_in
+    df = _customers_with_nation(spark, sf_dir).select(
+        "c_custkey", F.col("n_name").alias("region"),
+        F.when(F.col("c_custkey") % 4 == 0, F.lit(None)).otherwise(F.col("c_name"))
+         .alias("settlement"))
+    return fill_when_null_and_in(df, "settlement", "region", FEDERAL_REGIONS)
+
+
+# ------------------------------------------------------------ A1 / A4
+@register("distinct_group_counts", """
+SELECT l_returnflag, l_linestatus, CAST(year AS BIGINT) AS year, count(*) AS n
+FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey, year(l_shipdate) AS year
+      FROM lineitem)
+GROUP BY l_returnflag, l_linestatus, year
+""")
+def distinct_group_counts_q(spark, sf_dir):
+    """A1 + A4: distinct (flag, status, supplier, year), then count per group."""
+    from ..operators.dedupe import distinct_rows
+    from ..operators.quality import group_counts
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_suppkey",
+        F.year("l_shipdate").cast("long").alias("year"))
+    out = group_counts(distinct_rows(li), ["l_returnflag", "l_linestatus", "year"], "n")
+    return out.withColumn("n", F.col("n").cast("long"))
+
+
+# ------------------------------------------------------------ A10
+_NULLY_EVENTS_SQL = """
+v AS (SELECT event_id, ts, user_id,
+             CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS event_type,
+             CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS value,
+             CASE WHEN user_id % 5 = 0 THEN NULL ELSE props END AS props
+      FROM events)"""
+
+
+@register("null_profile", f"""
+WITH {_NULLY_EVENTS_SQL}
+SELECT 'event_id' AS column_name, count(*) FILTER (WHERE event_id IS NULL) AS null_count, count(*) AS row_count FROM v
+UNION ALL SELECT 'ts', count(*) FILTER (WHERE ts IS NULL), count(*) FROM v
+UNION ALL SELECT 'user_id', count(*) FILTER (WHERE user_id IS NULL), count(*) FROM v
+UNION ALL SELECT 'event_type', count(*) FILTER (WHERE event_type IS NULL), count(*) FROM v
+UNION ALL SELECT 'value', count(*) FILTER (WHERE value IS NULL), count(*) FROM v
+UNION ALL SELECT 'props', count(*) FILTER (WHERE props IS NULL), count(*) FROM v
+""")
+def null_profile_q(spark, sf_dir):
+    """A10: nulls per column in one pass."""
+    from ..operators.quality import null_profile
+    e = table(spark, sf_dir, "events")
+    v = e.select("event_id", "ts", "user_id",
+                 F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("event_type"))
+                  .alias("event_type"),
+                 F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("value"))
+                  .alias("value"),
+                 F.when(F.col("user_id") % 5 == 0, F.lit(None)).otherwise(F.col("props"))
+                  .alias("props"))
+    p = null_profile(v)
+    return p.select(F.col("column").alias("column_name"),
+                    F.col("null_count").cast("long").alias("null_count"),
+                    F.col("row_count").cast("long").alias("row_count"))
+
+
+# ------------------------------------------------------------ A11
+@register("describe_stats", """
+SELECT o_orderstatus, statistic, round(value, 4) AS value FROM (
+  SELECT o_orderstatus, 'count' AS statistic, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, 'mean', avg(o_totalprice) FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, 'std', stddev_samp(o_totalprice) FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, 'min', min(o_totalprice) FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, '25%', quantile_cont(o_totalprice, 0.25) FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, '50%', quantile_cont(o_totalprice, 0.5) FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, '75%', quantile_cont(o_totalprice, 0.75) FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, 'max', max(o_totalprice) FROM orders GROUP BY 1)
+""")
+def describe_stats_q(spark, sf_dir):
+    """describe() statistics per order status, exact quartiles."""
+    from ..operators.quality import describe
+    o = table(spark, sf_dir, "orders").select("o_orderstatus", "o_totalprice")
+    d = describe(o, "o_totalprice", ["o_orderstatus"])
+    return d.select("o_orderstatus", "statistic", F.round("value", 4).alias("value"))
+
+
+# ------------------------------------------------------------ A12 / R3
+_SUPPLIER_YEAR_SQL = """
+d AS (SELECT l_suppkey, year(l_shipdate) AS year, count(*) AS x, sum(l_quantity) AS y
+      FROM lineitem GROUP BY l_suppkey, year(l_shipdate))"""
+
+
+def _supplier_year(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return (li.groupBy("l_suppkey", F.year("l_shipdate").cast("long").alias("year"))
+              .agg(F.count(F.lit(1)).alias("x"), F.sum("l_quantity").alias("y")))
+
+
+@register("spearman_global", f"""
+WITH {_SUPPLIER_YEAR_SQL},
+r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry
+      FROM d)
+SELECT round(corr(rx, ry), 9) AS spearman, count(*) AS n FROM r
+""")
+def spearman_global_q(spark, sf_dir):
+    """Spearman correlation of lines vs quantity per supplier-year."""
+    from ..operators.quality import spearman
+    s = spearman(_supplier_year(spark, sf_dir), "x", "y")
+    return s.select(F.round("spearman", 9).alias("spearman"), F.col("n").cast("long").alias("n"))
+
+
+@register("spearman_by_group", f"""
+WITH {_SUPPLIER_YEAR_SQL},
+r AS (SELECT year,
+             rank() OVER (PARTITION BY year ORDER BY x)
+               + (count(*) OVER (PARTITION BY year, x) - 1) / 2.0 AS rx,
+             rank() OVER (PARTITION BY year ORDER BY y)
+               + (count(*) OVER (PARTITION BY year, y) - 1) / 2.0 AS ry
+      FROM d)
+SELECT CAST(year AS BIGINT) AS year, round(corr(rx, ry), 9) AS spearman, count(*) AS n
+FROM r GROUP BY year
+""")
+def spearman_by_group_q(spark, sf_dir):
+    """A12 per group (year)."""
+    from ..operators.quality import spearman
+    s = spearman(_supplier_year(spark, sf_dir), "x", "y", ["year"])
+    return s.select("year", F.round("spearman", 9).alias("spearman"),
+                    F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------ C8 / J10 / P16-P18
+_VALIDATION_SQL = """
+cls AS (SELECT DISTINCT o_orderpriority AS code,
+               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'H' ELSE 'L' END AS grp
+        FROM orders),
+reestr0 AS (
+  SELECT region, year, activity, count(*) AS cnt FROM (
+    SELECT DISTINCT n.n_name AS region, o.o_custkey AS tin, year(o.o_orderdate) AS year,
+                    o.o_orderpriority AS activity
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+                  JOIN nation n ON c.c_nationkey = n.n_nationkey)
+  GROUP BY region, year, activity),
+reestr AS (SELECT region, year, grp, sum(cnt) AS count_reestr
+           FROM reestr0 r JOIN cls ON r.activity = cls.code GROUP BY region, year, grp),
+stat AS (
+  SELECT n.n_name AS region, year(l.l_shipdate) AS year, cls.grp,
+         count(DISTINCT l.l_orderkey) AS count_stat
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                  JOIN customer c ON o.o_custkey = c.c_custkey
+                  JOIN nation n ON c.c_nationkey = n.n_nationkey
+                  JOIN cls ON o.o_orderpriority = cls.code
+  WHERE n.n_name NOT IN ('NATION_3')
+  GROUP BY n.n_name, year(l.l_shipdate), cls.grp)"""
+
+
+def _validation_stats(spark, sf_dir):
+    from ..operators.dedupe import distinct_rows
+    from ..operators.keys import normalized_difference
+    from ..operators.quality import group_counts, group_sums
+    o = table(spark, sf_dir, "orders")
+    cn = _customers_with_nation(spark, sf_dir)
+    pri = F.col("o_orderpriority")
+    cls = o.select(pri.alias("code"),
+                   F.when(pri.isin("1-URGENT", "2-HIGH"), "H").otherwise("L").alias("grp")
+                   ).distinct()
+    oc = o.join(cn, o["o_custkey"] == cn["c_custkey"])
+    reestr = distinct_rows(oc.select(F.col("n_name").alias("region"),
+                                     F.col("o_custkey").alias("tin"),
+                                     F.year("o_orderdate").cast("long").alias("year"),
+                                     pri.alias("activity")))
+    reestr = group_counts(reestr, ["region", "year", "activity"], "cnt")
+    reestr = reestr.join(cls, reestr["activity"] == cls["code"]).drop("code", "activity")
+    reestr = group_sums(reestr, ["region", "year", "grp"], ["cnt"]) \
+        .withColumnRenamed("cnt", "count_reestr")
+    li = table(spark, sf_dir, "lineitem")
+    stat = (li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
+              .join(cls, pri == cls["code"])
+              .filter(~F.col("n_name").isin("NATION_3"))
+              .select(F.col("n_name").alias("region"),
+                      F.year("l_shipdate").cast("long").alias("year"), "grp", "l_orderkey")
+              .distinct()
+              .groupBy("region", "year", "grp").agg(F.count(F.lit(1)).alias("count_stat")))
+    # Left join + drop rows lacking the statistics side == inner join.
+    merged = reestr.join(stat, ["region", "year", "grp"], "left").na.drop(subset=["count_stat"])
+    return merged.withColumn("norm_diff", normalized_difference("count_reestr", "count_stat"))
+
+
+@register("norm_diff_validation", f"""
+WITH {_VALIDATION_SQL}
+SELECT r.region, CAST(r.year AS BIGINT) AS year, r.grp,
+       CAST(r.count_reestr AS BIGINT) AS count_reestr, CAST(s.count_stat AS BIGINT) AS count_stat,
+       round((r.count_reestr - s.count_stat) / (r.count_reestr + s.count_stat), 9) AS norm_diff
+FROM reestr r JOIN stat s ON r.region = s.region AND r.year = s.year AND r.grp = s.grp
+""")
+def norm_diff_validation_q(spark, sf_dir):
+    """Registry counts (distinct entities per region-year-activity,
+    remapped to groups) vs an independent count; normalised difference."""
+    m = _validation_stats(spark, sf_dir)
+    return m.select("region", "year", "grp",
+                    F.col("count_reestr").cast("long").alias("count_reestr"),
+                    F.col("count_stat").cast("long").alias("count_stat"),
+                    F.round("norm_diff", 9).alias("norm_diff"))
+
+
+@register("validation_long", f"""
+WITH {_VALIDATION_SQL},
+m AS (SELECT r.region, r.year, r.grp, r.count_reestr, s.count_stat
+      FROM reestr r JOIN stat s ON r.region = s.region AND r.year = s.year AND r.grp = s.grp)
+SELECT region, CAST(year AS BIGINT) AS year, grp, 'count_reestr' AS source,
+       CAST(count_reestr AS BIGINT) AS count FROM m
+UNION ALL
+SELECT region, CAST(year AS BIGINT), grp, 'count_stat', CAST(count_stat AS BIGINT) FROM m
+""")
+def validation_long_q(spark, sf_dir):
+    """R2: the validation table melted to (source, count) rows."""
+    from ..operators.reshape import to_long
+    m = _validation_stats(spark, sf_dir).select(
+        "region", "year", "grp", F.col("count_reestr").cast("long").alias("count_reestr"),
+        F.col("count_stat").cast("long").alias("count_stat"))
+    return to_long(m, ["region", "year", "grp"], ["count_reestr", "count_stat"],
+                   "source", "count")
+
+
+# ------------------------------------------------------------ R3 / R2
+def _priority_year_counts(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return (o.groupBy("o_orderpriority", F.year("o_orderdate").cast("long").alias("year"))
+             .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("unpivot_years", """
+SELECT o_orderpriority, CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS n
+FROM orders GROUP BY o_orderpriority, year(o_orderdate)
+""")
+def unpivot_years_q(spark, sf_dir):
+    """R3 then R2: counts pivoted to one column per year (values found from
+    the data), then melted back to rows; empty cells are dropped."""
+    from ..operators.reshape import to_long, to_wide
+    wide = to_wide(_priority_year_counts(spark, sf_dir), ["o_orderpriority"], "year", "n")
+    years = [c for c in wide.columns if c != "o_orderpriority"]
+    long = to_long(wide, ["o_orderpriority"], years, "year", "n")
+    return long.filter(F.col("n").isNotNull()).select(
+        "o_orderpriority", F.col("year").cast("long").alias("year"),
+        F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------ A13
+@register("uniqueness_violations", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def uniqueness_violations_q(spark, sf_dir):
+    """Keys that break uniqueness, with their multiplicity."""
+    from ..operators.matching import uniqueness_violations
+    li = table(spark, sf_dir, "lineitem")
+    u = uniqueness_violations(li, ["l_orderkey", "l_linenumber"])
+    return u.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                    F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------ J1 / P9 / C3
+_KIND_SQL = "CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 1 ELSE 2 END"
+
+
+def _registry_kinds(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("tin"),
+        F.when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), 1).otherwise(2)
+         .alias("kind"))
+
+
+@register("legal_entity_semi", f"""
+SELECT o_orderkey, o_custkey FROM orders
+WHERE lpad(CAST(o_custkey AS VARCHAR), 10, '0') IN (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') FROM customer WHERE {_KIND_SQL} = 1)
+""")
+def legal_entity_semi_q(spark, sf_dir):
+    """J1 + P9: facts kept only for registry entities of kind 1."""
+    from ..plans.registry import legal_entities
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey",
+        F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("tin"))
+    return (o.join(legal_entities(_registry_kinds(spark, sf_dir)), "tin", "left_semi")
+             .select("o_orderkey", "o_custkey"))
+
+
+@register("aggregate_facts", f"""
+SELECT tin, CAST(year(data_date) AS BIGINT) AS year, revenue FROM (
+  SELECT *, row_number() OVER (PARTITION BY tin, data_date
+                               ORDER BY doc_date DESC NULLS LAST, o_orderkey DESC) AS rn
+  FROM (SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS tin, o_orderkey,
+               make_date(year(o_orderdate), 12, 31) AS data_date,
+               CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS doc_date,
+               o_totalprice AS revenue
+        FROM orders)
+  WHERE tin IN (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') FROM customer
+                WHERE {_KIND_SQL} = 1))
+WHERE rn = 1
+""")
+def aggregate_facts_q(spark, sf_dir):
+    """Yearly filings -> fixed-width key -> legal entities only (semi
+    join before the dedupe) -> latest revision per (tin, period) -> year."""
+    from ..plans.registry import aggregate_facts
+    o = table(spark, sf_dir, "orders")
+    facts = o.select(
+        F.col("o_custkey").cast("string").alias("org_tin"), "o_orderkey",
+        F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(31)).alias("data_date"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(None))
+         .otherwise(F.to_date("o_orderdate")).alias("doc_date"),
+        F.col("o_totalprice").alias("revenue"))
+    out = aggregate_facts(facts, ["revenue"], _registry_kinds(spark, sf_dir),
+                          tiebreak=["o_orderkey"])
+    return out.select("tin", F.col("year").cast("long").alias("year"), "revenue")
+
+
+# ------------------------------------------------------------ L1 / L2
+@register("top_demo", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
+""")
+def top_demo_q(spark, sf_dir):
+    """L1 + L2: ordered head with a full tie-break (planned as TakeOrdered)."""
+    o = table(spark, sf_dir, "orders")
+    return (o.select("o_orderkey", "o_custkey", "o_totalprice")
+             .orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(10))
+
+
+# ------------------------------------------------------------ S10 / S11 / F11
+_LINKS_SQL = """
+l AS (SELECT page_id, link, string_split(link, '/')[-1] AS name FROM (
+        SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link
+        FROM pages))"""
+
+
+@register("page_links", f"""
+WITH {_LINKS_SQL}
+SELECT page_id, link, name FROM l
+""")
+def page_links_q(spark, sf_dir):
+    """S10 + F11: every anchor target of every page, with its file name."""
+    from ..sources.links import page_links
+    return page_links(table(spark, sf_dir, "pages"))
+
+
+@register("new_links", f"""
+WITH {_LINKS_SQL},
+have AS (SELECT DISTINCT l.name FROM l JOIN pages p ON l.page_id = p.page_id
+         WHERE p.url LIKE '%/en/%')
+SELECT page_id, link, name FROM l
+WHERE NOT EXISTS (SELECT 1 FROM have WHERE have.name = l.name)
+""")
+def new_links_q(spark, sf_dir):
+    """Links whose file name is not already present (present = linked
+    from the English pages)."""
+    from ..sources.links import new_links, page_links
+    pages = table(spark, sf_dir, "pages")
+    links = page_links(pages)
+    en = pages.filter(F.col("url").contains("/en/")).select("page_id")
+    have = links.join(en, "page_id", "left_semi").select("name")
+    return new_links(links, have)
