@@ -1223,3 +1223,119 @@ def csv_roundtrip_q(spark, sf_dir):
                            T.StructField("acctbal", T.DoubleType()),
                            T.StructField("segment", T.StringType())])
     return read_snapshots(spark, out, schema, glob="*.csv", sep=";")
+
+
+# ------------------------------------------------------------ C2
+_SNAPSHOT_SQL = """
+base AS (
+  SELECT o.o_orderkey AS snap, CAST(o.o_orderdate AS DATE) AS data_date,
+         CASE WHEN c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 1 ELSE 2 END AS kind,
+         CASE o.o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS category,
+         c.c_custkey, c.c_name, n.n_name, n.n_nationkey, o.o_orderpriority
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+                JOIN nation n ON c.c_nationkey = n.n_nationkey),
+snaps AS (
+  SELECT snap, data_date, kind, category,
+         CASE WHEN kind = 2 THEN CAST(c_custkey AS VARCHAR) END AS ind_tin,
+         CASE WHEN kind = 2 AND snap % 3 <> 0 THEN 'IP' || CAST(c_custkey AS VARCHAR) END AS ind_number,
+         CASE WHEN kind = 2 THEN lower(c_name) END AS first_name,
+         CASE WHEN kind = 2 THEN 'Last' END AS last_name,
+         CAST(NULL AS VARCHAR) AS patronymic,
+         CASE WHEN kind = 1 THEN c_name END AS org_name,
+         CASE WHEN kind = 1 THEN lower(substr(c_name, 1, 8)) END AS org_short_name,
+         CASE WHEN kind = 1 THEN CAST(c_custkey AS VARCHAR) END AS org_tin,
+         CASE WHEN kind = 1 AND snap % 4 <> 0 THEN 'OGRN' || CAST(c_custkey AS VARCHAR) END AS org_number,
+         n_nationkey AS region_code,
+         CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE n_name END AS region_name,
+         'обл' AS region_type,
+         o_orderpriority AS district_name, 'р-н' AS district_type,
+         CASE WHEN snap % 2 = 0 THEN 'city a' ELSE 'city b' END AS city_name,
+         CASE WHEN snap % 5 = 0 THEN 'г' ELSE 'пгт' END AS city_type,
+         CAST(NULL AS VARCHAR) AS settlement_name, CAST(NULL AS VARCHAR) AS settlement_type,
+         'A.' || lpad(CAST(c_custkey % 3 AS VARCHAR), 2, '0') AS activity_code_main
+  FROM base)"""
+
+
+def _registry_snapshots(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    cn = _customers_with_nation(spark, sf_dir)
+    b = o.join(cn, o["o_custkey"] == cn["c_custkey"])
+    snap, ck = F.col("o_orderkey"), F.col("c_custkey")
+    kind = F.when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), 1).otherwise(2)
+    person, org = kind == 2, kind == 1
+    return b.select(
+        snap.alias("_snap"), F.to_date("o_orderdate").alias("data_date"),
+        kind.alias("kind"),
+        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2)
+         .otherwise(3).alias("category"),
+        F.when(person, ck.cast("string")).alias("ind_tin"),
+        F.when(person & (snap % 3 != 0), F.concat(F.lit("IP"), ck.cast("string")))
+         .alias("ind_number"),
+        F.when(person, F.lower("c_name")).alias("first_name"),
+        F.when(person, F.lit("Last")).alias("last_name"),
+        F.lit(None).cast("string").alias("patronymic"),
+        F.when(org, F.col("c_name")).alias("org_name"),
+        F.when(org, F.lower(F.substring("c_name", 1, 8))).alias("org_short_name"),
+        F.when(org, ck.cast("string")).alias("org_tin"),
+        F.when(org & (snap % 4 != 0), F.concat(F.lit("OGRN"), ck.cast("string")))
+         .alias("org_number"),
+        F.col("n_nationkey").alias("region_code"),
+        F.when(ck % 13 == 0, F.lit(None)).otherwise(F.col("n_name")).alias("region_name"),
+        F.lit("обл").alias("region_type"),
+        F.col("o_orderpriority").alias("district_name"), F.lit("р-н").alias("district_type"),
+        F.when(snap % 2 == 0, "city a").otherwise("city b").alias("city_name"),
+        F.when(snap % 5 == 0, "г").otherwise("пгт").alias("city_type"),
+        F.lit(None).cast("string").alias("settlement_name"),
+        F.lit(None).cast("string").alias("settlement_type"),
+        F.concat(F.lit("A."), F.lpad((ck % 3).cast("string"), 2, "0"))
+         .alias("activity_code_main"))
+
+
+_STATE = ("kind, category, tin, reg_number, first_name, last_name, patronymic, org_name, "
+          "org_short_name, region_name, district_name, city_name, settlement_name, "
+          "activity_code_main")
+
+
+@register("registry_hull", f"""
+WITH {_SNAPSHOT_SQL},
+norm AS (
+  SELECT snap, data_date, kind, category,
+         coalesce(lpad(ind_tin, 12, '0'), lpad(org_tin, 10, '0')) AS tin,
+         coalesce(ind_number, org_number) AS reg_number,
+         upper(first_name) AS first_name, upper(last_name) AS last_name,
+         upper(patronymic) AS patronymic, upper(org_name) AS org_name,
+         upper(org_short_name) AS org_short_name, region_code,
+         upper(region_name) AS region_name, upper(region_type) AS region_type,
+         upper(district_name) AS district_name, upper(district_type) AS district_type,
+         upper(city_name) AS city_name, upper(city_type) AS city_type,
+         upper(settlement_name) AS settlement_name, upper(settlement_type) AS settlement_type,
+         activity_code_main
+  FROM snaps
+  WHERE NOT (region_name ILIKE '%NATION_1%' OR region_name ILIKE '%ATION_2%')),
+filled AS (
+  SELECT * REPLACE (first_value(reg_number IGNORE NULLS) OVER (
+      PARTITION BY tin ORDER BY data_date, snap
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reg_number)
+  FROM norm),
+hull AS (
+  SELECT *, row_number() OVER (PARTITION BY {_STATE} ORDER BY data_date, snap) AS rn,
+         min(data_date) OVER (PARTITION BY {_STATE}) AS start_date,
+         max(data_date) OVER (PARTITION BY {_STATE}) AS end_date
+  FROM filled)
+SELECT CAST(kind AS BIGINT) AS kind, CAST(category AS BIGINT) AS category, tin, reg_number,
+       first_name, last_name, patronymic, org_name, org_short_name,
+       CAST(region_code AS BIGINT) AS region_code, region_name, region_type,
+       district_name, district_type, city_name, city_type, settlement_name, settlement_type,
+       activity_code_main, strftime(start_date, '%Y-%m-%d') AS start_date,
+       strftime(end_date, '%Y-%m-%d') AS end_date
+FROM hull WHERE rn = 1
+""")
+def registry_hull_q(spark, sf_dir):
+    """Registry snapshots -> validity intervals."""
+    from .registry import aggregate_registry
+    h = aggregate_registry(_registry_snapshots(spark, sf_dir),
+                           excluded_regions=EXCLUDED_NATIONS)
+    return h.withColumns({
+        "kind": F.col("kind").cast("long"), "category": F.col("category").cast("long"),
+        "region_code": F.col("region_code").cast("long"),
+        "start_date": iso_date("start_date"), "end_date": iso_date("end_date")})

@@ -60,12 +60,14 @@ def aggregate_registry(snapshots: DataFrame,
     df = upper_columns(df, upper)
     df = entity_key(df, "ind_tin", "org_tin", person_reg="ind_number",
                     org_reg="org_number")
-    df = next_known_fill(df, "tin", ["data_date", "_snap"] if "_snap" in df.columns
-                         else ["data_date"], "reg_number", method=fill_method)
+    # ``_snap`` (optional) orders snapshots of one day: a deterministic
+    # tie-break for the fill and for the columns carried from the first row.
+    tie = ["_snap"] if "_snap" in df.columns else []
+    df = next_known_fill(df, "tin", ["data_date"] + tie, "reg_number", method=fill_method)
     carry = [c for c in OUTPUT_COLUMNS
              if c not in state_columns and c not in ("start_date", "end_date")]
-    hull = state_hull(df.select(*state_columns, *carry, "data_date"), list(state_columns),
-                      "data_date", carry=carry)
+    hull = state_hull(df.select(*state_columns, *carry, "data_date", *tie),
+                      list(state_columns), "data_date", carry=carry, tiebreak=tie)
     return hull.select(*OUTPUT_COLUMNS)
 
 
