@@ -82,9 +82,19 @@ def path_values(doc: Column, path: str) -> Column:
     return F.filter(vals, lambda v: v.isNotNull())
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Parsing is CPU-bound: when the input has fewer partitions than the
+    cluster has cores (a few large files), spread it round-robin. With
+    enough input partitions -- the normal case at scale -- nothing changes."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def parse_files(files: DataFrame, elements: Mapping[str, str], xml_col: str = "xml",
                 doc_tag: str = "Документ", root_attrs: Mapping[str, str] | None = None,
-                keep: Sequence[str] = ("member",)) -> tuple[DataFrame, DataFrame]:
+                keep: Sequence[str] = ("member",),
+                min_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """S2 + P1 + P2 + S5: XML file strings -> (documents, quarantine).
 
     ``elements`` maps a path to an output column (column order = map
@@ -94,14 +104,19 @@ def parse_files(files: DataFrame, elements: Mapping[str, str], xml_col: str = "x
     """
     root_attrs = dict(root_attrs or {})
     schema = file_schema(list(elements), doc_tag, list(root_attrs))
+    files = ensure_parallelism(files, min_partitions)
     parsed = files.select(*keep, F.from_xml(
         F.col(xml_col), schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_f"))
-    bad = (parsed.filter(F.col(f"_f.{CORRUPT}").isNotNull())
-                 .select(*keep, F.col(f"_f.{CORRUPT}").alias(CORRUPT)))
-    good = parsed.filter(F.col(f"_f.{CORRUPT}").isNull())
-    docs = good.select(*keep, *[F.col(f"_f._{a}").alias(c) for a, c in root_attrs.items()],
-                       F.explode(F.col(f"_f.{doc_tag}")).alias("_d"))
+    bad = (parsed.select(*keep, F.explode_outer(F.array(F.col(f"_f.{CORRUPT}"))).alias(CORRUPT))
+                 .filter(F.col(CORRUPT).isNotNull()))
+    # Parse once: a filter on the parsed struct (or the one Spark infers for
+    # ``explode``) would be pushed below the projection and re-run from_xml.
+    # ``explode_outer`` infers nothing, and the filter on its output stays
+    # above the Generate. Corrupt files have no documents, so they drop out.
+    docs = (parsed.select(*keep, *[F.col(f"_f._{a}").alias(c) for a, c in root_attrs.items()],
+                          F.explode_outer(F.col(f"_f.{doc_tag}")).alias("_d"))
+                  .filter(F.col("_d").isNotNull()))
     d = F.col("_d")
     cols = [flatten_multi(path_values(d, p)).alias(name) for p, name in elements.items()]
     out = docs.select(*keep, *cols, *root_attrs.values())
