@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import average_rank, exact_quantiles
+from .scan import average_ranks, exact_quantiles
 
 
 def group_counts(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFrame:
@@ -73,7 +73,6 @@ def spearman(df: DataFrame, x: str, y: str, groups: Sequence[str] = (),
     """
     groups = list(groups)
     pairs = df.select(*groups, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = average_rank(pairs, groups, x, "_rx")
-    ranked = average_rank(ranked, groups, y, "_ry")
+    ranked = average_ranks(pairs, groups, {x: "_rx", y: "_ry"})
     return ranked.groupBy(*groups).agg(F.corr("_rx", "_ry").alias(out),
                                        F.count(F.lit(1)).alias("n"))

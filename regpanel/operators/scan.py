@@ -18,6 +18,7 @@ exchange reuse is switched off the local scan is checkpointed instead.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -170,6 +171,33 @@ def average_rank(df: DataFrame, groups: Sequence[str], value_col: str,
     return df.join(r, on=list(groups) + [value_col], how="left")
 
 
+def average_ranks(df: DataFrame, groups: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """Tie-averaged ranks of several numeric columns within ``groups`` in one
+    range pass: the columns are stacked into ``(_var, _val)`` rows, ranked
+    per ``groups + _var``, and each rank is joined back on its value.
+    ``columns`` maps value column -> output rank column."""
+    groups = list(groups)
+    names = list(columns)
+    long = df.select(*groups, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_var"), F.col(c).cast("double").alias("_val"))
+        for i, c in enumerate(names)])).alias("_s")).select(*groups, "_s.*")
+    r = value_ranks(long, groups + ["_var"], "_val")
+    r = r.select(*groups, "_var", "_val",
+                 (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias("_rank"))
+    out = df
+    for i, c in enumerate(names):
+        # Group columns of both sides descend from ``df``: rename one side.
+        gk = {g: f"_g{i}_{g}" for g in groups}
+        ri = r.filter(F.col("_var") == i).select(
+            *[F.col(g).alias(gk[g]) for g in groups], F.col("_val").alias(f"_v{i}"),
+            F.col("_rank").alias(columns[c]))
+        cond = [F.col(c).cast("double") == F.col(f"_v{i}")]
+        cond += [F.col(g).eqNullSafe(F.col(gk[g])) for g in groups]
+        out = (out.join(ri, reduce(lambda a, b: a & b, cond), "left")
+                  .drop(f"_v{i}", *gk.values()))
+    return out
+
+
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value_col: str,
                     probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL
@@ -196,7 +224,6 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value_col: str,
             & ((F.col("_before") + F.col("_cnt")) > F.col("k0"))]
     for g in groups:
         cond.append(F.col(g).eqNullSafe(F.col(f"_t_{g}")))
-    from functools import reduce
     # Without groups the lookup is a range condition only: targets has one
     # row per probability, so it is the broadcast side.
     tgt = targets if groups else F.broadcast(targets)
