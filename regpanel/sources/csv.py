@@ -72,8 +72,9 @@ def read_statistics_table(spark: SparkSession, path: str, id_columns: list[str],
     """A published statistics CSV with a preamble, a header and a
     units/labels row before the data. Columns are named by position
     (optionally skipping the first); the non-data lines are recognised by
-    content -- no value column parses as a number -- instead of by line
-    position, so the read stays an ordinary parallel scan. Text is trimmed
+    content -- no value column parses as a number, or the line repeats the
+    value labels (the header) -- instead of by line position, so the read
+    stays an ordinary parallel scan. Text is trimmed
     and values become doubles.
     """
     n = len(id_columns) + len(value_columns) + (1 if drop_first_column else 0)
@@ -86,6 +87,10 @@ def read_statistics_table(spark: SparkSession, path: str, id_columns: list[str],
     any_num = numeric[0].isNotNull()
     for x in numeric[1:]:
         any_num = any_num | x.isNotNull()
-    return (out.filter(any_num)
+    # The header line carries the value labels themselves (e.g. years).
+    is_header = F.lit(True)
+    for v in value_columns:
+        is_header = is_header & (F.trim(F.col(v)) == F.lit(v))
+    return (out.filter(any_num & ~F.coalesce(is_header, F.lit(False)))
                .withColumns({c: F.trim(F.col(c)) for c in id_columns})
                .withColumns({v: F.trim(F.col(v)).try_cast("double") for v in value_columns}))
