@@ -827,35 +827,28 @@ stat AS (
 
 
 def _validation_stats(spark, sf_dir):
-    from ..operators.dedupe import distinct_rows
-    from ..operators.keys import normalized_difference
-    from ..operators.quality import group_counts, group_sums
+    from .validation import compare, counts_by_group, registry_counts
     o = table(spark, sf_dir, "orders")
     cn = _customers_with_nation(spark, sf_dir)
     pri = F.col("o_orderpriority")
     cls = o.select(pri.alias("code"),
-                   F.when(pri.isin("1-URGENT", "2-HIGH"), "H").otherwise("L").alias("grp")
+                   F.when(pri.isin("1-URGENT", "2-HIGH"), "H").otherwise("L").alias("group")
                    ).distinct()
     oc = o.join(cn, o["o_custkey"] == cn["c_custkey"])
-    reestr = distinct_rows(oc.select(F.col("n_name").alias("region"),
-                                     F.col("o_custkey").alias("tin"),
-                                     F.year("o_orderdate").cast("long").alias("year"),
-                                     pri.alias("activity")))
-    reestr = group_counts(reestr, ["region", "year", "activity"], "cnt")
-    reestr = reestr.join(cls, reestr["activity"] == cls["code"]).drop("code", "activity")
-    reestr = group_sums(reestr, ["region", "year", "grp"], ["cnt"]) \
-        .withColumnRenamed("cnt", "count_reestr")
+    snaps = oc.select("n_name", F.col("o_custkey").alias("tin"),
+                      F.to_date("o_orderdate").alias("data_date"), pri.alias("activity"))
+    reestr = registry_counts(snaps, region="n_name", activity="activity")
+    reestr = counts_by_group(reestr, cls).withColumnRenamed("count", "count_reestr")
     li = table(spark, sf_dir, "lineitem")
     stat = (li.join(oc, li["l_orderkey"] == oc["o_orderkey"])
               .join(cls, pri == cls["code"])
               .filter(~F.col("n_name").isin("NATION_3"))
-              .select(F.col("n_name").alias("region"),
-                      F.year("l_shipdate").cast("long").alias("year"), "grp", "l_orderkey")
+              .select(F.col("n_name").alias("region"), F.year("l_shipdate").alias("year"),
+                      "group", "l_orderkey")
               .distinct()
-              .groupBy("region", "year", "grp").agg(F.count(F.lit(1)).alias("count_stat")))
-    # Left join + drop rows lacking the statistics side == inner join.
-    merged = reestr.join(stat, ["region", "year", "grp"], "left").na.drop(subset=["count_stat"])
-    return merged.withColumn("norm_diff", normalized_difference("count_reestr", "count_stat"))
+              .groupBy("region", "year", "group").agg(F.count(F.lit(1)).alias("count_stat")))
+    m = compare(reestr, stat)
+    return m.withColumnRenamed("group", "grp").withColumn("year", F.col("year").cast("long"))
 
 
 @register("norm_diff_validation", f"""
@@ -1339,3 +1332,23 @@ def registry_hull_q(spark, sf_dir):
         "kind": F.col("kind").cast("long"), "category": F.col("category").cast("long"),
         "region_code": F.col("region_code").cast("long"),
         "start_date": iso_date("start_date"), "end_date": iso_date("end_date")})
+
+
+# ------------------------------------------------------------ S4 (streaming)
+@register("streaming_ingest", _ZIP_SQL)
+def streaming_ingest_q(spark, sf_dir):
+    """S4 streaming form: two arrival waves of archives, each picked up by an
+    available-now run of the same checkpointed stream; the output holds
+    every order exactly once."""
+    from ..sources.archive import write_archives
+    from ..streaming.ingest import ingest_stream
+    base = _scratch(spark, "stream")
+    arrivals, out = base + "-in", base + "-out"
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    for i, wave in enumerate([cut, ~cut]):
+        write_archives(_orders_xml(spark, sf_dir, wave), arrivals, 3,
+                       prefix=f"wave{i}").collect()
+        q = ingest_stream(spark, arrivals, out, _parse_revexp, name=os.path.basename(base),
+                          checkpoint_location=base + "-ckpt")
+        q.awaitTermination()
+    return _typed_with_member(spark.read.parquet(out))
