@@ -27,6 +27,17 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
+def broadcast_materialized(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """For a derived lookup table (e.g. one row per distinct key of a huge
+    table): write it once to the shared checkpoint folder, then broadcast it
+    when it proved small. The expensive derivation runs once, the bound is
+    checked on the written rows, and the big side of the later join is
+    never shuffled for a small lookup."""
+    from ..session import cut_lineage
+    done = cut_lineage(df)
+    return F.broadcast(done) if is_bounded(done, max_rows) else done
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """A1: full-row distinct (partial aggregation before the shuffle)."""
     return df.dropDuplicates()

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_digits, similarity, strip_words
-from .dedupe import broadcast_if_bounded
+from .dedupe import broadcast_if_bounded, broadcast_materialized
 
 MIN_BLOCKING_THRESHOLD = 70.0
 
@@ -101,7 +101,8 @@ def normalize_regions(df: DataFrame, column: str, regions: DataFrame,
                       out_name: str | None = None, out_code: str = "region_code",
                       out_iso: str = "region_iso_code", code_col: str = "code",
                       name_col: str = "name", short_col: str = "short_name",
-                      iso_col: str = "iso_code", order_col: str = "_row") -> DataFrame:
+                      iso_col: str = "iso_code", order_col: str = "_row",
+                      materialize: bool = True) -> DataFrame:
     """Replace ``column`` by the canonical region name and add its code
     and ISO code; unresolved (or null) keys give nulls. The lookup runs once
     per distinct value, then joins back (row count unchanged)."""
@@ -115,7 +116,11 @@ def normalize_regions(df: DataFrame, column: str, regions: DataFrame,
                           F.col(iso_col).alias("_ri"))
     mapping = (mapping.join(broadcast_if_bounded(info), "_rid", "left")
                       .select(column, "_rn", "_rc", "_ri"))
-    # One row per distinct key: the join back cannot change the row count.
+    # One row per distinct key, so the join back cannot change the row
+    # count. The mapping is computed once (a narrow scan of one column),
+    # written, and broadcast when small -- the wide rows are not shuffled.
+    if materialize:
+        mapping = broadcast_materialized(mapping)
     out = df.join(mapping, on=column, how="left")
     return (out.withColumns({out_name: F.col("_rn"), out_code: F.col("_rc"),
                              out_iso: F.col("_ri")})

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_text, join_name_and_type
-from ..operators.dedupe import broadcast_if_bounded
+from ..operators.dedupe import broadcast_if_bounded, broadcast_materialized
 from ..operators.intervals import hull_last_end
 from ..operators.keys import fill_when_null_and_in
 from ..operators.matching import MatchPass, dictionary_lookup, waterfall_match
@@ -140,6 +140,8 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
                              out_type="type")
     mapping = mapped.select(*[f"_raw_{c}" for c in ADDRESS_COLUMNS], "geo_id", "type",
                             F.col("region").alias("_addr_region"))
+    # One row per distinct address: written once, broadcast when small.
+    mapping = broadcast_materialized(mapping)
 
     # Records -> their address mapping (null-safe on all address parts).
     cond = reduce(lambda a, b: a & b, [records[c].eqNullSafe(mapping[f"_raw_{c}"])
