@@ -1289,8 +1289,7 @@ _STATE = ("kind, category, tin, reg_number, first_name, last_name, patronymic, o
           "activity_code_main")
 
 
-@register("registry_hull", f"""
-WITH {_SNAPSHOT_SQL},
+_HULL_SQL = f"""
 norm AS (
   SELECT snap, data_date, kind, category,
          coalesce(lpad(ind_tin, 12, '0'), lpad(org_tin, 10, '0')) AS tin,
@@ -1314,7 +1313,12 @@ hull AS (
   SELECT *, row_number() OVER (PARTITION BY {_STATE} ORDER BY data_date, snap) AS rn,
          min(data_date) OVER (PARTITION BY {_STATE}) AS start_date,
          max(data_date) OVER (PARTITION BY {_STATE}) AS end_date
-  FROM filled)
+  FROM filled)"""
+
+
+@register("registry_hull", f"""
+WITH {_SNAPSHOT_SQL},
+{_HULL_SQL}
 SELECT CAST(kind AS BIGINT) AS kind, CAST(category AS BIGINT) AS category, tin, reg_number,
        first_name, last_name, patronymic, org_name, org_short_name,
        CAST(region_code AS BIGINT) AS region_code, region_name, region_type,
@@ -1352,3 +1356,80 @@ def streaming_ingest_q(spark, sf_dir):
                           checkpoint_location=base + "-ckpt")
         q.awaitTermination()
     return _typed_with_member(spark.read.parquet(out))
+
+
+# ------------------------------------------------------------ C6 (C2 + C3 + C4)
+_EMPL_SQL = """
+emp AS (
+  SELECT tin, year(data_date) AS year, employees_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY tin, data_date
+                                 ORDER BY doc_date DESC NULLS LAST, l_orderkey DESC,
+                                          l_linenumber DESC, employees_count DESC) AS rn2
+    FROM (SELECT lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS tin,
+                 make_date(year(l.l_shipdate), 12, 31) AS data_date,
+                 CAST(l.l_shipdate AS DATE) AS doc_date, l.l_orderkey, l.l_linenumber,
+                 CAST(l.l_quantity AS INTEGER) AS employees_count
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+    WHERE tin IN (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') FROM customer
+                  WHERE """ + _KIND_SQL + """ = 1))
+  WHERE rn2 = 1)"""
+
+_REV_SQL = """
+rev AS (
+  SELECT tin, year(data_date) AS year, revenue FROM (
+    SELECT *, row_number() OVER (PARTITION BY tin, data_date
+                                 ORDER BY doc_date DESC NULLS LAST, o_orderkey DESC) AS rn3
+    FROM (SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS tin, o_orderkey,
+                 make_date(year(o_orderdate), 12, 31) AS data_date,
+                 CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS doc_date,
+                 o_totalprice AS revenue
+          FROM orders)
+    WHERE tin IN (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') FROM customer
+                  WHERE """ + _KIND_SQL + """ = 1))
+  WHERE rn3 = 1)"""
+
+
+@register("panel_registry_facts", f"""
+WITH {_SNAPSHOT_SQL},
+{_HULL_SQL},
+iv AS (SELECT * FROM hull WHERE rn = 1),
+panel AS (SELECT tin, reg_number, district_name, start_date, end_date,
+                 unnest(generate_series(year(start_date), year(end_date))) AS year
+          FROM iv),
+{_REV_SQL},
+{_EMPL_SQL}
+SELECT p.tin, p.reg_number, p.district_name, strftime(p.start_date, '%Y-%m-%d') AS start_date,
+       CAST(p.year AS BIGINT) AS year, r.revenue, CAST(e.employees_count AS BIGINT) AS employees_count
+FROM panel p LEFT JOIN rev r ON p.tin = r.tin AND p.year = r.year
+             LEFT JOIN emp e ON p.tin = e.tin AND p.year = e.year
+""")
+def panel_registry_facts_q(spark, sf_dir):
+    """C6 over C2 + C3 + C4: registry intervals expanded to years with the
+    latest revenue filing and the latest employee filing of each year."""
+    from .registry import aggregate_facts, aggregate_registry
+    hull = aggregate_registry(_registry_snapshots(spark, sf_dir),
+                              excluded_regions=EXCLUDED_NATIONS)
+    kinds = _registry_kinds(spark, sf_dir)
+    o = table(spark, sf_dir, "orders")
+    rev = aggregate_facts(o.select(
+        F.col("o_custkey").cast("string").alias("org_tin"), "o_orderkey",
+        F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(31)).alias("data_date"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).otherwise(F.to_date("o_orderdate"))
+         .alias("doc_date"),
+        F.col("o_totalprice").alias("revenue")), ["revenue"], kinds, tiebreak=["o_orderkey"])
+    li = table(spark, sf_dir, "lineitem")
+    emp_rows = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
+        F.col("o_custkey").cast("string").alias("org_tin"), "l_orderkey", "l_linenumber",
+        F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).alias("data_date"),
+        F.to_date("l_shipdate").alias("doc_date"),
+        F.col("l_quantity").cast("int").alias("employees_count"))
+    # lineitem restates (orderkey, linenumber): the count itself breaks the
+    # last ties, so the pick is deterministic.
+    emp = aggregate_facts(emp_rows.withColumn("_n", F.col("employees_count")),
+                          ["employees_count"], kinds,
+                          tiebreak=["l_orderkey", "l_linenumber", "_n"])
+    panel = panelize(hull, [rev, emp])
+    return panel.select("tin", "reg_number", "district_name",
+                        iso_date("start_date").alias("start_date"),
+                        F.col("year").cast("long").alias("year"), "revenue",
+                        F.col("employees_count").cast("long").alias("employees_count"))
