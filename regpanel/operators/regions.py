@@ -102,12 +102,18 @@ def normalize_regions(df: DataFrame, column: str, regions: DataFrame,
                       out_iso: str = "region_iso_code", code_col: str = "code",
                       name_col: str = "name", short_col: str = "short_name",
                       iso_col: str = "iso_code", order_col: str = "_row",
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True,
+                      candidates: DataFrame | None = None) -> DataFrame:
     """Replace ``column`` by the canonical region name and add its code
     and ISO code; unresolved (or null) keys give nulls. The lookup runs once
-    per distinct value, then joins back (row count unchanged)."""
+    per distinct value, then joins back (row count unchanged). ``candidates``
+    (one column) may supply a superset of the values to resolve."""
     out_name = out_name or column
-    distinct = df.select(column).distinct()
+    # The values to resolve: the column's distinct values, or -- when the
+    # caller knows a small superset (e.g. values of dimension tables) --
+    # that set, so the (possibly expensive) input is not scanned twice.
+    distinct = (candidates.select(F.col(candidates.columns[0]).alias(column))
+                if candidates is not None else df.select(column)).distinct()
     mapping = resolve_names(distinct, column, regions, type_words, threshold,
                             code_col, name_col, short_col, order_col)
     info = regions.select(F.col(order_col).alias("_rid"),

@@ -29,6 +29,7 @@ from ..operators.keys import fill_when_null_and_in
 from ..operators.matching import MatchPass, dictionary_lookup, waterfall_match
 from ..operators.regions import normalize_regions
 from ..operators.reshape import cities_standard, joint_geodata
+from ..session import cut_lineage
 
 # ---- fixed values -------------------------------------------------------
 ADDRESS_COLUMNS = [
@@ -131,7 +132,10 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
     ``id``; ``abbreviations`` is ``(name, name_full)`` as built by
     ``operators.matching.abbreviation_dictionary``; ``regions`` is
     ``(_row, code, name, short_name, iso_code)``."""
-    addresses = records.select(*ADDRESS_COLUMNS).distinct()
+    # Distinct address tuples, written once: both the region lookup and the
+    # waterfall read them, and the wide records are scanned only here and
+    # in the final join.
+    addresses = cut_lineage(records.select(*ADDRESS_COLUMNS).distinct())
     addr = normalize_addresses(addresses, abbreviations, regions, prepend_types)
     standards = {"s": settlements_standard(settlements, abbreviations, regions),
                  "c": city_standard(cities, regions)}
@@ -152,7 +156,12 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
     geo = broadcast_if_bounded(geo.withColumnRenamed("region", "_geo_region"))
     rec = rec.join(geo, ["geo_id", "type"], "left")
     rec = rec.withColumn("region", F.coalesce("_geo_region", "_addr_region"))
-    rec = normalize_regions(rec, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD)
+    # Every region value now comes from the geodata or the address mapping,
+    # both small: resolve those values instead of re-scanning the records.
+    known = geo.select(F.col("_geo_region").alias("v")).unionByName(
+        mapping.select(F.col("_addr_region").alias("v")))
+    rec = normalize_regions(rec, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD,
+                            candidates=known)
     rec = fill_when_null_and_in(rec, "settlement", "region", FEDERAL_CITIES)
     rec = rec.select(*PRODUCT_COLUMNS)
     return hull_last_end(rec, DEDUPE_COLUMNS, "start_date", "end_date", carry=[])\

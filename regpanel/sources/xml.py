@@ -108,8 +108,14 @@ def parse_files(files: DataFrame, elements: Mapping[str, str], xml_col: str = "x
     parsed = files.select(*keep, F.from_xml(
         F.col(xml_col), schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_f"))
-    bad = (parsed.select(*keep, F.explode_outer(F.array(F.col(f"_f.{CORRUPT}"))).alias(CORRUPT))
-                 .filter(F.col(CORRUPT).isNotNull()))
+    # Quarantine: a parse with the corrupt-record column only (the parser
+    # still reads every member to its end, so malformed = corrupt, but
+    # builds no nested values).
+    check = files.select(*keep, F.from_xml(
+        F.col(xml_col), T.StructType([T.StructField(CORRUPT, T.StringType(), True)]),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_c"))
+    bad = (check.select(*keep, F.explode_outer(F.array(F.col(f"_c.{CORRUPT}"))).alias(CORRUPT))
+                .filter(F.col(CORRUPT).isNotNull()))
     # Parse once: a filter on the parsed struct (or the one Spark infers for
     # ``explode``) would be pushed below the projection and re-run from_xml.
     # ``explode_outer`` infers nothing, and the filter on its output stays
