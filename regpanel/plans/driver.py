@@ -1433,3 +1433,120 @@ def panel_registry_facts_q(spark, sf_dir):
                         iso_date("start_date").alias("start_date"),
                         F.col("year").cast("long").alias("year"), "revenue",
                         F.col("employees_count").cast("long").alias("employees_count"))
+
+
+# ------------------------------------------------------------ S9
+_XML_SOURCE_SQL = """
+SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS doc_id,
+       strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS data_date,
+       o_orderpriority AS priority,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderstatus END AS status
+FROM orders"""
+
+
+@register("xml_file_source", _XML_SOURCE_SQL)
+def xml_file_source_q(spark, sf_dir):
+    """Orders written as XML files (many documents under one root per
+    file), read back by Spark's XML file source with an explicit schema
+    (rowTag = the document element), then typed."""
+    from pyspark.sql import types as T
+    from ..sources.xml import read_xml_documents, write_xml_files
+    o = table(spark, sf_dir, "orders")
+    s = lambda c: F.col(c).cast("string")
+    status = F.when(F.col("o_orderkey") % 4 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(' Статус="'), s("o_orderstatus"), F.lit('"')))
+    doc = F.concat(F.lit('<Документ Ид="O'), s("o_orderkey"), F.lit('" ДатаСост="'),
+                   F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit('"'), status,
+                   F.lit('><Приоритет Код="'), s("o_orderpriority"), F.lit('"/></Документ>'))
+    out = _scratch(spark, "xml-files")
+    write_xml_files(o.select(doc.alias("doc")), out, 4).collect()
+    schema = T.StructType([
+        T.StructField("_Ид", T.StringType()), T.StructField("_ДатаСост", T.StringType()),
+        T.StructField("_Статус", T.StringType()),
+        T.StructField("Приоритет", T.StructType([T.StructField("_Код", T.StringType())]))])
+    d = read_xml_documents(spark, out, "Документ", schema)
+    return d.select(F.col("_Ид").alias("doc_id"),
+                    iso_date(F.to_date(F.col("_ДатаСост"), "dd.MM.yyyy")).alias("data_date"),
+                    F.col("Приоритет._Код").alias("priority"), F.col("_Статус").alias("status"))
+
+
+# ------------------------------------------------------------ P10 / P11 / P12 / P20
+# Types written before the name; everything else goes after.
+PREPEND_TYPES = ["Город", "Республика", "Поселок"]
+
+_ADDRESS_SQL = """
+a AS (
+  SELECT c.c_custkey, n.n_name AS region,
+         CASE c.c_custkey % 3 WHEN 0 THEN 'Республика' WHEN 1 THEN 'обл' ELSE NULL END AS region_type,
+         c.c_mktsegment AS city,
+         CASE c.c_custkey % 4 WHEN 0 THEN 'Город' WHEN 1 THEN 'посёлок' WHEN 2 THEN 'Поселок'
+              ELSE 'г' END AS city_type,
+         CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE 'ёлкино ' || CAST(c.c_custkey AS VARCHAR) END AS settlement
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+
+
+def _compose_sql(name, typ):
+    return (f"CASE WHEN {name} IS NULL OR {typ} IS NULL THEN NULL "
+            f"WHEN {typ} IN ('Город', 'Республика', 'Поселок') THEN {typ} || ' ' || {name} "
+            f"ELSE {name} || ' ' || {typ} END")
+
+
+@register("address_render", f"""
+WITH {_ADDRESS_SQL}
+SELECT c_custkey,
+       translate(upper({_compose_sql('region', 'region_type')}), 'Ё', 'Е') AS region_full,
+       translate(upper({_compose_sql('city', 'city_type')}), 'Ё', 'Е') AS city_full,
+       translate(upper(settlement), 'Ё', 'Е') AS settlement,
+       concat_ws(' / ', coalesce(region, ''), coalesce(region_type, ''), coalesce(city, ''),
+                 coalesce(city_type, ''), coalesce(settlement, '')) AS raw_address
+FROM a
+""")
+def address_render_q(spark, sf_dir):
+    """P10 + P12 + P20: name+type composition (some types first), canonical
+    upper text with Ё folded, and the raw ' / ' rendering."""
+    from ..functions.text import canonical_text, join_name_and_type, raw_address
+    cn = _customers_with_nation(spark, sf_dir)
+    k = F.col("c_custkey")
+    a = cn.select(
+        "c_custkey", F.col("n_name").alias("region"),
+        F.when(k % 3 == 0, "Республика").when(k % 3 == 1, "обл").alias("region_type"),
+        F.col("c_mktsegment").alias("city"),
+        F.when(k % 4 == 0, "Город").when(k % 4 == 1, "посёлок").when(k % 4 == 2, "Поселок")
+         .otherwise("г").alias("city_type"),
+        F.when(k % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("ёлкино "), k.cast("string")))
+         .alias("settlement"))
+    return a.select(
+        "c_custkey",
+        canonical_text(join_name_and_type("region", "region_type", PREPEND_TYPES)).alias("region_full"),
+        canonical_text(join_name_and_type("city", "city_type", PREPEND_TYPES)).alias("city_full"),
+        canonical_text("settlement").alias("settlement"),
+        raw_address(["region", "region_type", "city", "city_type", "settlement"]).alias("raw_address"))
+
+
+# ------------------------------------------------------------ J6 / A13 / A7
+@register("checked_attach", """
+SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, p.p_brand, p.p_type
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
+""")
+def checked_attach_q(spark, sf_dir):
+    """J6 + A13: attach a dimension by key with the build side checked
+    unique inside the same job (a duplicate key fails the job)."""
+    from ..operators.matching import attach_checked
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
+                                                 F.col("l_partkey").alias("k"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_brand", "p_type")
+    return attach_checked(li, p, ["k"]).select(
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "p_brand", "p_type")
+
+
+@register("year_range", """
+SELECT CAST(min(year(o_orderdate)) AS BIGINT) AS first_year,
+       CAST(max(year(o_orderdate)) AS BIGINT) AS last_year, count(*) AS n
+FROM orders
+""")
+def year_range_q(spark, sf_dir):
+    """Global min / max year (one partial aggregate per task)."""
+    o = table(spark, sf_dir, "orders")
+    return o.agg(F.min(F.year("o_orderdate")).cast("long").alias("first_year"),
+                 F.max(F.year("o_orderdate")).cast("long").alias("last_year"),
+                 F.count(F.lit(1)).alias("n"))

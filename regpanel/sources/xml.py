@@ -160,3 +160,31 @@ def read_xml_documents(spark, path: str, row_tag: str, schema: T.StructType | No
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
+
+
+def write_xml_files(docs: DataFrame, out_dir: str, num_files: int, root_tag: str = "Файл",
+                    doc_col: str = "doc", prefix: str = "part") -> DataFrame:
+    """Write document-element strings as ``num_files`` XML files (one root
+    element per file, one file per task) to ``out_dir`` on shared storage.
+    Returns ``file, docs`` (an action runs when the result is consumed)."""
+    import pandas as pd
+
+    def write(batches):
+        import os
+        import re
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        local = re.sub(r"^file:(//)?", "", out_dir)
+        os.makedirs(local, exist_ok=True)
+        target = os.path.join(local, f"{prefix}-{pid:05d}.xml")
+        n = 0
+        with open(target, "w", encoding="utf-8") as fh:
+            fh.write(f'<?xml version="1.0" encoding="utf-8"?>\n<{root_tag} КолДок="0">')
+            for pdf in batches:
+                for x in pdf[doc_col]:
+                    fh.write(x)
+                    n += 1
+            fh.write(f"</{root_tag}>\n")
+        yield pd.DataFrame([(target, n)], columns=["file", "docs"])
+
+    return docs.select(doc_col).repartition(num_files).mapInPandas(write, "file string, docs long")
