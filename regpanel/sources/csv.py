@@ -63,7 +63,8 @@ def append_csv(df: DataFrame, path: str, columns: list[str], sep: str = ",") ->
 
 def format_whole_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     """Render float columns as ``%.0f`` text for an export."""
-    return df.withColumns({c: F.format_string("%.0f", F.col(c)) for c in columns})
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.format_string("%.0f", F.col(c)))
+                           for c in columns})
 
 
 def read_statistics_table(spark: SparkSession, path: str, id_columns: list[str],
