@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_digits, similarity, strip_words
-from .dedupe import broadcast_if_bounded, broadcast_materialized
+from .dedupe import broadcast_if_bounded, broadcast_materialized, is_bounded
 
 MIN_BLOCKING_THRESHOLD = 70.0
 
@@ -47,12 +47,17 @@ def resolve_names(keys: DataFrame, key_col: str, regions: DataFrame,
     matched region's ``order_col``, null when unresolved)."""
     if threshold < MIN_BLOCKING_THRESHOLD:
         raise ValueError("bigram blocking is exact only for thresholds >= 70")
-    reg = broadcast_if_bounded(
-        regions.select(F.col(order_col).alias("_rid"),
-                       F.col(code_col).cast("string").alias("_code"),
-                       F.lower(F.col(name_col)).alias("_lname"),
-                       F.lower(F.col(short_col)).alias("_lshort")),
-        broadcast_rows)
+    reg = regions.select(F.col(order_col).alias("_rid"),
+                         F.col(code_col).cast("string").alias("_code"),
+                         F.lower(F.col(name_col)).alias("_lname"),
+                         F.lower(F.col(short_col)).alias("_lshort"))
+    # Every lookup below derives from the regions table: broadcast them only
+    # when that table is proven small, else leave the choice to the planner.
+    small = is_bounded(reg, broadcast_rows)
+
+    def bc(df):
+        return F.broadcast(df) if small else df
+
     k = keys.select(key_col).filter(F.col(key_col).isNotNull() & (F.col(key_col) != ""))
     k = k.withColumns({"_lk": F.lower(F.col(key_col)),
                        "_digits": is_digits(F.col(key_col))})
@@ -67,10 +72,10 @@ def resolve_names(keys: DataFrame, key_col: str, regions: DataFrame,
                                      F.col("_rid").alias("_r_name"))
     by_short = index("_lshort").select(F.col("_lshort").alias("_si"),
                                        F.col("_rid").alias("_r_short"))
-    k = (k.join(F.broadcast(by_code),
+    k = (k.join(bc(by_code),
                 F.col("_digits") & (F.col(key_col).try_cast("long") == F.col("_ci")), "left")
-          .join(F.broadcast(by_name), (~F.col("_digits")) & (F.col("_lk") == F.col("_ni")), "left")
-          .join(F.broadcast(by_short), (~F.col("_digits")) & (F.col("_lk") == F.col("_si")), "left"))
+          .join(bc(by_name), (~F.col("_digits")) & (F.col("_lk") == F.col("_ni")), "left")
+          .join(bc(by_short), (~F.col("_digits")) & (F.col("_lk") == F.col("_si")), "left"))
     exact = F.when(F.col("_digits"), F.col("_r_code")).otherwise(
         F.coalesce(F.col("_r_name"), F.col("_r_short")))
     k = k.select(key_col, "_lk", "_digits", exact.alias("_r_exact"))
@@ -79,7 +84,7 @@ def resolve_names(keys: DataFrame, key_col: str, regions: DataFrame,
     residue = (k.filter(F.col("_r_exact").isNull() & ~F.col("_digits"))
                 .select(key_col, strip_words(F.col("_lk"), type_words).alias("_q")))
     rq = residue.select(key_col, "_q", F.explode(bigrams(F.col("_q"))).alias("_bg"))
-    shorts = F.broadcast(
+    shorts = bc(
         reg.groupBy("_lshort").agg(F.min("_rid").alias("_first_rid"),
                                    F.max("_rid").alias("_last_rid"))
            .select("_lshort", "_first_rid", "_last_rid",

@@ -27,6 +27,23 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (e.g. 1000 executors, ~100 TB of
+# input). Partition counts follow data size through AQE instead of a fixed
+# number; skewed join partitions are split; big broadcasts stay off.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",          # upper bound; AQE coalesces
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+    "spark.sql.exchange.reuse": "true",                # the ranged scans rely on it
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "regpanel", extra: dict | None = None,
                   scratch_dir: str | None = None) -> SparkSession:
