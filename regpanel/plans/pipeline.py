@@ -16,7 +16,8 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.matching import abbreviation_dictionary
 from ..sources.archive import record_ingested
@@ -42,8 +43,21 @@ def _p(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
 
 
+def _counted(df: DataFrame, name: str, metrics: dict) -> DataFrame:
+    """Count rows as a side effect of the write (``observe``), instead
+    of a separate ``count()`` job per stage."""
+    obs = Observation(name)
+    metrics[name] = obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+
+def report(metrics: dict) -> dict[str, int]:
+    """Row counts of the stages that ran (available after their writes)."""
+    return {k: v.get["rows"] for k, v in metrics.items()}
+
+
 def run_extract(spark: SparkSession, base: str, dims: Dimensions,
-                codes: Sequence[str] | None = None) -> None:
+                codes: Sequence[str] | None = None, metrics: dict | None = None) -> None:
     """C1 for every dataset with archives; new archives only (manifest)."""
     for ds in DATASETS:
         src = _p(base, "download", ds)
@@ -51,34 +65,42 @@ def run_extract(spark: SparkSession, base: str, dims: Dimensions,
             continue
         manifest = _p(base, "extract", f"{ds}-manifest")
         ex = extract(spark, src, ds, dims.classifier, codes, manifest_path=manifest)
-        ex.documents.write.mode("append").parquet(_p(base, "extract", ds))
-        ex.quarantine.write.mode("append").parquet(_p(base, "extract", f"{ds}-quarantine"))
+        m = metrics if metrics is not None else {}
+        _counted(ex.documents, f"extract_{ds}", m).write.mode("append") \
+            .parquet(_p(base, "extract", ds))
+        _counted(ex.quarantine, f"quarantine_{ds}", m).write.mode("append") \
+            .parquet(_p(base, "extract", f"{ds}-quarantine"))
         record_ingested(ex.archives, manifest)
 
 
-def run_aggregate(spark: SparkSession, base: str) -> None:
+def run_aggregate(spark: SparkSession, base: str, metrics: dict | None = None) -> None:
     """C2 -> C3 / C4: registry intervals first (the facts need its keys)."""
+    m = metrics if metrics is not None else {}
     smb = spark.read.parquet(_p(base, "extract", "smb"))
-    aggregate_registry(smb).write.mode("overwrite").parquet(_p(base, "aggregate", "smb"))
+    _counted(aggregate_registry(smb), "aggregate_smb", m).write.mode("overwrite") \
+        .parquet(_p(base, "aggregate", "smb"))
     registry = spark.read.parquet(_p(base, "aggregate", "smb"))
     for ds, measures in (("revexp", ["revenue", "expenditure"]), ("empl", ["employees_count"])):
         path = _p(base, "extract", ds)
         if not os.path.isdir(path.replace("file:", "")):
             continue
         facts = spark.read.parquet(path)
-        aggregate_facts(facts, measures, registry).write.mode("overwrite") \
-            .parquet(_p(base, "aggregate", ds))
+        _counted(aggregate_facts(facts, measures, registry), f"aggregate_{ds}", m) \
+            .write.mode("overwrite").parquet(_p(base, "aggregate", ds))
 
 
-def run_geocode(spark: SparkSession, base: str, dims: Dimensions) -> None:
+def run_geocode(spark: SparkSession, base: str, dims: Dimensions,
+                metrics: dict | None = None) -> None:
     """C5."""
+    m = metrics if metrics is not None else {}
     records = spark.read.parquet(_p(base, "aggregate", "smb"))
     out = geocode(records, dims.cities, dims.settlements, dims.regions,
                   abbreviation_dictionary(dims.abbreviations))
-    out.write.mode("overwrite").parquet(_p(base, "geocode"))
+    _counted(out, "geocode", m).write.mode("overwrite").parquet(_p(base, "geocode"))
 
 
-def run_panel(spark: SparkSession, base: str, csv_export: bool = True) -> DataFrame:
+def run_panel(spark: SparkSession, base: str, csv_export: bool = True,
+              metrics: dict | None = None) -> DataFrame:
     """Geocoded intervals x years + yearly facts; ``;``-separated CSV
     export as a directory written in parallel."""
     geo = spark.read.parquet(_p(base, "geocode"))
@@ -88,16 +110,18 @@ def run_panel(spark: SparkSession, base: str, csv_export: bool = True) -> DataFr
         if os.path.isdir(path.replace("file:", "")):
             facts.append(spark.read.parquet(path))
     panel = panelize(geo, facts)
-    panel.write.mode("overwrite").parquet(_p(base, "panel"))
+    m = metrics if metrics is not None else {}
+    _counted(panel, "panel", m).write.mode("overwrite").parquet(_p(base, "panel"))
     if csv_export:
         write_csv(spark.read.parquet(_p(base, "panel")), _p(base, "panel-csv"), sep=";")
     return spark.read.parquet(_p(base, "panel"))
 
 
 def run_all(spark: SparkSession, base: str, dims: Dimensions,
-            codes: Sequence[str] | None = None) -> DataFrame:
-    """Extract -> aggregate -> geocode -> panelize."""
-    run_extract(spark, base, dims, codes)
-    run_aggregate(spark, base)
-    run_geocode(spark, base, dims)
-    return run_panel(spark, base)
+            codes: Sequence[str] | None = None, metrics: dict | None = None) -> DataFrame:
+    """Extract -> aggregate -> geocode -> panelize. Pass a dict as
+    ``metrics`` to collect per-stage row counts (``report(metrics)``)."""
+    run_extract(spark, base, dims, codes, metrics)
+    run_aggregate(spark, base, metrics)
+    run_geocode(spark, base, dims, metrics)
+    return run_panel(spark, base, metrics=metrics)

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
-from regpanel.plans.pipeline import Dimensions, run_all
+from regpanel.plans.pipeline import Dimensions, report, run_all
 from regpanel.sources.archive import write_archives
 from test_geocode_reshape import _dims
 
@@ -52,7 +52,8 @@ def test_pipeline_end_to_end(spark):
         [("г", "Город", 0), ("обл", "Область", 1), ("р-н", "Район", 2), ("д", "Деревня", 3)],
         "name string, name_full string, _row int")
     dims = Dimensions(cities, settlements, regions, abbr)
-    panel = run_all(spark, base, dims)
+    metrics = {}
+    panel = run_all(spark, base, dims, metrics=metrics)
     got = sorted((r["tin"], r["year"], r["revenue"], r["employees_count"], r["region"],
                   r["settlement"], r["reg_number"]) for r in panel.collect())
     assert got == [
@@ -62,6 +63,9 @@ def test_pipeline_end_to_end(spark):
         ("7700000001", 2020, 30.0, 5, "Москва", "Москва", "1027700000001"),
         ("7700000001", 2021, None, None, "Москва", "Москва", "1027700000001"),
     ]
+    counts = report(metrics)
+    assert counts["extract_smb"] == 5 and counts["quarantine_smb"] == 1
+    assert counts["aggregate_smb"] == 2 and counts["panel"] == 5
     quarantine = spark.read.parquet(os.path.join(base, "extract", "smb-quarantine"))
     assert [r["member"] for r in quarantine.collect()] == ["bad.xml"]
     assert os.path.isdir(os.path.join(base, "panel-csv"))
