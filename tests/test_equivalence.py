@@ -45,7 +45,7 @@ def test_latest_revision_equals_window_form(spark):
 def test_hull_last_end_equals_window_form(spark):
     df = (_random_snapshots(spark)
           .withColumn("end_date", F.when(F.col("uid") % 7 == 0, F.lit(None))
-                      .otherwise(F.date_add("d", F.col("uid") % 90)))
+                      .otherwise(F.date_add("d", (F.col("uid") % 90).cast("int"))))
           .withColumnRenamed("d", "start_date"))
     keys = ["tin", "state"]
     w = Window.partitionBy(*keys).orderBy("start_date", "uid")
