@@ -111,12 +111,13 @@ def filter_by_codes(df: DataFrame, column: str, classifier: DataFrame,
                     group_col: str = "group") -> DataFrame:
     """P3 filter: keep rows whose ``column`` is in the expanded code set
     (exact membership). No codes -> no filter. The code set is bounded by
-    the classifier, a dimension; the planner broadcasts it by size."""
+    the classifier, a dimension: broadcast after a bounded check."""
     if not codes:
         return df
+    from .dedupe import broadcast_if_bounded
     wanted = expand_codes(classifier, codes, group_col, code_col)
-    return df.join(wanted.withColumnRenamed(code_col, column), on=column,
-                   how="left_semi")
+    return df.join(broadcast_if_bounded(wanted.withColumnRenamed(code_col, column)),
+                   on=column, how="left_semi")
 
 
 def _any(preds):

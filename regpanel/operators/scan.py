@@ -226,7 +226,10 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value_col: str,
         cond.append(F.col(g).eqNullSafe(F.col(f"_t_{g}")))
     # Without groups the lookup is a range condition only: targets has one
     # row per probability, so it is the broadcast side.
-    tgt = targets if groups else F.broadcast(targets)
+    # (With groups, targets has #groups x #probs rows: broadcast when that
+    # is proven small, so a hot group's values are not gathered by a join.)
+    from .dedupe import broadcast_if_bounded
+    tgt = broadcast_if_bounded(targets) if groups else F.broadcast(targets)
     hit = r.join(tgt, reduce(lambda a, b: a & b, cond), "inner").select(
         *groups, "p", "k0", "k1", "frac", value_col, "_before")
     agg = (hit.groupBy(*groups, "p", "frac")

@@ -73,7 +73,8 @@ def list_members(archives: DataFrame, name_contains: str = "xml",
     return archives.select("archive").mapInPandas(members, "archive string, member string")
 
 
-def read_members(members: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def read_members(members: DataFrame, num_partitions: int | None = None,
+                 chunk_bytes: int = 64 << 20) -> DataFrame:
     """S3 phase 2: inflate each member -> ``archive, member, xml``.
 
     Members are hash-spread over ``num_partitions`` tasks (default: the
@@ -83,12 +84,20 @@ def read_members(members: DataFrame, num_partitions: int | None = None) -> DataF
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def inflate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Emit bounded chunks: members are MBs each, and one Arrow string
+        # column must stay far below 2 GB.
+        out, size = [], 0
         for pdf in batches:
-            out = []
             for uri, grp in pdf.groupby("archive", sort=False):
                 with _open(uri) as fh, zipfile.ZipFile(fh) as z:
                     for m in grp["member"]:
-                        out.append((uri, m, decode_xml(z.read(m))))
+                        text = decode_xml(z.read(m))
+                        out.append((uri, m, text))
+                        size += len(text)
+                        if size >= chunk_bytes:
+                            yield pd.DataFrame(out, columns=["archive", "member", "xml"])
+                            out, size = [], 0
+        if out:
             yield pd.DataFrame(out, columns=["archive", "member", "xml"])
 
     spread = members.repartition(n, "archive", "member")
