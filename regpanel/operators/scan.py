@@ -44,6 +44,15 @@ def _shared(local: DataFrame) -> DataFrame:
     return cut_lineage(local)
 
 
+OUT_ROWS = 100_000
+
+
+def _slices(pdf: pd.DataFrame, names: list[str]) -> Iterator[pd.DataFrame]:
+    """Yield the partition back in bounded Arrow batches."""
+    for i in range(0, len(pdf), OUT_ROWS):
+        yield pdf.iloc[i:i + OUT_ROWS][names]
+
+
 def _concat(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     parts = [b for b in batches if len(b)]
     if not parts:
@@ -75,7 +84,7 @@ def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
         grp = [pdf[k] for k in keys]
         filled = pdf[value_col].groupby(grp, sort=False, dropna=False).bfill()
         pdf = pdf.assign(**{out_col: filled, "_pid": pid})
-        yield pdf[names]
+        yield from _slices(pdf, names)
 
     local = _shared(ranged.mapInPandas(local_fill, out_schema))
 
@@ -136,7 +145,7 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
         else:
             cum = pdf["_cnt"].cumsum()
         pdf = pdf.assign(_local=(cum - pdf["_cnt"]).astype("int64"), _pid=pid)
-        yield pdf[names]
+        yield from _slices(pdf, names)
 
     local = _shared(ranged.mapInPandas(local_cum, out_schema))
 
