@@ -62,7 +62,8 @@ XML_ROOT = {"ИдФайл": "file_id", "КолДок": "doc_cnt"}
 def _lineitem_xml(spark, sf_dir):
     """One XML file per lineitem row, built by Spark from the table: 0, 1 or
     2 repeated extra-code elements; every 17th order's file is truncated."""
-    li = table(spark, sf_dir, "lineitem")
+    from ...sources.xml import ensure_parallelism
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
     s = lambda c: F.col(c).cast("string")
     member = F.concat(s("l_orderkey"), F.lit("-"), s("l_linenumber"))
     code = F.concat(F.lpad((F.col("l_partkey") % 100).cast("string"), 2, "0"), F.lit("."),
@@ -127,6 +128,11 @@ def xml_quarantine_q(spark, sf_dir):
 
 
 # ------------------------------------------------------------ S3 / S4
+def _waves(spark):
+    """Archives per generated batch: one per core, so packing runs in parallel."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _orders_xml(spark, sf_dir, where=None):
     o = table(spark, sf_dir, "orders")
     if where is not None:
@@ -168,7 +174,7 @@ def zip_scan_q(spark, sf_dir):
     shared checkpoint storage, scanned back member by member and parsed."""
     from ...sources.archive import scan_archives, write_archives
     out = _scratch(spark, "zip-scan")
-    write_archives(_orders_xml(spark, sf_dir), out, num_archives=4).collect()
+    write_archives(_orders_xml(spark, sf_dir), out, _waves(spark)).collect()
     return _typed_with_member(_parse_revexp(scan_archives(spark, out)))
 
 
@@ -189,10 +195,10 @@ def incremental_ingest_q(spark, sf_dir):
     out = _scratch(spark, "ingest")
     manifest = out + "-manifest"
     cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
-    write_archives(_orders_xml(spark, sf_dir, cut), out, 3, prefix="first").collect()
+    write_archives(_orders_xml(spark, sf_dir, cut), out, _waves(spark), prefix="first").collect()
     first = new_archives(list_archives(spark, out), manifest)
     record_ingested(first, manifest)
-    write_archives(_orders_xml(spark, sf_dir, ~cut), out, 3, prefix="second").collect()
+    write_archives(_orders_xml(spark, sf_dir, ~cut), out, _waves(spark), prefix="second").collect()
     second = new_archives(list_archives(spark, out), manifest)
     return _typed_with_member(_parse_revexp(read_members(list_members(second))))
 
@@ -241,7 +247,7 @@ def streaming_ingest_q(spark, sf_dir):
     arrivals, out = base + "-in", base + "-out"
     cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
     for i, wave in enumerate([cut, ~cut]):
-        write_archives(_orders_xml(spark, sf_dir, wave), arrivals, 3,
+        write_archives(_orders_xml(spark, sf_dir, wave), arrivals, _waves(spark),
                        prefix=f"wave{i}").collect()
         q = ingest_stream(spark, arrivals, out, _parse_revexp, name=os.path.basename(base),
                           checkpoint_location=base + "-ckpt")

@@ -83,9 +83,11 @@ def path_values(doc: Column, path: str) -> Column:
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Parsing is CPU-bound: when the input has fewer partitions than the
-    cluster has cores (a few large files), spread it round-robin. With
-    enough input partitions -- the normal case at scale -- nothing changes."""
+    """Parsing is CPU-bound: when a *plain file scan* has fewer partitions
+    than the cluster has cores (a few large files), spread it round-robin.
+    With enough input partitions -- the normal case at scale -- nothing
+    changes. Only call this on a scan: on a plan with a shuffle, counting
+    partitions under AQE would run the shuffle stages eagerly."""
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
@@ -104,7 +106,8 @@ def parse_files(files: DataFrame, elements: Mapping[str, str], xml_col: str = "x
     """
     root_attrs = dict(root_attrs or {})
     schema = file_schema(list(elements), doc_tag, list(root_attrs))
-    files = ensure_parallelism(files, min_partitions)
+    if min_partitions:
+        files = ensure_parallelism(files, min_partitions)
     parsed = files.select(*keep, F.from_xml(
         F.col(xml_col), schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_f"))
