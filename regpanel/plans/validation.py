@@ -7,11 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import distinct_rows
-from ..operators.keys import normalized_difference
+from ..operators.dedupe import distinct_rows, first_wins
+from ..operators.keys import normalized_difference, override_values
 from ..operators.quality import describe, group_counts, group_sums, spearman
+from ..operators.regions import normalize_regions
 from ..operators.reshape import to_long
 
+# Type words removed before fuzzy region matching.
+REGION_TYPE_WORDS = ["область", "республика", "город", "край", "автономный округ",
+                     "автономная область", " обл", "г ", "респ ", " АО"]
+
 
 def registry_counts(snapshots: DataFrame, region: str = "region_name", tin: str = "tin",
                     date: str = "data_date", activity: str = "activity_code_main",
@@ -59,3 +64,48 @@ def summaries(stats: DataFrame, a: str = "count_reestr", b: str = "count_stat",
         "by_region_group": spearman(stats, a, b, ["region", "group"]),
         "norm_diff": describe(stats, "norm_diff"),
     }
+
+
+def prepare_statistics(stats: DataFrame, classifier: DataFrame, regions: DataFrame,
+                       year_columns: Sequence[str], manual_fixes: dict[str, str] | None = None,
+                       exclude: Sequence[str] = (), region_col: str = "region_name",
+                       activity_col: str = "activity", order_col: str = "_row") -> DataFrame:
+    """Published statistics (wide, one column per year) -> long
+    ``region, group, year, count_stat``.
+
+    Activity labels map to groups through the classifier's group header rows
+    (blank code); a duplicated (region, activity) keeps one row; counts are
+    summed per (region, group); region names resolve through J7, then the
+    manual overrides apply (exact match on the raw name); the excluded raw
+    names (trimmed) drop; years melt to rows (R2).
+    """
+    headers = (classifier.filter(F.col("code").isNull() | (F.trim(F.col("code")) == ""))
+                         .select(F.col("name").alias(activity_col), "group")
+                         .dropDuplicates([activity_col]))
+    s = stats.join(headers, activity_col, "inner")
+    # A repeated (region, activity) keeps its first row in file order.
+    s = (first_wins(s, [region_col, activity_col], [order_col])
+         if order_col in stats.columns else s.dropDuplicates([region_col, activity_col]))
+    s = s.groupBy(region_col, "group").agg(*[F.sum(y).alias(y) for y in year_columns])
+    s = s.withColumn("region", F.col(region_col))
+    s = normalize_regions(s, "region", regions, REGION_TYPE_WORDS, 80.0)
+    s = override_values(s, region_col, "region", manual_fixes or {})
+    excluded = [e.strip() for e in exclude]
+    if excluded:
+        s = s.filter(~F.trim(F.col(region_col)).isin(excluded))
+    long = to_long(s.select("region", "group", *year_columns), ["region", "group"],
+                   list(year_columns), "year", "count_stat")
+    return long.select("region", "group", F.col("year").cast("int").alias("year"),
+                       "count_stat")
+
+
+def registry_by_region(counts: DataFrame, classifier: DataFrame, regions: DataFrame,
+                       count_col: str = "count") -> DataFrame:
+    """Registry counts per (raw region, year, activity code) -> per
+    (canonical region, year, group): classifier by code, sums, region
+    resolution, sums again (rows whose region does not resolve drop)."""
+    g = counts_by_group(counts, classifier, count_col=count_col)
+    g = normalize_regions(g, "region", regions, REGION_TYPE_WORDS, 80.0)
+    g = g.filter(F.col("region").isNotNull())
+    return group_sums(g, ["region", "year", "group"], [count_col]) \
+        .withColumnRenamed(count_col, "count_reestr")

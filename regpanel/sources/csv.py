@@ -92,6 +92,9 @@ def read_statistics_table(spark: SparkSession, path: str, id_columns: list[str],
     is_header = F.lit(True)
     for v in value_columns:
         is_header = is_header & (F.trim(F.col(v)) == F.lit(v))
+    # ``_row`` keeps the file order (increasing ids within and across the
+    # splits of a file) for first-wins rules downstream.
+    out = out.withColumn("_row", F.monotonically_increasing_id())
     return (out.filter(any_num & ~F.coalesce(is_header, F.lit(False)))
                .withColumns({c: F.trim(F.col(c)) for c in id_columns})
                .withColumns({v: F.trim(F.col(v)).try_cast("double") for v in value_columns}))

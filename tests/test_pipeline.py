@@ -1,4 +1,6 @@
 import datetime as dt
+
+from pyspark.sql import functions as F
 import os
 import tempfile
 
@@ -72,3 +74,39 @@ def test_pipeline_end_to_end(spark):
     # A second run with no new archives appends nothing to the extract.
     run_all(spark, base, dims)
     assert spark.read.parquet(os.path.join(base, "extract", "smb")).count() == 5
+
+
+def test_validation_statistics_side(spark):
+    from regpanel.plans.validation import (compare, prepare_statistics, registry_by_region,
+                                           registry_counts, summaries)
+    from regpanel.sources.dims import load_regions
+    regions = load_regions(spark)
+    classifier = spark.createDataFrame(
+        [("A", None, "Сельское хозяйство"), ("A", "01.10", "Посевы"),
+         ("C", "", "Обрабатывающие производства"), ("C", "10.10", "Мясо")],
+        "group string, code string, name string")
+    stats = spark.createDataFrame(
+        [("Город Москва столица", "Сельское хозяйство", 10.0, 12.0),
+         ("Тверская область", "Обрабатывающие производства", 5.0, None),
+         ("Тверская область", "Обрабатывающие производства", 99.0, 99.0),   # duplicate
+         (" Архангельская область", "Сельское хозяйство", 7.0, 7.0)],
+        "region_name string, activity string, `2019` double, `2020` double"
+    ).withColumn("_row", F.monotonically_increasing_id())
+    st = prepare_statistics(stats, classifier, regions, ["2019", "2020"],
+                            manual_fixes={"Город Москва столица": "Москва"},
+                            exclude=[" Архангельская область"])
+    got = sorted((r["region"], r["group"], r["year"], r["count_stat"]) for r in st.collect())
+    assert got == [("Москва", "A", 2019, 10.0), ("Москва", "A", 2020, 12.0),
+                   ("Тверская область", "C", 2019, 5.0), ("Тверская область", "C", 2020, None)]
+    snaps = spark.createDataFrame(
+        [("МОСКВА", "1", D(2019, 5, 1), "01.10"), ("МОСКВА", "2", D(2019, 5, 1), "01.10"),
+         ("МОСКВА", "2", D(2019, 6, 1), "01.10"), ("ТВЕРСКАЯ ОБЛ", "3", D(2019, 1, 1), "10.10")],
+        "region_name string, tin string, data_date date, activity_code_main string")
+    reg = registry_by_region(registry_counts(snaps), classifier, regions)
+    assert sorted(tuple(r) for r in reg.collect()) == [
+        ("Москва", 2019, "A", 2), ("Тверская область", 2019, "C", 1)]
+    m = compare(reg, st.filter("count_stat is not null")
+                     .withColumn("count_stat", F.col("count_stat").cast("long")))
+    assert sorted((r["region"], r["norm_diff"]) for r in m.collect()) == [
+        ("Москва", (2 - 10) / 12), ("Тверская область", (1 - 5) / 6)]
+    assert set(summaries(m)) >= {"overall", "by_group", "norm_diff"}
