@@ -188,3 +188,42 @@ def yearly_latest_confidence(spark, sf_dir):
     out = yearly_panel(intervals, key="tin", tiebreak=["o_orderkey"])
     return out.select("tin", F.col("year").cast("long").alias("year"), "o_orderkey",
                       "confidence")
+
+
+# ------------------------------------------------------------ W2 (streaming)
+@register("streaming_hull", """
+SELECT tin, state, first_order, strftime(start_date, '%Y-%m-%d') AS start_date,
+       strftime(end_date, '%Y-%m-%d') AS end_date
+FROM (
+  SELECT o_custkey AS tin, o_orderpriority AS state,
+         min(CAST(o_orderdate AS DATE)) OVER w AS start_date,
+         max(CAST(o_orderdate AS DATE)) OVER w AS end_date,
+         first_value(o_orderkey) OVER (PARTITION BY o_custkey, o_orderpriority
+                                       ORDER BY o_orderdate, o_orderkey) AS first_order,
+         row_number() OVER (PARTITION BY o_custkey, o_orderpriority
+                            ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders
+  WINDOW w AS (PARTITION BY o_custkey, o_orderpriority))
+WHERE rn = 1
+""")
+def streaming_hull_q(spark, sf_dir):
+    """W2 streaming form: snapshots arrive in two waves (before / from 1998);
+    an update-mode streaming aggregate upserts the changed intervals; the
+    final table equals the batch hull over all snapshots."""
+    import uuid
+    from ...session import checkpoint_path
+    from ...streaming.hull import latest_intervals, stream_state_hull
+    base = checkpoint_path(spark, f"stream-hull-{uuid.uuid4().hex[:12]}")
+    arrivals, out = base + "-in", base + "-out"
+    snaps = _order_snapshots(spark, sf_dir).select(
+        "tin", "state", "data_date", F.col("o_orderkey").alias("first_order"))
+    cut = F.col("data_date") < F.lit("1998-01-01").cast("date")
+    for wave in (cut, ~cut):
+        snaps.filter(wave).write.mode("append").parquet(arrivals)
+        q = stream_state_hull(spark, arrivals, snaps.schema, ["tin", "state"], "data_date",
+                              out, carry=["first_order"], order=["first_order"],
+                              checkpoint_location=base + "-ckpt")
+        q.awaitTermination()
+    h = latest_intervals(spark, out)
+    return h.select("tin", "state", "first_order", iso_date("start_date").alias("start_date"),
+                    iso_date("end_date").alias("end_date"))
