@@ -1,0 +1,11 @@
+"""regpanel: registry snapshots and yearly filings -> georeferenced
+entity-by-year panels, as Spark DataFrame operators.
+
+Subpackages: ``operators`` (interval, key, dedupe, matching, region,
+quality, reshape and skew-proof ordered-scan operators), ``sources`` (zip /
+XML / CSV sources and sinks, dimension loaders), ``functions`` (column
+expressions), ``plans`` (the composite stages and the pipeline),
+``streaming`` (Structured Streaming forms of ingest and the state hull).
+"""
+
+__version__ = "0.1.0"
