@@ -74,5 +74,9 @@ def spearman(df: DataFrame, x: str, y: str, groups: Sequence[str] = (),
     groups = list(groups)
     pairs = df.select(*groups, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = average_ranks(pairs, groups, {x: "_rx", y: "_ry"})
-    return ranked.groupBy(*groups).agg(F.corr("_rx", "_ry").alias(out),
-                                       F.count(F.lit(1)).alias("n"))
+    # Pearson on the ranks. Spelled as covariance / (sd * sd) with
+    # try_divide: under ANSI mode ``corr`` raises on a group whose ranks do
+    # not vary (pandas gives NaN there); here such a group gets null.
+    r = F.try_divide(F.covar_samp("_rx", "_ry"),
+                     F.stddev_samp("_rx") * F.stddev_samp("_ry"))
+    return ranked.groupBy(*groups).agg(r.alias(out), F.count(F.lit(1)).alias("n"))

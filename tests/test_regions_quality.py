@@ -96,6 +96,13 @@ def test_spearman_ties_perfect_reversed(spark):
     assert math.isclose(got["ties"], exp, rel_tol=1e-12)
 
 
+def test_spearman_constant_or_single_group_is_null(spark):
+    df = spark.createDataFrame([("c", 1.0, 5.0), ("c", 1.0, 6.0), ("one", 2.0, 3.0),
+                                ("ok", 1.0, 1.0), ("ok", 2.0, 3.0)], "g string, x double, y double")
+    got = {g: s for g, s, _ in quality.spearman(df, "x", "y", ["g"]).collect()}
+    assert got["c"] is None and got["one"] is None and math.isclose(got["ok"], 1.0)
+
+
 def test_spearman_matches_pandas_random(spark):
     rnd = np.random.default_rng(5)
     n = 3000
