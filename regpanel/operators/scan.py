@@ -53,6 +53,19 @@ def _slices(pdf: pd.DataFrame, names: list[str]) -> Iterator[pd.DataFrame]:
         yield pdf.iloc[i:i + OUT_ROWS][names]
 
 
+def _same(frame: pd.DataFrame, cols: list[str], key: tuple) -> pd.Series:
+    """Row mask: ``frame[cols]`` equals ``key`` (nulls equal)."""
+    mask = pd.Series(True, index=frame.index)
+    for c, v in zip(cols, key):
+        col = frame[c]
+        mask &= (col.isna() if pd.isna(v) else (col == v).fillna(False))
+    return mask
+
+
+def _struct_of(prefix: str, names: list[str]):
+    return F.struct(*[F.col(f"{prefix}{i}").alias(n) for i, n in enumerate(names)])
+
+
 def _concat(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     parts = [b for b in batches if len(b)]
     if not parts:
@@ -86,17 +99,44 @@ def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
         pdf = pdf.assign(**{out_col: filled, "_pid": pid})
         yield from _slices(pdf, names)
 
-    local = _shared(ranged.mapInPandas(local_fill, out_schema))
-
-    # Edge summary, one row per partition: first key, its first known value
-    # (= the local fill of the partition's first row), and last key.
+    ranged = _shared(ranged)
+    local = ranged.mapInPandas(local_fill, out_schema)
+
+    # Edge summary, one row per partition, from a light pass over the same
+    # (reused) exchange: first key, its first known value, last key. Batches
+    # are streamed; only the first key's leading run is inspected.
+    kfields = [T.StructField(f"_f{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
+    lfields = [T.StructField(f"_l{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
+    edge_schema = T.StructType(
+        [T.StructField("_pid", T.IntegerType(), False)] + kfields + lfields
+        + [T.StructField("first_val", df.schema[value_col].dataType, True)])
+
+    def edges(batches):
+        first = last = val = None
+        open_run = True
+        for b in batches:
+            if not len(b):
+                continue
+            if first is None:
+                first = tuple(b[keys].iloc[0])
+            if open_run:
+                run = _same(b, keys, first)
+                lead = b[run.cummin()]          # the leading rows of the first key
+                known = lead[value_col].dropna()
+                if val is None and len(known):
+                    val = known.iloc[0]
+                    open_run = False
+                elif len(lead) < len(b):
+                    open_run = False
+            last = tuple(b[keys].iloc[-1])
+        if first is not None:
+            yield pd.DataFrame([(_partition_id(), *first, *last, val)],
+                               columns=[f.name for f in edge_schema.fields])
+
+    summary = ranged.mapInPandas(edges, edge_schema).select(
+        "_pid", _struct_of("_f", keys).alias("first_key"),
+        _struct_of("_l", keys).alias("last_key"), "first_val")
     key_struct = F.struct(*[F.col(k) for k in keys])
-    summary = (local.groupBy("_pid")
-               .agg(F.min(key_struct).alias("first_key"),
-                    F.max(key_struct).alias("last_key"),
-                    F.min_by(F.col(out_col),
-                             F.struct(key_struct, *[F.col(c) for c in order]))
-                     .alias("first_val")))
     later = summary.select(F.col("_pid").alias("_q"), F.col("first_key").alias("_qk"),
                            F.col("first_val").alias("_qv")).filter(F.col("_qv").isNotNull())
     carry = (summary.join(later, (later["_qk"].eqNullSafe(summary["last_key"]))
@@ -147,17 +187,47 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
         pdf = pdf.assign(_local=(cum - pdf["_cnt"]).astype("int64"), _pid=pid)
         yield from _slices(pdf, names)
 
-    local = _shared(ranged.mapInPandas(local_cum, out_schema))
+    ranged = _shared(ranged)
+    local = ranged.mapInPandas(local_cum, out_schema)
 
     # Only the first group of a partition can have rows in earlier
-    # partitions; the last group's count in a partition is the running
-    # count after its last value.
+    # partitions. Edge summary from a light streamed pass over the same
+    # (reused) exchange: first group, last group, and the last group's
+    # count inside the partition.
+    gcols = groups if groups else []
+    gfields = [T.StructField(f"_f{i}", counts.schema[g].dataType, True)
+               for i, g in enumerate(gcols)]
+    lfields = [T.StructField(f"_l{i}", counts.schema[g].dataType, True)
+               for i, g in enumerate(gcols)]
+    edge_schema = T.StructType([T.StructField("_pid", T.IntegerType(), False)] + gfields
+                               + lfields + [T.StructField("last_tot", T.LongType(), False)])
+
+    def edge_rows(batches):
+        first = last = None
+        tot = 0
+        for b in batches:
+            if not len(b):
+                continue
+            if first is None:
+                first = tuple(b[gcols].iloc[0]) if gcols else ()
+            end = tuple(b[gcols].iloc[-1]) if gcols else ()
+            tail = _same(b, gcols, end)[::-1].cummin()[::-1] if gcols else None
+            part = int(b["_cnt"][tail].sum()) if gcols else int(b["_cnt"].sum())
+            whole = tail.all() if gcols else True
+            same_as_before = last is not None and (not gcols or bool(
+                _same(b.iloc[:1], gcols, last).iloc[0]))
+            tot = (tot + part) if (whole and same_as_before) else part
+            last = end
+        if first is not None:
+            yield pd.DataFrame([(_partition_id(), *first, *last, tot)],
+                               columns=[f.name for f in edge_schema.fields])
+
     gstruct = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
-    edges = (local.groupBy("_pid")
-             .agg(F.min(gstruct).alias("first_g"),
-                  F.max(gstruct).alias("last_g"),
-                  F.max_by(F.col("_local") + F.col("_cnt"),
-                           F.struct(gstruct, F.col(value_col))).alias("last_tot")))
+    edges = ranged.mapInPandas(edge_rows, edge_schema).select(
+        "_pid",
+        (_struct_of("_f", groups) if groups else F.lit(0)).alias("first_g"),
+        (_struct_of("_l", groups) if groups else F.lit(0)).alias("last_g"),
+        "last_tot")
     prev = edges.select(F.col("_pid").alias("_q"), F.col("last_g").alias("_qg"),
                         F.col("last_tot").alias("_qt"))
     offsets = (edges.join(prev, (prev["_qg"].eqNullSafe(edges["first_g"]))

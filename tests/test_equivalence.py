@@ -65,3 +65,27 @@ def test_next_known_fill_equals_unbounded_following_window(spark):
     ref = df.withColumn("f", F.first("extra", ignorenulls=True).over(w))
     got = iv.next_known_fill(df, "tin", ["d", "uid"], "extra", "f")
     assert rows(got, "uid", "f") == rows(ref, "uid", "f")
+
+
+def test_ranged_scans_with_tiny_arrow_batches(spark):
+    # Many Arrow batches per partition: the streamed edge passes must carry
+    # runs across batch boundaries.
+    from regpanel.operators import scan
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = _random_snapshots(spark, n=1500, seed=5)
+        w = (Window.partitionBy("tin").orderBy("d", "uid")
+             .rowsBetween(0, Window.unboundedFollowing))
+        ref = df.withColumn("f", F.first("extra", ignorenulls=True).over(w))
+        got = iv.next_known_fill(df, "tin", ["d", "uid"], "extra", "f")
+        assert rows(got, "uid", "f") == rows(ref, "uid", "f")
+        vals = df.select("tin", F.col("day").cast("double").alias("v"))
+        r = scan.value_ranks(vals, ["tin"], "v", num_partitions=5)
+        ranked = {(t, v): b for t, v, _, b in r.collect()}
+        pdf = vals.toPandas()
+        for (t, v), b in ranked.items():
+            part = pdf[pdf["tin"] == t]
+            assert b == int((part["v"] < v).sum())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
