@@ -56,6 +56,25 @@ def report(metrics: dict) -> dict[str, int]:
     return {k: v.get["rows"] for k, v in metrics.items()}
 
 
+def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
+    """A stage table: Parquet (this library's stage format) or, for data
+    extracted earlier by other tools, ``data-*.csv`` / a single ``.csv``
+    with the dataset's explicit schema and ``dd.MM.yyyy`` dates (S1)."""
+    local = path.replace("file:", "")
+    has_parquet = os.path.isdir(local) and any(
+        n.endswith(".parquet") or n.startswith("part-") and ".csv" not in n
+        for n in os.listdir(local))
+    if "://" in path or has_parquet:
+        return spark.read.parquet(path)
+    from ..sources.csv import read_snapshots
+    from ..sources.schemas import INPUT_DATE_FORMAT, SCHEMAS
+    schema = SCHEMAS[dataset]
+    df = read_snapshots(spark, path, schema, dateFormat=INPUT_DATE_FORMAT, null_value=None)
+    if df is None:
+        raise FileNotFoundError(f"no Parquet or data-*.csv extract under {path}")
+    return df
+
+
 def run_extract(spark: SparkSession, base: str, dims: Dimensions,
                 codes: Sequence[str] | None = None, metrics: dict | None = None) -> None:
     """C1 for every dataset with archives; new archives only (manifest)."""
@@ -76,7 +95,7 @@ def run_extract(spark: SparkSession, base: str, dims: Dimensions,
 def run_aggregate(spark: SparkSession, base: str, metrics: dict | None = None) -> None:
     """C2 -> C3 / C4: registry intervals first (the facts need its keys)."""
     m = metrics if metrics is not None else {}
-    smb = spark.read.parquet(_p(base, "extract", "smb"))
+    smb = read_stage(spark, _p(base, "extract", "smb"), "smb")
     _counted(aggregate_registry(smb), "aggregate_smb", m).write.mode("overwrite") \
         .parquet(_p(base, "aggregate", "smb"))
     registry = spark.read.parquet(_p(base, "aggregate", "smb"))
@@ -84,7 +103,7 @@ def run_aggregate(spark: SparkSession, base: str, metrics: dict | None = None) -
         path = _p(base, "extract", ds)
         if not os.path.isdir(path.replace("file:", "")):
             continue
-        facts = spark.read.parquet(path)
+        facts = read_stage(spark, path, ds)
         _counted(aggregate_facts(facts, measures, registry), f"aggregate_{ds}", m) \
             .write.mode("overwrite").parquet(_p(base, "aggregate", ds))
 

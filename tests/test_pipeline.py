@@ -110,3 +110,29 @@ def test_validation_statistics_side(spark):
     assert sorted((r["region"], r["norm_diff"]) for r in m.collect()) == [
         ("Москва", (2 - 10) / 12), ("Тверская область", (1 - 5) / 6)]
     assert set(summaries(m)) >= {"overall", "by_group", "norm_diff"}
+
+
+def test_aggregate_reads_csv_extracts(spark):
+    # Extracts written earlier as data-*.csv (dd.MM.yyyy dates) are accepted.
+    import os
+    import tempfile
+
+    from regpanel.plans.pipeline import run_aggregate
+    base = tempfile.mkdtemp(prefix="regpanel-csvx-", dir="/tmp")
+    os.makedirs(os.path.join(base, "extract", "smb"))
+    os.makedirs(os.path.join(base, "extract", "revexp"))
+    with open(os.path.join(base, "extract", "smb", "data-1.csv"), "w") as f:
+        f.write("kind,category,reestr_date,data_date,ind_tin,ind_number,first_name,last_name,"
+                "patronymic,org_name,org_short_name,org_tin,org_number,region_code,region_name,"
+                "region_type,district_name,district_type,city_name,city_type,settlement_name,"
+                "settlement_type,activity_code_main,file_id,doc_cnt\n"
+                "1,1,01.08.2016,10.01.2019,,,,,,\"ООО \"\"Р\"\"\",,77,1027,77,Москва,г,,,,,,,01.10,F,1\n"
+                "1,1,01.08.2016,10.01.2020,,,,,,\"ООО \"\"Р\"\"\",,77,1027,77,Москва,г,,,,,,,01.10,F,1\n")
+    with open(os.path.join(base, "extract", "revexp", "data-1.csv"), "w") as f:
+        f.write("org_tin,revenue,expenditure,data_date,doc_date\n77,10.5,1,31.12.2019,01.03.2020\n")
+    run_aggregate(spark, base)
+    hull = spark.read.parquet(os.path.join(base, "aggregate", "smb")).collect()
+    assert [(r["tin"], r["org_name"], r["start_date"], r["end_date"]) for r in hull] == [
+        ("0000000077", 'ООО "Р"', D(2019, 1, 10), D(2020, 1, 10))]
+    rev = spark.read.parquet(os.path.join(base, "aggregate", "revexp")).collect()
+    assert [(r["tin"], r["year"], r["revenue"]) for r in rev] == [("0000000077", 2019, 10.5)]
