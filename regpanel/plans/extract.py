@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.keys import filter_by_codes
 from ..sources.archive import list_archives, list_members, new_archives, read_members
@@ -24,16 +25,21 @@ class Extracted:
 def extract(spark: SparkSession, in_dir: str, dataset: str,
             classifier: DataFrame | None = None, codes: Sequence[str] | None = None,
             manifest_path: str | None = None, elements: dict | None = None,
-            glob: str = "*.zip", num_partitions: int | None = None) -> Extracted:
+            glob: str = "*.zip", num_partitions: int | None = None,
+            archive_names: Sequence[str] | None = None) -> Extracted:
     """S4 -> S3 -> S2 (+P1, P2, S5) -> types, and P3 for the registry.
 
     Provenance (file id, document count) is kept for the registry only, as
     in the source pipeline. Archives already in the manifest are skipped;
     call ``sources.archive.record_ingested(result.archives, manifest_path)``
-    after the documents were written.
+    after the documents were written. ``archive_names`` restricts the run to
+    a hand-picked list of archives (the validation extract, S12, reads seven
+    yearly snapshots with ``elements=VALIDATION_ELEMENTS``).
     """
     elements = elements or ELEMENTS[dataset]
     archives = new_archives(list_archives(spark, in_dir, glob), manifest_path)
+    if archive_names is not None:
+        archives = archives.filter(F.col("name").isin(list(archive_names)))
     members = read_members(list_members(archives), num_partitions)
     root = ROOT_ATTRIBUTES if dataset == "smb" else None
     docs, bad = parse_files(members, elements, doc_tag=DOCUMENT_TAG, root_attrs=root,

@@ -116,3 +116,19 @@ def test_statistics_table_reader(spark):
     out = csv.read_statistics_table(spark, path, ["region_name", "activity"], ["2019", "2020"])
     assert rows(out.drop("_row")) == [("Москва", "Торговля", 10.0, 11.0),
                                       ("Тверь", "Торговля", 3.0, None)]
+
+
+def test_validation_extract_from_picked_archives(spark):
+    # Reduced projection over a hand-picked list of archives
+    from regpanel.sources.schemas import VALIDATION_ELEMENTS
+    base = _scratch()
+    files = spark.createDataFrame([(f"m{i}.xml", f"<Файл>{SMB_DOC}</Файл>") for i in range(4)],
+                                  "member string, xml string")
+    archive.write_archives(files, base, 2, prefix="snap").collect()
+    names = sorted(os.listdir(base))
+    picked = [n for n in names if n.endswith(".zip")][:1]
+    ex = extract(spark, base, "smb", elements=VALIDATION_ELEMENTS, archive_names=picked)
+    got = ex.documents.collect()
+    assert got and set(got[0].asDict()) == {"archive", "member", *VALIDATION_ELEMENTS.values(),
+                                            "file_id", "doc_cnt"}
+    assert all(r["archive"].endswith(picked[0]) for r in got)
