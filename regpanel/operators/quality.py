@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scan import average_ranks, exact_quantiles
 
@@ -72,7 +73,13 @@ def spearman(df: DataFrame, x: str, y: str, groups: Sequence[str] = (),
     window); the correlation itself is a partial aggregate.
     """
     groups = list(groups)
-    pairs = df.select(*groups, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    def present(c):  # pandas treats NaN as missing too
+        ok = F.col(c).isNotNull()
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            ok = ok & ~F.isnan(F.col(c))
+        return ok
+
+    pairs = df.select(*groups, x, y).filter(present(x) & present(y))
     ranked = average_ranks(pairs, groups, {x: "_rx", y: "_ry"})
     # Pearson on the ranks. Spelled as covariance / (sd * sd) with
     # try_divide: under ANSI mode ``corr`` raises on a group whose ranks do
