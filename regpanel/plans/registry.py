@@ -63,11 +63,15 @@ def aggregate_registry(snapshots: DataFrame,
     # ``_snap`` (optional) orders snapshots of one day: a deterministic
     # tie-break for the fill and for the columns carried from the first row.
     tie = ["_snap"] if "_snap" in df.columns else []
-    df = next_known_fill(df, "tin", ["data_date"] + tie, "reg_number", method=fill_method)
     carry = [c for c in OUTPUT_COLUMNS
              if c not in state_columns and c not in ("start_date", "end_date")]
-    hull = state_hull(df.select(*state_columns, *carry, "data_date", *tie),
-                      list(state_columns), "data_date", carry=carry, tiebreak=tie)
+    # Project before the fill: the fill runs through Python (mapInPandas),
+    # below which Catalyst cannot prune, so unused columns would otherwise
+    # travel through the range exchange and Arrow.
+    needed = list(dict.fromkeys([*state_columns, *carry, "data_date", *tie]))
+    df = next_known_fill(df.select(*needed), "tin", ["data_date"] + tie, "reg_number",
+                         method=fill_method)
+    hull = state_hull(df, list(state_columns), "data_date", carry=carry, tiebreak=tie)
     return hull.select(*OUTPUT_COLUMNS)
 
 
