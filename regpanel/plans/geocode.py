@@ -135,6 +135,9 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
     # Distinct address tuples, written once: both the region lookup and the
     # waterfall read them, and the wide records are scanned only here and
     # in the final join.
+    # The abbreviation dictionary is derived (three variants, first wins):
+    # compute it once; every lookup then reads the small written table.
+    abbreviations = broadcast_materialized(abbreviations)
     addresses = cut_lineage(records.select(*ADDRESS_COLUMNS).distinct())
     addr = normalize_addresses(addresses, abbreviations, regions, prepend_types)
     standards = {"s": settlements_standard(settlements, abbreviations, regions),
