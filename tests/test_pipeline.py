@@ -136,3 +136,32 @@ def test_aggregate_reads_csv_extracts(spark):
         ("0000000077", 'ООО "Р"', D(2019, 1, 10), D(2020, 1, 10))]
     rev = spark.read.parquet(os.path.join(base, "aggregate", "revexp")).collect()
     assert [(r["tin"], r["year"], r["revenue"]) for r in rev] == [("0000000077", 2019, 10.5)]
+
+
+def test_cli_runs_all_stages(spark, capsys):
+    import json
+    import os
+    import tempfile
+
+    from regpanel.__main__ import main
+    base = tempfile.mkdtemp(prefix="regpanel-cli-", dir="/tmp")
+    files = spark.createDataFrame([("s1.xml", _file("S1", [_smb("10.01.2019", 1, ORG)]))],
+                                  "member string, xml string")
+    write_archives(files, os.path.join(base, "download", "smb"), 1, prefix="smb").collect()
+    d = os.path.join(base, "dims")
+    os.makedirs(d)
+    with open(os.path.join(d, "cities.csv"), "w") as f:
+        f.write("region,area,area_type,city,city_type,settlement,settlement_type,oktmo,geo_lat,geo_lon\n"
+                "Москва,,,Москва,г,,,45000000,55.75,37.62\n")
+    with open(os.path.join(d, "settlements.csv"), "w") as f:
+        f.write("id,region,municipality,settlement,type,oktmo,longitude_dd,latitude_dd\n"
+                "1,Тверская область,Калининский,Эммаус,п,28620000,35.8,56.9\n")
+    with open(os.path.join(d, "abbr.csv"), "w") as f:
+        f.write("type_id,fias_level,name,name_full\n1,1,г,Город\n")
+    main(["all", "--base", base, "--cities", os.path.join(d, "cities.csv"),
+          "--settlements", os.path.join(d, "settlements.csv"), "--abbr", os.path.join(d, "abbr.csv")])
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts["extract_smb"] == 1 and counts["panel"] == 1
+    panel = spark.read.parquet(os.path.join(base, "panel")).collect()
+    assert panel[0]["region"] == "Москва" and panel[0]["settlement"] == "Москва"
+    assert panel[0]["year"] == 2019
