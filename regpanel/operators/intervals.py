@@ -1,10 +1,13 @@
 """Snapshot -> validity interval -> yearly panel operators.
 
 All operators are ``DataFrame -> DataFrame`` and generic in column names.
-Per-key reductions are written as hash/sort aggregates (``groupBy().agg``)
-instead of the windows the reference uses: an aggregate combines map-side
-before the shuffle, so a key that holds a third of all rows still reaches
-the reducer as one partial row per map task.
+Per-key reductions are written so that they reduce *before* the shuffle:
+aggregates (``groupBy().agg``, with ``min_by`` / ``max_by`` over structs)
+for hulls, and ``row_number() = 1`` for latest-revision picks, which Spark
+plans with a partial WindowGroupLimit on the map side. A key that holds a
+third of all rows thus reaches its reducer as one row per map task. The
+unbounded-following windows of the source pipeline (quadratic per key) are
+gone; order-dependent fills use the range-partitioned scans in ``scan``.
 """
 
 from __future__ import annotations
@@ -50,13 +53,19 @@ def state_hull(df: DataFrame, keys: Sequence[str], date_col: str,
 
 # --------------------------------------------------------------------- W3
 def latest_revision(df: DataFrame, keys: Sequence[str], revision_col: str,
-                    tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Keep one row per ``keys``: the latest ``revision_col`` (nulls last).
-
-    Same rows as ``row_number() over (partition by keys order by rev desc
-    nulls last, tiebreak desc) = 1``, but as an aggregate with map-side
-    combine. A group whose revisions are all null still yields one row.
+                    tiebreak: Sequence[str] = (), method: str = "window") -> DataFrame:
+    """Keep one row per ``keys``: the latest ``revision_col`` (nulls last),
+    ties broken by ``tiebreak`` (descending). A group whose revisions are all
+    null still yields one row.
+
+    ``method="window"`` (default): ``row_number() = 1``, which Spark plans as
+    a *partial* WindowGroupLimit before the shuffle and a final one after --
+    each map task forwards at most one row per key, so a hot key is cut down
+    map-side. ``method="aggregate"``: ``max_by(struct(row), struct(order))``,
+    the same rows through a (sort-based) partial aggregate.
     """
+    if method == "window":
+        return latest_revision_window(df, keys, revision_col, tiebreak)
     keys = list(keys)
     rest = _rest(df, keys)
     rank = F.struct(F.col(revision_col).isNotNull(), F.col(revision_col),

@@ -37,7 +37,8 @@ def test_state_hull_equals_window_form(spark):
 def test_latest_revision_equals_window_form(spark):
     df = _random_snapshots(spark).withColumn(
         "doc", F.when(F.col("uid") % 5 == 0, F.lit(None)).otherwise(F.col("day") % 37))
-    a = iv.latest_revision(df.drop("d"), ["tin", "state"], "doc", tiebreak=["uid"])
+    a = iv.latest_revision(df.drop("d"), ["tin", "state"], "doc", tiebreak=["uid"],
+                           method="aggregate")
     b = iv.latest_revision_window(df.drop("d"), ["tin", "state"], "doc", tiebreak=["uid"])
     assert rows(a, "tin", "state", "uid") == rows(b, "tin", "state", "uid")
 

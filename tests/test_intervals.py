@@ -67,7 +67,7 @@ def test_latest_revision(spark):
          ("t1", D(2020, 12, 31), None, 9.0),
          ("t2", D(2020, 12, 31), None, 3.0)],
         "tin string, data_date date, doc_date date, revenue double")
-    out = iv.latest_revision(df, ["tin", "data_date"], "doc_date")
+    out = iv.latest_revision(df, ["tin", "data_date"], "doc_date", method="aggregate")
     win = iv.latest_revision_window(df, ["tin", "data_date"], "doc_date")
     expect = [("t1", 2.0), ("t2", 3.0)]
     assert rows(out, "tin", "revenue") == expect
