@@ -110,3 +110,34 @@ def test_unique_build_side_fails_on_duplicates(spark):
     ok = spark.createDataFrame([(1, "a")], "k int, v string")
     assert rows(matching.attach_checked(left, ok, ["k"])) == [(1, "a")]
     assert rows(matching.uniqueness_violations(right, ["k"])) == [(1, 2)]
+
+
+def test_name_and_type_composition(spark):
+    # P10: null name, null type, prepend type, other type
+    from regpanel.functions import join_area_and_type, join_name_and_type
+    df = spark.createDataFrame([(None, "г"), ("Тверь", None), ("Тверь", "Город"), ("Тверь", "обл")],
+                               "n string, t string")
+    got = [r[0] for r in df.select(join_name_and_type("n", "t", ["Город"])).collect()]
+    assert got == [None, None, "Город Тверь", "Тверь обл"]
+    shipped = [r[0] for r in df.select(join_name_and_type("n", "t")).collect()]
+    assert shipped[2] == "Тверь Город"          # default: type appended (shipped behaviour)
+    # г, р-н, у, other; null either side
+    rules = [("г", "Город ", ""), ("р-н", "", " район"), ("у", "", " улус")]
+    a = spark.createDataFrame([("X", "г"), ("X", "р-н"), ("X", "у"), ("X", "п"), (None, "г"), ("X", None)],
+                              "a string, t string")
+    got = [r[0] for r in a.select(join_area_and_type("a", "t", rules)).collect()]
+    assert got == ["Город X", "X район", "X улус", "X", None, None]
+
+
+def test_facts_only_for_legal_entities(spark):
+    # J1 + P9: facts for kind 1, kind 2, unknown tin -> kind 1 only
+    from regpanel.plans.registry import aggregate_facts
+    import datetime as dt
+    registry = spark.createDataFrame([("0000000001", 1), ("0000000002", 2)], "tin string, kind int")
+    facts = spark.createDataFrame(
+        [("1", dt.date(2020, 12, 31), dt.date(2021, 3, 1), 5.0),
+         ("2", dt.date(2020, 12, 31), dt.date(2021, 3, 1), 6.0),
+         ("3", dt.date(2020, 12, 31), dt.date(2021, 3, 1), 7.0)],
+        "org_tin string, data_date date, doc_date date, revenue double")
+    out = aggregate_facts(facts, ["revenue"], registry)
+    assert rows(out) == [("0000000001", 2020, 5.0)]
