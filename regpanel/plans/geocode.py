@@ -22,6 +22,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..assets.fixed import (ADDRESS_COLUMNS, ADDRESS_PARTS, AREA_RULES,  # noqa: F401
+                            CITY_MARKER, DEDUPE_COLUMNS, FEDERAL_CITIES, FUZZY_THRESHOLD,
+                            PRODUCT_COLUMNS, REGION_TYPE_WORDS, WATERFALL)
 from ..functions.text import canonical_text, join_name_and_type
 from ..operators.dedupe import broadcast_if_bounded, broadcast_materialized
 from ..operators.intervals import hull_last_end
@@ -31,64 +34,6 @@ from ..operators.regions import normalize_regions
 from ..operators.reshape import cities_standard, joint_geodata
 from ..session import cut_lineage
 
-# ---- fixed values -------------------------------------------------------
-ADDRESS_COLUMNS = [
-    "region_name", "region_type", "district_name", "district_type",
-    "city_name", "city_type", "settlement_name", "settlement_type",
-]
-ADDRESS_PARTS = ["region", "district", "city", "settlement"]
-# Type words stripped from a region name before fuzzy matching (list order).
-REGION_TYPE_WORDS = ["область", "республика", "город", "край", "автономный округ",
-                     "автономная область", " обл", "г ", "респ ", " АО"]
-FUZZY_THRESHOLD = 80.0
-# Area rendering by area type: (type, prefix, suffix).
-AREA_RULES = [("г", "Город ", ""), ("р-н", "", " район"), ("у", "", " улус")]
-CITY_MARKER = "г"
-FEDERAL_CITIES = ["Москва", "Санкт-Петербург"]
-# Passes in order: (name, address columns, standard columns, standard).
-WATERFALL = [
-    ("settlement, all parts, district with type",
-     ["region", "district", "settlement_name", "settlement_type"],
-     ["region", "municipality", "settlement", "type"], "s"),
-    ("settlement, all parts, district name",
-     ["region", "district_name", "settlement_name", "settlement_type"],
-     ["region", "municipality", "settlement", "type"], "s"),
-    ("settlement, all parts, city with type",
-     ["region", "city", "settlement_name", "settlement_type"],
-     ["region", "municipality", "settlement", "type"], "s"),
-    ("settlement, all parts, city name",
-     ["region", "city_name", "settlement_name", "settlement_type"],
-     ["region", "municipality", "settlement", "type"], "s"),
-    ("settlement without type, district with type",
-     ["region", "district", "settlement_name"], ["region", "municipality", "settlement"], "s"),
-    ("settlement without type, district name",
-     ["region", "district_name", "settlement_name"], ["region", "municipality", "settlement"], "s"),
-    ("settlement without type, city with type",
-     ["region", "city", "settlement_name"], ["region", "municipality", "settlement"], "s"),
-    ("settlement without type, city name",
-     ["region", "city_name", "settlement_name"], ["region", "municipality", "settlement"], "s"),
-    ("settlement and type in region",
-     ["region", "settlement_name", "settlement_type"], ["region", "settlement", "type"], "s"),
-    ("settlement in region", ["region", "settlement_name"], ["region", "settlement"], "s"),
-    ("city, all parts", ["region", "district_name", "city_name", "settlement_name"],
-     ["region", "area", "city", "settlement"], "c"),
-    ("city without settlement", ["region", "district_name", "city_name"],
-     ["region", "area", "city"], "c"),
-    ("city in region", ["region", "city_name"], ["region", "city"], "c"),
-    ("district as city in region", ["region", "city_name"], ["region", "area"], "c"),
-]
-DEDUPE_COLUMNS = [
-    "kind", "category", "tin", "reg_number", "first_name", "last_name", "patronymic",
-    "org_name", "org_short_name", "activity_code_main", "region", "region_code",
-    "region_iso_code", "area", "settlement", "settlement_type", "oktmo", "lat", "lon",
-]
-PRODUCT_COLUMNS = [
-    "tin", "reg_number", "kind", "category", "first_name", "last_name", "patronymic",
-    "org_name", "org_short_name", "activity_code_main", "region_iso_code", "region_code",
-    "region", "area", "settlement", "settlement_type", "oktmo", "lat", "lon",
-    "start_date", "end_date",
-]
-
 
 def _canon(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: canonical_text(c) for c in columns})

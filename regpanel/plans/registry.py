@@ -8,40 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..assets.fixed import EXCLUDED_REGIONS, OUTPUT_COLUMNS, STATE_COLUMNS, UPPER_COLUMNS
 from ..operators.intervals import latest_revision, next_known_fill, state_hull
 from ..operators.keys import entity_key, exclude_substrings, upper_columns
 
-# The registry's state columns (a change in any of them opens
-# a new interval), the text columns compared case-insensitively, and the
-# region name fragments excluded from the panel.
-STATE_COLUMNS = [
-    "kind", "category", "tin", "reg_number",
-    "first_name", "last_name", "patronymic",
-    "org_name", "org_short_name",
-    "region_name",
-    "district_name", "city_name", "settlement_name",
-    "activity_code_main",
-]
-UPPER_COLUMNS = [
-    "first_name", "last_name", "patronymic",
-    "org_name", "org_short_name",
-    "region_name", "region_type",
-    "district_name", "district_type",
-    "city_name", "city_type",
-    "settlement_name", "settlement_type",
-]
-EXCLUDED_REGIONS = ["Крым", "Севастополь", "Донецкая", "Луганская", "Запорожская", "Херсонская"]
-OUTPUT_COLUMNS = [
-    "kind", "category", "tin", "reg_number",
-    "first_name", "last_name", "patronymic",
-    "org_name", "org_short_name",
-    "region_code", "region_name", "region_type",
-    "district_name", "district_type",
-    "city_name", "city_type",
-    "settlement_name", "settlement_type",
-    "activity_code_main", "start_date", "end_date",
-]
-
 
 def aggregate_registry(snapshots: DataFrame,
                        excluded_regions: Sequence[str] = tuple(EXCLUDED_REGIONS),

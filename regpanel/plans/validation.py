@@ -7,16 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..assets.fixed import REGION_TYPE_WORDS
 from ..operators.dedupe import distinct_rows, first_wins
 from ..operators.keys import normalized_difference, override_values
 from ..operators.quality import describe, group_counts, group_sums, spearman
 from ..operators.regions import normalize_regions
 from ..operators.reshape import to_long
 
-# Type words removed before fuzzy region matching.
-REGION_TYPE_WORDS = ["область", "республика", "город", "край", "автономный округ",
-                     "автономная область", " обл", "г ", "респ ", " АО"]
-
 
 def registry_counts(snapshots: DataFrame, region: str = "region_name", tin: str = "tin",
                     date: str = "data_date", activity: str = "activity_code_main",
@@ -109,3 +106,21 @@ def registry_by_region(counts: DataFrame, classifier: DataFrame, regions: DataFr
     g = g.filter(F.col("region").isNotNull())
     return group_sums(g, ["region", "year", "group"], [count_col]) \
         .withColumnRenamed(count_col, "count_reestr")
+
+
+def run_validation(snapshots: DataFrame, statistics: DataFrame, classifier: DataFrame,
+                   regions: DataFrame, year_columns: Sequence[str]) -> dict[str, DataFrame]:
+    """C8 end to end with the fixed overrides / exclusions: registry
+    snapshots (validation projection, S12) and the published statistics
+    table (S13) -> the comparison table, its long form and the summaries."""
+    from ..assets.fixed import (CORRELATION_EXCLUDED_GROUPS, STATISTICS_EXCLUDED,
+                                STATISTICS_REGION_FIXES)
+    from ..operators.keys import entity_key
+    snaps = entity_key(snapshots.filter(F.col("org_tin").isNotNull()), "ind_tin", "org_tin")
+    reg = registry_by_region(registry_counts(snaps), classifier, regions)
+    stat = prepare_statistics(statistics, classifier, regions, year_columns,
+                              STATISTICS_REGION_FIXES, STATISTICS_EXCLUDED)
+    table = compare(reg, stat)
+    out = {"table": table, "long": long_form(table)}
+    out.update(summaries(table, exclude_groups=CORRELATION_EXCLUDED_GROUPS))
+    return out

@@ -110,6 +110,14 @@ def test_validation_statistics_side(spark):
     assert sorted((r["region"], r["norm_diff"]) for r in m.collect()) == [
         ("Москва", (2 - 10) / 12), ("Тверская область", (1 - 5) / 6)]
     assert set(summaries(m)) >= {"overall", "by_group", "norm_diff"}
+    from regpanel.plans.validation import run_validation
+    snaps2 = snaps.withColumnRenamed("tin", "org_tin").withColumn("ind_tin", F.lit(None).cast("string"))
+    stats2 = stats.withColumn("region_name", F.when(
+        F.col("region_name") == "Город Москва столица",
+        "Город Москва столица Российской Федерации город федерального значения")
+        .otherwise(F.col("region_name")))
+    res = run_validation(snaps2, stats2, classifier, regions, ["2019", "2020"])
+    assert res["table"].count() == 2 and res["long"].count() == 4
 
 
 def test_aggregate_reads_csv_extracts(spark):
