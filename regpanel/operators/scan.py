@@ -27,7 +27,13 @@ from pyspark.sql import types as T
 
 
 def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Range partitions of an ordered scan. Fixed per scan on purpose: AQE
+    must not coalesce them (both consumers must see identical partitions),
+    so size them for the data with ``regpanel.scan.partitions`` (e.g. input
+    bytes / 256 MB); the shuffle partition count is the fallback."""
+    conf = df.sparkSession.conf
+    return int(conf.get("regpanel.scan.partitions", None)
+               or conf.get("spark.sql.shuffle.partitions"))
 
 
 def _partition_id() -> int:
