@@ -8,19 +8,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.keys import filter_by_codes
+from ..operators.dedupe import broadcast_if_bounded
+from ..operators.keys import expand_codes
 from ..sources.archive import list_archives, list_members, new_archives, read_members
 from ..sources.schemas import (DOCUMENT_TAG, ELEMENTS, INPUT_DATE_FORMAT, ROOT_ATTRIBUTES,
                                SCHEMAS)
-from ..sources.xml import apply_types, parse_files
+from ..sources.xml import CORRUPT, apply_types, parse_files_once
 
 
 @dataclass
 class Extracted:
-    documents: DataFrame     # typed rows, one per document element
-    quarantine: DataFrame    # members that did not parse
+    parsed: DataFrame        # documents and quarantined members, by ``_status``
     archives: DataFrame      # archives read in this run (for the manifest)
 
+    @property
+    def documents(self) -> DataFrame:
+        """Typed rows, one per document element."""
+        return self.parsed.filter(F.col("_status") == "ok").drop("_status", CORRUPT)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """Members that did not parse, with their text."""
+        return (self.parsed.filter(F.col("_status") == "quarantine")
+                    .select("archive", "member", CORRUPT))
+
 
 def extract(spark: SparkSession, in_dir: str, dataset: str,
             classifier: DataFrame | None = None, codes: Sequence[str] | None = None,
@@ -42,11 +53,19 @@ def extract(spark: SparkSession, in_dir: str, dataset: str,
         archives = archives.filter(F.col("name").isin(list(archive_names)))
     members = read_members(list_members(archives), num_partitions)
     root = ROOT_ATTRIBUTES if dataset == "smb" else None
-    docs, bad = parse_files(members, elements, doc_tag=DOCUMENT_TAG, root_attrs=root,
-                            keep=("archive", "member"))
-    typed = apply_types(docs, SCHEMAS[dataset], INPUT_DATE_FORMAT,
-                        keep=("archive", "member")) \
-        if dataset in SCHEMAS and elements is ELEMENTS.get(dataset) else docs
+    parsed = parse_files_once(members, elements, doc_tag=DOCUMENT_TAG, root_attrs=root,
+                              keep=("archive", "member"))
+    if dataset in SCHEMAS and elements is ELEMENTS.get(dataset):
+        parsed = apply_types(parsed, SCHEMAS[dataset], INPUT_DATE_FORMAT,
+                             keep=("archive", "member", CORRUPT, "_status"))
     if dataset == "smb" and classifier is not None and codes:
-        typed = filter_by_codes(typed, "activity_code_main", classifier, codes)
-    return Extracted(typed, bad, archives)
+        # One pass: a left join with the (broadcast) code set keeps the
+        # quarantine rows, instead of a union of two filtered branches.
+        wanted = broadcast_if_bounded(
+            expand_codes(classifier, codes).withColumnRenamed("code", "activity_code_main")
+            .withColumn("_hit", F.lit(True)))
+        parsed = (parsed.join(wanted, "activity_code_main", "left")
+                        .filter((F.col("_status") == "quarantine") | F.col("_hit").isNotNull())
+                        .drop("_hit"))
+    return Extracted(parsed, archives)
+

@@ -6,7 +6,7 @@ run -- and let a stage be re-run alone, like the source tool's stage
 commands. Layout::
 
     base/download/{smb,revexp,empl}/*.zip   input archives
-    base/extract/{ds}/   base/extract/{ds}-quarantine/   base/extract/{ds}-manifest/
+    base/extract/{ds}/_status={ok,quarantine}/   base/extract/{ds}-manifest/
     base/aggregate/{ds}/ base/geocode/     base/panel/ (Parquet)  base/panel-csv/
 """
 
@@ -51,11 +51,30 @@ def _counted(df: DataFrame, name: str, metrics: dict) -> DataFrame:
     return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
 
+class _StatusCount:
+    """One metric of a shared observation (``report`` reads ``.get``)."""
+
+    def __init__(self, obs: Observation, field: str):
+        self._obs, self._field = obs, field
+
+    @property
+    def get(self) -> dict[str, int]:
+        return {"rows": self._obs.get[self._field]}
+
+
 def report(metrics: dict) -> dict[str, int]:
     """Row counts of the stages that ran (available after their writes)."""
     return {k: v.get["rows"] for k, v in metrics.items()}
 
 
+def read_quarantine(spark: SparkSession, base: str, dataset: str) -> DataFrame:
+    """Members of ``dataset`` that did not parse (archive, member, text)."""
+    from ..sources.xml import CORRUPT
+    return (spark.read.parquet(_p(base, "extract", dataset))
+                 .filter(F.col("_status") == "quarantine")
+                 .select("archive", "member", CORRUPT))
+
+
 def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """A stage table: Parquet (this library's stage format) or, for data
     extracted earlier by other tools, ``data-*.csv`` / a single ``.csv``
@@ -64,8 +83,11 @@ def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> Da
     has_parquet = os.path.isdir(local) and any(
         n.endswith(".parquet") or n.startswith("part-") and ".csv" not in n
         for n in os.listdir(local))
-    if "://" in path or has_parquet:
-        return spark.read.parquet(path)
+    if "://" in path or has_parquet or os.path.isdir(os.path.join(local, "_status=ok")):
+        df = spark.read.parquet(path)
+        if "_status" in df.columns:   # extraction output: documents only
+            df = df.filter(F.col("_status") == "ok").drop("_status", "_corrupt_record")
+        return df
     from ..sources.csv import read_snapshots
     from ..sources.schemas import INPUT_DATE_FORMAT, SCHEMAS
     schema = SCHEMAS[dataset]
@@ -83,12 +105,18 @@ def run_extract(spark: SparkSession, base: str, dims: Dimensions,
         if not os.path.isdir(src.replace("file:", "")):
             continue
         manifest = _p(base, "extract", f"{ds}-manifest")
-        ex = extract(spark, src, ds, dims.classifier, codes, manifest_path=manifest)
+        ex = extract(spark, src, ds, dims.classifier if dims else None, codes,
+                     manifest_path=manifest)
         m = metrics if metrics is not None else {}
-        _counted(ex.documents, f"extract_{ds}", m).write.mode("append") \
-            .parquet(_p(base, "extract", ds))
-        _counted(ex.quarantine, f"quarantine_{ds}", m).write.mode("append") \
-            .parquet(_p(base, "extract", f"{ds}-quarantine"))
+        # One job: every member is inflated and parsed once; documents and
+        # quarantined members land in the _status=ok / _status=quarantine
+        # partitions of the same table.
+        obs = Observation(f"extract_{ds}")
+        m[f"extract_{ds}"] = _StatusCount(obs, "ok")
+        m[f"quarantine_{ds}"] = _StatusCount(obs, "quarantine")
+        (ex.parsed.observe(obs, F.count_if(F.col("_status") == "ok").alias("ok"),
+                           F.count_if(F.col("_status") == "quarantine").alias("quarantine"))
+           .write.mode("append").partitionBy("_status").parquet(_p(base, "extract", ds)))
         record_ingested(ex.archives, manifest)
 
 

@@ -132,6 +132,29 @@ def parse_files(files: DataFrame, elements: Mapping[str, str], xml_col: str = "x
     return out, bad
 
 
+def parse_files_once(files: DataFrame, elements: Mapping[str, str], xml_col: str = "xml",
+                     doc_tag: str = "Документ", root_attrs: Mapping[str, str] | None = None,
+                     keep: Sequence[str] = ("member",)) -> DataFrame:
+    """S2 + S5 in one pass: documents *and* quarantined members in one frame,
+    told apart by ``_status`` (``ok`` / ``quarantine``); quarantine rows
+    carry the text in ``_corrupt_record`` and nulls elsewhere. Writing it
+    once (partitioned by ``_status``) parses every member exactly once."""
+    root_attrs = dict(root_attrs or {})
+    schema = file_schema(list(elements), doc_tag, list(root_attrs))
+    parsed = files.select(*keep, F.from_xml(
+        F.col(xml_col), schema,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_f"))
+    rows = parsed.select(*keep, F.col(f"_f.{CORRUPT}").alias(CORRUPT),
+                         *[F.col(f"_f._{a}").alias(c) for a, c in root_attrs.items()],
+                         F.explode_outer(F.col(f"_f.{doc_tag}")).alias("_d"))
+    # A valid member without documents yields one empty row: drop it.
+    rows = rows.filter(F.col("_d").isNotNull() | F.col(CORRUPT).isNotNull())
+    d = F.col("_d")
+    cols = [flatten_multi(path_values(d, p)).alias(name) for p, name in elements.items()]
+    status = F.when(F.col(CORRUPT).isNotNull(), F.lit("quarantine")).otherwise(F.lit("ok"))
+    return rows.select(*keep, *cols, *root_attrs.values(), CORRUPT, status.alias("_status"))
+
+
 def apply_types(df: DataFrame, schema: T.StructType,
                 date_format: str | None = "dd.MM.yyyy",
                 keep: Sequence[str] = ()) -> DataFrame:

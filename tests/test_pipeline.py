@@ -68,12 +68,14 @@ def test_pipeline_end_to_end(spark):
     counts = report(metrics)
     assert counts["extract_smb"] == 5 and counts["quarantine_smb"] == 1
     assert counts["aggregate_smb"] == 2 and counts["panel"] == 5
-    quarantine = spark.read.parquet(os.path.join(base, "extract", "smb-quarantine"))
+    from regpanel.plans.pipeline import read_quarantine
+    quarantine = read_quarantine(spark, base, "smb")
     assert [r["member"] for r in quarantine.collect()] == ["bad.xml"]
     assert os.path.isdir(os.path.join(base, "panel-csv"))
     # A second run with no new archives appends nothing to the extract.
     run_all(spark, base, dims)
-    assert spark.read.parquet(os.path.join(base, "extract", "smb")).count() == 5
+    from regpanel.plans.pipeline import read_stage
+    assert read_stage(spark, os.path.join(base, "extract", "smb"), "smb").count() == 5
 
 
 def test_validation_statistics_side(spark):
