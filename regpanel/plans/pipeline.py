@@ -147,9 +147,11 @@ def run_geocode(spark: SparkSession, base: str, dims: Dimensions,
 
 
 def run_panel(spark: SparkSession, base: str, csv_export: bool = True,
-              metrics: dict | None = None) -> DataFrame:
+              metrics: dict | None = None, sort_export: bool = True) -> DataFrame:
     """Geocoded intervals x years + yearly facts; ``;``-separated CSV
-    export as a directory written in parallel."""
+    export as a directory written in parallel. The export is ordered by
+    (tin, year) like the source's single file, but as a range-partitioned
+    sort: part files are sorted and follow each other in key order."""
     geo = spark.read.parquet(_p(base, "geocode"))
     facts = []
     for ds in ("revexp", "empl"):
@@ -160,7 +162,10 @@ def run_panel(spark: SparkSession, base: str, csv_export: bool = True,
     m = metrics if metrics is not None else {}
     _counted(panel, "panel", m).write.mode("overwrite").parquet(_p(base, "panel"))
     if csv_export:
-        write_csv(spark.read.parquet(_p(base, "panel")), _p(base, "panel-csv"), sep=";")
+        out = spark.read.parquet(_p(base, "panel"))
+        if sort_export:
+            out = out.orderBy("tin", "year")
+        write_csv(out, _p(base, "panel-csv"), sep=";")
     return spark.read.parquet(_p(base, "panel"))
 
 
