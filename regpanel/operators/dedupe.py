@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,13 +12,23 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_BOUND_CACHE: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the
-    scan), so it stays cheap even when the table turns out large.
+    scan), so it stays cheap even when the table turns out large. The answer
+    is remembered per DataFrame object (a DataFrame is an immutable plan).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        known = _BOUND_CACHE.setdefault(df, {})
+    except TypeError:          # not weak-referenceable: just check
+        known = {}
+    if max_rows not in known:
+        known[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return known[max_rows]
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -9,8 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dedupe import (DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, drop_ambiguous,
-                     first_wins, is_bounded)
+from .dedupe import DEFAULT_BROADCAST_ROWS, drop_ambiguous, first_wins, is_bounded
 
 
 # ------------------------------------------------------------------ A2+U1
@@ -47,7 +46,9 @@ def dictionary_lookup(df: DataFrame, column: str, dictionary: DataFrame,
     null when there is no entry. The dictionary must be unique on its key
     (``abbreviation_dictionary`` guarantees it), so the row count holds."""
     d = dictionary.select(F.col(key_col).alias("_dk"), F.col(value_col).alias("_dv"))
-    d = broadcast_if_bounded(d, broadcast_rows)
+    # Bound checked on the dictionary itself (a projection keeps its row
+    # count), so repeated lookups against one dictionary check it once.
+    d = F.broadcast(d) if is_bounded(dictionary, broadcast_rows) else d
     out = df.join(d, F.upper(F.col(column)) == F.col("_dk"), "left")
     return out.withColumn(column, F.col("_dv")).drop("_dk", "_dv")
 

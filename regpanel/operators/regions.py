@@ -53,7 +53,7 @@ def resolve_names(keys: DataFrame, key_col: str, regions: DataFrame,
                          F.lower(F.col(short_col)).alias("_lshort"))
     # Every lookup below derives from the regions table: broadcast them only
     # when that table is proven small, else leave the choice to the planner.
-    small = is_bounded(reg, broadcast_rows)
+    small = is_bounded(regions, broadcast_rows)
 
     def bc(df):
         return F.broadcast(df) if small else df
@@ -125,8 +125,9 @@ def normalize_regions(df: DataFrame, column: str, regions: DataFrame,
                           F.col(name_col).alias("_rn"),
                           F.col(code_col).cast("string").alias("_rc"),
                           F.col(iso_col).alias("_ri"))
-    mapping = (mapping.join(broadcast_if_bounded(info), "_rid", "left")
-                      .select(column, "_rn", "_rc", "_ri"))
+    # ``info`` is a projection of ``regions``: same row count, same bound.
+    info = F.broadcast(info) if is_bounded(regions) else info
+    mapping = (mapping.join(info, "_rid", "left").select(column, "_rn", "_rc", "_ri"))
     # One row per distinct key, so the join back cannot change the row
     # count. The mapping is computed once (a narrow scan of one column),
     # written, and broadcast when small -- the wide rows are not shuffled.

@@ -6,7 +6,7 @@ Dates leave as ISO text and integers as BIGINT so both engines hand back
 identical types; the library itself keeps DateType / IntegerType.
 """
 
-from . import intervals, keys, matching, quality, registry, sources  # noqa: F401  (register)
+from . import geocoding, intervals, keys, matching, quality, registry, sources  # noqa: F401
 from .common import ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL"]

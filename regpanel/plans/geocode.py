@@ -59,13 +59,16 @@ def settlements_standard(settlements: DataFrame, abbreviations: DataFrame,
                          regions: DataFrame) -> DataFrame:
     std = settlements.select("id", "region", "municipality", "settlement", "type")
     std = dictionary_lookup(std, "type", abbreviations)
-    std = normalize_regions(std, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD)
+    # A dimension's distinct regions are cheap to recompute: no lineage cut.
+    std = normalize_regions(std, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD,
+                            materialize=False)
     return _canon(std, ["region", "municipality", "settlement", "type"])
 
 
 def city_standard(cities: DataFrame, regions: DataFrame) -> DataFrame:
     std = cities_standard(cities, city_area_type=CITY_MARKER)
-    std = normalize_regions(std, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD)
+    std = normalize_regions(std, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD,
+                            materialize=False)
     return _canon(std, ["region", "area", "city", "settlement"])
 
 
@@ -85,8 +88,10 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
     abbreviations = broadcast_materialized(abbreviations)
     addresses = cut_lineage(records.select(*ADDRESS_COLUMNS).distinct())
     addr = normalize_addresses(addresses, abbreviations, regions, prepend_types)
-    standards = {"s": settlements_standard(settlements, abbreviations, regions),
-                 "c": city_standard(cities, regions)}
+    # Standards feed 14 passes and their size checks: write them once (they
+    # are dimension-sized).
+    standards = {"s": cut_lineage(settlements_standard(settlements, abbreviations, regions)),
+                 "c": cut_lineage(city_standard(cities, regions))}
     passes = [MatchPass(n, left, right, std, tag=std) for n, left, right, std in WATERFALL]
     mapped = waterfall_match(addr, standards, passes, id_col="id", out_id="geo_id",
                              out_type="type")
@@ -112,5 +117,7 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
                             candidates=known)
     rec = fill_when_null_and_in(rec, "settlement", "region", FEDERAL_CITIES)
     rec = rec.select(*PRODUCT_COLUMNS)
-    return hull_last_end(rec, DEDUPE_COLUMNS, "start_date", "end_date", carry=[])\
+    # Equal starts: the larger end wins (the source left the tie open).
+    return hull_last_end(rec, DEDUPE_COLUMNS, "start_date", "end_date", carry=[],
+                         tiebreak=["end_date"])\
         .select(*PRODUCT_COLUMNS)
