@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     from .sources import dims as D
 
     spark = SparkSession.builder.appName(f"regpanel-{args.stage}").getOrCreate()
-    ensure_checkpoint_dir(spark)
+    # Unset checkpoint folder: use one under --base, which is shared storage.
+    ensure_checkpoint_dir(spark, scratch_dir=f"{args.base.rstrip('/')}/_checkpoints")
     needs_dims = args.stage in ("extract", "geocode", "all")
     dims = None
     if needs_dims:

@@ -67,13 +67,18 @@ def ensure_checkpoint_dir(spark: SparkSession, scratch_dir: str | None = None) -
     """Return the shared checkpoint folder, setting one only where it is unset.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only a local test session without it gets a fresh folder.
+    used as is (an unset one is an error there, unless the caller names a
+    shared ``scratch_dir``). Only a local session without it gets a fresh
+    local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if scratch_dir is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: "
+                           "lineage cuts and written tables must survive executor loss")
     base = scratch_dir or tempfile.mkdtemp(prefix="regpanel-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
