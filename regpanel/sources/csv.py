@@ -30,6 +30,14 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType,
     reader = spark.read.schema(schema).options(**opts)
     if is_dir:
         reader = reader.option("pathGlobFilter", glob)
+        # A folder without matching files means "nothing to read" (None).
+        if "://" not in path:
+            import fnmatch
+            if not any(fnmatch.fnmatch(n, glob) for n in os.listdir(local)):
+                return None
+        elif spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path) \
+                .select("path").limit(1).count() == 0:
+            return None
     elif not path.endswith(".csv"):
         return None
     elif "://" not in path and not os.path.exists(local):

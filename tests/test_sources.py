@@ -132,3 +132,14 @@ def test_validation_extract_from_picked_archives(spark):
     assert got and set(got[0].asDict()) == {"archive", "member", *VALIDATION_ELEMENTS.values(),
                                             "file_id", "doc_cnt"}
     assert all(r["archive"].endswith(picked[0]) for r in got)
+
+
+def test_read_snapshots_empty_folder_is_none(spark):
+    d = _scratch()
+    with open(os.path.join(d, "notes.txt"), "w") as f:
+        f.write("x")
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    assert csv.read_snapshots(spark, d, schema) is None
+    with open(os.path.join(d, "data-1.csv"), "w") as f:
+        f.write("a\nNA\nx\n")
+    assert rows(csv.read_snapshots(spark, d, schema)) == [("x",), (None,)]
