@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_digits, similarity, strip_words
-from .dedupe import broadcast_if_bounded, broadcast_materialized, is_bounded
+from .dedupe import broadcast_materialized, is_bounded
 
 MIN_BLOCKING_THRESHOLD = 70.0
 
