@@ -30,9 +30,16 @@ def aggregate_registry(snapshots: DataFrame,
     df = upper_columns(df, upper)
     df = entity_key(df, "ind_tin", "org_tin", person_reg="ind_number",
                     org_reg="org_number")
-    # ``_snap`` (optional) orders snapshots of one day: a deterministic
-    # tie-break for the fill and for the columns carried from the first row.
-    tie = ["_snap"] if "_snap" in df.columns else []
+    # Snapshots of one day are ordered by a deterministic tie-break (the
+    # source left it open): ``_snap`` when given, else the extraction's
+    # provenance (archive, member).
+    if "_snap" in df.columns:
+        tie = ["_snap"]
+    elif "archive" in df.columns and "member" in df.columns:
+        df = df.withColumn("_snap", F.concat_ws("/", "archive", "member"))
+        tie = ["_snap"]
+    else:
+        tie = []
     carry = [c for c in OUTPUT_COLUMNS
              if c not in state_columns and c not in ("start_date", "end_date")]
     # Project before the fill: the fill runs through Python (mapInPandas),
