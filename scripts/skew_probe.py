@@ -51,8 +51,10 @@ def main():
             df, "k", ["ts", "uid"], "v", "f", method="window"),
         "W2 state hull (aggregate)": lambda: iv.state_hull(
             df, ["k", "l_returnflag"], "ts", carry=["v"], tiebreak=["uid"]),
+        "W3 latest revision (row_number = 1, map-side partial limit)":
+            lambda: iv.latest_revision(df, ["k"], "ts", tiebreak=["uid"]),
         "W3 latest revision (aggregate)": lambda: iv.latest_revision(
-            df, ["k"], "ts", tiebreak=["uid"]),
+            df, ["k"], "ts", tiebreak=["uid"], method="aggregate"),
         "A12 Spearman by key (ranged ranks)": lambda: spearman(
             df, "l_quantity", "l_extendedprice", ["k"]),
     }
