@@ -155,12 +155,16 @@ def write_archives(files: DataFrame, out_dir: str, num_archives: int,
         local = re.sub(r"^file:(//)?", "", out_dir)
         os.makedirs(local, exist_ok=True)
         target = os.path.join(local, f"{prefix}-{pid:05d}.zip")
+        # Write under a task-attempt name, then rename: a retried or
+        # speculative attempt never leaves a half-written archive behind.
+        tmp = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"
         n = 0
-        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
             for pdf in batches:
                 for m, x in zip(pdf["member"], pdf["xml"]):
                     z.writestr(m, x.encode("utf-8"))
                     n += 1
+        os.replace(tmp, target)
         yield pd.DataFrame([(target, n)], columns=["archive", "members"])
 
     return (files.repartition(num_archives, "member")

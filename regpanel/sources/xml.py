@@ -203,14 +203,16 @@ def write_xml_files(docs: DataFrame, out_dir: str, num_files: int, root_tag: str
         local = re.sub(r"^file:(//)?", "", out_dir)
         os.makedirs(local, exist_ok=True)
         target = os.path.join(local, f"{prefix}-{pid:05d}.xml")
+        tmp = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"   # renamed when complete
         n = 0
-        with open(target, "w", encoding="utf-8") as fh:
+        with open(tmp, "w", encoding="utf-8") as fh:
             fh.write(f'<?xml version="1.0" encoding="utf-8"?>\n<{root_tag} КолДок="0">')
             for pdf in batches:
                 for x in pdf[doc_col]:
                     fh.write(x)
                     n += 1
             fh.write(f"</{root_tag}>\n")
+        os.replace(tmp, target)
         yield pd.DataFrame([(target, n)], columns=["file", "docs"])
 
     return docs.select(doc_col).repartition(num_files).mapInPandas(write, "file string, docs long")
