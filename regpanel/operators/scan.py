@@ -8,11 +8,14 @@ contiguous partitions. Each partition is scanned locally (vectorised pandas
 inside ``mapInPandas``), and the partition edges are stitched with a table
 that has one row per partition -- a proven bound, so it is broadcast.
 
-The edge summary is computed from the local scan's own output, so both
-consumers read one exchange: Spark reuses it within the plan (its range
+The edge summary comes from a second, light ``mapInPandas`` pass (one row
+per partition, batches streamed) over the *same* range-partitioned input, so
+both passes read one exchange: Spark reuses it within the plan (its range
 bounds are sampled once; a lost executor re-runs map tasks against the same
 bounds). Independent range exchanges would sample different bounds, so when
-exchange reuse is switched off the local scan is checkpointed instead.
+exchange reuse is switched off the range-partitioned input is checkpointed
+instead. The exchanges use a fixed width (``regpanel.scan.partitions``): AQE
+must not coalesce them differently for the two passes.
 """
 
 from __future__ import annotations
