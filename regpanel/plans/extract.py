@@ -37,7 +37,9 @@ def extract(spark: SparkSession, in_dir: str, dataset: str,
             classifier: DataFrame | None = None, codes: Sequence[str] | None = None,
             manifest_path: str | None = None, elements: dict | None = None,
             glob: str = "*.zip", num_partitions: int | None = None,
-            archive_names: Sequence[str] | None = None) -> Extracted:
+            archive_names: Sequence[str] | None = None,
+            member_slice: tuple[int | None, int | None, int | None] | None = None
+            ) -> Extracted:
     """S4 -> S3 -> S2 (+P1, P2, S5) -> types, and P3 for the registry.
 
     Provenance (file id, document count) is kept for the registry only, as
@@ -46,12 +48,16 @@ def extract(spark: SparkSession, in_dir: str, dataset: str,
     after the documents were written. ``archive_names`` restricts the run to
     a hand-picked list of archives (the validation extract, S12, reads seven
     yearly snapshots with ``elements=VALIDATION_ELEMENTS``).
+    ``member_slice=(start, stop, step)`` reads that slice of each archive's
+    XML members (in archive order), e.g. for a trial run.
     """
     elements = elements or ELEMENTS[dataset]
     archives = new_archives(list_archives(spark, in_dir, glob), manifest_path)
     if archive_names is not None:
         archives = archives.filter(F.col("name").isin(list(archive_names)))
-    members = read_members(list_members(archives), num_partitions)
+    start, stop, step = member_slice or (None, None, None)
+    members = read_members(list_members(archives, start=start, stop=stop, step=step),
+                           num_partitions)
     root = ROOT_ATTRIBUTES if dataset == "smb" else None
     parsed = parse_files_once(members, elements, doc_tag=DOCUMENT_TAG, root_attrs=root,
                               keep=("archive", "member"))

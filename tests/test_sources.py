@@ -143,3 +143,15 @@ def test_read_snapshots_empty_folder_is_none(spark):
     with open(os.path.join(d, "data-1.csv"), "w") as f:
         f.write("a\nNA\nx\n")
     assert rows(csv.read_snapshots(spark, d, schema)) == [("x",), (None,)]
+
+
+def test_member_slice(spark):
+    base = _scratch()
+    files = spark.createDataFrame([(f"m{i:02d}.xml", f"<Файл>{SMB_DOC}</Файл>") for i in range(10)],
+                                  "member string, xml string")
+    archive.write_archives(files, base, 1, prefix="one").collect()
+    ex = extract(spark, base, "smb", member_slice=(1, 8, 3))
+    members = sorted(r["member"] for r in ex.documents.select("member").collect())
+    with __import__("zipfile").ZipFile(os.path.join(base, "one-00000.zip")) as z:
+        names = [n for n in z.namelist() if "xml" in n][1:8:3]
+    assert members == sorted(names) and len(members) == 3
