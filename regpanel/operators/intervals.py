@@ -87,16 +87,18 @@ def latest_revision_window(df: DataFrame, keys: Sequence[str], revision_col: str
 # --------------------------------------------------------------------- W1
 def next_known_fill(df: DataFrame, key: Sequence[str] | str, order: Sequence[str],
                     value_col: str, out_col: str | None = None,
-                    method: str = "ranged") -> DataFrame:
+                    method: str = "split") -> DataFrame:
     """Replace each value by the first non-null value at or after the row.
 
     Within ``key`` ordered by ``order`` (which must be unique per key for a
     deterministic answer). Trailing nulls stay null.
 
-    ``method="ranged"`` (default) range-partitions the rows by key and order,
-    so a hot key is split over many tasks, and stitches partition edges with
-    a table of one row per partition. ``method="window"`` is a running window
-    over the reversed order (one task per key).
+    ``method="split"`` (default): keys larger than a partition's fair share
+    are range-partitioned (split over many tasks, edges stitched by a table
+    of one row per partition); all other keys use a running window.
+    ``method="ranged"``: every key through the range-partitioned scan.
+    ``method="window"``: a running window over the reversed order for every
+    key (one task per key -- a hot key lands in one task).
     """
     keys = [key] if isinstance(key, str) else list(key)
     out_col = out_col or value_col
@@ -105,8 +107,10 @@ def next_known_fill(df: DataFrame, key: Sequence[str] | str, order: Sequence[str
              .orderBy(*[F.col(c).desc() for c in order])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-    from .scan import ranged_next_known
-    return ranged_next_known(df, keys, list(order), value_col, out_col)
+    from .scan import ranged_next_known, split_next_known
+    if method == "ranged":
+        return ranged_next_known(df, keys, list(order), value_col, out_col)
+    return split_next_known(df, keys, list(order), value_col, out_col)
 
 
 # --------------------------------------------------------------------- W4

@@ -24,7 +24,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,11 +39,6 @@ def _num_partitions(df: DataFrame) -> int:
                or conf.get("spark.sql.shuffle.partitions"))
 
 
-def _partition_id() -> int:
-    from pyspark import TaskContext
-    return TaskContext.get().partitionId()
-
-
 def _shared(local: DataFrame) -> DataFrame:
     """Make ``local`` safe to consume twice (see module docstring)."""
     reuse = local.sparkSession.conf.get("spark.sql.exchange.reuse", "true")
@@ -83,6 +78,18 @@ def _concat(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
 
 
 # ------------------------------------------------------------------ W1
+def _start_fields(df: DataFrame, sort_cols: list[str]) -> list[T.StructField]:
+    return [T.StructField(f"_ps{i}", df.schema[c].dataType, True)
+            for i, c in enumerate(sort_cols)]
+
+
+def _start_struct(sort_cols: list[str]):
+    """A partition's identity: the sort key of its first row. Unique, and
+    increasing with the range order -- unlike the task's partition id, which
+    shifts when the scan sits under a union."""
+    return _struct_of("_ps", sort_cols)
+
+
 def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
                       value_col: str, out_col: str,
                       num_partitions: int | None = None) -> DataFrame:
@@ -90,43 +97,46 @@ def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
     n = num_partitions or _num_partitions(df)
     sort_cols = keys + order
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    starts = _start_fields(df, sort_cols)
+    snames = [f.name for f in starts]
 
     # Local fill inside each partition: backward fill within the key.
     out_schema = T.StructType(
         [f for f in df.schema.fields if f.name != out_col]
-        + [T.StructField(out_col, df.schema[value_col].dataType, True),
-           T.StructField("_pid", T.IntegerType(), False)])
+        + [T.StructField(out_col, df.schema[value_col].dataType, True)] + starts)
     names = [f.name for f in out_schema.fields]
 
     def local_fill(batches):
         pdf = _concat(batches)
         if pdf is None:
             return
-        pid = _partition_id()
+        first = pdf[sort_cols].iloc[0]
         grp = [pdf[k] for k in keys]
         filled = pdf[value_col].groupby(grp, sort=False, dropna=False).bfill()
-        pdf = pdf.assign(**{out_col: filled, "_pid": pid})
+        pdf = pdf.assign(**{out_col: filled},
+                         **{s: [first.iloc[i]] * len(pdf) for i, s in enumerate(snames)})
         yield from _slices(pdf, names)
 
     ranged = _shared(ranged)
     local = ranged.mapInPandas(local_fill, out_schema)
 
     # Edge summary, one row per partition, from a light pass over the same
-    # (reused) exchange: first key, its first known value, last key. Batches
-    # are streamed; only the first key's leading run is inspected.
+    # (reused) exchange: its start, first key, that key's first known value,
+    # last key. Batches are streamed; only the first key's leading run is read.
     kfields = [T.StructField(f"_f{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
     lfields = [T.StructField(f"_l{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
     edge_schema = T.StructType(
-        [T.StructField("_pid", T.IntegerType(), False)] + kfields + lfields
+        starts + kfields + lfields
         + [T.StructField("first_val", df.schema[value_col].dataType, True)])
 
     def edges(batches):
-        first = last = val = None
+        start = first = last = val = None
         open_run = True
         for b in batches:
             if not len(b):
                 continue
             if first is None:
+                start = tuple(b[sort_cols].iloc[0])
                 first = tuple(b[keys].iloc[0])
             if open_run:
                 run = _same(b, keys, first)
@@ -139,26 +149,66 @@ def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
                     open_run = False
             last = tuple(b[keys].iloc[-1])
         if first is not None:
-            yield pd.DataFrame([(_partition_id(), *first, *last, val)],
+            yield pd.DataFrame([(*start, *first, *last, val)],
                                columns=[f.name for f in edge_schema.fields])
 
     summary = ranged.mapInPandas(edges, edge_schema).select(
-        "_pid", _struct_of("_f", keys).alias("first_key"),
+        _start_struct(sort_cols).alias("_p"), _struct_of("_f", keys).alias("first_key"),
         _struct_of("_l", keys).alias("last_key"), "first_val")
     key_struct = F.struct(*[F.col(k) for k in keys])
-    later = summary.select(F.col("_pid").alias("_q"), F.col("first_key").alias("_qk"),
+    later = summary.select(F.col("_p").alias("_q"), F.col("first_key").alias("_qk"),
                            F.col("first_val").alias("_qv")).filter(F.col("_qv").isNotNull())
     carry = (summary.join(later, (later["_qk"].eqNullSafe(summary["last_key"]))
-                          & (later["_q"] > summary["_pid"]), "inner")
-             .groupBy("_pid", "last_key")
+                          & (later["_q"] > summary["_p"]), "inner")
+             .groupBy("_p", "last_key")
              .agg(F.min_by("_qv", "_q").alias("_carry")))
 
     # carry has at most one row per partition: bounded, so broadcast.
-    out = local.join(F.broadcast(carry), "_pid", "left")
+    out = local.withColumn("_p", _start_struct(sort_cols))
+    out = out.join(F.broadcast(carry), out["_p"].eqNullSafe(carry["_p"]), "left")
     fixed = F.coalesce(F.col(out_col),
                        F.when(key_struct.eqNullSafe(F.col("last_key")), F.col("_carry")))
     return (out.withColumn(out_col, fixed)
-               .select(*[c for c in names if c != "_pid"]))
+               .select(*[c for c in names if c not in snames]))
+
+
+def split_next_known(df: DataFrame, keys: list[str], order: list[str], value_col: str,
+                     out_col: str, min_hot_rows: int = 100_000,
+                     num_partitions: int | None = None) -> DataFrame:
+    """Next-known-value fill that splits only the hot keys.
+
+    A key is hot when it holds more rows than one partition's fair share
+    (all rows / partitions) and at least ``min_hot_rows``. The hot keys --
+    at most ``partitions`` of them, written once -- go through the
+    range-partitioned scan; every other key uses a running window (JVM-side,
+    one task per key, each key small by construction). Without hot keys no
+    Python pass runs at all.
+    """
+    from .dedupe import broadcast_materialized
+
+    n = num_partitions or _num_partitions(df)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    fair = counts.agg(F.sum("_rows") / F.lit(n)).scalar()
+    hot = (counts.filter((F.col("_rows") > fair) & (F.col("_rows") >= min_hot_rows))
+                 .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
+    hot = broadcast_materialized(hot, max_rows=max(n, 1))
+    w = (Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def windowed(part: DataFrame) -> DataFrame:
+        return part.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
+
+    if hot.limit(1).count() == 0:
+        return windowed(df)
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)])
+    hot_cols = [f"_h{i}" for i in range(len(keys))]
+    normal = df.join(hot, cond, "left_anti")
+    heavy = df.join(hot, cond, "left_semi")
+    filled = ranged_next_known(heavy, keys, order, value_col, out_col, n)
+    out = windowed(normal)
+    return out.unionByName(filled.select(*out.columns)).drop(*[c for c in hot_cols
+                                                                 if c in out.columns])
 
 
 # ------------------------------------------------------------------ ranks
@@ -177,23 +227,24 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
     sort_cols = groups + [value_col]
     ranged = counts.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
 
+    starts = _start_fields(counts, sort_cols)
+    snames = [f.name for f in starts]
     out_schema = T.StructType(
-        counts.schema.fields
-        + [T.StructField("_local", T.LongType(), False),
-           T.StructField("_pid", T.IntegerType(), False)])
+        counts.schema.fields + [T.StructField("_local", T.LongType(), False)] + starts)
     names = [f.name for f in out_schema.fields]
 
     def local_cum(batches):
         pdf = _concat(batches)
         if pdf is None:
             return
-        pid = _partition_id()
+        first = pdf[sort_cols].iloc[0]
         if groups:
             cum = pdf["_cnt"].groupby([pdf[g] for g in groups], sort=False,
                                       dropna=False).cumsum()
         else:
             cum = pdf["_cnt"].cumsum()
-        pdf = pdf.assign(_local=(cum - pdf["_cnt"]).astype("int64"), _pid=pid)
+        pdf = pdf.assign(_local=(cum - pdf["_cnt"]).astype("int64"),
+                         **{s: [first.iloc[i]] * len(pdf) for i, s in enumerate(snames)})
         yield from _slices(pdf, names)
 
     ranged = _shared(ranged)
@@ -201,23 +252,24 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
 
     # Only the first group of a partition can have rows in earlier
     # partitions. Edge summary from a light streamed pass over the same
-    # (reused) exchange: first group, last group, and the last group's
-    # count inside the partition.
+    # (reused) exchange: partition start, first group, last group, and the
+    # last group's count inside the partition.
     gcols = groups if groups else []
     gfields = [T.StructField(f"_f{i}", counts.schema[g].dataType, True)
                for i, g in enumerate(gcols)]
     lfields = [T.StructField(f"_l{i}", counts.schema[g].dataType, True)
                for i, g in enumerate(gcols)]
-    edge_schema = T.StructType([T.StructField("_pid", T.IntegerType(), False)] + gfields
-                               + lfields + [T.StructField("last_tot", T.LongType(), False)])
+    edge_schema = T.StructType(starts + gfields + lfields
+                               + [T.StructField("last_tot", T.LongType(), False)])
 
     def edge_rows(batches):
-        first = last = None
+        start = first = last = None
         tot = 0
         for b in batches:
             if not len(b):
                 continue
             if first is None:
+                start = tuple(b[sort_cols].iloc[0])
                 first = tuple(b[gcols].iloc[0]) if gcols else ()
             end = tuple(b[gcols].iloc[-1]) if gcols else ()
             tail = _same(b, gcols, end)[::-1].cummin()[::-1] if gcols else None
@@ -228,23 +280,24 @@ def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
             tot = (tot + part) if (whole and same_as_before) else part
             last = end
         if first is not None:
-            yield pd.DataFrame([(_partition_id(), *first, *last, tot)],
+            yield pd.DataFrame([(*start, *first, *last, tot)],
                                columns=[f.name for f in edge_schema.fields])
 
     gstruct = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
     edges = ranged.mapInPandas(edge_rows, edge_schema).select(
-        "_pid",
+        _start_struct(sort_cols).alias("_p"),
         (_struct_of("_f", groups) if groups else F.lit(0)).alias("first_g"),
         (_struct_of("_l", groups) if groups else F.lit(0)).alias("last_g"),
         "last_tot")
-    prev = edges.select(F.col("_pid").alias("_q"), F.col("last_g").alias("_qg"),
+    prev = edges.select(F.col("_p").alias("_q"), F.col("last_g").alias("_qg"),
                         F.col("last_tot").alias("_qt"))
     offsets = (edges.join(prev, (prev["_qg"].eqNullSafe(edges["first_g"]))
-                          & (prev["_q"] < edges["_pid"]), "inner")
-               .groupBy("_pid", "first_g").agg(F.sum("_qt").alias("_off")))
+                          & (prev["_q"] < edges["_p"]), "inner")
+               .groupBy("_p", "first_g").agg(F.sum("_qt").alias("_off")))
 
     # offsets: at most one row per partition -> broadcast.
-    out = local.join(F.broadcast(offsets), "_pid", "left")
+    out = local.withColumn("_p", _start_struct(sort_cols))
+    out = out.join(F.broadcast(offsets), out["_p"].eqNullSafe(offsets["_p"]), "left")
     before = F.col("_local") + F.when(gstruct.eqNullSafe(F.col("first_g")),
                                       F.coalesce(F.col("_off"), F.lit(0))).otherwise(0)
     return out.select(*groups, value_col, "_cnt", before.cast("long").alias("_before"))

@@ -90,3 +90,42 @@ def test_ranged_scans_with_tiny_arrow_batches(spark):
             assert b == int((part["v"] < v).sum())
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_split_fill_routes_hot_keys_through_the_ranged_scan(spark):
+    # A hot key above the fair share goes through the ranged scan, the rest
+    # through the window; together they equal the window form. Includes a
+    # hot null key (null-safe routing) and small keys.
+    from regpanel.operators import scan
+    rnd = random.Random(9)
+    data = []
+    for i in range(3000):
+        k = None if i % 3 == 0 else ("hot" if i % 3 == 1 else f"k{i % 50}")
+        data.append((k, i, None if rnd.random() < 0.8 else float(i)))
+    df = spark.createDataFrame(data, "k string, t long, v double").repartition(6)
+    got = scan.split_next_known(df, ["k"], ["t"], "v", "f", min_hot_rows=100, num_partitions=8)
+    ref = iv.next_known_fill(df, "k", ["t"], "v", "f", method="window")
+    assert rows(got, "k", "t", "f") == rows(ref, "k", "t", "f")
+    assert set(got.columns) == set(ref.columns)
+
+
+def test_ranged_scans_under_a_union(spark):
+    # Under a union the task partition id is shifted by the other branch's
+    # partitions; partition identity must come from the data instead.
+    from regpanel.operators import scan
+    df = _random_snapshots(spark, n=2000, seed=3)
+    other = df.limit(50).withColumn("f", F.lit(None).cast("string")).repartition(5)
+    filled = iv.next_known_fill(df, "tin", ["d", "uid"], "extra", "f", method="ranged")
+    w = (Window.partitionBy("tin").orderBy("d", "uid")
+         .rowsBetween(0, Window.unboundedFollowing))
+    ref = df.withColumn("f", F.first("extra", ignorenulls=True).over(w))
+    u = other.unionByName(filled.select(*other.columns))
+    got_rows = rows(u.filter(F.col("uid").isNotNull()).exceptAll(other), "uid", "f")
+    assert got_rows == rows(ref, "uid", "f")
+    vals = df.select("tin", F.col("day").cast("double").alias("v"))
+    r = scan.value_ranks(vals, ["tin"], "v", num_partitions=6)
+    pad = r.limit(3).repartition(4)
+    got = {(t, v): b for t, v, _, b in pad.unionByName(r).exceptAll(pad).collect()}
+    pdf = vals.toPandas()
+    for (t, v), b in got.items():
+        assert b == int((pdf[(pdf["tin"] == t)]["v"] < v).sum())
