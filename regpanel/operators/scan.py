@@ -178,37 +178,28 @@ def split_next_known(df: DataFrame, keys: list[str], order: list[str], value_col
     """Next-known-value fill that splits only the hot keys.
 
     A key is hot when it holds more rows than one partition's fair share
-    (all rows / partitions) and at least ``min_hot_rows``. The hot keys --
-    at most ``partitions`` of them, written once -- go through the
-    range-partitioned scan; every other key uses a running window (JVM-side,
-    one task per key, each key small by construction). Without hot keys no
-    Python pass runs at all.
+    (all rows / partitions) and at least ``min_hot_rows``. Hot keys go
+    through the range-partitioned scan; every other key uses a running
+    window (JVM-side, one task per key, each key small by construction).
+    Fewer than ``partitions`` keys can exceed the fair share, so the hot-key
+    set has a proven bound and is broadcast; the plan stays lazy (the fair
+    share is a scalar subquery), and Python only sees the hot keys' rows.
     """
-    from .dedupe import broadcast_materialized
-
     n = num_partitions or _num_partitions(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     fair = counts.agg(F.sum("_rows") / F.lit(n)).scalar()
-    hot = (counts.filter((F.col("_rows") > fair) & (F.col("_rows") >= min_hot_rows))
-                 .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
-    hot = broadcast_materialized(hot, max_rows=max(n, 1))
-    w = (Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    def windowed(part: DataFrame) -> DataFrame:
-        return part.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-
-    if hot.limit(1).count() == 0:
-        return windowed(df)
+    hot = F.broadcast(
+        counts.filter((F.col("_rows") > fair) & (F.col("_rows") >= min_hot_rows))
+              .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)])
-    hot_cols = [f"_h{i}" for i in range(len(keys))]
-    normal = df.join(hot, cond, "left_anti")
-    heavy = df.join(hot, cond, "left_semi")
-    filled = ranged_next_known(heavy, keys, order, value_col, out_col, n)
-    out = windowed(normal)
-    return out.unionByName(filled.select(*out.columns)).drop(*[c for c in hot_cols
-                                                                 if c in out.columns])
+    w = (Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    normal = df.join(hot, cond, "left_anti").withColumn(
+        out_col, F.last(value_col, ignorenulls=True).over(w))
+    heavy = ranged_next_known(df.join(hot, cond, "left_semi"), keys, order, value_col,
+                              out_col, n)
+    return normal.unionByName(heavy.select(*normal.columns))
 
 
 # ------------------------------------------------------------------ ranks
