@@ -17,7 +17,7 @@ def aggregate_registry(snapshots: DataFrame,
                        excluded_regions: Sequence[str] = tuple(EXCLUDED_REGIONS),
                        state_columns: Sequence[str] = tuple(STATE_COLUMNS),
                        upper: Sequence[str] = tuple(UPPER_COLUMNS),
-                       fill_method: str = "ranged") -> DataFrame:
+                       fill_method: str = "split") -> DataFrame:
     """Registry snapshots -> one row per distinct entity state with
     ``[start_date, end_date]`` (first and last snapshot date of that state).
 
