@@ -204,17 +204,46 @@ def split_next_known(df: DataFrame, keys: list[str], order: list[str], value_col
 
 # ------------------------------------------------------------------ ranks
 def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, method: str = "split",
+                min_hot_values: int = 100_000) -> DataFrame:
     """Distinct values per group with their multiplicity and position.
 
     Returns ``groups..., value_col, _cnt, _before`` where ``_before`` is the
     number of rows of the group with a smaller value. Nulls are excluded.
     Average (tie-aware) rank = ``_before + (_cnt + 1) / 2``.
+
+    ``method="split"`` (default): groups with more distinct values than a
+    partition's fair share (and at least ``min_hot_values``) -- fewer than
+    ``partitions`` of them, broadcast -- take the range-partitioned scan;
+    the others a running sum over a JVM window. Without groups the single
+    group always takes the range-partitioned scan. ``method="ranged"``:
+    every group through the range-partitioned scan.
     """
     groups = list(groups)
     n = num_partitions or _num_partitions(df)
     counts = (df.filter(F.col(value_col).isNotNull())
                 .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
+    if not groups or method == "ranged":
+        return _ranged_ranks(counts, groups, value_col, n)
+    sizes = counts.groupBy(*groups).agg(F.count(F.lit(1)).alias("_nv"))
+    fair = sizes.agg(F.sum("_nv") / F.lit(n)).scalar()
+    hot = F.broadcast(
+        sizes.filter((F.col("_nv") > fair) & (F.col("_nv") >= min_hot_values))
+             .select(*[F.col(g).alias(f"_h{i}") for i, g in enumerate(groups)]))
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(g).eqNullSafe(F.col(f"_h{i}")) for i, g in enumerate(groups)])
+    w = (Window.partitionBy(*groups).orderBy(value_col)
+         .rowsBetween(Window.unboundedPreceding, -1))
+    normal = (counts.join(hot, cond, "left_anti")
+                    .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))
+                                .cast("long")))
+    heavy = _ranged_ranks(counts.join(hot, cond, "left_semi"), groups, value_col, n)
+    return normal.select(*groups, value_col, "_cnt", "_before").unionByName(heavy)
+
+
+def _ranged_ranks(counts: DataFrame, groups: list[str], value_col: str,
+                  n: int) -> DataFrame:
+    """``value_ranks`` through the range-partitioned scan."""
     sort_cols = groups + [value_col]
     ranged = counts.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
 

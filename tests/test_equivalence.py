@@ -129,3 +129,13 @@ def test_ranged_scans_under_a_union(spark):
     pdf = vals.toPandas()
     for (t, v), b in got.items():
         assert b == int((pdf[(pdf["tin"] == t)]["v"] < v).sum())
+
+
+def test_grouped_ranks_split_matches_ranged(spark):
+    from regpanel.operators import scan
+    df = _random_snapshots(spark, n=2500, seed=21).select(
+        "tin", "state", F.col("day").cast("double").alias("v"))
+    a = scan.value_ranks(df, ["tin", "state"], "v", num_partitions=7, min_hot_values=5)
+    b = scan.value_ranks(df, ["tin", "state"], "v", num_partitions=7, method="ranged")
+    cols = ["tin", "state", "v", "_cnt", "_before"]
+    assert rows(a, *cols) == rows(b, *cols)
