@@ -35,6 +35,9 @@ from ..operators.reshape import cities_standard, joint_geodata
 from ..session import cut_lineage
 
 
+ADDRESS_BROADCAST_ROWS = 250_000
+
+
 def _canon(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: canonical_text(c) for c in columns})
 
@@ -97,8 +100,10 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
                              out_type="type")
     mapping = mapped.select(*[f"_raw_{c}" for c in ADDRESS_COLUMNS], "geo_id", "type",
                             F.col("region").alias("_addr_region"))
-    # One row per distinct address: written once, broadcast when small.
-    mapping = broadcast_materialized(mapping)
+    # One row per distinct address (eight text columns wide): written once,
+    # broadcast only up to ADDRESS_BROADCAST_ROWS (~100 MB), else joined by
+    # a shuffle -- the records side is the big one either way.
+    mapping = broadcast_materialized(mapping, max_rows=ADDRESS_BROADCAST_ROWS)
 
     # Records -> their address mapping (null-safe on all address parts).
     cond = reduce(lambda a, b: a & b, [records[c].eqNullSafe(mapping[f"_raw_{c}"])
