@@ -6,7 +6,7 @@ run -- and let a stage be re-run alone, like the source tool's stage
 commands. Layout::
 
     base/download/{smb,revexp,empl}/*.zip   input archives
-    base/extract/{ds}/_status={ok,quarantine}/   base/extract/{ds}-manifest/
+    base/extract/{ds}/_archive=…/_status={ok,quarantine}/   base/extract/{ds}-manifest/
     base/aggregate/{ds}/ base/geocode/     base/panel/ (Parquet)  base/panel-csv/
 """
 
@@ -81,12 +81,14 @@ def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> Da
     with the dataset's explicit schema and ``dd.MM.yyyy`` dates (S1)."""
     local = path.replace("file:", "")
     has_parquet = os.path.isdir(local) and any(
-        n.endswith(".parquet") or n.startswith("part-") and ".csv" not in n
+        n.endswith(".parquet") or n.startswith(("_archive=", "_status="))
+        or (n.startswith("part-") and ".csv" not in n)
         for n in os.listdir(local))
-    if "://" in path or has_parquet or os.path.isdir(os.path.join(local, "_status=ok")):
+    if "://" in path or has_parquet:
         df = spark.read.parquet(path)
         if "_status" in df.columns:   # extraction output: documents only
-            df = df.filter(F.col("_status") == "ok").drop("_status", "_corrupt_record")
+            df = (df.filter(F.col("_status") == "ok")
+                    .drop("_status", "_corrupt_record", "_archive"))
         return df
     from ..sources.csv import read_snapshots
     from ..sources.schemas import INPUT_DATE_FORMAT, SCHEMAS
@@ -110,13 +112,18 @@ def run_extract(spark: SparkSession, base: str, dims: Dimensions,
         m = metrics if metrics is not None else {}
         # One job: every member is inflated and parsed once; documents and
         # quarantined members land in the _status=ok / _status=quarantine
-        # partitions of the same table.
+        # partitions of the same table. Partitioned by archive and written
+        # with dynamic overwrite: a run that dies before recording the
+        # manifest re-extracts those archives into their own partitions
+        # instead of appending duplicates.
         obs = Observation(f"extract_{ds}")
         m[f"extract_{ds}"] = _StatusCount(obs, "ok")
         m[f"quarantine_{ds}"] = _StatusCount(obs, "quarantine")
-        (ex.parsed.observe(obs, F.count_if(F.col("_status") == "ok").alias("ok"),
-                           F.count_if(F.col("_status") == "quarantine").alias("quarantine"))
-           .write.mode("append").partitionBy("_status").parquet(_p(base, "extract", ds)))
+        (ex.parsed.withColumn("_archive", F.substring_index("archive", "/", -1))
+           .observe(obs, F.count_if(F.col("_status") == "ok").alias("ok"),
+                    F.count_if(F.col("_status") == "quarantine").alias("quarantine"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_archive", "_status").parquet(_p(base, "extract", ds)))
         record_ingested(ex.archives, manifest)
 
 

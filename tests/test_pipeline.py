@@ -74,7 +74,13 @@ def test_pipeline_end_to_end(spark):
     assert os.path.isdir(os.path.join(base, "panel-csv"))
     # A second run with no new archives appends nothing to the extract.
     run_all(spark, base, dims)
-    from regpanel.plans.pipeline import read_stage
+    from regpanel.plans.pipeline import read_stage, run_extract
+    assert read_stage(spark, os.path.join(base, "extract", "smb"), "smb").count() == 5
+    # A run that died before recording its manifest re-reads those archives:
+    # their partitions are replaced, nothing is duplicated.
+    from regpanel.sources.archive import reset_manifest
+    reset_manifest(spark, os.path.join(base, "extract", "smb-manifest"))
+    run_extract(spark, base, dims)
     assert read_stage(spark, os.path.join(base, "extract", "smb"), "smb").count() == 5
 
 
