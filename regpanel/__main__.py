@@ -1,6 +1,6 @@
 """Run pipeline stages as a Spark application (``spark-submit`` entry point).
 
-    spark-submit -m regpanel all --base s3://bucket/ru-smb-data \\
+    spark-submit --py-files regpanel.zip scripts/run_pipeline.py all --base s3://bucket/data \\
         --cities cities.csv --cities cities_additional.csv --settlements settlements.csv \\
         --abbr abbr.csv --classifier activity_codes_classifier.csv --ac 10.10 --ac D
 
