@@ -79,8 +79,8 @@ def spearman(df: DataFrame, x: str, y: str, groups: Sequence[str] = (),
             ok = ok & ~F.isnan(F.col(c))
         return ok
 
-    pairs = df.select(*groups, x, y).filter(present(x) & present(y))
-    ranked = average_ranks(pairs, groups, {x: "_rx", y: "_ry"})
+    pairs = df.select(*groups, *dict.fromkeys([x, y])).filter(present(x) & present(y))
+    ranked = average_ranks(pairs, groups, [(x, "_rx"), (y, "_ry")])
     # Pearson on the ranks. Spelled as covariance / (sd * sd) with
     # try_divide: under ANSI mode ``corr`` raises on a group whose ranks do
     # not vary (pandas gives NaN there); here such a group gets null.

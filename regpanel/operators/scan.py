@@ -332,13 +332,17 @@ def average_rank(df: DataFrame, groups: Sequence[str], value_col: str,
     return df.join(r, on=list(groups) + [value_col], how="left")
 
 
-def average_ranks(df: DataFrame, groups: Sequence[str], columns: dict[str, str]) -> DataFrame:
+def average_ranks(df: DataFrame, groups: Sequence[str],
+                  columns: dict[str, str] | Sequence[tuple[str, str]]) -> DataFrame:
     """Tie-averaged ranks of several numeric columns within ``groups`` in one
     range pass: the columns are stacked into ``(_var, _val)`` rows, ranked
     per ``groups + _var``, and each rank is joined back on its value.
-    ``columns`` maps value column -> output rank column."""
+    ``columns``: value column -> output rank column (a mapping, or pairs when
+    one column is ranked under two names)."""
     groups = list(groups)
-    names = list(columns)
+    pairs = list(columns.items()) if isinstance(columns, dict) else list(columns)
+    names = [c for c, _ in pairs]
+    outs = [o for _, o in pairs]
     long = df.select(*groups, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_var"), F.col(c).cast("double").alias("_val"))
         for i, c in enumerate(names)])).alias("_s")).select(*groups, "_s.*")
@@ -351,7 +355,7 @@ def average_ranks(df: DataFrame, groups: Sequence[str], columns: dict[str, str])
         gk = {g: f"_g{i}_{g}" for g in groups}
         ri = r.filter(F.col("_var") == i).select(
             *[F.col(g).alias(gk[g]) for g in groups], F.col("_val").alias(f"_v{i}"),
-            F.col("_rank").alias(columns[c]))
+            F.col("_rank").alias(outs[i]))
         cond = [F.col(c).cast("double") == F.col(f"_v{i}")]
         cond += [F.col(g).eqNullSafe(F.col(gk[g])) for g in groups]
         out = (out.join(ri, reduce(lambda a, b: a & b, cond), "left")
