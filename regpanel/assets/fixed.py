@@ -94,6 +94,13 @@ PRODUCT_COLUMNS = [
 ]
 
 
+# Type words written before the name when composing "name type" (P10).
+# The shipped geocoder never matches them (it composes with upper-cased
+# expansions), so ``geocode(prepend_types=())`` is its behaviour; pass this
+# list for the exploratory variant that does prepend them.
+PREPEND_TYPES = ["Город", "Республика", "Поселок", "Поселок городского типа",
+                 "Рабочий поселок"]
+
 # ---- fixed values: validation against published statistics (C8) -------
 # Statistics region names that the resolver cannot map, overridden by hand.
 STATISTICS_REGION_FIXES = {
