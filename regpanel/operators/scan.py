@@ -20,7 +20,7 @@ must not coalesce them differently for the two passes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 import pandas as pd
@@ -48,15 +48,6 @@ def _shared(local: DataFrame) -> DataFrame:
     return cut_lineage(local)
 
 
-OUT_ROWS = 100_000
-
-
-def _slices(pdf: pd.DataFrame, names: list[str]) -> Iterator[pd.DataFrame]:
-    """Yield the partition back in bounded Arrow batches."""
-    for i in range(0, len(pdf), OUT_ROWS):
-        yield pdf.iloc[i:i + OUT_ROWS][names]
-
-
 def _same(frame: pd.DataFrame, cols: list[str], key: tuple) -> pd.Series:
     """Row mask: ``frame[cols]`` equals ``key`` (nulls equal)."""
     mask = pd.Series(True, index=frame.index)
@@ -70,13 +61,6 @@ def _struct_of(prefix: str, names: list[str]):
     return F.struct(*[F.col(f"{prefix}{i}").alias(n) for i, n in enumerate(names)])
 
 
-def _concat(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
-    parts = [b for b in batches if len(b)]
-    if not parts:
-        return None
-    return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-
-
 # ------------------------------------------------------------------ W1
 def _start_fields(df: DataFrame, sort_cols: list[str]) -> list[T.StructField]:
     return [T.StructField(f"_ps{i}", df.schema[c].dataType, True)
@@ -107,15 +91,27 @@ def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
     names = [f.name for f in out_schema.fields]
 
     def local_fill(batches):
-        pdf = _concat(batches)
-        if pdf is None:
-            return
-        first = pdf[sort_cols].iloc[0]
-        grp = [pdf[k] for k in keys]
-        filled = pdf[value_col].groupby(grp, sort=False, dropna=False).bfill()
-        pdf = pdf.assign(**{out_col: filled},
-                         **{s: [first.iloc[i]] * len(pdf) for i, s in enumerate(snames)})
-        yield from _slices(pdf, names)
+        # Streamed: a row leaves as soon as its fill is known; only the
+        # trailing null run of the current last key waits for later batches.
+        first, pending = None, None
+        for b in batches:
+            if not len(b):
+                continue
+            if first is None:
+                first = tuple(b[sort_cols].iloc[0])
+            cur = b if pending is None else pd.concat([pending, b], ignore_index=True)
+            filled = cur[value_col].groupby([cur[k] for k in keys], sort=False,
+                                            dropna=False).bfill()
+            hold = _same(cur, keys, tuple(cur[keys].iloc[-1])) & filled.isna()
+            done = cur[~hold].assign(**{out_col: filled[~hold]})
+            if len(done):
+                yield done.assign(**{sn: [first[i]] * len(done)
+                                     for i, sn in enumerate(snames)})[names]
+            pending = cur[hold]
+        if pending is not None and len(pending):
+            rest = pending.assign(**{out_col: None})
+            yield rest.assign(**{sn: [first[i]] * len(rest)
+                                 for i, sn in enumerate(snames)})[names]
 
     ranged = _shared(ranged)
     local = ranged.mapInPandas(local_fill, out_schema)
@@ -254,18 +250,31 @@ def _ranged_ranks(counts: DataFrame, groups: list[str], value_col: str,
     names = [f.name for f in out_schema.fields]
 
     def local_cum(batches):
-        pdf = _concat(batches)
-        if pdf is None:
-            return
-        first = pdf[sort_cols].iloc[0]
-        if groups:
-            cum = pdf["_cnt"].groupby([pdf[g] for g in groups], sort=False,
-                                      dropna=False).cumsum()
-        else:
-            cum = pdf["_cnt"].cumsum()
-        pdf = pdf.assign(_local=(cum - pdf["_cnt"]).astype("int64"),
-                         **{s: [first.iloc[i]] * len(pdf) for i, s in enumerate(snames)})
-        yield from _slices(pdf, names)
+        # Streamed: counts before each value within its group, carrying the
+        # running total of the group that continues across batch boundaries.
+        first, carry_group, carry = None, None, 0
+        for b in batches:
+            if not len(b):
+                continue
+            if first is None:
+                first = tuple(b[sort_cols].iloc[0])
+            if groups:
+                cum = b["_cnt"].groupby([b[g] for g in groups], sort=False,
+                                        dropna=False).cumsum()
+                lead = (_same(b, groups, carry_group).cummin() if carry_group is not None
+                        else pd.Series(False, index=b.index))
+                last = tuple(b[groups].iloc[-1])
+                tail = _same(b, groups, last)[::-1].cummin()[::-1]
+            else:
+                cum = b["_cnt"].cumsum()
+                lead = pd.Series(True, index=b.index)
+                last, tail = (), pd.Series(True, index=b.index)
+            before = cum - b["_cnt"] + lead.astype("int64") * carry
+            total_tail = int(b["_cnt"][tail].sum())
+            carry = (carry + total_tail) if bool(tail.all() and lead.all()) else total_tail
+            carry_group = last
+            yield b.assign(_local=before.astype("int64"),
+                           **{sn: [first[i]] * len(b) for i, sn in enumerate(snames)})[names]
 
     ranged = _shared(ranged)
     local = ranged.mapInPandas(local_cum, out_schema)
