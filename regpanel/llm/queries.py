@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_packing, op3_bpe, op4_minhash, op5_urls, op6_quality, op7_chat, op9_exact
+from . import op1_toxicity, op2_packing, op3_bpe, op4_minhash, op5_urls, op6_quality, op7_chat, op8_html, op9_exact, op10_ann
 from .common import read_table
 
 
@@ -47,6 +48,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_exact.exact_duplicates(read_table(spark, sf_dir, "documents"), op9_exact.half_by_id())
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_html.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
+def op10_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_ann.neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 OP9_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -61,11 +70,14 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_quality": op6_quality_scores,
     "op7_chat_format": op7_chat_format,
+    "op8_main_text": op8_main_text,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_permutation_search": op10_permutation_search,
 }
 
 ORACLE_SQL = {
     "op5_url_filter": op5_urls.ORACLE_SQL,
     "op7_chat_format": op7_chat.ORACLE_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op10_permutation_search": op10_ann.ORACLE_SQL,
 }
