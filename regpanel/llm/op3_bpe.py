@@ -100,14 +100,15 @@ class Pairs(dict):
         self[pair] = fits = self.compatible(pair >> 32, pair & 0xFFFFFFFF)
         return fits
 
-    def compatible(self, left: int, right: int) -> bool:
-        """Walks back through the states of the two tokens' facing ends, latest merge first."""
+    def compatible(self, left: int, right: int, ends: int | None = None) -> bool:
+        """Walks back through the states of the two tokens' facing ends, latest merge first.
+        ``ends``: the rank of the merge that joins the two, if they are parts of one token."""
         never = len(self.rank)
-        left_ends = right_ends = never
+        left_ends = right_ends = never if ends is None else ends
         while True:
             across = self.rank.get((left, right), never)
             # Of equal merges the leftmost goes first.
-            if across < left_ends and across <= right_ends and across < never:
+            if across < left_ends and across <= right_ends:
                 return False
             made_left, made_right = self.made.get(left), self.made.get(right)
             if made_left is None and made_right is None:
@@ -142,8 +143,13 @@ class Codec:
         special = {i for _, i in vocabulary.special}
         self.pairs = Pairs(vocabulary)
         self.automaton = ahocorasick.Automaton()
+        # A token that the merges never make out of its own letters is in no encoding.
+        unmade = set()
+        for rank, (a, b, token) in enumerate(vocabulary.merges):
+            if a in unmade or b in unmade or not self.pairs.compatible(a, b, rank):
+                unmade.add(token)
         for i, name in enumerate(vocabulary.tokens):
-            if name and i not in special:
+            if name and i not in special and i not in unmade:
                 unit = name.removesuffix(WORD_END) + END if name.endswith(WORD_END) else name
                 self.automaton.add_word(unit, (len(unit), i))
         self.automaton.make_automaton()
