@@ -7,7 +7,7 @@ for hulls, and ``row_number() = 1`` for latest-revision picks, which Spark
 plans with a partial WindowGroupLimit on the map side. A key that holds a
 third of all rows thus reaches its reducer as one row per map task. The
 unbounded-following windows of the source pipeline (quadratic per key) are
-gone; order-dependent fills use the range-partitioned scans in ``scan``.
+gone; order-dependent fills use the bucketed scans in ``scan``.
 """
 
 from __future__ import annotations
@@ -87,18 +87,16 @@ def latest_revision_window(df: DataFrame, keys: Sequence[str], revision_col: str
 # --------------------------------------------------------------------- W1
 def next_known_fill(df: DataFrame, key: Sequence[str] | str, order: Sequence[str],
                     value_col: str, out_col: str | None = None,
-                    method: str = "split") -> DataFrame:
+                    method: str = "bucketed", buckets: int | None = None) -> DataFrame:
     """Replace each value by the first non-null value at or after the row.
 
     Within ``key`` ordered by ``order`` (which must be unique per key for a
-    deterministic answer). Trailing nulls stay null.
+    deterministic answer). Trailing nulls stay null; a NaN is a known value.
 
-    ``method="split"`` (default): keys larger than a partition's fair share
-    are range-partitioned (split over many tasks, edges stitched by a table
-    of one row per partition); all other keys use a running window.
-    ``method="ranged"``: every key through the range-partitioned scan.
+    ``method="bucketed"`` (default): every key is cut into order buckets
+    (``scan``), so a hot key is filled by many tasks.
     ``method="window"``: a running window over the reversed order for every
-    key (one task per key -- a hot key lands in one task).
+    key (one task per key -- a hot key lands in one task). Both give equal rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
     out_col = out_col or value_col
@@ -107,10 +105,10 @@ def next_known_fill(df: DataFrame, key: Sequence[str] | str, order: Sequence[str
              .orderBy(*[F.col(c).desc() for c in order])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-    from .scan import ranged_next_known, split_next_known
-    if method == "ranged":
-        return ranged_next_known(df, keys, list(order), value_col, out_col)
-    return split_next_known(df, keys, list(order), value_col, out_col)
+    if method != "bucketed":
+        raise ValueError(f"unknown method {method!r}")
+    from .scan import bucketed_next_known
+    return bucketed_next_known(df, keys, list(order), value_col, out_col, buckets)
 
 
 # --------------------------------------------------------------------- W4

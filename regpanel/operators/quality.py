@@ -1,6 +1,6 @@
 """Profiling and validation operators.
 
-Everything is an aggregate with map-side combine, or the range-partitioned
+Everything is an aggregate with map-side combine, or the bucketed
 rank machinery in ``scan`` -- no global window, no ``percentile`` buffer
 holding a whole column in one task.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scan import average_ranks, exact_quantiles
+from .scan import exact_quantiles, rank_correlation
 
 
 def group_counts(df: DataFrame, keys: Sequence[str], out: str = "count") -> DataFrame:
@@ -23,11 +23,12 @@ def group_counts(df: DataFrame, keys: Sequence[str], out: str = "count") -> Data
 
 def group_sums(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                drop_null_keys: bool = True) -> DataFrame:
-    """A5: sum of several measures per group. Groups with a null key part
-    are dropped by default (pandas ``groupby`` semantics)."""
+    """A5: sum of several measures per group; a group without any value sums to
+    0. Groups with a null key part are dropped by default (pandas ``groupby``
+    semantics)."""
     if drop_null_keys:
         df = df.na.drop(subset=list(keys))
-    return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -69,8 +70,8 @@ def spearman(df: DataFrame, x: str, y: str, groups: Sequence[str] = (),
     """Spearman rank correlation (average ranks for ties) of ``x`` and
     ``y``, over rows where both are present; per group when given.
 
-    Ranks come from ``scan.value_ranks`` (range-partitioned, no global
-    window); the correlation itself is a partial aggregate.
+    Values are ranked in their own type (``scan.rank_correlation``: no cast, no
+    global window). A group whose ranks do not vary gets null (pandas gives NaN).
     """
     groups = list(groups)
     def present(c):  # pandas treats NaN as missing too
@@ -80,10 +81,4 @@ def spearman(df: DataFrame, x: str, y: str, groups: Sequence[str] = (),
         return ok
 
     pairs = df.select(*groups, *dict.fromkeys([x, y])).filter(present(x) & present(y))
-    ranked = average_ranks(pairs, groups, [(x, "_rx"), (y, "_ry")])
-    # Pearson on the ranks. Spelled as covariance / (sd * sd) with
-    # try_divide: under ANSI mode ``corr`` raises on a group whose ranks do
-    # not vary (pandas gives NaN there); here such a group gets null.
-    r = F.try_divide(F.covar_samp("_rx", "_ry"),
-                     F.stddev_samp("_rx") * F.stddev_samp("_ry"))
-    return ranked.groupBy(*groups).agg(r.alias(out), F.count(F.lit(1)).alias("n"))
+    return rank_correlation(pairs, groups, x, y, out)

@@ -2,412 +2,176 @@
 
 A ``Window.partitionBy(key)`` sends every row of a key to one task. When a
 single key (an entity, a group) can hold a third of the table, that task
-holds a third of the data. The operators here instead range-partition on
-``(key, order)``: Spark samples the bounds, so a hot key is split over many
-contiguous partitions. Each partition is scanned locally (vectorised pandas
-inside ``mapInPandas``), and the partition edges are stitched with a table
-that has one row per partition -- a proven bound, so it is broadcast.
-
-The edge summary comes from a second, light ``mapInPandas`` pass (one row
-per partition, batches streamed) over the *same* range-partitioned input, so
-both passes read one exchange: Spark reuses it within the plan (its range
-bounds are sampled once; a lost executor re-runs map tasks against the same
-bounds). Independent range exchanges would sample different bounds, so when
-exchange reuse is switched off the range-partitioned input is checkpointed
-instead. The exchanges use a fixed width (``regpanel.scan.partitions``): AQE
-must not coalesce them differently for the two passes.
+holds a third of the data. The operators here cut every key's order into
+*order buckets* first: a window runs per ``(key, bucket)``, an aggregate with
+map-side combine summarises each bucket (its first known value, its row
+count), and a window over the small bucket table carries the summary from
+bucket to bucket. Everything is a JVM operator, so values keep their type
+(64-bit integers, decimals, NaN), and there is one path for every key size.
+
+Bucket bounds are approximate quantiles of the order column, taken over the
+whole input by one lazy scalar subquery. A bucket is the number of bounds
+below the value, compared in the column's own type, so it is monotone in the
+order whatever the bounds are: bounds decide the balance of the tasks, never
+the result. The number of buckets is ``regpanel.scan.partitions`` (the shuffle
+width where that is unset). Order columns that have no quantiles (strings) form one
+bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_MEASURED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def _num_partitions(df: DataFrame) -> int:
-    """Range partitions of an ordered scan. Fixed per scan on purpose: AQE
-    must not coalesce them (both consumers must see identical partitions),
-    so size them for the data with ``regpanel.scan.partitions`` (e.g. input
-    bytes / 256 MB); the shuffle partition count is the fallback."""
+
+def _num_buckets(df: DataFrame) -> int:
     conf = df.sparkSession.conf
-    return int(conf.get("regpanel.scan.partitions", None)
-               or conf.get("spark.sql.shuffle.partitions"))
+    return max(16, int(conf.get("regpanel.scan.partitions", None)
+                       or conf.get("spark.sql.shuffle.partitions")))
 
 
-def _shared(local: DataFrame) -> DataFrame:
-    """Make ``local`` safe to consume twice (see module docstring)."""
-    reuse = local.sparkSession.conf.get("spark.sql.exchange.reuse", "true")
-    if str(reuse).lower() == "true":
-        return local
-    from ..session import cut_lineage
-    return cut_lineage(local)
+def order_bucket(df: DataFrame, column: str, buckets: int | None = None) -> Column:
+    """Monotone bucket of ``column``: equal values share one, nulls are in the first,
+    NaN in the last. Bounds are looked up in two steps (every n-th, then those between)."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, _MEASURED):
+        return F.lit(0)
+    step = max(2, math.isqrt((buckets or _num_buckets(df)) - 1) + 1)
+    value = F.col(column)
+    measured = F.when(~F.isnan(value), value) if isinstance(kind, (T.FloatType, T.DoubleType)) else value
+    n = step * step
+    bounds = (df.agg(F.percentile_approx(measured, [i / n for i in range(1, n)], 10_000).alias("b"))
+              .select(F.struct(F.transform(F.sequence(F.lit(1), F.lit(step - 1)), lambda i: F.col("b")[i * step - 1]).alias("coarse"),
+                               F.col("b").alias("fine")).alias("s")).scalar())
 
+    def below(some: Column) -> Column:
+        # Bounds under the value: its place among them, less one.
+        return F.array_position(F.sort_array(F.array_append(some, value)), value) - 1
 
-def _same(frame: pd.DataFrame, cols: list[str], key: tuple) -> pd.Series:
-    """Row mask: ``frame[cols]`` equals ``key`` (nulls equal)."""
-    mask = pd.Series(True, index=frame.index)
-    for c, v in zip(cols, key):
-        col = frame[c]
-        mask &= (col.isna() if pd.isna(v) else (col == v).fillna(False))
-    return mask
+    coarse = below(bounds["coarse"]).cast("int")
+    found = coarse * step + below(F.slice(bounds["fine"], coarse * step + 1, F.lit(step - 1))).cast("int")
+    return F.coalesce(found, F.lit(0))
 
 
-def _struct_of(prefix: str, names: list[str]):
-    return F.struct(*[F.col(f"{prefix}{i}").alias(n) for i, n in enumerate(names)])
+def _key(columns: Sequence[str]) -> Column:
+    """Key columns as one column that is never null, so null parts meet in joins."""
+    return F.struct(*columns) if columns else F.struct(F.lit(0).alias("all"))
 
 
 # ------------------------------------------------------------------ W1
-def _start_fields(df: DataFrame, sort_cols: list[str]) -> list[T.StructField]:
-    return [T.StructField(f"_ps{i}", df.schema[c].dataType, True)
-            for i, c in enumerate(sort_cols)]
-
-
-def _start_struct(sort_cols: list[str]):
-    """A partition's identity: the sort key of its first row. Unique, and
-    increasing with the range order -- unlike the task's partition id, which
-    shifts when the scan sits under a union."""
-    return _struct_of("_ps", sort_cols)
-
-
-def ranged_next_known(df: DataFrame, keys: list[str], order: list[str],
-                      value_col: str, out_col: str,
-                      num_partitions: int | None = None) -> DataFrame:
+def bucketed_next_known(df: DataFrame, keys: list[str], order: list[str], value_col: str,
+                        out_col: str, buckets: int | None = None) -> DataFrame:
     """Next-known-value fill (see ``intervals.next_known_fill``)."""
-    n = num_partitions or _num_partitions(df)
-    sort_cols = keys + order
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    starts = _start_fields(df, sort_cols)
-    snames = [f.name for f in starts]
-
-    # Local fill inside each partition: backward fill within the key.
-    out_schema = T.StructType(
-        [f for f in df.schema.fields if f.name != out_col]
-        + [T.StructField(out_col, df.schema[value_col].dataType, True)] + starts)
-    names = [f.name for f in out_schema.fields]
-
-    def local_fill(batches):
-        # Streamed: a row leaves as soon as its fill is known; only the
-        # trailing null run of the current last key waits for later batches.
-        first, pending = None, None
-        for b in batches:
-            if not len(b):
-                continue
-            if first is None:
-                first = tuple(b[sort_cols].iloc[0])
-            cur = b if pending is None else pd.concat([pending, b], ignore_index=True)
-            filled = cur[value_col].groupby([cur[k] for k in keys], sort=False,
-                                            dropna=False).bfill()
-            hold = _same(cur, keys, tuple(cur[keys].iloc[-1])) & filled.isna()
-            done = cur[~hold].assign(**{out_col: filled[~hold]})
-            if len(done):
-                yield done.assign(**{sn: [first[i]] * len(done)
-                                     for i, sn in enumerate(snames)})[names]
-            pending = cur[hold]
-        if pending is not None and len(pending):
-            rest = pending.assign(**{out_col: None})
-            yield rest.assign(**{sn: [first[i]] * len(rest)
-                                 for i, sn in enumerate(snames)})[names]
-
-    ranged = _shared(ranged)
-    local = ranged.mapInPandas(local_fill, out_schema)
-
-    # Edge summary, one row per partition, from a light pass over the same
-    # (reused) exchange: its start, first key, that key's first known value,
-    # last key. Batches are streamed; only the first key's leading run is read.
-    kfields = [T.StructField(f"_f{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
-    lfields = [T.StructField(f"_l{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
-    edge_schema = T.StructType(
-        starts + kfields + lfields
-        + [T.StructField("first_val", df.schema[value_col].dataType, True)])
-
-    def edges(batches):
-        start = first = last = val = None
-        open_run = True
-        for b in batches:
-            if not len(b):
-                continue
-            if first is None:
-                start = tuple(b[sort_cols].iloc[0])
-                first = tuple(b[keys].iloc[0])
-            if open_run:
-                run = _same(b, keys, first)
-                lead = b[run.cummin()]          # the leading rows of the first key
-                known = lead[value_col].dropna()
-                if val is None and len(known):
-                    val = known.iloc[0]
-                    open_run = False
-                elif len(lead) < len(b):
-                    open_run = False
-            last = tuple(b[keys].iloc[-1])
-        if first is not None:
-            yield pd.DataFrame([(*start, *first, *last, val)],
-                               columns=[f.name for f in edge_schema.fields])
-
-    summary = ranged.mapInPandas(edges, edge_schema).select(
-        _start_struct(sort_cols).alias("_p"), _struct_of("_f", keys).alias("first_key"),
-        _struct_of("_l", keys).alias("last_key"), "first_val")
-    key_struct = F.struct(*[F.col(k) for k in keys])
-    later = summary.select(F.col("_p").alias("_q"), F.col("first_key").alias("_qk"),
-                           F.col("first_val").alias("_qv")).filter(F.col("_qv").isNotNull())
-    carry = (summary.join(later, (later["_qk"].eqNullSafe(summary["last_key"]))
-                          & (later["_q"] > summary["_p"]), "inner")
-             .groupBy("_p", "last_key")
-             .agg(F.min_by("_qv", "_q").alias("_carry")))
-
-    # carry has at most one row per partition: bounded, so broadcast.
-    out = local.withColumn("_p", _start_struct(sort_cols))
-    out = out.join(F.broadcast(carry), out["_p"].eqNullSafe(carry["_p"]), "left")
-    fixed = F.coalesce(F.col(out_col),
-                       F.when(key_struct.eqNullSafe(F.col("last_key")), F.col("_carry")))
-    return (out.withColumn(out_col, fixed)
-               .select(*[c for c in names if c not in snames]))
-
-
-def split_next_known(df: DataFrame, keys: list[str], order: list[str], value_col: str,
-                     out_col: str, min_hot_rows: int = 100_000,
-                     num_partitions: int | None = None) -> DataFrame:
-    """Next-known-value fill that splits only the hot keys.
-
-    A key is hot when it holds more rows than one partition's fair share
-    (all rows / partitions) and at least ``min_hot_rows``. Hot keys go
-    through the range-partitioned scan; every other key uses a running
-    window (JVM-side, one task per key, each key small by construction).
-    Fewer than ``partitions`` keys can exceed the fair share, so the hot-key
-    set has a proven bound and is broadcast; the plan stays lazy (the fair
-    share is a scalar subquery), and Python only sees the hot keys' rows.
-    """
-    n = num_partitions or _num_partitions(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    fair = counts.agg(F.sum("_rows") / F.lit(n)).scalar()
-    hot = F.broadcast(
-        counts.filter((F.col("_rows") > fair) & (F.col("_rows") >= min_hot_rows))
-              .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)])
-    w = (Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    normal = df.join(hot, cond, "left_anti").withColumn(
-        out_col, F.last(value_col, ignorenulls=True).over(w))
-    heavy = ranged_next_known(df.join(hot, cond, "left_semi"), keys, order, value_col,
-                              out_col, n)
-    return normal.unionByName(heavy.select(*normal.columns))
+    rows = df.withColumn("_k", _key(keys)).withColumn("_b", order_bucket(df, order[0], buckets))
+    known = F.when(F.col(value_col).isNotNull(), F.struct(*order))
+    first = rows.groupBy("_k", "_b").agg(F.min_by(value_col, known).alias("_first"))
+    later = Window.partitionBy("_k").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = first.select("_k", "_b", F.last("_first", ignorenulls=True).over(later).alias("_carry"))
+    here = (Window.partitionBy("_k", "_b").orderBy(*[F.col(c).desc() for c in order])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = rows.withColumn("_own", F.last(value_col, ignorenulls=True).over(here)).join(carry, ["_k", "_b"], "left")
+    return filled.withColumn(out_col, F.coalesce("_own", "_carry")).select(*dict.fromkeys([*df.columns, out_col]))
 
 
 # ------------------------------------------------------------------ ranks
 def value_ranks(df: DataFrame, groups: Sequence[str], value_col: str,
-                num_partitions: int | None = None, method: str = "split",
-                min_hot_values: int = 100_000) -> DataFrame:
+                buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """Distinct values per group with their multiplicity and position.
 
-    Returns ``groups..., value_col, _cnt, _before`` where ``_before`` is the
-    number of rows of the group with a smaller value. Nulls are excluded.
-    Average (tie-aware) rank = ``_before + (_cnt + 1) / 2``.
-
-    ``method="split"`` (default): groups with more distinct values than a
-    partition's fair share (and at least ``min_hot_values``) -- fewer than
-    ``partitions`` of them, broadcast -- take the range-partitioned scan;
-    the others a running sum over a JVM window. Without groups the single
-    group always takes the range-partitioned scan. ``method="ranged"``:
-    every group through the range-partitioned scan.
+    Returns ``groups..., value_col, _cnt, _before, _total`` where ``_before`` is
+    the number of rows of the group with a smaller value and ``_total`` the rows
+    of the group. Nulls are excluded. ``weight``: a column with the number of
+    rows that a row stands for. Average (tie-aware) rank = ``_before + (_cnt + 1) / 2``.
     """
     groups = list(groups)
-    n = num_partitions or _num_partitions(df)
-    counts = (df.filter(F.col(value_col).isNotNull())
-                .groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
-    if not groups or method == "ranged":
-        return _ranged_ranks(counts, groups, value_col, n)
-    sizes = counts.groupBy(*groups).agg(F.count(F.lit(1)).alias("_nv"))
-    fair = sizes.agg(F.sum("_nv") / F.lit(n)).scalar()
-    hot = F.broadcast(
-        sizes.filter((F.col("_nv") > fair) & (F.col("_nv") >= min_hot_values))
-             .select(*[F.col(g).alias(f"_h{i}") for i, g in enumerate(groups)]))
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(g).eqNullSafe(F.col(f"_h{i}")) for i, g in enumerate(groups)])
-    w = (Window.partitionBy(*groups).orderBy(value_col)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    normal = (counts.join(hot, cond, "left_anti")
-                    .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))
-                                .cast("long")))
-    heavy = _ranged_ranks(counts.join(hot, cond, "left_semi"), groups, value_col, n)
-    return normal.select(*groups, value_col, "_cnt", "_before").unionByName(heavy)
-
-
-def _ranged_ranks(counts: DataFrame, groups: list[str], value_col: str,
-                  n: int) -> DataFrame:
-    """``value_ranks`` through the range-partitioned scan."""
-    sort_cols = groups + [value_col]
-    ranged = counts.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-
-    starts = _start_fields(counts, sort_cols)
-    snames = [f.name for f in starts]
-    out_schema = T.StructType(
-        counts.schema.fields + [T.StructField("_local", T.LongType(), False)] + starts)
-    names = [f.name for f in out_schema.fields]
-
-    def local_cum(batches):
-        # Streamed: counts before each value within its group, carrying the
-        # running total of the group that continues across batch boundaries.
-        first, carry_group, carry = None, None, 0
-        for b in batches:
-            if not len(b):
-                continue
-            if first is None:
-                first = tuple(b[sort_cols].iloc[0])
-            if groups:
-                cum = b["_cnt"].groupby([b[g] for g in groups], sort=False,
-                                        dropna=False).cumsum()
-                lead = (_same(b, groups, carry_group).cummin() if carry_group is not None
-                        else pd.Series(False, index=b.index))
-                last = tuple(b[groups].iloc[-1])
-                tail = _same(b, groups, last)[::-1].cummin()[::-1]
-            else:
-                cum = b["_cnt"].cumsum()
-                lead = pd.Series(True, index=b.index)
-                last, tail = (), pd.Series(True, index=b.index)
-            before = cum - b["_cnt"] + lead.astype("int64") * carry
-            total_tail = int(b["_cnt"][tail].sum())
-            carry = (carry + total_tail) if bool(tail.all() and lead.all()) else total_tail
-            carry_group = last
-            yield b.assign(_local=before.astype("int64"),
-                           **{sn: [first[i]] * len(b) for i, sn in enumerate(snames)})[names]
-
-    ranged = _shared(ranged)
-    local = ranged.mapInPandas(local_cum, out_schema)
-
-    # Only the first group of a partition can have rows in earlier
-    # partitions. Edge summary from a light streamed pass over the same
-    # (reused) exchange: partition start, first group, last group, and the
-    # last group's count inside the partition.
-    gcols = groups if groups else []
-    gfields = [T.StructField(f"_f{i}", counts.schema[g].dataType, True)
-               for i, g in enumerate(gcols)]
-    lfields = [T.StructField(f"_l{i}", counts.schema[g].dataType, True)
-               for i, g in enumerate(gcols)]
-    edge_schema = T.StructType(starts + gfields + lfields
-                               + [T.StructField("last_tot", T.LongType(), False)])
-
-    def edge_rows(batches):
-        start = first = last = None
-        tot = 0
-        for b in batches:
-            if not len(b):
-                continue
-            if first is None:
-                start = tuple(b[sort_cols].iloc[0])
-                first = tuple(b[gcols].iloc[0]) if gcols else ()
-            end = tuple(b[gcols].iloc[-1]) if gcols else ()
-            tail = _same(b, gcols, end)[::-1].cummin()[::-1] if gcols else None
-            part = int(b["_cnt"][tail].sum()) if gcols else int(b["_cnt"].sum())
-            whole = tail.all() if gcols else True
-            same_as_before = last is not None and (not gcols or bool(
-                _same(b.iloc[:1], gcols, last).iloc[0]))
-            tot = (tot + part) if (whole and same_as_before) else part
-            last = end
-        if first is not None:
-            yield pd.DataFrame([(*start, *first, *last, tot)],
-                               columns=[f.name for f in edge_schema.fields])
-
-    gstruct = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
-    edges = ranged.mapInPandas(edge_rows, edge_schema).select(
-        _start_struct(sort_cols).alias("_p"),
-        (_struct_of("_f", groups) if groups else F.lit(0)).alias("first_g"),
-        (_struct_of("_l", groups) if groups else F.lit(0)).alias("last_g"),
-        "last_tot")
-    prev = edges.select(F.col("_p").alias("_q"), F.col("last_g").alias("_qg"),
-                        F.col("last_tot").alias("_qt"))
-    offsets = (edges.join(prev, (prev["_qg"].eqNullSafe(edges["first_g"]))
-                          & (prev["_q"] < edges["_p"]), "inner")
-               .groupBy("_p", "first_g").agg(F.sum("_qt").alias("_off")))
-
-    # offsets: at most one row per partition -> broadcast.
-    out = local.withColumn("_p", _start_struct(sort_cols))
-    out = out.join(F.broadcast(offsets), out["_p"].eqNullSafe(offsets["_p"]), "left")
-    before = F.col("_local") + F.when(gstruct.eqNullSafe(F.col("first_g")),
-                                      F.coalesce(F.col("_off"), F.lit(0))).otherwise(0)
-    return out.select(*groups, value_col, "_cnt", before.cast("long").alias("_before"))
+    present = df.filter(F.col(value_col).isNotNull())
+    counts = present.groupBy(*groups, value_col).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_cnt"))
+    counts = counts.withColumn("_g", _key(groups)).withColumn("_b", order_bucket(df, value_col, buckets))
+    sums = counts.groupBy("_g", "_b").agg(F.sum("_cnt").alias("_s"))
+    whole = Window.partitionBy("_g")
+    earlier = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_g", "_b", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
+                          F.sum("_s").over(whole).alias("_total"))
+    here = Window.partitionBy("_g", "_b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("_own", F.coalesce(F.sum("_cnt").over(here), F.lit(0))).join(offsets, ["_g", "_b"])
+    return ranked.select(*groups, value_col, "_cnt", (F.col("_own") + F.col("_off")).cast("long").alias("_before"),
+                         F.col("_total").cast("long").alias("_total"))
+
+
+def _mean_rank() -> Column:
+    return F.col("_before") + (F.col("_cnt") + 1) / 2.0
+
+
+def _attach(df: DataFrame, groups: list[str], ranks: DataFrame, value_col: str, column: Column, out_col: str) -> DataFrame:
+    """Joins a column of ``value_ranks`` back on group and value (nulls stay null)."""
+    found = ranks.select(F.struct(_key(groups), F.col(value_col)).alias("_at"), column.alias(out_col))
+    return df.withColumn("_at", F.struct(_key(groups), F.col(value_col))).join(found, "_at", "left").drop("_at")
 
 
 def average_rank(df: DataFrame, groups: Sequence[str], value_col: str,
                  out_col: str) -> DataFrame:
     """Attach the tie-averaged rank of ``value_col`` within ``groups``."""
-    r = value_ranks(df, groups, value_col)
-    r = r.select(*groups, value_col,
-                 (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias(out_col))
-    return df.join(r, on=list(groups) + [value_col], how="left")
+    return _attach(df, list(groups), value_ranks(df, groups, value_col), value_col, _mean_rank(), out_col)
 
 
 def average_ranks(df: DataFrame, groups: Sequence[str],
                   columns: dict[str, str] | Sequence[tuple[str, str]]) -> DataFrame:
-    """Tie-averaged ranks of several numeric columns within ``groups`` in one
-    range pass: the columns are stacked into ``(_var, _val)`` rows, ranked
-    per ``groups + _var``, and each rank is joined back on its value.
-    ``columns``: value column -> output rank column (a mapping, or pairs when
-    one column is ranked under two names)."""
-    groups = list(groups)
-    pairs = list(columns.items()) if isinstance(columns, dict) else list(columns)
-    names = [c for c, _ in pairs]
-    outs = [o for _, o in pairs]
-    long = df.select(*groups, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_var"), F.col(c).cast("double").alias("_val"))
-        for i, c in enumerate(names)])).alias("_s")).select(*groups, "_s.*")
-    r = value_ranks(long, groups + ["_var"], "_val")
-    r = r.select(*groups, "_var", "_val",
-                 (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias("_rank"))
+    """Tie-averaged ranks of several columns within ``groups``, each ranked in
+    its own type. ``columns``: value column -> output rank column (a mapping, or
+    pairs when one column is ranked under two names)."""
     out = df
-    for i, c in enumerate(names):
-        # Group columns of both sides descend from ``df``: rename one side.
-        gk = {g: f"_g{i}_{g}" for g in groups}
-        ri = r.filter(F.col("_var") == i).select(
-            *[F.col(g).alias(gk[g]) for g in groups], F.col("_val").alias(f"_v{i}"),
-            F.col("_rank").alias(outs[i]))
-        cond = [F.col(c).cast("double") == F.col(f"_v{i}")]
-        cond += [F.col(g).eqNullSafe(F.col(gk[g])) for g in groups]
-        out = (out.join(ri, reduce(lambda a, b: a & b, cond), "left")
-                  .drop(f"_v{i}", *gk.values()))
+    for name, rank in (columns.items() if isinstance(columns, dict) else columns):
+        out = _attach(out, list(groups), value_ranks(df, groups, name), name, _mean_rank(), rank)
     return out
 
 
+def rank_correlation(df: DataFrame, groups: Sequence[str], x: str, y: str, out: str) -> DataFrame:
+    """Pearson correlation of the tie-averaged ranks of ``x`` and ``y`` per group, and ``n``.
+
+    Equal pairs are counted first; ranks and moments are weighted by the counts. Ranks are
+    centred on their mean, which is ``(n + 1) / 2`` whatever the ties, before they are squared.
+    """
+    groups = list(groups)
+    pairs = df.select(*groups, F.col(x).alias("_x"), F.col(y).alias("_y"))
+    pairs = pairs.groupBy(*groups, "_x", "_y").agg(F.count(F.lit(1)).alias("_c"))
+    centred = _mean_rank() - (F.col("_total") + 1) / 2.0
+    ranked = pairs
+    for value, rank in (("_x", "_rx"), ("_y", "_ry")):
+        ranked = _attach(ranked, groups, value_ranks(pairs, groups, value, weight="_c"), value, centred, rank)
+
+    def moment(a: str, b: str) -> Column:
+        return F.sum(F.col("_c") * F.col(a) * F.col(b))
+
+    # A group whose ranks do not vary gets null (ANSI mode would raise on a division by zero).
+    r = F.try_divide(moment("_rx", "_ry"), F.sqrt(moment("_rx", "_rx")) * F.sqrt(moment("_ry", "_ry")))
+    return ranked.groupBy(*groups).agg(r.alias(out), F.sum("_c").cast("long").alias("n"))
+
+
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value_col: str,
                     probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL
     ``percentile_cont``) without gathering a group into one task.
 
-    Returns ``groups..., p, value``.
+    Returns ``groups..., p, value``. Every ranked value knows its group's size, so the
+    wanted positions are compared in place; only values at one of them survive.
     """
     groups = list(groups)
-    r = value_ranks(df, groups, value_col)
-    sizes = (df.filter(F.col(value_col).isNotNull())
-               .groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")))
-    targets = sizes.select(*groups, F.explode(F.array(*[
-        F.struct(F.lit(float(p)).alias("p"),
-                 F.floor((F.col("_n") - 1) * F.lit(float(p))).cast("long").alias("k0"),
-                 ((F.col("_n") - 1) * F.lit(float(p))
-                  - F.floor((F.col("_n") - 1) * F.lit(float(p)))).alias("frac"),
-                 F.least(F.floor((F.col("_n") - 1) * F.lit(float(p))) + 1,
-                         F.col("_n") - 1).cast("long").alias("k1"))
-        for p in probs])).alias("_t")).select(*groups, "_t.*")
-    # Group columns of both sides descend from ``df``: rename one side.
-    targets = targets.select(*[F.col(g).alias(f"_t_{g}") for g in groups],
-                             "p", "k0", "k1", "frac")
-    cond = [(F.col("_before") <= F.col("k1"))
-            & ((F.col("_before") + F.col("_cnt")) > F.col("k0"))]
-    for g in groups:
-        cond.append(F.col(g).eqNullSafe(F.col(f"_t_{g}")))
-    # Without groups the lookup is a range condition only: targets has one
-    # row per probability, so it is the broadcast side.
-    # (With groups, targets has #groups x #probs rows: broadcast when that
-    # is proven small, so a hot group's values are not gathered by a join.)
-    from .dedupe import broadcast_if_bounded
-    tgt = broadcast_if_bounded(targets) if groups else F.broadcast(targets)
-    hit = r.join(tgt, reduce(lambda a, b: a & b, cond), "inner").select(
-        *groups, "p", "k0", "k1", "frac", value_col, "_before")
-    agg = (hit.groupBy(*groups, "p", "frac")
-              .agg(F.max(F.when(F.col("_before") <= F.col("k0"), F.col(value_col))).alias("_x0"),
-                   F.max(F.when(F.col("_before") <= F.col("k1"), F.col(value_col))).alias("_x1")))
-    val = F.col("_x0") + F.col("frac") * (F.col("_x1") - F.col("_x0"))
-    return agg.select(*groups, "p", val.alias("value"))
+    ranks = value_ranks(df, groups, value_col)
+    last = F.col("_total") - 1
+    wanted = ranks.withColumn("_t", F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("p"), F.floor(last * F.lit(float(p))).cast("long").alias("k0"),
+                 (last * F.lit(float(p)) - F.floor(last * F.lit(float(p)))).alias("frac"),
+                 F.least(F.floor(last * F.lit(float(p))) + 1, last).cast("long").alias("k1"))
+        for p in probs]))).select(*groups, value_col, "_cnt", "_before", "_t.*")
+    hit = wanted.where((F.col("_before") <= F.col("k1")) & (F.col("_before") + F.col("_cnt") > F.col("k0")))
+    ends = hit.groupBy(*groups, "p", "frac").agg(
+        F.max(F.when(F.col("_before") <= F.col("k0"), F.col(value_col))).alias("_x0"),
+        F.max(F.when(F.col("_before") <= F.col("k1"), F.col(value_col))).alias("_x1"))
+    return ends.select(*groups, "p", (F.col("_x0") + F.col("frac") * (F.col("_x1") - F.col("_x0"))).alias("value"))

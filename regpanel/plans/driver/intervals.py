@@ -224,6 +224,6 @@ def streaming_hull_q(spark, sf_dir):
                               out, carry=["first_order"], order=["first_order"],
                               checkpoint_location=base + "-ckpt")
         q.awaitTermination()
-    h = latest_intervals(spark, out)
+    h = latest_intervals(spark, out, ["tin", "state"])
     return h.select("tin", "state", "first_order", iso_date("start_date").alias("start_date"),
                     iso_date("end_date").alias("end_date"))

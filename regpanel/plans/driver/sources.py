@@ -185,22 +185,26 @@ def _parse_revexp(members):
     return docs
 
 
-@register("incremental_ingest", _ZIP_SQL + " WHERE o_orderdate >= TIMESTAMP '1998-01-01'")
+@register("incremental_ingest", _ZIP_SQL.replace(
+    "\nFROM orders", ",\n       CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 2 END AS run\nFROM orders"))
 def incremental_ingest_q(spark, sf_dir):
-    """A first run ingests the archives present then (orders before
-    1998) and records them in the manifest; later archives arrive; the
-    second run reads only the new ones."""
+    """The first run extracts the archives present then (orders before
+    1998) and records them in the manifest; later archives arrive; the second
+    run extracts only those; a third run finds nothing. All extracted rows,
+    labelled by run."""
     from ...sources.archive import (list_archives, list_members, new_archives,
                                    read_members, record_ingested, write_archives)
     out = _scratch(spark, "ingest")
-    manifest = out + "-manifest"
+    manifest, extracted = out + "-manifest", out + "-extracted"
     cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
-    write_archives(_orders_xml(spark, sf_dir, cut), out, _waves(spark), prefix="first").collect()
-    first = new_archives(list_archives(spark, out), manifest)
-    record_ingested(first, manifest)
-    write_archives(_orders_xml(spark, sf_dir, ~cut), out, _waves(spark), prefix="second").collect()
-    second = new_archives(list_archives(spark, out), manifest)
-    return _typed_with_member(_parse_revexp(read_members(list_members(second))))
+    for run, wave in ((1, cut), (2, ~cut), (3, None)):
+        if wave is not None:
+            write_archives(_orders_xml(spark, sf_dir, wave), out, _waves(spark), prefix=f"run{run}").count()
+        new = new_archives(list_archives(spark, out), manifest)
+        docs = _typed_with_member(_parse_revexp(read_members(list_members(new))))
+        docs.withColumn("run", F.lit(run)).write.mode("append").parquet(extracted)
+        record_ingested(new, manifest)
+    return spark.read.parquet(extracted)
 
 
 # ------------------------------------------------------------ S1 / S6

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..operators.matching import abbreviation_dictionary
 from ..sources.archive import record_ingested
 from ..sources.csv import write_csv
+from ..sources.fs import child_names, path_exists
 from .extract import extract
 from .geocode import geocode
 from .panel import panelize
@@ -79,12 +80,11 @@ def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> Da
     """A stage table: Parquet (this library's stage format) or, for data
     extracted earlier by other tools, ``data-*.csv`` / a single ``.csv``
     with the dataset's explicit schema and ``dd.MM.yyyy`` dates (S1)."""
-    local = path.replace("file:", "")
-    has_parquet = os.path.isdir(local) and any(
+    has_parquet = any(
         n.endswith(".parquet") or n.startswith(("_archive=", "_status="))
         or (n.startswith("part-") and ".csv" not in n)
-        for n in os.listdir(local))
-    if "://" in path or has_parquet:
+        for n in child_names(spark, path))
+    if has_parquet:
         df = spark.read.parquet(path)
         if "_status" in df.columns:   # extraction output: documents only
             df = (df.filter(F.col("_status") == "ok")
@@ -101,10 +101,13 @@ def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> Da
 
 def run_extract(spark: SparkSession, base: str, dims: Dimensions,
                 codes: Sequence[str] | None = None, metrics: dict | None = None) -> None:
-    """C1 for every dataset with archives; new archives only (manifest)."""
+    """C1 for every dataset with archives; new archives only (manifest). A dataset
+    whose folder does not exist is skipped; with none at all there is nothing to run on."""
+    if not any(path_exists(spark, _p(base, "download", ds)) for ds in DATASETS):
+        raise FileNotFoundError(f"no dataset folder under {_p(base, 'download')}")
     for ds in DATASETS:
         src = _p(base, "download", ds)
-        if not os.path.isdir(src.replace("file:", "")):
+        if not path_exists(spark, src):
             continue
         manifest = _p(base, "extract", f"{ds}-manifest")
         ex = extract(spark, src, ds, dims.classifier if dims else None, codes,
@@ -136,10 +139,10 @@ def run_aggregate(spark: SparkSession, base: str, metrics: dict | None = None) -
     registry = spark.read.parquet(_p(base, "aggregate", "smb"))
     for ds, measures in (("revexp", ["revenue", "expenditure"]), ("empl", ["employees_count"])):
         path = _p(base, "extract", ds)
-        if not os.path.isdir(path.replace("file:", "")):
+        if not path_exists(spark, path):
             continue
         facts = read_stage(spark, path, ds)
-        _counted(aggregate_facts(facts, measures, registry), f"aggregate_{ds}", m) \
+        _counted(aggregate_facts(facts, measures, registry, tiebreak=measures), f"aggregate_{ds}", m) \
             .write.mode("overwrite").parquet(_p(base, "aggregate", ds))
 
 
@@ -163,7 +166,7 @@ def run_panel(spark: SparkSession, base: str, csv_export: bool = True,
     facts = []
     for ds in ("revexp", "empl"):
         path = _p(base, "aggregate", ds)
-        if os.path.isdir(path.replace("file:", "")):
+        if path_exists(spark, path):
             facts.append(spark.read.parquet(path))
     panel = panelize(geo, facts)
     m = metrics if metrics is not None else {}

@@ -17,7 +17,7 @@ def aggregate_registry(snapshots: DataFrame,
                        excluded_regions: Sequence[str] = tuple(EXCLUDED_REGIONS),
                        state_columns: Sequence[str] = tuple(STATE_COLUMNS),
                        upper: Sequence[str] = tuple(UPPER_COLUMNS),
-                       fill_method: str = "split") -> DataFrame:
+                       fill_method: str = "bucketed") -> DataFrame:
     """Registry snapshots -> one row per distinct entity state with
     ``[start_date, end_date]`` (first and last snapshot date of that state).
 
@@ -32,7 +32,8 @@ def aggregate_registry(snapshots: DataFrame,
                     org_reg="org_number")
     # Snapshots of one day are ordered by a deterministic tie-break (the
     # source left it open): ``_snap`` when given, else the extraction's
-    # provenance (archive, member).
+    # provenance (archive, member), then a hash of the row (an archive member
+    # can hold many documents).
     if "_snap" in df.columns:
         tie = ["_snap"]
     elif "archive" in df.columns and "member" in df.columns:
@@ -42,12 +43,10 @@ def aggregate_registry(snapshots: DataFrame,
         tie = []
     carry = [c for c in OUTPUT_COLUMNS
              if c not in state_columns and c not in ("start_date", "end_date")]
-    # Project before the fill: the fill runs through Python (mapInPandas),
-    # below which Catalyst cannot prune, so unused columns would otherwise
-    # travel through the range exchange and Arrow.
     needed = list(dict.fromkeys([*state_columns, *carry, "data_date", *tie]))
-    df = next_known_fill(df.select(*needed), "tin", ["data_date"] + tie, "reg_number",
-                         method=fill_method)
+    df = df.select(*needed).withColumn("_row_hash", F.xxhash64(*needed))
+    tie = [*tie, "_row_hash"]
+    df = next_known_fill(df, "tin", ["data_date"] + tie, "reg_number", method=fill_method)
     hull = state_hull(df, list(state_columns), "data_date", carry=carry, tiebreak=tie)
     return hull.select(*OUTPUT_COLUMNS)
 
@@ -72,6 +71,6 @@ def aggregate_facts(facts: DataFrame, measures: Sequence[str],
     df = facts.withColumn(key, F.lpad(F.col(id_col).cast("string"), width, "0"))
     if registry is not None:
         df = df.join(legal_entities(registry, key=key), key, "left_semi")
-    df = df.select(key, period_col, revision_col, *tiebreak, *measures)
+    df = df.select(*dict.fromkeys([key, period_col, revision_col, *tiebreak, *measures]))
     latest = latest_revision(df, [key, period_col], revision_col, tiebreak)
     return latest.select(key, F.year(period_col).alias(year_col), *measures)

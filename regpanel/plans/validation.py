@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..assets.fixed import REGION_TYPE_WORDS
+from ..assets.fixed import (CORRELATION_EXCLUDED_GROUPS, EXCLUDED_REGIONS, REGION_TYPE_WORDS,
+                            STATISTICS_EXCLUDED, STATISTICS_REGION_FIXES)
 from ..operators.dedupe import distinct_rows, first_wins
-from ..operators.keys import normalized_difference, override_values
+from ..operators.keys import exclude_substrings, normalized_difference, override_values
 from ..operators.quality import describe, group_counts, group_sums, spearman
 from ..operators.regions import normalize_regions
 from ..operators.reshape import to_long
@@ -51,14 +52,19 @@ def long_form(stats: DataFrame, keys: Sequence[str] = ("region", "year", "group"
 def summaries(stats: DataFrame, a: str = "count_reestr", b: str = "count_stat",
               exclude_groups: Sequence[str] = ()) -> dict[str, DataFrame]:
     """A12 + A11: rank correlation overall and per (year, region),
-    (year, group), group and (region, group); description of norm_diff."""
+    (year, group), group and (region, group); descriptions of norm_diff and of
+    the correlations per (year, region) and (region, group)."""
     s = stats.filter(~F.col("group").isin(list(exclude_groups))) if exclude_groups else stats
+    by_year_region = spearman(s, a, b, ["year", "region"])
+    by_region_group = spearman(stats, a, b, ["region", "group"])
     return {
         "overall": spearman(stats, a, b),
-        "by_year_region": spearman(s, a, b, ["year", "region"]),
+        "by_year_region": by_year_region,
+        "by_year_region_description": describe(by_year_region, "spearman"),
         "by_year_group": spearman(s, a, b, ["year", "group"]),
         "by_group": spearman(stats, a, b, ["group"]),
-        "by_region_group": spearman(stats, a, b, ["region", "group"]),
+        "by_region_group": by_region_group,
+        "by_region_group_description": describe(by_region_group, "spearman"),
         "norm_diff": describe(stats, "norm_diff"),
     }
 
@@ -71,19 +77,18 @@ def prepare_statistics(stats: DataFrame, classifier: DataFrame, regions: DataFra
     ``region, group, year, count_stat``.
 
     Activity labels map to groups through the classifier's group header rows
-    (blank code); a duplicated (region, activity) keeps one row; counts are
-    summed per (region, group); region names resolve through J7, then the
+    (blank code); a duplicated (region, activity) keeps its first row in file
+    order (without ``order_col``: the least row); counts are summed per (region,
+    group), missing ones as 0; region names resolve through J7, then the
     manual overrides apply (exact match on the raw name); the excluded raw
     names (trimmed) drop; years melt to rows (R2).
     """
     headers = (classifier.filter(F.col("code").isNull() | (F.trim(F.col("code")) == ""))
-                         .select(F.col("name").alias(activity_col), "group")
-                         .dropDuplicates([activity_col]))
+                         .groupBy(F.col("name").alias(activity_col)).agg(F.min("group").alias("group")))
     s = stats.join(headers, activity_col, "inner")
-    # A repeated (region, activity) keeps its first row in file order.
-    s = (first_wins(s, [region_col, activity_col], [order_col])
-         if order_col in stats.columns else s.dropDuplicates([region_col, activity_col]))
-    s = s.groupBy(region_col, "group").agg(*[F.sum(y).alias(y) for y in year_columns])
+    order = [order_col] if order_col in stats.columns else list(year_columns)
+    s = first_wins(s, [region_col, activity_col], order, [*year_columns, "group"])
+    s = s.groupBy(region_col, "group").agg(*[F.coalesce(F.sum(y), F.lit(0.0)).alias(y) for y in year_columns])
     s = s.withColumn("region", F.col(region_col))
     s = normalize_regions(s, "region", regions, REGION_TYPE_WORDS, 80.0)
     s = override_values(s, region_col, "region", manual_fixes or {})
@@ -109,14 +114,14 @@ def registry_by_region(counts: DataFrame, classifier: DataFrame, regions: DataFr
 
 
 def run_validation(snapshots: DataFrame, statistics: DataFrame, classifier: DataFrame,
-                   regions: DataFrame, year_columns: Sequence[str]) -> dict[str, DataFrame]:
+                   regions: DataFrame, year_columns: Sequence[str],
+                   excluded_regions: Sequence[str] = tuple(EXCLUDED_REGIONS)) -> dict[str, DataFrame]:
     """C8 end to end with the fixed overrides / exclusions: registry
     snapshots (validation projection, S12) and the published statistics
     table (S13) -> the comparison table, its long form and the summaries."""
-    from ..assets.fixed import (CORRELATION_EXCLUDED_GROUPS, STATISTICS_EXCLUDED,
-                                STATISTICS_REGION_FIXES)
-    from ..operators.keys import entity_key
-    snaps = entity_key(snapshots.filter(F.col("org_tin").isNotNull()), "ind_tin", "org_tin")
+    snaps = exclude_substrings(snapshots, "region_name", [r.upper() for r in excluded_regions])
+    # Legal entities only: the organisation's number, not a person's.
+    snaps = snaps.filter(F.col("org_tin").isNotNull()).withColumn("tin", F.lpad(F.col("org_tin").cast("string"), 10, "0"))
     reg = registry_by_region(registry_counts(snaps), classifier, regions)
     stat = prepare_statistics(statistics, classifier, regions, year_columns,
                               STATISTICS_REGION_FIXES, STATISTICS_EXCLUDED)

@@ -40,8 +40,7 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
-    "spark.sql.exchange.reuse": "true",                # the ranged scans rely on it
-    "regpanel.scan.partitions": "4000",                # ordered scans: ~256 MB each at 1 TB
+    "regpanel.scan.partitions": "4000",                # order buckets of the scans: ~256 MB each at 1 TB
 }
 
 

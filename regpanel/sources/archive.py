@@ -18,28 +18,37 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fs import is_local, path_exists
+
 _ENCODING = re.compile(rb'<\?xml[^>]*encoding=["\']([A-Za-z0-9_\-]+)["\']')
 _DECL = re.compile(r"^\s*<\?xml[^>]*\?>")
 
 
+#: Starts the text of a member that could not be decoded; no parser takes it.
+UNDECODABLE = "<undecodable <"
+
+
 def _open(uri: str):
     """Open a file URI (local or any pyarrow filesystem) for random access."""
     if uri.startswith("file:") or uri.startswith("/"):
         return open(re.sub(r"^file:(//)?", "", uri), "rb")
     from pyarrow import fs
-    filesystem, path = fs.FileSystem.from_uri(uri)
+    # Hadoop's names of the S3 connector; pyarrow knows the plain one.
+    filesystem, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
     return filesystem.open_input_file(path)
 
 
 def decode_xml(raw: bytes) -> str:
     """Decode by the XML declaration (UTF-8 when absent) and drop the
-    declaration, so the text parses as an already-decoded string."""
+    declaration, so the text parses as an already-decoded string. Bytes that
+    their encoding does not know (or an unknown encoding) give a text that is no
+    XML, so the member lands in quarantine instead of being altered silently."""
     m = _ENCODING.search(raw[:200])
     enc = m.group(1).decode("ascii") if m else "utf-8"
     try:
-        text = raw.decode(enc, errors="replace")
-    except LookupError:
-        text = raw.decode("utf-8", errors="replace")
+        text = raw.decode(enc)
+    except (LookupError, UnicodeDecodeError):
+        return UNDECODABLE + raw.decode("latin-1")
     return _DECL.sub("", text, count=1)
 
 
@@ -120,10 +129,9 @@ def new_archives(archives: DataFrame, manifest_path: str | None) -> DataFrame:
     if manifest_path is None:
         return archives
     spark = archives.sparkSession
-    try:
-        done = spark.read.parquet(manifest_path).select("name")
-    except Exception:  # no manifest yet: everything is new
+    if not path_exists(spark, manifest_path):   # no manifest yet: everything is new
         return archives
+    done = spark.read.parquet(manifest_path).select("name")
     return archives.join(done, "name", "left_anti")
 
 
@@ -146,7 +154,10 @@ def write_archives(files: DataFrame, out_dir: str, num_archives: int,
                    prefix: str = "part") -> DataFrame:
     """Pack ``member, xml`` rows into ``num_archives`` zip files in
     ``out_dir`` (shared storage), one archive per task. Returns
-    ``archive, members`` (an action runs when the result is consumed)."""
+    ``archive, members`` (an action runs when the result is consumed). Python's
+    zip writer needs a mounted folder: other schemes are refused."""
+    if not is_local(out_dir):
+        raise ValueError(f"archives can only be written to a mounted folder, not to {out_dir}")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext

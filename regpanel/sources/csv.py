@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .fs import child_names, path_exists
+
 NULL_TOKEN = "NA"
 
 
@@ -25,31 +27,13 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType,
     if null_value is not None:
         opts["nullValue"] = null_value
     opts.update({k: str(v) for k, v in options.items()})
-    local = path[len("file:"):] if path.startswith("file:") else path
-    is_dir = os.path.isdir(local) if "://" not in path else not path.endswith(".csv")
     reader = spark.read.schema(schema).options(**opts)
-    if is_dir:
-        reader = reader.option("pathGlobFilter", glob)
-        # A folder without matching files means "nothing to read" (None).
-        if "://" not in path:
-            import fnmatch
-            if not any(fnmatch.fnmatch(n, glob) for n in os.listdir(local)):
-                return None
-        elif spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path) \
-                .select("path").limit(1).count() == 0:
-            return None
-    elif not path.endswith(".csv"):
-        return None
-    elif "://" not in path and not os.path.exists(local):
+    if path.endswith(".csv"):
+        return reader.csv(path) if path_exists(spark, path) else None
+    # A folder without matching files means "nothing to read" (None).
+    if not any(fnmatch.fnmatch(n, glob) for n in child_names(spark, path)):
         return None
-    try:
-        df = reader.csv(path)
-        df.schema  # resolve the file listing now
-    except Exception as e:  # path missing or no matching files
-        if "PATH_NOT_FOUND" in str(e) or "not exist" in str(e).lower():
-            return None
-        raise
-    return df
+    return reader.option("pathGlobFilter", glob).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False,
@@ -76,33 +60,33 @@ def format_whole_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def read_statistics_table(spark: SparkSession, path: str, id_columns: list[str],
-                          value_columns: list[str], drop_first_column: bool = True
-                          ) -> DataFrame:
-    """A published statistics CSV with a preamble, a header and a
-    units/labels row before the data. Columns are named by position
-    (optionally skipping the first); the non-data lines are recognised by
-    content -- no value column parses as a number, or the line repeats the
-    value labels (the header) -- instead of by line position, so the read
-    stays an ordinary parallel scan. Text is trimmed
-    and values become doubles.
+                          value_columns: list[str], drop_first_column: bool = True,
+                          label_rows: int = 1) -> DataFrame:
+    """A published statistics CSV with a preamble, a header and
+    ``label_rows`` lines of units or labels before the data. Columns are named by
+    position (optionally skipping the first). The header is the line that
+    repeats the value labels; what stands above it in its file, it, and the label
+    rows below it are not data. Every other line is, whether or not it
+    has any value; only wholly blank lines drop. A file without a header line
+    raises. Text is trimmed and values become doubles.
     """
     n = len(id_columns) + len(value_columns) + (1 if drop_first_column else 0)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
     raw = spark.read.schema(schema).options(header="false", escape='"').csv(path)
     cols = raw.columns[1:] if drop_first_column else raw.columns
     names = list(id_columns) + list(value_columns)
-    out = raw.select(*[F.col(c).alias(nm) for c, nm in zip(cols, names)])
-    numeric = [F.trim(F.col(v)).try_cast("double") for v in value_columns]
-    any_num = numeric[0].isNotNull()
-    for x in numeric[1:]:
-        any_num = any_num | x.isNotNull()
-    # The header line carries the value labels themselves (e.g. years).
-    is_header = F.lit(True)
-    for v in value_columns:
-        is_header = is_header & (F.trim(F.col(v)) == F.lit(v))
     # ``_row`` keeps the file order (increasing ids within and across the
     # splits of a file) for first-wins rules downstream.
-    out = out.withColumn("_row", F.monotonically_increasing_id())
-    return (out.filter(any_num & ~F.coalesce(is_header, F.lit(False)))
-               .withColumns({c: F.trim(F.col(c)) for c in id_columns})
-               .withColumns({v: F.trim(F.col(v)).try_cast("double") for v in value_columns}))
+    out = raw.select(*[F.trim(F.col(c)).alias(nm) for c, nm in zip(cols, names)],
+                     F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    is_header = F.lit(True)
+    for v in value_columns:
+        is_header = is_header & F.coalesce(F.col(v) == F.lit(v), F.lit(False))
+    # One row per file: as small as the list of files, and left to the planner.
+    headers = out.groupBy("_file").agg(F.min(F.when(is_header, F.col("_row"))).alias("_header"))
+    headers = headers.select("_file", F.when(F.col("_header").isNotNull(), F.col("_header")).otherwise(
+        F.raise_error(F.concat(F.lit("no header line in "), F.col("_file")))).alias("_header"))
+    some = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in names]).isNotNull()
+    return (out.join(headers, "_file").filter((F.col("_row") > F.col("_header") + label_rows) & some)
+               .withColumns({v: F.col(v).try_cast("double") for v in value_columns})
+               .select(*names, "_row"))

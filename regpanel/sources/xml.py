@@ -192,9 +192,14 @@ def write_xml_files(docs: DataFrame, out_dir: str, num_files: int, root_tag: str
                     doc_col: str = "doc", prefix: str = "part") -> DataFrame:
     """Write document-element strings as ``num_files`` XML files (one root
     element per file, one file per task) to ``out_dir`` on shared storage.
-    Returns ``file, docs`` (an action runs when the result is consumed)."""
+    Returns ``file, docs`` (an action runs when the result is consumed). Needs a
+    mounted folder: other schemes are refused."""
     import pandas as pd
 
+    from .fs import is_local
+    if not is_local(out_dir):
+        raise ValueError(f"XML files can only be written to a mounted folder, not to {out_dir}")
+
     def write(batches):
         import os
         import re

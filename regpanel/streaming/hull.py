@@ -4,11 +4,11 @@ Snapshots land as files; a streaming ``groupBy(state keys)`` keeps, per
 state, the first and last snapshot date and the first row's carried
 columns (``min`` / ``max`` / ``min_by`` are all mergeable, so the state is
 one row per entity state). In update mode each micro-batch carries only the
-states that changed; ``foreachBatch`` upserts them into the interval table:
-the table is rewritten as a new version (``<out>/v=<epoch>``) from the
-previous version minus the changed keys plus the new rows, so a replayed
-micro-batch rewrites the same version and readers use the newest complete
-one. (A table format with MERGE would do this in place.)
+states that changed; ``foreachBatch`` writes them to a folder of their epoch
+(``<out>/v=<epoch>``), so what a batch writes follows the batch, and a
+replayed batch overwrites its own folder. Readers take every key's row of the
+newest epoch (``latest_intervals``); ``compact_intervals`` writes that down
+once in a while. (A table format with MERGE would do this in place.)
 
 No watermark: a registry snapshot may restate any entity at any time, so
 state is kept for every entity state, in the state store of the
@@ -17,8 +17,8 @@ checkpoint (use the RocksDB provider for large registries).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,29 +26,38 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_path
+from ..sources.fs import child_names, path_exists
 
 
-def _versions(spark: SparkSession, out_path: str) -> list[int]:
-    local = out_path[len("file:"):] if out_path.startswith("file:") else out_path
-    if "://" in out_path:
-        from pyarrow import fs
-        filesystem, root = fs.FileSystem.from_uri(out_path)
-        infos = filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True))
-        names = [i.base_name for i in infos]
-        done = {n for n in names if n.startswith("v=")}
-        ok = [int(n[2:]) for n in done
-              if filesystem.get_file_info(f"{root}/{n}/_SUCCESS").type != fs.FileType.NotFound]
-        return sorted(ok)
-    if not os.path.isdir(local):
-        return []
-    return sorted(int(n[2:]) for n in os.listdir(local)
-                  if n.startswith("v=") and os.path.exists(os.path.join(local, n, "_SUCCESS")))
+def _complete(spark: SparkSession, out_path: str, kind: str) -> list[int]:
+    """Epochs of the complete ``kind=<epoch>`` folders, ascending."""
+    found = [n for n in child_names(spark, out_path) if n.startswith(f"{kind}=")]
+    return sorted(int(n.split("=")[1]) for n in found if path_exists(spark, f"{out_path}/{n}/_SUCCESS"))
 
 
-def latest_intervals(spark: SparkSession, out_path: str) -> DataFrame | None:
-    """The newest complete version of the interval table (None if none)."""
-    v = _versions(spark, out_path)
-    return spark.read.parquet(os.path.join(out_path, f"v={v[-1]}")) if v else None
+def latest_intervals(spark: SparkSession, out_path: str, keys: Sequence[str]) -> DataFrame | None:
+    """The interval table: every key's row of the newest epoch that changed it (None
+    if there is none). Reads the last compacted table and the epochs after it."""
+    bases = _complete(spark, out_path, "base")
+    since = bases[-1] if bases else -1
+    parts = [("base", since)] if bases else []
+    parts += [("v", e) for e in _complete(spark, out_path, "v") if e > since]
+    if not parts:
+        return None
+    every = [spark.read.parquet(f"{out_path}/{kind}={e}").withColumn("_epoch", F.lit(e)) for kind, e in parts]
+    rows = reduce(DataFrame.unionByName, every)
+    columns = [c for c in rows.columns if c not in (*keys, "_epoch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "_epoch").alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
+def compact_intervals(spark: SparkSession, out_path: str, keys: Sequence[str]) -> None:
+    """Writes the interval table as one folder, so that reads need not fold older
+    epochs. Run it between batches; older folders may be removed afterwards."""
+    epochs = _complete(spark, out_path, "v")
+    table = latest_intervals(spark, out_path, keys)
+    if table is not None and epochs and epochs[-1] not in _complete(spark, out_path, "base"):
+        table.write.mode("overwrite").parquet(f"{out_path}/base={epochs[-1]}")
 
 
 def stream_state_hull(spark: SparkSession, in_dir: str, schema: T.StructType,
@@ -73,22 +82,10 @@ def stream_state_hull(spark: SparkSession, in_dir: str, schema: T.StructType,
     hull = hull.select(*cols)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        prev = latest_intervals(spark, out_path)
-        prev_versions = _versions(spark, out_path)
-        if prev is not None and prev_versions and prev_versions[-1] >= epoch_id:
-            # Replay of an epoch already written: rebuild it from the version before.
-            older = [v for v in prev_versions if v < epoch_id]
-            prev = (spark.read.parquet(os.path.join(out_path, f"v={older[-1]}"))
-                    if older else None)
+        # Changed keys only (update mode): what is written follows the batch, not the
+        # table. A replayed epoch overwrites its own folder.
         changed = batch.select(*keys, *carry, "start_date", "end_date")
-        if prev is None:
-            new = changed
-        else:
-            cond = [prev[k].eqNullSafe(changed[k]) for k in keys]
-            from functools import reduce
-            kept = prev.join(changed.select(*keys), reduce(lambda a, b: a & b, cond), "left_anti")
-            new = kept.unionByName(changed)
-        new.write.mode("overwrite").parquet(os.path.join(out_path, f"v={epoch_id}"))
+        changed.write.mode("overwrite").parquet(f"{out_path}/v={epoch_id}")
 
     writer = (hull.writeStream.outputMode("update").foreachBatch(upsert)
               .option("checkpointLocation", ckpt))

@@ -50,7 +50,7 @@ def main():
     ops = {
         "W1 split": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f"),
         "W1 ranged": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f",
-                                                  method="ranged"),
+                                                  method="bucketed"),
         "W1 per-key window": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f",
                                                          method="window"),
         "W2 hull": lambda d: iv.state_hull(d, ["k", "l_returnflag"], "ts", carry=["v"],

@@ -51,7 +51,7 @@ def main():
         "W1 next-known fill, split (default: hot keys ranged)":
             lambda: iv.next_known_fill(df, "k", ["ts", "uid"], "v", "f"),
         "W1 next-known fill, ranged (all keys)": lambda: iv.next_known_fill(
-            df, "k", ["ts", "uid"], "v", "f", method="ranged"),
+            df, "k", ["ts", "uid"], "v", "f", method="bucketed"),
         "W1 next-known fill, per-key window": lambda: iv.next_known_fill(
             df, "k", ["ts", "uid"], "v", "f", method="window"),
         "W2 state hull (aggregate)": lambda: iv.state_hull(
@@ -65,7 +65,7 @@ def main():
     }
     # Warm-up (JIT, Python workers with pandas loaded), not reported.
     spark.sparkContext.setJobDescription("warm-up")
-    iv.next_known_fill(df.limit(1000), "k", ["ts", "uid"], "v", "f", method="ranged") \
+    iv.next_known_fill(df.limit(1000), "k", ["ts", "uid"], "v", "f", method="bucketed") \
         .write.format("noop").mode("overwrite").save()
     walls = {}
     for name, make in runs.items():

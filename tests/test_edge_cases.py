@@ -29,7 +29,7 @@ def test_empty_tables_pass_through(spark):
     assert iv.state_hull(e, ["tin", "s"], "d", carry=["v"]).count() == 0
     assert iv.latest_revision(e, ["tin"], "d").count() == 0
     assert iv.next_known_fill(e, "tin", ["d"], "v", "f").count() == 0
-    assert iv.next_known_fill(e, "tin", ["d"], "v", "f", method="ranged").count() == 0
+    assert iv.next_known_fill(e, "tin", ["d"], "v", "f", method="bucketed").count() == 0
     assert dedupe.drop_ambiguous(e, ["tin"]).count() == 0
     assert quality.spearman(e, "v", "v", ["tin"]).count() == 0
     cls = spark.createDataFrame([], "group string, code string")

@@ -68,9 +68,8 @@ def test_next_known_fill_equals_unbounded_following_window(spark):
     assert rows(got, "uid", "f") == rows(ref, "uid", "f")
 
 
-def test_ranged_scans_with_tiny_arrow_batches(spark):
-    # Many Arrow batches per partition: the streamed edge passes must carry
-    # runs across batch boundaries.
+def test_bucketed_scans(spark):
+    # Few and many buckets, whatever the batch size: the same rows.
     from regpanel.operators import scan
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
@@ -82,8 +81,8 @@ def test_ranged_scans_with_tiny_arrow_batches(spark):
         got = iv.next_known_fill(df, "tin", ["d", "uid"], "extra", "f")
         assert rows(got, "uid", "f") == rows(ref, "uid", "f")
         vals = df.select("tin", F.col("day").cast("double").alias("v"))
-        r = scan.value_ranks(vals, ["tin"], "v", num_partitions=5)
-        ranked = {(t, v): b for t, v, _, b in r.collect()}
+        r = scan.value_ranks(vals, ["tin"], "v", buckets=5)
+        ranked = {(t, v): b for t, v, _, b, _ in r.collect()}
         pdf = vals.toPandas()
         for (t, v), b in ranked.items():
             part = pdf[pdf["tin"] == t]
@@ -92,10 +91,8 @@ def test_ranged_scans_with_tiny_arrow_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
-def test_split_fill_routes_hot_keys_through_the_ranged_scan(spark):
-    # A hot key above the fair share goes through the ranged scan, the rest
-    # through the window; together they equal the window form. Includes a
-    # hot null key (null-safe routing) and small keys.
+def test_bucketed_fill_of_hot_and_null_keys(spark):
+    # A hot key, a hot null key and small keys equal the window form.
     from regpanel.operators import scan
     rnd = random.Random(9)
     data = []
@@ -103,19 +100,17 @@ def test_split_fill_routes_hot_keys_through_the_ranged_scan(spark):
         k = None if i % 3 == 0 else ("hot" if i % 3 == 1 else f"k{i % 50}")
         data.append((k, i, None if rnd.random() < 0.8 else float(i)))
     df = spark.createDataFrame(data, "k string, t long, v double").repartition(6)
-    got = scan.split_next_known(df, ["k"], ["t"], "v", "f", min_hot_rows=100, num_partitions=8)
+    got = scan.bucketed_next_known(df, ["k"], ["t"], "v", "f", buckets=8)
     ref = iv.next_known_fill(df, "k", ["t"], "v", "f", method="window")
     assert rows(got, "k", "t", "f") == rows(ref, "k", "t", "f")
     assert set(got.columns) == set(ref.columns)
 
 
-def test_ranged_scans_under_a_union(spark):
-    # Under a union the task partition id is shifted by the other branch's
-    # partitions; partition identity must come from the data instead.
+def test_bucketed_scans_under_a_union(spark):
     from regpanel.operators import scan
     df = _random_snapshots(spark, n=2000, seed=3)
     other = df.limit(50).withColumn("f", F.lit(None).cast("string")).repartition(5)
-    filled = iv.next_known_fill(df, "tin", ["d", "uid"], "extra", "f", method="ranged")
+    filled = iv.next_known_fill(df, "tin", ["d", "uid"], "extra", "f", method="bucketed")
     w = (Window.partitionBy("tin").orderBy("d", "uid")
          .rowsBetween(0, Window.unboundedFollowing))
     ref = df.withColumn("f", F.first("extra", ignorenulls=True).over(w))
@@ -123,19 +118,19 @@ def test_ranged_scans_under_a_union(spark):
     got_rows = rows(u.filter(F.col("uid").isNotNull()).exceptAll(other), "uid", "f")
     assert got_rows == rows(ref, "uid", "f")
     vals = df.select("tin", F.col("day").cast("double").alias("v"))
-    r = scan.value_ranks(vals, ["tin"], "v", num_partitions=6)
+    r = scan.value_ranks(vals, ["tin"], "v", buckets=6)
     pad = r.limit(3).repartition(4)
-    got = {(t, v): b for t, v, _, b in pad.unionByName(r).exceptAll(pad).collect()}
+    got = {(t, v): b for t, v, _, b, _ in pad.unionByName(r).exceptAll(pad).collect()}
     pdf = vals.toPandas()
     for (t, v), b in got.items():
         assert b == int((pdf[(pdf["tin"] == t)]["v"] < v).sum())
 
 
-def test_grouped_ranks_split_matches_ranged(spark):
+def test_grouped_ranks_do_not_depend_on_buckets(spark):
     from regpanel.operators import scan
     df = _random_snapshots(spark, n=2500, seed=21).select(
         "tin", "state", F.col("day").cast("double").alias("v"))
-    a = scan.value_ranks(df, ["tin", "state"], "v", num_partitions=7, min_hot_values=5)
-    b = scan.value_ranks(df, ["tin", "state"], "v", num_partitions=7, method="ranged")
+    a = scan.value_ranks(df, ["tin", "state"], "v", buckets=2)
+    b = scan.value_ranks(df, ["tin", "state"], "v", buckets=1000)
     cols = ["tin", "state", "v", "_cnt", "_before"]
     assert rows(a, *cols) == rows(b, *cols)

@@ -18,7 +18,7 @@ def test_next_known_fill_fixture(spark):
          ("t1", D(2020, 3, 1), "A"), ("t1", D(2020, 4, 1), None),
          ("t2", D(2020, 1, 1), "B")],
         "tin string, d date, reg string")
-    for method in ("ranged", "window"):
+    for method in ("bucketed", "window"):
         out = iv.next_known_fill(df, "tin", ["d"], "reg", "filled", method=method)
         assert rows(out, "tin", "d", "filled") == [
             ("t1", D(2020, 1, 1), "A"), ("t1", D(2020, 2, 1), "A"),
@@ -36,7 +36,7 @@ def test_next_known_fill_hot_key_across_partitions(spark):
         val = None if rnd.random() < 0.9 else float(i)
         data.append((key, i, val))
     df = spark.createDataFrame(data, "k string, t long, v double").repartition(8)
-    a = iv.next_known_fill(df, "k", ["t"], "v", "f", method="ranged")
+    a = iv.next_known_fill(df, "k", ["t"], "v", "f", method="bucketed")
     b = iv.next_known_fill(df, "k", ["t"], "v", "f", method="window")
     assert rows(a, "k", "t", "f") == rows(b, "k", "t", "f")
 
@@ -116,7 +116,7 @@ def test_yearly_panel_open_end_and_confidence(spark):
         ("u", 2018, 3, 1.0), ("u", 2019, 3, 1.0), ("u", 2020, 3, 1.0), ("u", 2021, 3, 1.0)]
 
 
-@pytest.mark.parametrize("method", ["ranged", "window"])
+@pytest.mark.parametrize("method", ["bucketed", "window"])
 def test_next_known_fill_all_null_and_ties_free(spark, method):
     df = spark.createDataFrame([("x", i, None) for i in range(5)], "k string, t int, v string")
     out = iv.next_known_fill(df, "k", ["t"], "v", "f", method=method)

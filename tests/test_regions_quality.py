@@ -121,9 +121,9 @@ def test_value_ranks_hot_group_split(spark):
     # One group with most of the distinct values: ranks must still be global.
     vals = [("hot", float(i)) for i in range(2000)] + [("cold", 1.0), ("cold", 1.0)]
     df = spark.createDataFrame(vals, "g string, v double").repartition(5)
-    for kw in ({"method": "ranged"}, {"min_hot_values": 10}, {}):
-        r = scan.value_ranks(df, ["g"], "v", num_partitions=6, **kw)
-        got = {(g, v): b for g, v, _, b in r.collect()}
+    for kw in ({"buckets": 2}, {"buckets": 500}, {}):
+        r = scan.value_ranks(df, ["g"], "v", **kw)
+        got = {(g, v): b for g, v, _, b, _ in r.collect()}
         assert len(got) == 2001
         assert all(got[("hot", float(i))] == i for i in range(2000))
         assert got[("cold", 1.0)] == 0

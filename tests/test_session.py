@@ -35,12 +35,12 @@ def test_session_checkpoint_dir_is_read_not_replaced(spark):
 def test_scan_width_setting(spark):
     df = spark.range(10)
     old = spark.conf.get("regpanel.scan.partitions", None)
-    spark.conf.set("regpanel.scan.partitions", "5")
+    spark.conf.set("regpanel.scan.partitions", "50")
     try:
-        assert scan._num_partitions(df) == 5
+        assert scan._num_buckets(df) == 50
     finally:
         if old is None:
             spark.conf.unset("regpanel.scan.partitions")
         else:
             spark.conf.set("regpanel.scan.partitions", old)
-    assert scan._num_partitions(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert scan._num_buckets(df) == max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -26,7 +26,7 @@ def test_stream_state_hull_across_waves(spark):
         df.write.mode("append").parquet(arrivals)
         stream_state_hull(spark, arrivals, df.schema, ["tin", "state"], "d", out,
                           carry=["extra"], checkpoint_location=ckpt).awaitTermination()
-    got = rows(latest_intervals(spark, out), "tin", "state", "extra", "start_date", "end_date")
+    got = rows(latest_intervals(spark, out, ["tin", "state"]), "tin", "state", "extra", "start_date", "end_date")
     assert got == [("t", "A", "x1", D(2020, 1, 1), D(2020, 3, 1)),
                    ("t", "B", "x2", D(2020, 2, 1), D(2020, 2, 1)),
                    ("u", "A", "y1", D(2020, 1, 1), D(2020, 1, 1))]
