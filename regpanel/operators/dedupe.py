@@ -4,19 +4,31 @@ from __future__ import annotations
 
 import weakref
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension may have to be broadcast (checked with a bounded action).
+# Rows and bytes a dimension may have to be broadcast (checked with a bounded action).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
-_BOUND_CACHE: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+_BOUND_CACHE: "weakref.WeakKeyDictionary[DataFrame, dict[tuple[int, int], bool]]" = weakref.WeakKeyDictionary()
 
 
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame):
+    """About the bytes of a row in memory: text at its length, any other value at 16."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return reduce(lambda a, b: a + b, text, F.lit(16 * len(df.columns) + 16).cast("long"))
+
+
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows of together at most
+    ``max_bytes``.
 
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the
     scan), so it stays cheap even when the table turns out large. The answer
@@ -26,14 +38,16 @@ def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
         known = _BOUND_CACHE.setdefault(df, {})
     except TypeError:          # not weak-referenceable: just check
         known = {}
-    if max_rows not in known:
-        known[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return known[max_rows]
+    at = (max_rows, max_bytes)
+    if at not in known:
+        size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
+        known[at] = size["n"] <= max_rows and size["b"] <= max_bytes
+    return known[at]
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows;
-    beyond the bound the plain DataFrame is returned and the planner / AQE
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows of
+    a bounded size in bytes; beyond the bound the plain DataFrame is returned and the planner / AQE
     pick a shuffle join."""
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 

@@ -164,3 +164,31 @@ def global_sort_q(spark, sf_dir):
     # One row per file of the export.
     before = sizes.select("file", F.expr("coalesce(sum(n) over (order by file rows between unbounded preceding and 1 preceding), 0)").alias("before"))
     return rows.join(before, "file").select("o_orderkey", iso_date("o_orderdate").alias("o_orderdate"), (F.col("before") + F.col("at")).alias("position"))
+
+
+# ------------------------------------------------------------ S10, labelled form
+@register("labelled_links", """
+WITH p AS (SELECT page_id, url FROM pages WHERE page_id % 7 <> 0 AND page_id % 11 <> 0)
+SELECT page_id, CAST(8 AS BIGINT) AS row, url || '/data.zip' AS link FROM p
+UNION ALL SELECT page_id, 16, url || '/old-1.zip' FROM p
+UNION ALL SELECT page_id, 16, url || '/old-2.zip' FROM p
+""")
+def labelled_links_q(spark, sf_dir):
+    """S10 on the form of data-set pages, built from every page's url: every
+    seventh has a wrong label, every eleventh lacks a row, others have two-cell rows,
+    rows without a number, and anchors outside the table."""
+    from ...sources.links import LABELLED_ROWS, labelled_links
+    url, pid = F.col("url"), F.col("page_id")
+
+    def row(number, label, value):
+        return F.concat(F.lit(f"<tr><td> {number} </td><td>"), label, F.lit("</td><td>"), value, F.lit("</td></tr>"))
+
+    def anchor(name):
+        return F.concat(F.lit('<a class="x" href=" '), url, F.lit(f'/{name} ">zip</a>'))
+
+    first = row(8, F.when(pid % 7 == 0, F.lit("?")).otherwise(F.lit(f"<b>{LABELLED_ROWS[8]}</b>")), anchor("data.zip"))
+    older = F.when(pid % 11 == 0, F.lit("")).otherwise(row(16, F.lit(LABELLED_ROWS[16]), F.concat(anchor("old-1.zip"), F.lit("<br>"), anchor("old-2.zip"))))
+    html = F.concat(F.lit('<a href="/no.zip">no</a><table class="wide border_table"><tr><td>8</td><td>two cells</td></tr>'), first,
+                    row("n", F.lit("no number"), anchor("none.zip")), row(9, F.lit("other"), anchor("nine.zip")), older, F.lit("</table>"))
+    pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    return labelled_links(pages).select("page_id", F.col("row").cast("long").alias("row"), "link")

@@ -105,7 +105,7 @@ def test_validation_statistics_side(spark):
                             exclude=[" Архангельская область"])
     got = sorted((r["region"], r["group"], r["year"], r["count_stat"]) for r in st.collect())
     assert got == [("Москва", "A", 2019, 10.0), ("Москва", "A", 2020, 12.0),
-                   ("Тверская область", "C", 2019, 5.0), ("Тверская область", "C", 2020, None)]
+                   ("Тверская область", "C", 2019, 5.0), ("Тверская область", "C", 2020, 0.0)]
     snaps = spark.createDataFrame(
         [("МОСКВА", "1", D(2019, 5, 1), "01.10"), ("МОСКВА", "2", D(2019, 5, 1), "01.10"),
          ("МОСКВА", "2", D(2019, 6, 1), "01.10"), ("ТВЕРСКАЯ ОБЛ", "3", D(2019, 1, 1), "10.10")],
