@@ -48,9 +48,7 @@ def main():
             "l_returnflag")
 
     ops = {
-        "W1 split": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f"),
-        "W1 ranged": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f",
-                                                  method="bucketed"),
+        "W1 buckets": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f"),
         "W1 per-key window": lambda d: iv.next_known_fill(d, "k", ["ts", "uid"], "v", "f",
                                                          method="window"),
         "W2 hull": lambda d: iv.state_hull(d, ["k", "l_returnflag"], "ts", carry=["v"],
@@ -58,7 +56,7 @@ def main():
         "W3 latest": lambda d: iv.latest_revision(d, ["k"], "ts", tiebreak=["uid"]),
     }
     spark.sparkContext.setJobDescription("warm-up")
-    ops["W1 ranged"](table(1).limit(1000)).write.format("noop").mode("overwrite").save()
+    ops["W1 buckets"](table(1).limit(1000)).write.format("noop").mode("overwrite").save()
     walls = {}
     for copies in (1, 10):
         d = table(copies)

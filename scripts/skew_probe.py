@@ -48,10 +48,8 @@ def main():
     total_rows = df.count()
     hot_rows = df.filter(F.col("k") == 0).count()
     runs = {
-        "W1 next-known fill, split (default: hot keys ranged)":
+        "W1 next-known fill, order buckets (default)":
             lambda: iv.next_known_fill(df, "k", ["ts", "uid"], "v", "f"),
-        "W1 next-known fill, ranged (all keys)": lambda: iv.next_known_fill(
-            df, "k", ["ts", "uid"], "v", "f", method="bucketed"),
         "W1 next-known fill, per-key window": lambda: iv.next_known_fill(
             df, "k", ["ts", "uid"], "v", "f", method="window"),
         "W2 state hull (aggregate)": lambda: iv.state_hull(
@@ -60,10 +58,10 @@ def main():
             lambda: iv.latest_revision(df, ["k"], "ts", tiebreak=["uid"]),
         "W3 latest revision (aggregate)": lambda: iv.latest_revision(
             df, ["k"], "ts", tiebreak=["uid"], method="aggregate"),
-        "A12 Spearman by key (ranged ranks)": lambda: spearman(
+        "A12 Spearman by key (order buckets)": lambda: spearman(
             df, "l_quantity", "l_extendedprice", ["k"]),
     }
-    # Warm-up (JIT, Python workers with pandas loaded), not reported.
+    # Warm-up (JIT), not reported.
     spark.sparkContext.setJobDescription("warm-up")
     iv.next_known_fill(df.limit(1000), "k", ["ts", "uid"], "v", "f", method="bucketed") \
         .write.format("noop").mode("overwrite").save()
