@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings that matter at scale: AQE re-plans joins (broadcast when a
 # materialised side turns out small), coalesces tiny shuffle partitions and
@@ -89,7 +92,15 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again.
+
+    Survives executor loss like a checkpoint, and later reads keep column
+    pruning and real sizes (a checkpoint stores whole serialised rows).
+    """
+    spark = df.sparkSession
+    path = checkpoint_path(spark, f"table-{uuid.uuid4().hex}")
+    plain = df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields
+                            if isinstance(f.dataType, T.NullType)})
+    plain.write.parquet(path)
+    return spark.read.schema(plain.schema).parquet(path)
