@@ -40,8 +40,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, folds: in
     for value, n in counts.items():
         limit = min(scale, round(scale * per_class / max(n, 1)))
         keep = keep | ((F.col("_y") == value) & (F.pmod(F.xxhash64(F.col("_k"), F.lit(17)), F.lit(scale)) < limit))
+    # The keys are bounded by the sample's size, so the texts are not shuffled to find them.
+    chosen = F.broadcast(marked.where(keep).limit(8 * per_class))
     rows = (docs.select(F.col(key).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-            .join(marked.where(keep), "_k").select("_k", "_t", "_y").toArrow())
+            .join(chosen, "_k").select("_k", "_t", "_y").toArrow())
     # A fixed order, and a repeated key or text counts once.
     return sorted(set(zip(rows.column("_t").to_pylist(), rows.column("_y").to_pylist())))
 
