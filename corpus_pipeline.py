@@ -62,7 +62,7 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: Trained classifiers cannot be expressed in SQL; see tests/llm/test_pipeline.py.
+#: Trained classifiers cannot be expressed in SQL; see tests/llm/test_corpus_pipeline.py.
 ORACLE_SQL = None
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from corpus_fixtures import edge_docs, no_docs  # noqa: F401  (fixtures)
 from regpanel.llm import op3_bpe, queries
 
 tokenizers = pytest.importorskip("tokenizers")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from corpus_fixtures import edge_docs, no_docs  # noqa: F401  (fixtures)
 from regpanel.llm import op1_toxicity, op6_quality, queries
 
 CASES = [(op1_toxicity.score_toxicity, op1_toxicity.Toxicity, op1_toxicity.drop_toxic), (op6_quality.score_quality, op6_quality.Quality, op6_quality.keep_good)]

@@ -3,6 +3,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
+from corpus_fixtures import edge_docs, no_docs, sf  # noqa: F401  (fixtures)
 from regpanel.llm import op1_toxicity, op2_packing, op4_minhash, op6_quality
 from test_dedup import brute_near
 

@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from corpus_fixtures import edge_docs, no_docs  # noqa: F401  (fixtures)
 from regpanel.llm import op4_minhash, op9_exact
 from regpanel.llm.components import components
 
@@ -117,9 +118,9 @@ def test_near_groups_equal_brute_force(spark):
 
 
 def test_buckets_with_several_components_lose_no_link(spark, monkeypatch):
-    # Everything meets everything in one bucket: links must be found round by round.
+    # Everything meets everything in one bucket: links must be found block by block.
     monkeypatch.setattr(op4_minhash, "bands", lambda s: np.zeros((len(s), 1), dtype=np.int64))
-    monkeypatch.setattr(op4_minhash, "BLOCK", 2)
+    monkeypatch.setattr(op4_minhash, "BLOCK", 30)
     rows = near_corpus(9)[:60]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = {r.doc_id: r.class_id for r in op4_minhash.near_duplicates(docs).collect()}

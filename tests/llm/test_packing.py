@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from corpus_fixtures import edge_docs, no_docs  # noqa: F401  (fixtures)
 from regpanel.llm import op2_packing as pk
 
 
