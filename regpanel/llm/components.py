@@ -23,7 +23,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         out = moved.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
     else:
         out = moved.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(least.withColumnRenamed("_m", "b"))
-    return out.where("a <> b").distinct()
+    out = out.where("a <> b")
+    return out if large else out.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -16,20 +16,27 @@ text needs a number of points in proportion to shingles plus components, not to
 product. All of this is vectorised over the documents of a batch.
 
 Classes and links. Texts with equal multisets are one class (numbered by 64 bits of a
-hash; n classes meet n*n/2^65 clashes). Classes that share a band meet in a bucket:
-
-* first, every class is verified against the least class of each of its buckets, which
-  turns a group of near copies into a star;
-* then, in each bucket that still holds several components, every class outside
-  the largest one is verified against all classes of other components there, a
-  growing block of them per round, until no bucket is open.
-
-So no link between two classes of one bucket is lost, and a group of copies
-never emits all its pairs. Components are contracted in Spark (``components``).
+hash; n classes meet n*n/2^65 clashes, as do the hashes that fetch a class's text).
+Classes that share a band meet in a bucket:
+
+* first, every class is verified against the hub of each of its buckets (the class that meets
+  most others), which turns a group of near copies into a star;
+* then, in each bucket that still holds several groups (a class belongs to the hub it is
+  linked to), every class outside the largest one meets all classes of other groups
+  there, in blocks. A shingle that no
+  other class in such buckets holds is in no intersection: the sizes without these
+  shingles, and their parts by hash value, bound the similarity of a pair from above, which rules out nearly all pairs
+  (two copies of one text with different edits, two texts that share a passage)
+  inside the join, before they are rows.
+
+Pairs whose sketches (a byte per component) agree in too few places to be similar are
+not verified. So no link between two classes of one bucket is lost, and a group of copies
+does not emit all its pairs. Components are contracted in Spark (``components``).
 
 Scale. A hot group of copies is reduced on the map side (distinct, min, count); the joins
 that carry a hot bucket or a hot hub are plain sort-merge joins, which adaptive
-execution splits. Texts are joined only for classes that meet another one. Tables are
+execution splits. Texts are joined only for classes that meet another one, pairs
+travel with their sketches. Tables are
 written to the shared folder, so lost executors cost no more than a stage.
 
 Defined results: texts without any word (null and empty ones too: null counts as
@@ -46,7 +53,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -57,10 +64,14 @@ WORDS = 5
 LEAST_OVERLAP = (4, 5)
 BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
+#: Components that must agree before a pair is verified: five standard deviations under 0.8.
+LEAST_AGREEING = 77
 #: Shingles of the documents that are signed at once.
 BATCH_SHINGLES = 200_000
-#: Classes per bucket that are verified against the others in the first full round; four times as many in each next one.
-BLOCK = 64
+#: Hash values by which shared shingles are counted, to bound intersections.
+DEALT = 64
+#: Classes per bucket that meet the others at a time.
+BLOCK = 4096
 CACHE_WORDS = 200_000
 TOKEN = re.compile(r"\w+")
 U = np.uint64
@@ -151,6 +162,11 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def sketch(signature: np.ndarray) -> list[bytes]:
+    """One byte per component: signatures to compare at a glance."""
+    return [row.tobytes() for row in (mixed(signature.view(U)) >> U(56)).astype(np.uint8)]
+
+
 def class_number(s: tuple[np.ndarray, np.ndarray]) -> int:
     """64 bits that stand for a multiset."""
     raw = blake2b(s[0].tobytes() + s[1].astype(np.int64).tobytes(), digest_size=8).digest()
@@ -158,7 +174,7 @@ def class_number(s: tuple[np.ndarray, np.ndarray]) -> int:
 
 
 def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: its key, a hash of the text, class number and band values."""
+    """Per row: its key, a hash of the text, class number, band values and sketch."""
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         for f in frames:
@@ -168,14 +184,15 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 size += len(batch[-1][0])
                 if size >= BATCH_SHINGLES or i == len(f):
                     out = f.iloc[first:i][["doc_id", "text_hash"]]
-                    yield out.assign(cls=[class_number(s) for s in batch], bands=list(bands(signatures(batch))))
+                    times = signatures(batch)
+                    yield out.assign(cls=[class_number(s) for s in batch], bands=list(bands(times)), sketch=sketch(times))
                     batch, size, first = [], 0, i
 
     kind = docs.schema[key].dataType.simpleString()
     whole = F.coalesce(F.col(text), F.lit(""))
     # Ids may be null; a nullable integer would reach pandas as a float.
     rows = docs.select(F.col(key).cast("string").alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("_t"))
-    return rows.mapInPandas(sign, "doc_id string, text_hash long, cls long, bands array<long>").withColumn("doc_id", F.col("doc_id").cast(kind))
+    return rows.mapInPandas(sign, "doc_id string, text_hash long, cls long, bands array<long>, sketch binary").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -197,57 +214,120 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "b", "ta", "tb").mapInPandas(verify, "a long, b long")
 
 
+def screened(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of ``met`` (a, b, sa, sb) whose sketches agree in enough places.
+
+    The share of equal components estimates the similarity; pairs more than five standard
+    deviations under the least similarity are not worth reading their texts.
+    """
+    def screen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                a, b = (np.frombuffer(b"".join(f[c]), dtype=np.uint8).reshape(len(f), COMPONENTS) for c in ("sa", "sb"))
+                yield f.loc[(a == b).sum(axis=1) >= LEAST_AGREEING, ["a", "b"]]
+
+    return met.select("a", "b", "sa", "sb").mapInPandas(screen, "a long, b long").distinct()
+
+
+def possible_links(open_classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Per class: cls, size (shingles with repetition), shared (those that another of the
+    classes holds too, at most) and dealt (the shared ones by ``DEALT`` values of their hash).
+    Classes that share too little for any link are left out."""
+    def postings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = WordHashes()
+        for f in frames:
+            for c, t in zip(f["cls"], f["text"]):
+                s, n = shingles(t, words)
+                yield pd.DataFrame({"cls": np.full(len(s), c), "shingle": s.view(np.int64), "n": n})
+
+    held = written(texts.join(open_classes, "cls", "left_semi").mapInPandas(postings, "cls long, shingle long, n long"), "near-postings")
+    deal = F.pmod("shingle", F.lit(DEALT)).alias("d")
+    # A shingle that one class alone holds is in no intersection.
+    alone = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.max("cls").alias("cls"), F.max("n").alias("n")).where("k = 1")
+    own = held.groupBy("cls", deal).agg(F.sum("n").alias("n"))
+    lost = alone.groupBy("cls", deal).agg(F.sum("n").alias("lost"))
+    each = own.join(lost, ["cls", "d"], "left").withColumn("s", F.col("n") - F.coalesce("lost", F.lit(0)))
+    out = each.groupBy("cls").agg(F.sum("n").alias("size"), F.sum("s").alias("shared"), F.map_from_entries(F.collect_list(F.struct("d", "s"))).alias("_m"))
+    out = out.where(F.col("shared") * LEAST_OVERLAP[1] >= F.col("size") * LEAST_OVERLAP[0])
+    return out.select("cls", "size", "shared", F.transform(
+        F.sequence(F.lit(0).cast("long"), F.lit(DEALT - 1).cast("long")), lambda i: F.coalesce(F.col("_m")[i], F.lit(0)).cast("int")).alias("dealt"))
+
+
+def may_link() -> Column:
+    """Whether the sizes of two classes (columns x..., y...) allow a link: no more can be
+    common than the smaller shared part, and than the smaller part under each hash value."""
+    over, under = LEAST_OVERLAP
+
+    def reaches(common: Column) -> Column:
+        return common * under >= (F.col("xsize") + F.col("ysize") - common) * over
+
+    by_hash = F.aggregate(F.zip_with("xdealt", "ydealt", lambda x, y: F.least(x, y)), F.lit(0), lambda n, m: n + m)
+    return reaches(F.least("xshared", "yshared")) & reaches(by_hash)
+
+
 def class_links(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """Components of classes that are near duplicates: node, root. ``rows``: the written result of ``signed``."""
     posted = rows.select("cls", F.explode("bands").alias("bucket")).distinct()
-    sizes = posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("hub")).where("n > 1").drop("n")
+    sizes = posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Only buckets where classes meet matter from here on.
     posted = written(posted.join(sizes, "bucket"), "near-buckets")
-    pairs = posted.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-    # One text for every class that meets another one.
-    texts = written(with_class(docs, text).join(posted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "near-texts")
-    links = written(verified(pairs, texts), "near-links")
-    tried = pairs
-    roots = components(links)
-    block = BLOCK
-    shown = posted.select("bucket", "cls")
-    done = None
-    while True:
-        placed = (shown.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                  .select("bucket", "cls", F.coalesce("root", "cls").alias("root")))
-        sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        several = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        placed = written(placed.join(several.drop("parts"), "bucket"), "near-open")
-        rest = placed.where("root <> largest")
-        if done is not None:
-            rest = rest.join(done, ["bucket", "cls"], "left_anti")
-        # A block of a bucket's classes outside its largest component, least first.
-        taken = written(rest.withColumn("_k", F.expr("row_number() over (partition by bucket order by cls)")).where(F.col("_k") <= block).select("bucket", "cls", "root"), "near-block")
-        if taken.isEmpty():
-            return roots
-        fresh = (taken.select("bucket", F.col("cls").alias("x"), F.col("root").alias("xr"))
-                 .join(placed.select("bucket", F.col("cls").alias("y"), F.col("root").alias("yr")), "bucket").where("xr <> yr")
-                 .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-        fresh = written(fresh.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    # A class that meets many others is near the centre of its group: it links to most of them.
+    meeting = posted.groupBy("cls").agg(F.sum("n").alias("met"))
+    classes = rows.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash"))
+    classes = written(classes.join(meeting, "cls"), "near-classes")
+    posted = written(posted.drop("n").join(classes.drop("text_hash"), "cls"), "near-posted")
+    hubs = posted.groupBy("bucket").agg(F.max(F.struct("met", "cls", "sketch")).alias("hub"))
+    met = posted.join(hubs, "bucket").where(F.col("cls") != F.col("hub.cls")).select(
+        F.greatest("cls", "hub.cls").alias("a"), F.least("cls", "hub.cls").alias("b"),
+        F.when(F.col("cls") > F.col("hub.cls"), F.col("sketch")).otherwise(F.col("hub.sketch")).alias("sa"),
+        F.when(F.col("cls") > F.col("hub.cls"), F.col("hub.sketch")).otherwise(F.col("sketch")).alias("sb"))
+    # One text for every class that meets another one. Both sides grow with the table: no broadcast at any size.
+    whole = F.coalesce(F.col(text), F.lit(""))
+    texts = written(docs.select(whole.alias("text"), F.xxhash64(whole).alias("text_hash")).join(classes.select("cls", "text_hash").hint("merge"), "text_hash")
+                    .groupBy("cls").agg(F.first("text").alias("text")), "near-texts")
+    tried = written(screened(met), "near-pairs")
+    links = written(verified(tried, texts), "near-links")
+
+    # Buckets that hold several groups: every class outside the largest one against all of other groups.
+    placed = posted.select("bucket", "cls", "sketch").join(nearest_hubs(links, classes), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    placed = written(placed.join(buckets_open(placed), "bucket"), "near-open")
+    possible = possible_links(placed.select("cls").distinct(), texts)
+    placed = written(placed.join(possible, "cls"), "near-open")
+    rest = placed.where("root <> largest")
+    most = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    columns = ("cls", "root", "sketch", "size", "shared", "dealt")
+    for part in range(-(-(most or 0) // BLOCK)):
+        taken = rest.where(F.pmod(F.xxhash64("cls"), F.lit(-(-most // BLOCK))) == part)
+        met = (taken.select("bucket", *[F.col(c).alias("x" + c) for c in columns])
+               .join(placed.select("bucket", *[F.col(c).alias("y" + c) for c in columns]), "bucket")
+               .where((F.col("xroot") != F.col("yroot")) & may_link())
+               .select(F.greatest("xcls", "ycls").alias("a"), F.least("xcls", "ycls").alias("b"),
+                       F.when(F.col("xcls") > F.col("ycls"), F.col("xsketch")).otherwise(F.col("ysketch")).alias("sa"),
+                       F.when(F.col("xcls") > F.col("ycls"), F.col("ysketch")).otherwise(F.col("xsketch")).alias("sb")))
+        fresh = written(screened(met).join(tried, ["a", "b"], "left_anti"), "near-pairs")
         tried = tried.unionByName(fresh)
-        more = written(verified(fresh, texts), "near-links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = components(links)
-        picked = taken.select("bucket", "cls")
-        done = picked if done is None else done.unionByName(picked)
-        shown = placed.select("bucket", "cls")
-        block *= 4
-
-
-def with_class(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per row: its class number and whole text."""
-    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
-        for f in frames:
-            yield pd.DataFrame({"cls": [class_number(shingles(t, words)) for t in f["text"]], "text": f["text"]})
+        links = links.unionByName(verified(fresh, texts))
+    return components(links)
+
+
+def nearest_hubs(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Per linked class, root: the class it is linked to that meets most others, or itself if it meets more.
+
+    A label that groups most of a component, at the price of one aggregate: two classes of
+    one component under different labels cost a comparison, never a link.
+    """
+    met = classes.select(F.col("cls").alias("b"), F.struct("met", "cls").alias("_m"))
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    best = both.join(met, "b").groupBy("a").agg(F.max("_m").alias("_best"))
+    own = classes.select(F.col("cls").alias("a"), F.struct("met", "cls").alias("_own"))
+    return best.join(own, "a").select(F.col("a").alias("cls"), F.greatest("_best", "_own")["cls"].alias("root"))
+
 
-    return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInPandas(number, "cls long, text string")
+def buckets_open(placed: DataFrame) -> DataFrame:
+    """Buckets with several components, and the largest of these: bucket, largest."""
+    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    return (sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+            .where("parts > 1").drop("parts"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
