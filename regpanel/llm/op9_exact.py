@@ -64,9 +64,10 @@ def build_filter(keys: np.ndarray) -> tuple[int, int, int, bytes]:
     assigned in reverse. A seed whose graph cannot be peeled is replaced.
     """
     n = len(keys)
-    segment = 1 << max(2, int(np.log2(max(n, 1)) / 2 + 2))
-    segment = min(segment, 1 << 18)
-    segments = max(1, int(np.ceil(n * (1.15 + 4.0 / max(np.log2(n + 2), 1)) / segment)))
+    # Sizes as published for three probes: longer segments and less spare room for more keys.
+    logn = np.log(max(n, 2))
+    segment = min(1 << 18, 1 << max(2, int(logn / np.log(3.33) + 2.25)))
+    segments = max(1, int(np.ceil(n * (0.875 + 0.25 * max(1.0, np.log(1e6) / logn)) / segment)) - 2)
     for seed in range(1000):
         if seed % 10 == 9:
             segments += 1 + segments // 8
@@ -179,10 +180,10 @@ def exact_duplicates(docs: DataFrame, in_snapshot: Column, key: str = "doc_id",
     groups = written(merge_groups(grouped(ids.where("_old")), grouped(ids.where(~F.col("_old")))), "digest-groups")
 
     # The byte check: rows of groups of several against a representative's text.
-    several = groups.where("group_size > 1").select("text_sha256")
-    suspects = rows.join(several, "text_sha256", "left_semi")
-    shown = suspects.groupBy("text_sha256").agg(F.max(F.length("text")).alias("_n"), F.min("doc_id").alias("_least"))
-    lead = (rows.join(shown.select("text_sha256", F.col("_least").alias("doc_id")), ["text_sha256", "doc_id"])
+    # Digest and id are one join key: a digest alone would deal a hot group to one task.
+    pick = F.xxhash64("text_sha256", "doc_id")
+    several = groups.where("group_size > 1").select("text_sha256", F.col("keep_id").alias("doc_id")).select(pick.alias("_pick"), F.col("text_sha256").alias("_sha"))
+    lead = (rows.withColumn("_pick", pick).join(several, "_pick").where(F.col("text_sha256") == F.col("_sha"))
             .groupBy("text_sha256").agg(F.max("text").alias("_lead")))
     odd = written(rows.join(lead, "text_sha256").where(F.col("text") != F.col("_lead")).select("doc_id", "text_sha256", "text"), "digest-clashes")
 
