@@ -9,20 +9,23 @@
    how much text it held. Merging runs inside tasks first; partial templates of a host are
    merged in two rounds, so a host with a third of all pages is no hot task, and what is shuffled is
    as small as the templates, whatever the number of pages.
-3. *Wrapper.* A node whose text is the same on all of at least ``LEAST_PAGES`` pages, while
-   the pages differ otherwise, is template. Among the varying slots, menus, headers,
-   footers, sidebars, notices, adverts, forms and comments (told by element, class, id and
-   role) are chrome: they vary from page to page as well. The content root is the slot
-   that holds the article: an ``article`` or ``main`` element if the template has
-   one, else the deepest slot with most of the varying text.
-4. *Extraction.* Each page's tree is aligned to its host's wrapper by label paths: the
-   text of its content root without template and chrome, block by block. A page
-   in which the root is missing is judged alone by the same rules.
+3. *Wrapper.* The content root is the slot that holds the article: an ``article`` or
+   ``main`` element if the template has one, else the deepest slot with most of the varying
+   text. Menus, headers, footers, sidebars, notices, adverts, forms and comments (told by
+   element, class, id and role) are chrome: they vary from page to page as well.
+   The pages that have a text in a slot (its path of labels, from the innermost article on)
+   are counted exactly; a text that all pages with the root (``LEAST_PAGES`` at
+   least) have in one slot is template. Other texts in the same slot are not.
+4. *Extraction.* The text of each page's content root without the template's texts and
+   without chrome, block by block. A page in which the root is missing is judged alone by
+   the same rules.
 
 A host with fewer pages, or whose pages are all copies of each other, shows no template; then
 only the rules on chrome apply.
 
-Scale. Wrappers (about 1 KB a host) are broadcast if they prove to be under
+Scale. The counts are combined in the tasks (``TEXTS_HELD``) and then by host, slot and digest,
+so a hot host's texts are spread over all tasks; what is left per host is what most of its pages
+share. Wrappers (about 1 KB a host) are broadcast if they prove to be under
 ``BROADCAST_BYTES``; beyond that they meet the pages in a sort-merge join, whose hot hosts
 adaptive execution splits.
 
@@ -36,6 +39,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from html.parser import HTMLParser
 
@@ -53,9 +57,13 @@ MOST_DEPTH = 150
 MOST_CHILDREN = 48
 #: Hosts whose partial templates a task holds at once.
 HOSTS_HELD = 2000
+#: Counted texts a task holds at once.
+TEXTS_HELD = 200_000
 BROADCAST_BYTES = 32 << 20
 SCHEMA = "page_id long, url string, text string, n_chars long"
 PARTIAL_SCHEMA = "host string, template string"
+COUNTED_SCHEMA = "host string, template string, slot long, text long, pages long, chars long"
+ROOT_SCHEMA = "host string, root string, slot long, slots array<long>, chars long"
 
 #: Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -174,6 +182,18 @@ def block_children(node: Node) -> Iterator[Node]:
                 yield from block_children(p)
 
 
+@lru_cache(maxsize=1 << 16)
+def below(slot: int, label: str) -> int:
+    """The slot of a label under a slot; an article's or main's own starts anew, wherever it stands."""
+    start = 0 if label.split(".")[0] in ("article", "main") else slot
+    return digest(f"{start} {label}")
+
+
+def digest(text: str) -> int:
+    """64 bits of a text, never 0."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) or 1
+
+
 # A template node is a list: [label, pages, digest of its text or "" if it varies, characters, chrome, children].
 LABEL, PAGES, SAME, CHARS, CHROME, CHILDREN = range(6)
 
@@ -280,8 +300,8 @@ def varying(node: list) -> int:
     return (0 if node[SAME] else node[CHARS]) + sum(map(varying, node[CHILDREN]))
 
 
-def wrapper(template: str) -> str:
-    """A host's wrapper: path of labels to the content root, and paths under it that are template."""
+def wrapper(template: str) -> tuple[str, int, list[int], int]:
+    """A host's content root: path of labels to it, its slot, the slots under it and their characters."""
     top = json.loads(template)
     total = varying(top)
     path, node = [], top
@@ -315,38 +335,38 @@ def wrapper(template: str) -> str:
                 break
             path.append(best[LABEL])
             node = best
-    constant: list[list[str]] = []
+    slot = 0
+    for label in path:
+        slot = below(slot, label)
+    slots: set[int] = set()
 
-    def walk(n: list, below: list[str]) -> None:
+    def walk(n: list, here: int) -> None:
+        slots.add(here)
         for c in n[CHILDREN]:
-            here = [*below, c[LABEL]]
-            # Template: on all pages of the root, with one text; headings belong to their article.
-            if c[SAME] not in ("", "-") and c[PAGES] >= max(LEAST_PAGES, node[PAGES]) and c[LABEL][:2] not in ("h1", "h2", "h3"):
-                constant.append(here)
-            walk(c, here)
+            if not c[CHROME]:
+                walk(c, below(here, c[LABEL]))
 
-    # Pages that agree in nearly everything are copies of each other, not a template.
-    if varying(node) >= 0.5 * max(1, text_chars(node)):
-        walk(node, [])
-    return json.dumps([path, constant], ensure_ascii=False, separators=(",", ":"))
+    walk(node, slot)
+    return json.dumps(path, ensure_ascii=False, separators=(",", ":")), slot, sorted(slots), text_chars(node)
 
 
 def text_chars(node: list) -> int:
     return 0 if node[CHROME] else node[CHARS] + sum(map(text_chars, node[CHILDREN]))
 
 
-def blocks(node: Node, constant: frozenset, below: tuple[str, ...] = ()) -> list[str]:
-    """Texts of the blocks of a content root in page order, template and chrome left out."""
-    out: list[str] = []
+def blocks(page: Node, roots: list[Node] | None = None) -> Iterator[tuple[int, bool, str | None]]:
+    """(slot, whether it is a heading's, text) of the blocks in the roots (or the page) in page order, chrome
+    left out; an element's start gives its slot without a text."""
+    inside = None if roots is None else set(map(id, roots))
     inline: list[str] = []
 
-    def end() -> None:
+    def end(slot: int, heading: bool) -> Iterator[tuple[int, bool, str | None]]:
         text = " ".join("".join(inline).split())
         inline.clear()
         if text:
-            out.append(text)
+            yield slot, heading, text
 
-    def visit(n: Node, path: tuple[str, ...], shown: bool) -> None:
+    def visit(n: Node, slot: int, heading: bool, shown: bool) -> Iterator[tuple[int, bool, str | None]]:
         for p in n.parts:
             if isinstance(p, str):
                 if shown:
@@ -355,18 +375,19 @@ def blocks(node: Node, constant: frozenset, below: tuple[str, ...] = ()) -> list
                 inline.append(" ")
             elif p.chrome:
                 if p.tag in BLOCK:
-                    end()
+                    yield from end(slot, heading)
             elif p.tag in BLOCK:
-                end()
-                here = (*path, p.label)
-                visit(p, here, here not in constant)
-                end()
+                yield from end(slot, heading)
+                here, title = below(slot, p.label), p.label[:2] in ("h1", "h2", "h3")
+                yield here, title, None
+                yield from visit(p, here, title, shown or id(p) in inside)
+                yield from end(here, title)
             else:
-                visit(p, path, shown)
+                yield from visit(p, slot, heading, shown)
 
-    visit(node, below, True)
-    end()
-    return out
+    yield 0, False, None
+    yield from visit(page, 0, False, inside is None or id(page) in inside)
+    yield from end(0, False)
 
 
 def find(node: Node, path: list[str]) -> list[Node]:
@@ -387,13 +408,25 @@ def roots_of(node: Node, tag: str) -> list[Node]:
 
 def main_text(html: str, wrap: str | None) -> str:
     page = tree(html)
-    path, constant = json.loads(wrap) if wrap else ([], [])
+    path, template = json.loads(wrap) if wrap else ([], [])
     named = path and path[-1].split(".")[0] in ("article", "main")
     roots = find(page, path) if path else []
     if not roots or not named:
         roots = roots_of(page, "article") or roots_of(page, "main") or roots or [page]
-    skip = frozenset(map(tuple, constant))
-    return "\n".join(b for r in roots for b in blocks(r, skip))
+    skip = frozenset(template)
+    return "\n".join(t for slot, heading, t in blocks(page, roots) if t is not None and not (skip and not heading and digest(f"{slot} {t}") in skip))
+
+
+def counted(page: Node) -> dict[tuple[int, int], int]:
+    """Characters of a page's texts by slot and digest; a slot itself has digest 0. Headings belong to their article."""
+    out: dict[tuple[int, int], int] = {}
+    for slot, heading, text in blocks(page):
+        if text is None:
+            out.setdefault((slot, 0), 0)
+        elif not heading:
+            key = slot, digest(f"{slot} {text}")
+            out[key] = out.get(key, 0) + len(text)
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -405,17 +438,26 @@ def wrappers(pages: DataFrame) -> DataFrame:
     """One wrapper per host. ``pages``: host, html."""
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, list] = {}
+        texts: dict[tuple[str, int, int], list[int]] = {}
 
         def out() -> pd.DataFrame:
-            return pd.DataFrame({"host": list(held), "template": [json.dumps(t, ensure_ascii=False, separators=(",", ":")) for t in held.values()]})
+            trees = [(h, json.dumps(t, ensure_ascii=False, separators=(",", ":")), 0, 0, 0, 0) for h, t in held.items()]
+            counts = [(h, None, slot, text, n, chars) for (h, slot, text), (n, chars) in texts.items()]
+            return pd.DataFrame(trees + counts, columns=["host", "template", "slot", "text", "pages", "chars"])
 
         for f in frames:
             for host, html in zip(f["host"], f["html"]):
-                s = skeleton(tree(html))
+                page = tree(html)
+                s = skeleton(page)
                 held[host] = merge(held[host], s) if host in held else s
-            if len(held) >= HOSTS_HELD:
-                yield out()
-                held.clear()
+                for (slot, text), chars in counted(page).items():
+                    count = texts.setdefault((host, slot, text), [0, 0])
+                    count[0] += 1
+                    count[1] += chars
+                if len(held) >= HOSTS_HELD or len(texts) >= TEXTS_HELD:
+                    yield out()
+                    held.clear()
+                    texts.clear()
         if held:
             yield out()
 
@@ -423,12 +465,26 @@ def wrappers(pages: DataFrame) -> DataFrame:
         return pd.DataFrame({"host": [frame["host"].iloc[0]], "template": [merged(frame["template"].tolist())]})
 
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [wrapper(merged(frame["template"].tolist()))]})
+        root, slot, slots, chars = wrapper(merged(frame["template"].tolist()))
+        return pd.DataFrame({"host": [frame["host"].iloc[0]], "root": [root], "slot": [slot], "slots": [slots], "chars": [chars]})
 
-    parts = pages.mapInPandas(partial, PARTIAL_SCHEMA)
+    found = written(pages.mapInPandas(partial, COUNTED_SCHEMA), "page-templates")
+    parts = found.where("template is not null").select("host", "template")
     salt = F.pmod(F.xxhash64("template"), F.lit(salt_count(pages.sparkSession)))
     parts = parts.withColumn("salt", salt).groupBy("host", "salt").applyInPandas(together, PARTIAL_SCHEMA)
-    return parts.groupBy("host").applyInPandas(finish, "host string, wrapper string")
+    roots = written(parts.groupBy("host").applyInPandas(finish, ROOT_SCHEMA), "page-roots")
+
+    counts = found.where("template is null")
+    having = counts.where("text = 0").groupBy("host", "slot").agg(F.sum("pages").alias("having"))
+    hosts = roots.join(having, ["host", "slot"]).select("host", "slots", "chars", "having")
+    texts = counts.where("text <> 0").groupBy("host", "slot", "text").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("held"))
+    shared = texts.where(F.col("pages") >= LEAST_PAGES).join(hosts, "host").where("pages >= having")
+    template = shared.groupBy("host").agg(F.sort_array(F.collect_list("text")).alias("texts"), F.first("chars").alias("all"),
+                                          F.sum(F.when(F.expr("array_contains(slots, slot)"), F.col("held")).otherwise(0)).alias("held"))
+    # Pages that agree in nearly everything are copies of each other, not a template.
+    template = template.where(F.col("held") <= 0.5 * F.col("all")).select("host", "texts")
+    listed = F.coalesce(F.to_json("texts"), F.lit("[]"))
+    return roots.join(template, "host", "left").select("host", F.concat(F.lit("["), "root", F.lit(","), listed, F.lit("]")).alias("wrapper"))
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

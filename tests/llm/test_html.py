@@ -21,6 +21,20 @@ def test_template_text_of_a_host_is_left_out(spark):
     assert all(got[100 + i] == expected(i, True) for i in range(2))
 
 
+def test_a_constant_paragraph_takes_no_varying_one_with_it(spark):
+    # The constant <p> stands alone, before or after the story, or next to it, always under the story's own label.
+    forms = {"before.org": "<p>Same notice</p><h1>T {i}</h1><p>story {i} told</p><p>end of story {i}</p>",
+             "after.org": "<p>story {i} told</p><p>end of story {i}</p><h1>T {i}</h1><p>Same notice</p>",
+             "beside.org": "<h1>T {i}</h1><p>story {i} told</p><p>Same notice</p><p>end of story {i}</p>"}
+    rows = [(100 * k + i, f"http://{host}/{i}", f"<body><article>{form}</article>".replace("{i}", str(i)))
+            for k, (host, form) in enumerate(forms.items()) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in x.extract_main_text(pages).collect()}
+    for i in range(10):
+        assert got[i] == got[200 + i] == f"T {i}\nstory {i} told\nend of story {i}"
+        assert got[100 + i] == f"story {i} told\nend of story {i}\nT {i}"
+
+
 def test_copies_are_not_a_template(spark):
     pages = spark.createDataFrame([(i, "http://copies.org/x", PAGE.replace("{i}", "7")) for i in range(12)], "page_id long, url string, html string")
     assert {r.text for r in x.extract_main_text(pages).collect()} == {expected(7, True)}
