@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -51,7 +52,8 @@ from .common import salt_count, written
 
 #: Pages of a host that must agree on a text before it counts as template.
 LEAST_PAGES = 8
-#: Open elements; deeper ones are not opened, their text belongs to the innermost open one.
+#: Levels of blocks that a template tells apart; pages are read and extracted at any depth, and
+#: what is deeper counts for the slot at that level.
 MOST_DEPTH = 150
 #: Children of a template node; beyond it those of one label become one slot.
 MOST_CHILDREN = 48
@@ -113,6 +115,7 @@ class Trees(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#", [])
         self.open = [self.root]
+        self.count: dict[str, int] = defaultdict(int)  # open elements by tag
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -120,31 +123,41 @@ class Trees(HTMLParser):
         if tag in CLOSES:
             self.shut(CLOSES[tag])
         # A second html or body element adds nothing.
-        if tag in ("html", "body") and any(n.tag == tag for n in self.open):
+        if tag in ("html", "body") and self.count[tag]:
             return
-        node = Node(tag, attrs, any(n.tag in ("article", "main") for n in self.open))
+        node = Node(tag, attrs, bool(self.count["article"] or self.count["main"]))
         self.open[-1].parts.append(node)
-        if tag not in VOID and (len(self.open) < MOST_DEPTH or tag in RAW):
+        if tag not in VOID:
             self.open.append(node)
+            self.count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.open[-1].tag == tag and tag in RAW:
-            self.open.pop()
+            self.close_from(len(self.open) - 1)
+
+    def close_from(self, i: int):
+        for n in self.open[i:]:
+            self.count[n.tag] -= 1
+        del self.open[i:]
 
     def handle_endtag(self, tag):
+        if not self.count[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self.close_from(i)
                 return
             # An inline end tag does not close the blocks inside which it stands.
             if tag not in BLOCK and self.open[i].tag in BLOCK:
                 return
 
     def shut(self, tags: frozenset):
+        if not any(self.count[t] for t in tags):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
-                del self.open[i:]
+                self.close_from(i)
             elif self.open[i].tag in SCOPE:
                 return
 
@@ -161,25 +174,34 @@ def tree(html: str) -> Node:
 
 def own_text(node: Node) -> str:
     """Text of a node outside its block children."""
-    out = []
-    for p in node.parts:
-        if isinstance(p, str):
-            out.append(p)
-        elif p.tag == "br":
-            out.append(" ")
-        elif p.tag not in BLOCK and not p.chrome:
-            out.append(own_text(p))
+    out, todo = [], [iter(node.parts)]
+    while todo:
+        for p in todo[-1]:
+            if isinstance(p, str):
+                out.append(p)
+            elif p.tag == "br":
+                out.append(" ")
+            elif p.tag not in BLOCK and not p.chrome:
+                todo.append(iter(p.parts))
+                break
+        else:
+            todo.pop()
     return " ".join("".join(out).split())
 
 
 def block_children(node: Node) -> Iterator[Node]:
     """Nearest block elements (and chrome) under a node."""
-    for p in node.parts:
-        if not isinstance(p, str):
-            if p.tag in BLOCK or p.chrome:
-                yield p
-            else:
-                yield from block_children(p)
+    todo = [iter(node.parts)]
+    while todo:
+        for p in todo[-1]:
+            if not isinstance(p, str):
+                if p.tag in BLOCK or p.chrome:
+                    yield p
+                else:
+                    todo.append(iter(p.parts))
+                    break
+        else:
+            todo.pop()
 
 
 @lru_cache(maxsize=1 << 16)
@@ -198,16 +220,21 @@ def digest(text: str) -> int:
 LABEL, PAGES, SAME, CHARS, CHROME, CHILDREN = range(6)
 
 
-def skeleton(node: Node) -> list:
+def skeleton(node: Node, depth: int = 0) -> list:
     """A page's template: folded blocks; chrome is kept as a leaf."""
-    text = own_text(node) if not node.chrome else ""
+    if node.chrome:
+        text = ""
+    elif depth < MOST_DEPTH:
+        text = own_text(node)
+    else:
+        text = " ".join(t for _, _, t in blocks(node) if t)
     same = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() if text else "-"
     out = [node.label, 1, same, len(text), int(node.chrome), []]
-    if not node.chrome:
+    if not node.chrome and depth < MOST_DEPTH:
         for child in block_children(node):
             if child.tag in VOID:
                 continue
-            s = skeleton(child)
+            s = skeleton(child, depth + 1)
             if out[CHILDREN] and out[CHILDREN][-1][LABEL] == s[LABEL]:
                 fold(out[CHILDREN][-1], s)
             else:
@@ -366,8 +393,12 @@ def blocks(page: Node, roots: list[Node] | None = None) -> Iterator[tuple[int, b
         if text:
             yield slot, heading, text
 
-    def visit(n: Node, slot: int, heading: bool, shown: bool) -> Iterator[tuple[int, bool, str | None]]:
-        for p in n.parts:
+    yield 0, False, None
+    # Open elements: what is left of their parts, slot, whether a heading, whether shown, levels of blocks, whether a block.
+    todo = [(iter(page.parts), 0, False, inside is None or id(page) in inside, 0, True)]
+    while todo:
+        parts, slot, heading, shown, depth, block = todo[-1]
+        for p in parts:
             if isinstance(p, str):
                 if shown:
                     inline.append(p)
@@ -378,31 +409,36 @@ def blocks(page: Node, roots: list[Node] | None = None) -> Iterator[tuple[int, b
                     yield from end(slot, heading)
             elif p.tag in BLOCK:
                 yield from end(slot, heading)
-                here, title = below(slot, p.label), p.label[:2] in ("h1", "h2", "h3")
+                here, title = below(slot, p.label) if depth < MOST_DEPTH else slot, p.label[:2] in ("h1", "h2", "h3")
                 yield here, title, None
-                yield from visit(p, here, title, shown or id(p) in inside)
-                yield from end(here, title)
+                todo.append((iter(p.parts), here, title, shown or id(p) in inside, depth + 1, True))
+                break
             else:
-                yield from visit(p, slot, heading, shown)
-
-    yield 0, False, None
-    yield from visit(page, 0, False, inside is None or id(page) in inside)
-    yield from end(0, False)
+                todo.append((iter(p.parts), slot, heading, shown, depth, False))
+                break
+        else:
+            todo.pop()
+            if block:
+                yield from end(slot, heading)
 
 
 def find(node: Node, path: list[str]) -> list[Node]:
     """Nodes of a page at a path of labels, in page order."""
-    if not path:
-        return [node]
-    return [n for c in block_children(node) if c.label == path[0] and not c.chrome for n in find(c, path[1:])]
+    found = [node]
+    for label in path:
+        found = [c for n in found for c in block_children(n) if c.label == label and not c.chrome]
+    return found
 
 
 def roots_of(node: Node, tag: str) -> list[Node]:
     """Outermost elements of a kind outside chrome."""
-    out = []
-    for c in block_children(node):
-        if not c.chrome:
-            out += [c] if c.tag == tag else roots_of(c, tag)
+    out, todo = [], [node]
+    while todo:
+        n = todo.pop()
+        if n is not node and n.tag == tag:
+            out.append(n)
+        else:
+            todo += [c for c in block_children(n) if not c.chrome][::-1]
     return out
 
 

@@ -60,6 +60,24 @@ def test_single_pages():
     assert x.skeleton(x.tree("<b>" * 3000 + "t"))
 
 
+def test_deep_nesting_keeps_what_follows_and_its_chrome():
+    for n in (140, 200, 3000):
+        deep = "<div>" * n + "{}" + "</div>" * n
+        page = "<body><div class=wrap><article>" + deep.format("text") + "<p>after</p></article></div><p>outside</p>"
+        assert x.main_text(page, None) == "text\nafter"
+        inner = "<nav>menu</nav><p>one<p>two <b>bold</b><div class=ad>buy</div><ul><li>1<li>2</ul><footer>f</footer>end"
+        assert x.main_text("<article>" + deep.format(inner) + "<p>after</p></article><p>outside</p>", None) == "one\ntwo bold\n1\n2\nend\nafter"
+        assert x.main_text("<p>outside</p>" + deep.format("<article><p>in</p></article>side"), None) == "in"
+        assert x.main_text("<article>" + "<b><i>" * n + "in<p>line" + "</i></b>" * n + "</article><p>outside", None) == "in\nline"
+
+
+def test_template_text_past_a_deep_nesting(spark):
+    html = "<article>" + "<div>" * 200 + "<p>Same notice</p><h1>T {i}</h1><nav>menu</nav><p>story {i} told</p>" + "</div>" * 200 + "<p>after {i}</p></article>"
+    rows = [(i, "http://deep.org/", html.replace("{i}", str(i))) for i in range(10)]
+    got = {r.page_id: r.text for r in x.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"T {i}\nstory {i} told\nafter {i}" for i in range(10))
+
+
 def test_simple_tree_matching():
     def n(label, *children):
         return [label, 1, "-", 0, 0, list(children)]
