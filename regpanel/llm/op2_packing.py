@@ -4,13 +4,18 @@ Several sequence lengths are permitted and planned jointly. Pieces (documents; a
 longer one than the largest length is cut into pieces of that length and a rest) are
 placed longest first. A piece goes into the open bin that it leaves the least room in; if
 none has room, a bin is opened in the permitted length whose cost per token,
-once it is filled with the largest pieces that still fit, is the least (decided once
-per piece length). Of bins with equal room the one of least capacity is taken. At last
+once it is filled with the largest pieces that still fit, is the least. Of bins with equal
+room the one of least capacity is taken. At last
 every bin is cut down to the smallest permitted length that holds its contents.
 
+Two plans are made, and the one of least total cost is used (the first, if they are equal): the
+first decides once per piece length; the second at every opened bin, with the pieces that no
+bin opened before counts on as its filling.
+
 Only lengths matter, and there are at most as many as the largest capacity. So the plan
 is made on the *histogram* of piece lengths: bins of equal contents are one entry with a
-multiplicity, and a whole run of equal pieces is placed in one step. The plan is
+multiplicity, and a whole run of equal pieces is placed in one step; a decision holds for as
+many bins as it can be repeated for before any length's filling would change. The plan is
 exactly that of placing piece by piece, for any number of documents, and the driver
 holds at most ``capacity`` counts and a few entries for each.
 
@@ -57,41 +62,65 @@ class Bins:
     runs: list[tuple[int, int, int]] = field(default_factory=list)
 
 
-def cheapest_capacity(length: int, left: dict[int, int], lengths: list[int], capacities: Sequence[int]) -> int:
-    """The capacity of least cost per token if filled, largest first, with pieces still to place."""
-    best = None
+def fillings(length: int, left: dict[int, int], lengths: list[int], capacities: Sequence[int]) -> list[tuple[float, int, dict[int, int]]]:
+    """(cost per token, capacity, pieces by length) of a bin filled, largest first, with pieces still to place."""
+    out = []
     for capacity in sorted(c for c in capacities if c >= length):
         room, at = capacity - length, bisect_left(lengths, length) + 1
-        own = 1
+        used = {length: 1}
         while room > 0 and at > 0:
             at = bisect_left(lengths, room + 1, 0, at)
             if not at:
                 break
             at -= 1
             size = lengths[at]
-            free = left[size] - (own if size == length else 0)
-            take = min(free, room // size)
-            room -= max(take, 0) * size
+            take = min(left[size] - used.get(size, 0), room // size)
+            if take > 0:
+                used[size] = used.get(size, 0) + take
+                room -= take * size
         # The smallest permitted length that holds the filling is what the bin will cost.
         filled = capacity - room
-        price = cost(min(c for c in capacities if c >= filled)) / filled
-        if best is None or price < best[0]:
-            best = (price, capacity)
-    return best[1]
+        out.append((cost(min(c for c in capacities if c >= filled)) / filled, capacity, used))
+    return out
+
+
+def cheapest_capacity(length: int, left: dict[int, int], lengths: list[int], capacities: Sequence[int]) -> int:
+    """The capacity of least cost per token if filled, largest first, with pieces still to place."""
+    return min(fillings(length, left, lengths, capacities), key=lambda f: f[0])[1]
 
 
-def plan_bins(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES) -> list[Bins]:
-    """Places ``histogram`` (length: pieces), longest first; bins in the order they were opened."""
+def cheapest_bins(length: int, spare: dict[int, int], lengths: list[int], capacities: Sequence[int]) -> tuple[int, int]:
+    """The capacity of least cost per token, and for how many bins one after the other; takes their filling from ``spare``."""
+    found = fillings(length, spare, lengths, capacities)
+    _, capacity, used = min(found, key=lambda f: f[0])
+    # Nothing changes for the next bin while every capacity can still be filled as now.
+    count = min((spare[size] - n) // used[size] + 1 for _, _, filling in found for size, n in filling.items() if size in used)
+    for size, n in used.items():
+        spare[size] -= n * count
+    return capacity, count
+
+
+def plan_bins(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES, anew: bool = False) -> list[Bins]:
+    """Places ``histogram`` (length: pieces), longest first; bins in the order they were opened.
+    ``anew``: capacities are decided at every opened bin, not once per length."""
     left = {n: k for n, k in histogram.items() if k > 0 and n > 0}
     if left and max(left) > max(capacities):
         raise ValueError("a piece is longer than the largest capacity")
     lengths = sorted(left)
+    spare = dict(left)  # pieces that no opened bin counts on
     opened: list[Bins] = []
     rooms: list[tuple[int, int, int]] = []  # (room, capacity, number of the entry), of entries with room
     for length in sorted(left, reverse=True):
         number, capacity = 0, None
         while left[length]:
             at = bisect_left(rooms, (length,))
+            if at == len(rooms) and anew:
+                # No open bin has room, so all that are left of this length are to place.
+                spare[length] = left[length]
+                size, count = cheapest_bins(length, spare, lengths, capacities)
+                opened.append(Bins(size, size, count))
+                insort(rooms, (size, size, len(opened) - 1))
+                continue
             if at == len(rooms):
                 capacity = capacity or cheapest_capacity(length, left, lengths, capacities)
                 # As many bins of this kind as a run of equal pieces opens one after the other.
@@ -144,6 +173,15 @@ def downsized(bins: Bins, capacities: Sequence[int]) -> int:
     return min(c for c in capacities if c >= used)
 
 
+def total_cost(plan: list[Bins], capacities: Sequence[int]) -> int:
+    return sum(b.count * cost(downsized(b, capacities)) for b in plan)
+
+
+def least_cost_plan(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES) -> list[Bins]:
+    plans = [plan_bins(histogram, capacities, anew) for anew in (False, True)]
+    return min(plans, key=lambda p: total_cost(p, capacities))
+
+
 def pieces_of(docs: DataFrame, largest: int, key: str, text: str) -> DataFrame:
     """One row per piece: doc_id, piece, first_token, n_tokens; documents without tokens have one of 0."""
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -163,7 +201,7 @@ def pack(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, key: str = "do
     packed = pieces.where("n_tokens > 0")
     counts = written(packed.groupBy("n_tokens", "_part").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = {r["n_tokens"]: r["n"] for r in counts.groupBy("n_tokens").agg(F.sum("n").alias("n")).collect()}
-    planned = plan_bins(histogram, capacities)
+    planned = least_cost_plan(histogram, capacities)
 
     # Runs of piece numbers per length: number -> bin and place in it by division.
     runs, bin_id = [], 0
