@@ -5,7 +5,7 @@
    folded into one node, so lists and paragraphs of any number are one node.
 2. *Alignment.* The skeletons of a host are merged pairwise by simple tree
    matching (the matching of the children in order that aligns the most nodes). A merged node
-   knows how many pages have it, the text it had (while all pages agree), and
+   knows how many pages have it, its most frequent texts (mergeable counts), and
    how much text it held. Merging runs inside tasks first; partial templates of a host are
    merged in two rounds, so a host with a third of all pages is no hot task, and what is shuffled is
    as small as the templates, whatever the number of pages.
@@ -14,8 +14,9 @@
    text. Menus, headers, footers, sidebars, notices, adverts, forms and comments (told by
    element, class, id and role) are chrome: they vary from page to page as well.
    The pages that have a text in a slot (its path of labels, from the innermost article on)
-   are counted exactly; a text that all pages with the root (``LEAST_PAGES`` at
-   least) have in one slot is template. Other texts in the same slot are not.
+   are counted exactly; a text that ``TEMPLATE_SHARE`` of the pages with the root (``LEAST_PAGES`` at
+   least) have in one slot is template. Other texts in the same slot are not. For the
+   choice of the root alone, the shares of a node's texts are those of its frequent ones.
 4. *Extraction.* The text of each page's content root without the template's texts and
    without chrome, block by block. A page in which the root is missing is judged alone by
    the same rules.
@@ -52,10 +53,14 @@ from .common import salt_count, written
 
 #: Pages of a host that must agree on a text before it counts as template.
 LEAST_PAGES = 8
+#: Share of a host's pages with the content root that must have a text before it counts as template.
+TEMPLATE_SHARE = 0.8
+#: Frequent texts a template node counts; a count is short by at most a 17th of the node's texts.
+MOST_TEXTS = 16
 #: Levels of blocks that a template tells apart; pages are read and extracted at any depth, and
 #: what is deeper counts for the slot at that level.
 MOST_DEPTH = 150
-#: Children of a template node; beyond it those of one label become one slot.
+#: Children of a template node; beyond it those of one label become one node, as all do when the root is chosen.
 MOST_CHILDREN = 48
 #: Hosts whose partial templates a task holds at once.
 HOSTS_HELD = 2000
@@ -216,7 +221,8 @@ def digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) or 1
 
 
-# A template node is a list: [label, pages, digest of its text or "" if it varies, characters, chrome, children].
+# A template node is a list: [label, pages, digest of its text or, if it varies, {digest: [pages, characters of one]} of
+# the frequent ones, characters, chrome, children].
 LABEL, PAGES, SAME, CHARS, CHROME, CHILDREN = range(6)
 
 
@@ -244,15 +250,27 @@ def skeleton(node: Node, depth: int = 0) -> list:
 
 def fold(a: list, b: list) -> None:
     """Neighbouring siblings of a page become one node; their texts in order are its text."""
-    a[SAME] = blake2b((a[SAME] + b[SAME]).encode(), digest_size=8).hexdigest() if a[SAME] and b[SAME] else ""
+    both = "".join(n[SAME] if isinstance(n[SAME], str) else json.dumps(n[SAME], sort_keys=True) for n in (a, b))
+    a[SAME] = blake2b(both.encode(), digest_size=8).hexdigest()
     a[CHARS] += b[CHARS]
     a[CHILDREN] = aligned(a[CHILDREN], b[CHILDREN], fold)
 
 
+def frequent(n: list) -> dict[str, list[int]]:
+    """Pages and characters of a template node's frequent texts."""
+    return n[SAME] if isinstance(n[SAME], dict) else {n[SAME]: [n[PAGES], n[CHARS] // n[PAGES]]}
+
+
 def merge(a: list, b: list) -> list:
     """Two templates of one label become one (the first is changed)."""
+    if isinstance(a[SAME], dict) or a[SAME] != b[SAME]:
+        a[SAME] = counts = frequent(a)
+        for text, (pages, chars) in frequent(b).items():
+            counts[text] = [counts[text][0] + pages if text in counts else pages, chars]
+        if len(counts) > MOST_TEXTS:
+            least = sorted((n for n, _ in counts.values()), reverse=True)[MOST_TEXTS]
+            a[SAME] = {text: [n - least, chars] for text, (n, chars) in counts.items() if n > least}
     a[PAGES] += b[PAGES]
-    a[SAME] = a[SAME] if a[SAME] == b[SAME] else ""
     a[CHARS] += b[CHARS]
     a[CHROME] = int(a[CHROME] and b[CHROME])
     a[CHILDREN] = aligned(a[CHILDREN], b[CHILDREN], merge)
@@ -320,17 +338,34 @@ def merged(templates: list[str]) -> str:
     return json.dumps(out, ensure_ascii=False, separators=(",", ":"))
 
 
-def varying(node: list) -> int:
-    """Characters of varying text in a template's node, chrome left out."""
+def collapsed(node: list) -> list:
+    """A template whose children of one label are one node, as a path of labels means them."""
+    slots: dict[str, list] = {}
+    for c in node[CHILDREN]:
+        if c[LABEL] in slots:
+            merge(slots[c[LABEL]], c)
+        else:
+            slots[c[LABEL]] = c
+    node[CHILDREN] = [collapsed(slots[label]) for label in sorted(slots)]
+    return node
+
+
+def varying(node: list, pages: int) -> int:
+    """Characters of varying text in a template's node, chrome left out; the host has so many pages."""
     if node[CHROME]:
         return 0
-    return (0 if node[SAME] else node[CHARS]) + sum(map(varying, node[CHILDREN]))
+    counts = frequent(node)
+    short = (node[PAGES] - sum(n for n, _ in counts.values())) / (MOST_TEXTS + 1)
+    least = TEMPLATE_SHARE * min(node[PAGES], pages)
+    constant = sum(n * chars for n, chars in counts.values() if n + short >= least)
+    return max(0, node[CHARS] - constant) + sum(varying(c, pages) for c in node[CHILDREN])
 
 
 def wrapper(template: str) -> tuple[str, int, list[int], int]:
     """A host's content root: path of labels to it, its slot, the slots under it and their characters."""
-    top = json.loads(template)
-    total = varying(top)
+    top = collapsed(json.loads(template))
+    pages = top[PAGES]
+    total = varying(top, pages)
     path, node = [], top
 
     def article(n: list, tag: str) -> list[str] | None:
@@ -342,8 +377,8 @@ def wrapper(template: str) -> tuple[str, int, list[int], int]:
             own = [c[LABEL]] if c[LABEL].split(".")[0] == tag else None
             if own is None and (deeper := article(c, tag)):
                 own = [c[LABEL], *deeper]
-            if own and (found is None or at(c, own[1:])[CHARS] >= 0 and varying(c) > found[0]):
-                found = (varying(c), own)
+            if own and (found is None or at(c, own[1:])[CHARS] >= 0 and varying(c, pages) > found[0]):
+                found = (varying(c, pages), own)
         return found[1] if found else None
 
     def at(n: list, labels: list[str]) -> list:
@@ -356,9 +391,9 @@ def wrapper(template: str) -> tuple[str, int, list[int], int]:
         node = at(top, path)
     else:
         while True:
-            best = max((c for c in node[CHILDREN] if not c[CHROME]), key=varying, default=None)
+            best = max((c for c in node[CHILDREN] if not c[CHROME]), key=lambda c: varying(c, pages), default=None)
             # Into the one child with nearly all of the text, unless it is a paragraph of its own.
-            if best is None or not total or varying(best) < 0.9 * total or best[LABEL].split(".")[0] not in ("html", "body", "div", "section", "center", "table", "tbody", "tr", "td"):
+            if best is None or not total or varying(best, pages) < 0.9 * total or best[LABEL].split(".")[0] not in ("html", "body", "div", "section", "center", "table", "tbody", "tr", "td"):
                 break
             path.append(best[LABEL])
             node = best
@@ -514,7 +549,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     having = counts.where("text = 0").groupBy("host", "slot").agg(F.sum("pages").alias("having"))
     hosts = roots.join(having, ["host", "slot"]).select("host", "slots", "chars", "having")
     texts = counts.where("text <> 0").groupBy("host", "slot", "text").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("held"))
-    shared = texts.where(F.col("pages") >= LEAST_PAGES).join(hosts, "host").where("pages >= having")
+    shared = texts.where(F.col("pages") >= LEAST_PAGES).join(hosts, "host").where(F.col("pages") >= TEMPLATE_SHARE * F.col("having"))
     template = shared.groupBy("host").agg(F.sort_array(F.collect_list("text")).alias("texts"), F.first("chars").alias("all"),
                                           F.sum(F.when(F.expr("array_contains(slots, slot)"), F.col("held")).otherwise(0)).alias("held"))
     # Pages that agree in nearly everything are copies of each other, not a template.

@@ -1,4 +1,5 @@
 import json
+import random
 
 from regpanel.llm import op8_html as x
 
@@ -35,6 +36,36 @@ def test_a_constant_paragraph_takes_no_varying_one_with_it(spark):
         assert got[100 + i] == f"story {i} told\nend of story {i}\nT {i}"
 
 
+def test_template_is_told_by_its_share_of_the_pages(spark):
+    # 36 of 40 pages have the notice, two altered it, two lack it; half of them share another text.
+    def page(i):
+        notice = "" if i < 2 else f"<p>Other notice {i}</p>" if i < 4 else "<p>Same notice</p>"
+        return f"<body><article>{notice}<h1>T {i}</h1><p>story {i} told</p>" + ("<p>Half of them</p>" if i % 2 else "") + "</article>"
+
+    rows = [(i, f"http://hot.org/{i}", page(i)) for i in range(40)]
+    # The same without an article: one altered text beside the body does not widen the content root.
+    html = "<body><div class=page><div class=left><p>{l}</p></div><div class=body><p>{a}</p><p>{b}</p></div></div></body>"
+    rows += [(100 + i, "http://plain.org/", html.replace("{l}", "Always the same " * 9 + ("!" if i == 5 else "")).replace("{a}", f"story number {i} " * 20)
+              .replace("{b}", f"its end {i}")) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    got = {r.page_id: r.text for r in x.extract_main_text(pages).collect()}
+    for i in range(40):
+        assert got[i] == (f"Other notice {i}\n" if i in (2, 3) else "") + f"T {i}\nstory {i} told" + ("\nHalf of them" if i % 2 else "")
+        assert got[100 + i] == " ".join(f"story number {i} ".split() * 20) + f"\nits end {i}"
+
+
+def test_surplus_slots_do_not_depend_on_grouping():
+    parts = []
+    for i in range(12):
+        rng = random.Random(i)
+        children = "".join(f"<p class={rng.choice('uvw')}>always {j % 5}</p><div class={rng.choice('xyz')}>{i} {j} varies</div>" for j in range(40))
+        parts.append(json.dumps(x.skeleton(x.tree(f"<body><div class=top><p>menu</p></div><div class=page>{children}</div>"))))
+    expected = x.wrapper(x.merged(parts))
+    assert json.loads(expected[0])[-1] == "div.page"
+    for k in (3, 6, 9):
+        assert x.wrapper(x.merged([x.merged(parts[:k]), x.merged(parts[k:][::-1])])) == expected
+
+
 def test_copies_are_not_a_template(spark):
     pages = spark.createDataFrame([(i, "http://copies.org/x", PAGE.replace("{i}", "7")) for i in range(12)], "page_id long, url string, html string")
     assert {r.text for r in x.extract_main_text(pages).collect()} == {expected(7, True)}
