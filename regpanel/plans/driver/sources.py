@@ -128,9 +128,19 @@ def xml_quarantine_q(spark, sf_dir):
 
 
 # ------------------------------------------------------------ S3 / S4
-def _waves(spark):
-    """Archives per generated batch: one per core, so packing runs in parallel."""
-    return spark.sparkContext.defaultParallelism
+#: Rows that one generated file or archive holds on average, at the most.
+_ROWS_PER_FILE = 50_000
+
+
+def _files(rows, least):
+    """Files for a batch of ``rows``: ``least``, more if a task would write too many rows."""
+    return max(least, -(-rows.count() // _ROWS_PER_FILE))
+
+
+def _packed(rows, out, prefix="part"):
+    """``rows`` written as archives: one per core at least, so packing runs in parallel."""
+    from ...sources.archive import write_archives
+    return write_archives(rows, out, _files(rows, rows.sparkSession.sparkContext.defaultParallelism), prefix=prefix)
 
 
 def _orders_xml(spark, sf_dir, where=None):
@@ -172,9 +182,9 @@ def _typed_with_member(docs):
 def zip_scan_q(spark, sf_dir):
     """S3: orders rendered as XML members, packed into zip archives on the
     shared checkpoint storage, scanned back member by member and parsed."""
-    from ...sources.archive import scan_archives, write_archives
+    from ...sources.archive import scan_archives
     out = _scratch(spark, "zip-scan")
-    write_archives(_orders_xml(spark, sf_dir), out, _waves(spark)).collect()
+    _packed(_orders_xml(spark, sf_dir), out).collect()
     return _typed_with_member(_parse_revexp(scan_archives(spark, out)))
 
 
@@ -193,13 +203,13 @@ def incremental_ingest_q(spark, sf_dir):
     run extracts only those; a third run finds nothing. All extracted rows,
     labelled by run."""
     from ...sources.archive import (list_archives, list_members, new_archives,
-                                   read_members, record_ingested, write_archives)
+                                   read_members, record_ingested)
     out = _scratch(spark, "ingest")
     manifest, extracted = out + "-manifest", out + "-extracted"
     cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
     for run, wave in ((1, cut), (2, ~cut), (3, None)):
         if wave is not None:
-            write_archives(_orders_xml(spark, sf_dir, wave), out, _waves(spark), prefix=f"run{run}").count()
+            _packed(_orders_xml(spark, sf_dir, wave), out, prefix=f"run{run}").count()
         new = new_archives(list_archives(spark, out), manifest)
         docs = _typed_with_member(_parse_revexp(read_members(list_members(new))))
         docs.withColumn("run", F.lit(run)).write.mode("append").parquet(extracted)
@@ -245,14 +255,12 @@ def streaming_ingest_q(spark, sf_dir):
     """S4 streaming form: two arrival waves of archives, each picked up by an
     available-now run of the same checkpointed stream; the output holds
     every order exactly once."""
-    from ...sources.archive import write_archives
     from ...streaming.ingest import ingest_stream
     base = _scratch(spark, "stream")
     arrivals, out = base + "-in", base + "-out"
     cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
     for i, wave in enumerate([cut, ~cut]):
-        write_archives(_orders_xml(spark, sf_dir, wave), arrivals, _waves(spark),
-                       prefix=f"wave{i}").collect()
+        _packed(_orders_xml(spark, sf_dir, wave), arrivals, prefix=f"wave{i}").collect()
         q = ingest_stream(spark, arrivals, out, _parse_revexp, name=os.path.basename(base),
                           checkpoint_location=base + "-ckpt")
         q.awaitTermination()
@@ -283,7 +291,7 @@ def xml_file_source_q(spark, sf_dir):
                    F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit('"'), status,
                    F.lit('><Приоритет Код="'), s("o_orderpriority"), F.lit('"/></Документ>'))
     out = _scratch(spark, "xml-files")
-    write_xml_files(o.select(doc.alias("doc")), out, 4).collect()
+    write_xml_files(o.select(doc.alias("doc")), out, _files(o, 4)).collect()
     schema = T.StructType([
         T.StructField("_Ид", T.StringType()), T.StructField("_ДатаСост", T.StringType()),
         T.StructField("_Статус", T.StringType()),

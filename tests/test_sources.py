@@ -155,3 +155,16 @@ def test_member_slice(spark):
     with __import__("zipfile").ZipFile(os.path.join(base, "one-00000.zip")) as z:
         names = [n for n in z.namelist() if "xml" in n][1:8:3]
     assert members == sorted(names) and len(members) == 3
+
+
+def test_generated_files_grow_with_the_table(spark, monkeypatch):
+    from regpanel.plans.driver import sources
+    sf_dir = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    monkeypatch.setattr(sources, "_ROWS_PER_FILE", n // 9)
+    scratch = _scratch()
+    monkeypatch.setattr(sources, "_scratch", lambda spark, name: os.path.join(scratch, name))
+    assert sources.xml_file_source_q(spark, sf_dir).count() == n
+    assert len([f for f in os.listdir(os.path.join(scratch, "xml-files")) if f.endswith(".xml")]) >= 9
+    assert sources.zip_scan_q(spark, sf_dir).count() == n
+    assert len(os.listdir(os.path.join(scratch, "zip-scan"))) >= 9
