@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_packing, op3_bpe, op4_minhash, op5_urls, op6_quality, op7_chat, op8_html, op9_exact, op10_ann
+from . import op1_toxicity, op2_packing, op3_bpe, op4_minhash, op5_urls, op6_quality, op7_chat, op8_html, op9_exact, op10_ann, op11_whitening, op12_lines, op13_codes
 from .common import read_table
 
 
@@ -56,6 +56,18 @@ def op10_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_ann.neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_whitening_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_whitening.whitened_rows(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_lines.line_digests(op12_lines.dedup_lines(read_table(spark, sf_dir, "documents")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_codes.code_rows(*op13_codes.compress(read_table(spark, sf_dir, "embeddings")))
+
+
 OP9_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -73,6 +85,9 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_permutation_search": op10_permutation_search,
+    "op11_whitening": op11_whitening_components,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE_SQL = {
@@ -80,4 +95,6 @@ ORACLE_SQL = {
     "op7_chat_format": op7_chat.ORACLE_SQL,
     "op9_exact_dedup": OP9_SQL,
     "op10_permutation_search": op10_ann.ORACLE_SQL,
+    "op12_line_dedup": op12_lines.ORACLE_SQL,
+    "op13_vector_codes": op13_codes.ORACLE_SQL,
 }
