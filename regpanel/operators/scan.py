@@ -9,13 +9,14 @@ count), and a window over the small bucket table carries the summary from
 bucket to bucket. Everything is a JVM operator, so values keep their type
 (64-bit integers, decimals, NaN), and there is one path for every key size.
 
-Bucket bounds are approximate quantiles of the order column, taken over the
-whole input by one lazy scalar subquery. A bucket is the number of bounds
-below the value, compared in the column's own type, so it is monotone in the
-order whatever the bounds are: bounds decide the balance of the tasks, never
-the result. The number of buckets is ``regpanel.scan.partitions`` (the shuffle
-width where that is unset). Order columns that have no quantiles (strings) form one
-bucket.
+A bucket is the number of bounds below a row's place in the order, so it is monotone in the order whatever the
+bounds are: bounds decide the balance of the tasks, never the result. For one numeric or date column they are
+approximate quantiles, compared in the column's own type. For anything else (strings, several columns) they are
+every n-th of a sorted sample of places, structs of all order columns that compare from left to right, so that a
+value that very many rows share in the first column is cut by the next ones. Rows are sampled by a hash of
+their place, at a rate that the row count sets, and bounds keep ``BOUND_CHARS`` characters of a text, so
+the sample has a bounded size. All of it is lazy scalar subqueries. Rows that are equal in all order columns share a
+bucket. The number of buckets is ``regpanel.scan.partitions`` (the shuffle width where that is unset).
 """
 
 from __future__ import annotations
@@ -36,27 +37,49 @@ def _num_buckets(df: DataFrame) -> int:
                        or conf.get("spark.sql.shuffle.partitions")))
 
 
-def order_bucket(df: DataFrame, column: str, buckets: int | None = None) -> Column:
-    """Monotone bucket of ``column``: equal values share one, nulls are in the first,
-    NaN in the last. Bounds are looked up in two steps (every n-th, then those between)."""
-    kind = df.schema[column].dataType
-    if not isinstance(kind, _MEASURED):
-        return F.lit(0)
-    step = max(2, math.isqrt((buckets or _num_buckets(df)) - 1) + 1)
+#: Sampled places per bound, and the characters that a bound keeps of a text.
+SAMPLE_PER_BOUND, BOUND_CHARS = 32, 64
+
+
+def _quantile_bounds(df: DataFrame, column: str, n: int) -> tuple[Column, Column]:
+    """The column, and its n - 1 approximate quantiles as a column over all of ``df``."""
     value = F.col(column)
-    measured = F.when(~F.isnan(value), value) if isinstance(kind, (T.FloatType, T.DoubleType)) else value
+    measured = F.when(~F.isnan(value), value) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else value
+    return value, df.agg(F.percentile_approx(measured, [i / n for i in range(1, n)], 10_000).alias("b"))
+
+
+def _sampled_bounds(df: DataFrame, columns: Sequence[str], n: int) -> tuple[Column, Column]:
+    """The place of a row (a struct of its order columns), and n - 1 or fewer places that cut a sample evenly."""
+    def bound(c: str) -> Column:
+        return (F.substring(F.col(c), 1, BOUND_CHARS) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)).alias(c)
+
+    unit = 1 << 30
+    rows = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("rows")).scalar()
+    drawn = F.pmod(F.xxhash64(*columns), F.lit(unit)) < F.lit(float(unit * SAMPLE_PER_BOUND * n)) / rows
+    # Equal places are drawn together, and count once: the set is bounded even if all rows are equal.
+    sample = df.where(drawn).agg(F.sort_array(F.collect_set(F.struct(*[bound(c) for c in columns]))).alias("s"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / n).cast("int")))
+    return F.struct(*[F.col(c) for c in columns]), sample.select(F.filter(cuts, lambda x: x.isNotNull()).alias("b"))
+
+
+def order_bucket(df: DataFrame, columns: str | Sequence[str], buckets: int | None = None) -> Column:
+    """Monotone bucket of a row's place in the order of ``columns``: equal places share one, nulls come first,
+    NaN last. Bounds are looked up in two steps (every n-th, then those between)."""
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    step = max(2, math.isqrt((buckets or _num_buckets(df)) - 1) + 1)
     n = step * step
-    bounds = (df.agg(F.percentile_approx(measured, [i / n for i in range(1, n)], 10_000).alias("b"))
-              .select(F.struct(F.transform(F.sequence(F.lit(1), F.lit(step - 1)), lambda i: F.col("b")[i * step - 1]).alias("coarse"),
-                               F.col("b").alias("fine")).alias("s")).scalar())
+    plain = len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, _MEASURED)
+    value, found = _quantile_bounds(df, columns[0], n) if plain else _sampled_bounds(df, columns, n)
+    every = F.transform(F.sequence(F.lit(1), F.lit(step - 1)), lambda i: F.get(F.col("b"), i * step - 1))
+    bounds = found.select(F.struct(F.filter(every, lambda x: x.isNotNull()).alias("coarse"), F.col("b").alias("fine")).alias("s")).scalar()
 
     def below(some: Column) -> Column:
         # Bounds under the value: its place among them, less one.
         return F.array_position(F.sort_array(F.array_append(some, value)), value) - 1
 
     coarse = below(bounds["coarse"]).cast("int")
-    found = coarse * step + below(F.slice(bounds["fine"], coarse * step + 1, F.lit(step - 1))).cast("int")
-    return F.coalesce(found, F.lit(0))
+    at = coarse * step + below(F.slice(bounds["fine"], coarse * step + 1, F.lit(step - 1))).cast("int")
+    return F.coalesce(at, F.lit(0))
 
 
 def _key(columns: Sequence[str]) -> Column:
@@ -68,7 +91,7 @@ def _key(columns: Sequence[str]) -> Column:
 def bucketed_next_known(df: DataFrame, keys: list[str], order: list[str], value_col: str,
                         out_col: str, buckets: int | None = None) -> DataFrame:
     """Next-known-value fill (see ``intervals.next_known_fill``)."""
-    rows = df.withColumn("_k", _key(keys)).withColumn("_b", order_bucket(df, order[0], buckets))
+    rows = df.withColumn("_k", _key(keys)).withColumn("_b", order_bucket(df, order, buckets))
     known = F.when(F.col(value_col).isNotNull(), F.struct(*order))
     first = rows.groupBy("_k", "_b").agg(F.min_by(value_col, known).alias("_first"))
     later = Window.partitionBy("_k").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)

@@ -6,7 +6,7 @@ Dates leave as ISO text and integers as BIGINT so both engines hand back
 identical types; the library itself keeps DateType / IntegerType.
 """
 
-from . import intervals, keys, matching, quality, registry, scenarios, sources  # noqa: F401  (register)
+from . import files, intervals, keys, matching, quality, registry, scenarios, sources  # noqa: F401  (register)
 from . import geocoding  # noqa: F401,E402  (registers last: it builds on the registry queries)
 from .common import ORACLE_SQL, QUERIES
 

@@ -106,7 +106,7 @@ def _passes_sql():
     return ctes, joins, geo_id, typ
 
 
-def _geocode_sql():
+def _geocode_ctes(hull=_HULL_SQL):
     pctes, pjoins, geo_id, typ = _passes_sql()
     raw = ", ".join(f"a.raw_{c}" for c in _ADDR)
     addr_raw_cols = ", ".join(f"{c} AS raw_{c}" for c in _ADDR)
@@ -115,7 +115,7 @@ def _geocode_sql():
     fed = ", ".join(f"'{c}'" for c in FEDERAL_CITIES)
     return f"""
 WITH {_SNAPSHOT_SQL},
-{_HULL_SQL},
+{hull},
 recs AS (
   SELECT kind, category, tin, reg_number, first_name, last_name, patronymic, org_name,
          org_short_name, activity_code_main, region_name, region_type, district_name,
@@ -252,7 +252,10 @@ w4 AS (
   SELECT *, min(start_date) OVER (PARTITION BY {dedupe}) AS s_min,
          row_number() OVER (PARTITION BY {dedupe}
                             ORDER BY start_date DESC, end_date DESC NULLS LAST) AS rn
-  FROM rec2)
+  FROM rec2)"""
+
+
+_GEOCODED = """
 SELECT tin, reg_number, CAST(kind AS BIGINT) AS kind, CAST(category AS BIGINT) AS category,
        first_name, last_name, patronymic, org_name, org_short_name, activity_code_main,
        region_iso_code, region_code, region, area, settlement, settlement_type, oktmo, lat, lon,
@@ -261,7 +264,7 @@ FROM w4 WHERE rn = 1
 """
 
 
-@register("geocode_pipeline", _geocode_sql())
+@register("geocode_pipeline", _geocode_ctes() + _GEOCODED)
 def geocode_pipeline_q(spark, sf_dir):
     """Registry intervals (C2) with generated settlements, geocoded
     against nation-derived regions and cities and supplier-derived

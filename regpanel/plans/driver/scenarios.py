@@ -86,27 +86,105 @@ FROM reg r JOIN stat s ON r.region = s.region AND r.year = s.year AND r.grp = s.
 def validation_pipeline_q(spark, sf_dir):
     """C8 end to end: excluded regions and rows without a region drop, persons drop, a
     region whose statistics are all missing counts as 0 (norm_diff 1)."""
+    out = _validation_run(spark, sf_dir, F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "H").otherwise("L"), _YEARS)["table"]
+    return out.select("region", F.col("year").cast("long").alias("year"), F.col("group").alias("grp"),
+                      F.col("count_reestr").cast("long").alias("count_reestr"), "count_stat", F.round("norm_diff", 9).alias("norm_diff"))
+
+
+def _validation_run(spark, sf_dir, group, years):
+    """C8 over all orders: snapshots per nation, statistics per nation and ``group``, a column per year."""
     from ..validation import run_validation
     cn = _customers_with_nation(spark, sf_dir)
     key = F.col("c_custkey")
     orders = (table(spark, sf_dir, "orders").join(cn, F.col("o_custkey") == key)
               .withColumn("region_name", F.when(key % 11 == 0, F.lit(None)).otherwise(F.col("n_name"))))
-    high = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     snaps = orders.select("region_name", F.when(key % 13 != 0, F.col("o_custkey")).alias("org_tin"), F.col("o_custkey").alias("ind_tin"),
                           F.to_date("o_orderdate").alias("data_date"), F.col("o_orderpriority").alias("activity_code_main"))
-    codes = orders.select(F.col("o_orderpriority").alias("code"), F.col("o_orderpriority").alias("name"),
-                          F.when(high, "H").otherwise("L").alias("group")).distinct()
+    codes = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("code"), F.col("o_orderpriority").alias("name"), group.alias("group")).distinct()
     headers = codes.select(F.lit(" ").alias("code"), F.concat(F.lit("all "), "group").alias("name"), "group").distinct()
     measured = F.when((F.col("o_orderkey") % 5 == 0) & (F.col("region_name") != "NATION_3"), F.lit(1.0))
     stats = (orders.where("region_name is not null")
-             .groupBy("region_name", F.concat(F.lit("all "), F.when(high, "H").otherwise("L")).alias("activity"))
-             .agg(*[F.sum(F.when(F.year("o_orderdate") == int(y), measured)).alias(y) for y in _YEARS]))
+             .groupBy("region_name", F.concat(F.lit("all "), group).alias("activity"))
+             .agg(*[F.sum(F.when(F.year("o_orderdate") == int(y), measured)).alias(y) for y in years]))
     n = table(spark, sf_dir, "nation")
     regions = n.select(F.col("n_nationkey").alias("_row"), (F.col("n_nationkey") + 1000).cast("string").alias("code"), F.col("n_name").alias("name"),
                        F.col("n_name").alias("short_name"), F.concat(F.lit("ISO-"), F.col("n_nationkey").cast("string")).alias("iso_code"))
-    out = run_validation(snaps, stats, codes.unionByName(headers), regions, list(_YEARS), EXCLUDED_NATIONS)["table"]
-    return out.select("region", F.col("year").cast("long").alias("year"), F.col("group").alias("grp"),
-                      F.col("count_reestr").cast("long").alias("count_reestr"), "count_stat", F.round("norm_diff", 9).alias("norm_diff"))
+    return run_validation(snaps, stats, codes.unionByName(headers), regions, list(years), EXCLUDED_NATIONS)
+
+
+_ALL_YEARS = tuple(str(y) for y in range(1992, 1999))
+
+
+def _correlations(name, keys, where="TRUE"):
+    """SQL of the rank correlation of a and b per group of ``keys``."""
+    by = ", ".join(keys)
+    part = f"PARTITION BY {by} " if keys else ""
+    tie = f"PARTITION BY {by}, " if keys else "PARTITION BY "
+    rank = lambda x: f"rank() OVER ({part}ORDER BY {x}) + (count(*) OVER ({tie}{x}) - 1) / 2.0"
+    return (f"{name} AS (SELECT {by + ', ' if by else ''}CASE WHEN isfinite(corr(ra, rb)) THEN corr(ra, rb) END AS v, count(*) AS n "
+            f"FROM (SELECT *, {rank('a')} AS ra, {rank('b')} AS rb FROM m WHERE {where}){' GROUP BY ' + by if by else ''})")
+
+
+def _description(name, source, column):
+    """SQL rows of a description: one per statistic."""
+    parts = {"count": f"CAST(count({column}) AS DOUBLE)", "mean": f"avg({column})", "std": f"stddev_samp({column})", "min": f"min({column})", "max": f"max({column})",
+             **{f"{q}%": f"quantile_cont({column}, {q / 100})" for q in (25, 50, 75)}}
+    return " UNION ALL ".join(f"SELECT '{name}' AS summary, NULL AS year, NULL AS region, NULL AS grp, '{k}' AS statistic, {e} AS value, NULL AS n FROM {source}" for k, e in parts.items())
+
+
+def _summaries_sql():
+    keep = "grp NOT IN ('O', 'P', 'R', 'U')"
+    groups = {"overall": ([], "TRUE"), "by_year_region": (["year", "region"], keep), "by_year_group": (["year", "grp"], keep), "by_group": (["grp"], "TRUE"),
+              "by_region_group": (["region", "grp"], "TRUE")}
+    ctes = ",\n".join(_correlations(name, *g) for name, g in groups.items())
+    rows = [f"SELECT '{name}' AS summary, {', '.join(k if k in keys else f'NULL AS {k}' for k in ('year', 'region', 'grp'))}, 'spearman' AS statistic, v AS value, n FROM {name}"
+            for name, (keys, _) in groups.items()]
+    rows += [_description("by_year_region_description", "by_year_region", "v"), _description("by_region_group_description", "by_region_group", "v"),
+             _description("norm_diff", "m", "nd")]
+    rows += [f"SELECT 'long' AS summary, year, region, grp, '{n}' AS statistic, CAST({c} AS DOUBLE) AS value, NULL AS n FROM m" for n, c in (("count_reestr", "a"), ("count_stat", "b"))]
+    years = ", ".join(_ALL_YEARS)
+    return f"""
+WITH cn AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE n_name END AS region
+            FROM customer JOIN nation ON c_nationkey = n_nationkey),
+g AS (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'A' WHEN '2-HIGH' THEN 'B' WHEN '3-MEDIUM' THEN 'O' ELSE 'C' || right(o_orderpriority, 1) END AS grp,
+             CAST(year(o_orderdate) AS BIGINT) AS year FROM orders JOIN cn ON o_custkey = c_custkey),
+snaps AS (SELECT * FROM g WHERE region IS NOT NULL AND o_custkey % 13 <> 0 AND region NOT ILIKE '%NATION_1%' AND region NOT ILIKE '%ATION_2%'),
+reg AS (SELECT region, year, grp, sum(n) AS a
+        FROM (SELECT region, year, grp, o_orderpriority, count(DISTINCT o_custkey) AS n FROM snaps GROUP BY ALL) GROUP BY ALL),
+cells AS (SELECT DISTINCT region, grp FROM g WHERE region IS NOT NULL),
+stat AS (SELECT c.region, c.grp, y.year, coalesce(sum(CASE WHEN g.o_orderkey % 5 = 0 AND c.region <> 'NATION_3' THEN 1.0 END), 0.0) AS b
+         FROM cells c CROSS JOIN (SELECT unnest([{years}]) AS year) y
+         LEFT JOIN g ON g.region = c.region AND g.grp = c.grp AND g.year = y.year GROUP BY ALL),
+m AS (SELECT r.region, r.year, r.grp, r.a, s.b, (r.a - s.b) / (r.a + s.b) AS nd FROM reg r JOIN stat s ON r.region = s.region AND r.year = s.year AND r.grp = s.grp),
+{ctes}
+SELECT summary, CAST(year AS BIGINT) AS year, region, grp, statistic, round(value, 9) AS value, CAST(n AS BIGINT) AS n FROM (
+{" UNION ALL ".join(rows)})
+"""
+
+
+@register("validation_summaries", _summaries_sql())
+def validation_summaries_q(spark, sf_dir):
+    """C8's long form and its eight summaries (A11, A12) over the written comparison table of all years."""
+    pri = F.col("o_orderpriority")
+    group = (F.when(pri == "1-URGENT", "A").when(pri == "2-HIGH", "B").when(pri == "3-MEDIUM", "O")
+             .otherwise(F.concat(F.lit("C"), F.substring(pri, -1, 1))))
+    run = _validation_run(spark, sf_dir, group, _ALL_YEARS)
+
+    def rows(name):
+        df = run[name]
+        if name == "long":
+            df = df.withColumnsRenamed({"source": "statistic", "count": "value"})
+        if "spearman" in df.columns:
+            df = df.withColumn("statistic", F.lit("spearman")).withColumnRenamed("spearman", "value")
+        have = lambda c, kind: F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)
+        return df.select(F.lit(name).alias("summary"), have("year", "long").alias("year"), have("region", "string").alias("region"), have("group", "string").alias("grp"),
+                         "statistic", F.round(F.col("value").cast("double"), 9).alias("value"), have("n", "long").alias("n"))
+
+    names = [n for n in run if n != "table"]
+    out = rows(names[0])
+    for name in names[1:]:
+        out = out.unionByName(rows(name))
+    return out
 
 
 # ------------------------------------------------------------ P17, U2, R3

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..operators.matching import abbreviation_dictionary
 from ..sources.archive import record_ingested
 from ..sources.csv import write_csv
-from ..sources.fs import child_names, path_exists
-from .extract import extract
+from ..sources.fs import child_names, path_exists, remove
+from .extract import Extracted, extract
 from .geocode import geocode
 from .panel import panelize
 from .registry import aggregate_facts, aggregate_registry
@@ -99,6 +99,29 @@ def read_stage(spark: SparkSession, path: str, dataset: str | None = None) -> Da
     return df
 
 
+def write_extract(ex: Extracted, path: str, name: str, metrics: dict) -> None:
+    """C1's output: documents and quarantined members of new archives, each in the partition of its
+    archive and status.
+
+    One job: every member is inflated and parsed once. What a run that died left of these archives is
+    removed first, whatever its statuses (an archive that had broken members then may have none now), and
+    dynamic overwrite replaces the partitions, so a replay duplicates nothing. The manifest names an archive
+    only after this.
+    """
+    spark = ex.parsed.sparkSession
+    # The names of a run's new archives: one per file of the download folder.
+    for row in ex.archives.select("name").toLocalIterator():
+        remove(spark, _p(path, f"_archive={row['name']}"))
+    obs = Observation(name)
+    metrics[name] = _StatusCount(obs, "ok")
+    metrics[name.replace("extract", "quarantine", 1)] = _StatusCount(obs, "quarantine")
+    (ex.parsed.withColumn("_archive", F.substring_index("archive", "/", -1))
+       .observe(obs, F.count_if(F.col("_status") == "ok").alias("ok"),
+                F.count_if(F.col("_status") == "quarantine").alias("quarantine"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("_archive", "_status").parquet(path))
+
+
 def run_extract(spark: SparkSession, base: str, dims: Dimensions,
                 codes: Sequence[str] | None = None, metrics: dict | None = None) -> None:
     """C1 for every dataset with archives; new archives only (manifest). A dataset
@@ -112,21 +135,7 @@ def run_extract(spark: SparkSession, base: str, dims: Dimensions,
         manifest = _p(base, "extract", f"{ds}-manifest")
         ex = extract(spark, src, ds, dims.classifier if dims else None, codes,
                      manifest_path=manifest)
-        m = metrics if metrics is not None else {}
-        # One job: every member is inflated and parsed once; documents and
-        # quarantined members land in the _status=ok / _status=quarantine
-        # partitions of the same table. Partitioned by archive and written
-        # with dynamic overwrite: a run that dies before recording the
-        # manifest re-extracts those archives into their own partitions
-        # instead of appending duplicates.
-        obs = Observation(f"extract_{ds}")
-        m[f"extract_{ds}"] = _StatusCount(obs, "ok")
-        m[f"quarantine_{ds}"] = _StatusCount(obs, "quarantine")
-        (ex.parsed.withColumn("_archive", F.substring_index("archive", "/", -1))
-           .observe(obs, F.count_if(F.col("_status") == "ok").alias("ok"),
-                    F.count_if(F.col("_status") == "quarantine").alias("quarantine"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("_archive", "_status").parquet(_p(base, "extract", ds)))
+        write_extract(ex, _p(base, "extract", ds), f"extract_{ds}", metrics if metrics is not None else {})
         record_ingested(ex.archives, manifest)
 
 

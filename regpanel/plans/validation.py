@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,26 @@ from ..operators.keys import exclude_substrings, normalized_difference, override
 from ..operators.quality import describe, group_counts, group_sums, spearman
 from ..operators.regions import normalize_regions
 from ..operators.reshape import to_long
+from ..session import cut_lineage
+
+
+class LazyFrames(Mapping):
+    """Named DataFrames, each built when it is first asked for: a plan costs time to analyse even
+    if nobody runs it. A builder gets the mapping, for frames made from others."""
+
+    def __init__(self, builders: dict[str, Callable[[LazyFrames], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](self)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def registry_counts(snapshots: DataFrame, region: str = "region_name", tin: str = "tin",
@@ -49,26 +69,30 @@ def long_form(stats: DataFrame, keys: Sequence[str] = ("region", "year", "group"
     return to_long(stats.select(*keys, *values), list(keys), list(values), "source", "count")
 
 
-def summaries(stats: DataFrame, a: str = "count_reestr", b: str = "count_stat",
-              exclude_groups: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """A12 + A11: rank correlation overall and per (year, region),
-    (year, group), group and (region, group); descriptions of norm_diff and of
-    the correlations per (year, region) and (region, group)."""
+def summary_builders(stats: DataFrame, a: str, b: str,
+                     exclude_groups: Sequence[str]) -> dict[str, Callable[[LazyFrames], DataFrame]]:
+    """One builder per summary of C8. Correlations that are described as well are written once."""
     s = stats.filter(~F.col("group").isin(list(exclude_groups))) if exclude_groups else stats
-    by_year_region = spearman(s, a, b, ["year", "region"])
-    by_region_group = spearman(stats, a, b, ["region", "group"])
     return {
-        "overall": spearman(stats, a, b),
-        "by_year_region": by_year_region,
-        "by_year_region_description": describe(by_year_region, "spearman"),
-        "by_year_group": spearman(s, a, b, ["year", "group"]),
-        "by_group": spearman(stats, a, b, ["group"]),
-        "by_region_group": by_region_group,
-        "by_region_group_description": describe(by_region_group, "spearman"),
-        "norm_diff": describe(stats, "norm_diff"),
+        "overall": lambda _: spearman(stats, a, b),
+        "by_year_region": lambda _: cut_lineage(spearman(s, a, b, ["year", "region"])),
+        "by_year_region_description": lambda all_: describe(all_["by_year_region"], "spearman"),
+        "by_year_group": lambda _: spearman(s, a, b, ["year", "group"]),
+        "by_group": lambda _: spearman(stats, a, b, ["group"]),
+        "by_region_group": lambda _: cut_lineage(spearman(stats, a, b, ["region", "group"])),
+        "by_region_group_description": lambda all_: describe(all_["by_region_group"], "spearman"),
+        "norm_diff": lambda _: describe(stats, "norm_diff"),
     }
 
 
+def summaries(stats: DataFrame, a: str = "count_reestr", b: str = "count_stat",
+              exclude_groups: Sequence[str] = ()) -> LazyFrames:
+    """A12 + A11: rank correlation overall and per (year, region),
+    (year, group), group and (region, group); descriptions of norm_diff and of
+    the correlations per (year, region) and (region, group). Each is built when asked for."""
+    return LazyFrames(summary_builders(stats, a, b, exclude_groups))
+
+
 def prepare_statistics(stats: DataFrame, classifier: DataFrame, regions: DataFrame,
                        year_columns: Sequence[str], manual_fixes: dict[str, str] | None = None,
                        exclude: Sequence[str] = (), region_col: str = "region_name",
@@ -89,7 +113,8 @@ def prepare_statistics(stats: DataFrame, classifier: DataFrame, regions: DataFra
     order = [order_col] if order_col in stats.columns else list(year_columns)
     s = first_wins(s, [region_col, activity_col], order, [*year_columns, "group"])
     s = s.groupBy(region_col, "group").agg(*[F.coalesce(F.sum(y), F.lit(0.0)).alias(y) for y in year_columns])
-    s = s.withColumn("region", F.col(region_col))
+    # Written before the names are resolved, which reads them and then the rows.
+    s = cut_lineage(s.withColumn("region", F.col(region_col)))
     s = normalize_regions(s, "region", regions, REGION_TYPE_WORDS, 80.0)
     s = override_values(s, region_col, "region", manual_fixes or {})
     excluded = [e.strip() for e in exclude]
@@ -106,7 +131,7 @@ def registry_by_region(counts: DataFrame, classifier: DataFrame, regions: DataFr
     """Registry counts per (raw region, year, activity code) -> per
     (canonical region, year, group): classifier by code, sums, region
     resolution, sums again (rows whose region does not resolve drop)."""
-    g = counts_by_group(counts, classifier, count_col=count_col)
+    g = cut_lineage(counts_by_group(counts, classifier, count_col=count_col))
     g = normalize_regions(g, "region", regions, REGION_TYPE_WORDS, 80.0)
     g = g.filter(F.col("region").isNotNull())
     return group_sums(g, ["region", "year", "group"], [count_col]) \
@@ -115,17 +140,20 @@ def registry_by_region(counts: DataFrame, classifier: DataFrame, regions: DataFr
 
 def run_validation(snapshots: DataFrame, statistics: DataFrame, classifier: DataFrame,
                    regions: DataFrame, year_columns: Sequence[str],
-                   excluded_regions: Sequence[str] = tuple(EXCLUDED_REGIONS)) -> dict[str, DataFrame]:
+                   excluded_regions: Sequence[str] = tuple(EXCLUDED_REGIONS)) -> LazyFrames:
     """C8 end to end with the fixed overrides / exclusions: registry
     snapshots (validation projection, S12) and the published statistics
-    table (S13) -> the comparison table, its long form and the summaries."""
+    table (S13) -> the comparison table, its long form and the summaries.
+
+    The table is written to the shared folder once; the long form and every summary read that, and
+    are built when asked for.
+    """
     snaps = exclude_substrings(snapshots, "region_name", [r.upper() for r in excluded_regions])
     # Legal entities only: the organisation's number, not a person's.
     snaps = snaps.filter(F.col("org_tin").isNotNull()).withColumn("tin", F.lpad(F.col("org_tin").cast("string"), 10, "0"))
     reg = registry_by_region(registry_counts(snaps), classifier, regions)
     stat = prepare_statistics(statistics, classifier, regions, year_columns,
                               STATISTICS_REGION_FIXES, STATISTICS_EXCLUDED)
-    table = compare(reg, stat)
-    out = {"table": table, "long": long_form(table)}
-    out.update(summaries(table, exclude_groups=CORRELATION_EXCLUDED_GROUPS))
-    return out
+    table = cut_lineage(compare(reg, stat))
+    return LazyFrames({"table": lambda _: table, "long": lambda _: long_form(table),
+                       **summary_builders(table, "count_reestr", "count_stat", CORRELATION_EXCLUDED_GROUPS)})

@@ -13,12 +13,13 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fs import is_local, path_exists
+from .fs import path_exists
 
 _ENCODING = re.compile(rb'<\?xml[^>]*encoding=["\']([A-Za-z0-9_\-]+)["\']')
 _DECL = re.compile(r"^\s*<\?xml[^>]*\?>")
@@ -28,16 +29,40 @@ _DECL = re.compile(r"^\s*<\?xml[^>]*\?>")
 UNDECODABLE = "<undecodable <"
 
 
+def _store(uri: str):
+    """The pyarrow file system of a URI, and the path in its terms."""
+    from pyarrow import fs
+    # Hadoop's names of the S3 connector; pyarrow knows the plain one.
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 def _open(uri: str):
     """Open a file URI (local or any pyarrow filesystem) for random access."""
     if uri.startswith("file:") or uri.startswith("/"):
         return open(re.sub(r"^file:(//)?", "", uri), "rb")
-    from pyarrow import fs
-    # Hadoop's names of the S3 connector; pyarrow knows the plain one.
-    filesystem, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+    filesystem, path = _store(uri)
     return filesystem.open_input_file(path)
 
 
+@contextmanager
+def created(uri: str, attempt: int):
+    """A file of a task, written under a name of the attempt and renamed when complete, so a
+    retried or speculative attempt never leaves half a file. Any store that ``_open`` reads."""
+    import os
+    if uri.startswith("file:") or uri.startswith("/"):
+        path = re.sub(r"^file:(//)?", "", uri)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(f"{path}.{attempt}.tmp", "wb") as out:
+            yield out
+        os.replace(f"{path}.{attempt}.tmp", path)
+        return
+    filesystem, path = _store(uri)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(f"{path}.{attempt}.tmp") as out:
+        yield out
+    filesystem.move(f"{path}.{attempt}.tmp", path)
+
+
 def decode_xml(raw: bytes) -> str:
     """Decode by the XML declaration (UTF-8 when absent) and drop the
     declaration, so the text parses as an already-decoded string. Bytes that
@@ -68,18 +93,43 @@ def list_members(archives: DataFrame, name_contains: str = "xml",
                  start: int | None = None, stop: int | None = None,
                  step: int | None = None) -> DataFrame:
     """S3 phase 1: ``archive, member`` for members whose name contains
-    ``name_contains``, optionally sliced ``[start:stop:step]`` per archive."""
+    ``name_contains``, optionally sliced ``[start:stop:step]`` per archive, as Python slices a list.
+
+    Every member carries its ordinal among those of its archive and their number; the slice is a
+    filter on the two, in the plan. (A negative step selects members, it cannot order them.)
+    """
+    if step == 0:
+        raise ValueError("slice step cannot be zero")
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
             for uri in pdf["archive"]:
                 with _open(uri) as fh, zipfile.ZipFile(fh) as z:
                     names = [n for n in z.namelist() if name_contains in n]
-                rows.extend((uri, n) for n in names[start:stop:step])
-            yield pd.DataFrame(rows, columns=["archive", "member"])
+                yield pd.DataFrame({"archive": uri, "member": names, "ordinal": range(len(names)), "total": len(names)})
+
+    listed = archives.select("archive").mapInPandas(members, "archive string, member string, ordinal long, total long")
+    if (start, stop, step) != (None, None, None):
+        listed = listed.where(in_slice(F.col("ordinal"), F.col("total"), start, stop, step))
+    return listed.select("archive", "member")
+
 
-    return archives.select("archive").mapInPandas(members, "archive string, member string")
+def in_slice(ordinal: Column, total: Column, start: int | None, stop: int | None, step: int | None) -> Column:
+    """Whether ``list(range(total))[start:stop:step]`` holds ``ordinal``."""
+    step = step or 1
+    low, high = (F.lit(0), total) if step > 0 else (F.lit(-1), total - 1)
+
+    def place(bound: int | None, default: Column) -> Column:
+        if bound is None:
+            return default
+        at = F.lit(bound) if bound >= 0 else total + bound
+        return F.greatest(low, F.least(high, at))
+
+    if step > 0:
+        first, last = place(start, low), place(stop, high)
+        return (ordinal >= first) & (ordinal < last) & ((ordinal - first) % step == 0)
+    first, last = place(start, high), place(stop, low)
+    return (ordinal <= first) & (ordinal > last) & ((first - ordinal) % -step == 0)
 
 
 def read_members(members: DataFrame, num_partitions: int | None = None,
@@ -153,30 +203,51 @@ def reset_manifest(spark: SparkSession, manifest_path: str) -> None:
 def write_archives(files: DataFrame, out_dir: str, num_archives: int,
                    prefix: str = "part") -> DataFrame:
     """Pack ``member, xml`` rows into ``num_archives`` zip files in
-    ``out_dir`` (shared storage), one archive per task. Returns
-    ``archive, members`` (an action runs when the result is consumed). Python's
-    zip writer needs a mounted folder: other schemes are refused."""
-    if not is_local(out_dir):
-        raise ValueError(f"archives can only be written to a mounted folder, not to {out_dir}")
+    ``out_dir`` (shared storage, any store that the scan reads), one archive per task. Returns
+    ``archive, members`` (an action runs when the result is consumed)."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
-        import os
-        pid = TaskContext.get().partitionId()
-        local = re.sub(r"^file:(//)?", "", out_dir)
-        os.makedirs(local, exist_ok=True)
-        target = os.path.join(local, f"{prefix}-{pid:05d}.zip")
-        # Write under a task-attempt name, then rename: a retried or
-        # speculative attempt never leaves a half-written archive behind.
-        tmp = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"
+        task = TaskContext.get()
+        target = f"{out_dir}/{prefix}-{task.partitionId():05d}.zip"
         n = 0
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+        with created(target, task.taskAttemptId()) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
             for pdf in batches:
                 for m, x in zip(pdf["member"], pdf["xml"]):
                     z.writestr(m, x.encode("utf-8"))
                     n += 1
-        os.replace(tmp, target)
         yield pd.DataFrame([(target, n)], columns=["archive", "members"])
 
     return (files.repartition(num_archives, "member")
                  .mapInPandas(pack, "archive string, members long"))
+
+
+def write_named_archives(files: DataFrame, out_dir: str) -> DataFrame:
+    """Pack ``name, member, xml`` rows into one zip file per ``name``, members in order of their
+    names. An archive is one file and so has one writer; its rows stream through the task. Returns ``archive,
+    members`` (an action runs when the result is consumed)."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from contextlib import ExitStack
+
+        from pyspark import TaskContext
+        attempt, done, name, n, z = TaskContext.get().taskAttemptId(), [], None, 0, None
+        stack = ExitStack()
+        with stack:
+            for pdf in batches:
+                for own, m, x in zip(pdf["name"], pdf["member"], pdf["xml"]):
+                    if own != name:
+                        if name is not None:
+                            stack.pop_all().close()
+                            done.append((f"{out_dir}/{name}", n))
+                        name, n = own, 0
+                        out = stack.enter_context(created(f"{out_dir}/{name}", attempt))
+                        z = stack.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1))
+                    z.writestr(m, x.encode("utf-8"))
+                    n += 1
+        if name is not None:
+            done.append((f"{out_dir}/{name}", n))
+        yield pd.DataFrame(done, columns=["archive", "members"])
+
+    dealt = files.select("name", "member", "xml").repartition("name").sortWithinPartitions("name", "member")
+    return dealt.mapInPandas(pack, "archive string, members long")

@@ -1,11 +1,10 @@
 """Dimension / lookup table loaders with explicit schemas.
 
 Dimensions are small by nature (an abbreviation list, the federal subjects,
-towns and settlements of one country, an activity classifier). Two of them
-need their *file order* (first-wins dictionaries, running ids); the row
-order of a CSV read is kept by ``monotonically_increasing_id`` (increasing
-in file order), and the table is then written to the shared checkpoint
-folder so the ids never change between uses.
+towns and settlements of one country, an activity classifier). Three of them
+need their *file order* (first-wins dictionaries, running ids): their rows are numbered
+from 0 by ``sources.ordered``, the same whatever splits and partitions the scan has, and
+written to the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
+from .ordered import numbered_scans
 
 
 def _str(*names):
@@ -37,9 +37,8 @@ def _read(spark, path, schema=None):
 
 def load_abbreviations(spark: SparkSession, path: str) -> DataFrame:
     """Abbreviation table ``name, name_full, _row`` (``_row`` = file order)."""
-    df = _read(spark, path, ABBR_SCHEMA).select(
-        "name", "name_full", F.monotonically_increasing_id().alias("_row"))
-    return cut_lineage(df)
+    df = numbered_scans([_read(spark, path, ABBR_SCHEMA)], "_row")
+    return cut_lineage(df.select("name", "name_full", "_row"))
 
 
 def load_regions(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -48,23 +47,18 @@ def load_regions(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path is None:
         from ..assets.regions import regions_table
         return regions_table(spark)
-    df = _read(spark, path, _str("code", "name", "short_name", "iso_code"))
-    return cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    return cut_lineage(numbered_scans([_read(spark, path, _str("code", "name", "short_name", "iso_code"))], "_row"))
 
 
 def load_cities(spark: SparkSession, *paths: str) -> DataFrame:
     """Cities from several CSVs (base, additional) by column name, with a
-    running ``id`` in file order; coordinates as doubles."""
-    frames = []
+    running ``id`` from 0 in the order of paths, files and rows; a column that a file lacks is
+    null; coordinates as doubles."""
+    scans = []
     for p in paths:
         raw = _read(spark, p)
-        frames.append(raw.select(*[F.col(c) if c in raw.columns
-                                   else F.lit(None).cast("string").alias(c)
-                                   for c in CITY_COLUMNS]))
-    df = frames[0]
-    for f in frames[1:]:
-        df = df.unionByName(f)
-    df = df.withColumn("id", F.monotonically_increasing_id())
+        scans.append(raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in CITY_COLUMNS]))
+    df = numbered_scans(scans, "id")
     df = df.withColumns({"geo_lat": F.col("geo_lat").try_cast("double"),
                          "geo_lon": F.col("geo_lon").try_cast("double")})
     return cut_lineage(df)

@@ -27,6 +27,19 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at)]
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``; one that is there stays."""
+    fs, at = _open(spark, path)
+    if not fs.exists(at):
+        fs.create(at, False).close()
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes a file, or a folder with all it holds; false where there is none."""
+    fs, at = _open(spark, path)
+    return bool(fs.delete(at, True))
+
+
 def is_local(path: str) -> bool:
     """Whether a path names this machine's own file system."""
     scheme = path.split("://", 1)[0] if "://" in path else path.split(":", 1)[0] if path.startswith("file:") else ""

@@ -178,7 +178,7 @@ def apply_types(df: DataFrame, schema: T.StructType,
 def read_xml_documents(spark, path: str, row_tag: str, schema: T.StructType | None = None,
                        **options) -> DataFrame:
     """Spark's XML file source, one row per ``row_tag`` element
-    (pass an explicit schema: inference turns codes like ``01.10`` into
+    (pass an explicit schema, or that of ``infer_xml_schema``: plain inference turns codes like ``01.10`` into
     doubles). Attributes come back as ``_name`` fields."""
     reader = spark.read.format("xml").option("rowTag", row_tag)
     for k, v in options.items():
@@ -188,36 +188,119 @@ def read_xml_documents(spark, path: str, row_tag: str, schema: T.StructType | No
     return reader.load(path)
 
 
+#: Numbers whose text a double gives back: no leading zero, no trailing zero after the point, 15 digits.
+_PLAIN = r"^-?(?=(\d\.?){1,15}$)(0|[1-9]\d*)(\.\d*[1-9])?$"
+_WHOLE, _FIXED = r"^-?(0|[1-9]\d*)$", r"^-?(0|[1-9]\d*)\.\d+$"
+
+
+def _leaves(kind: T.DataType, path: tuple[str, ...] = ()):
+    """Paths and types of the values of a nested schema; arrays add no step."""
+    if isinstance(kind, T.ArrayType):
+        yield from _leaves(kind.elementType, path)
+    elif isinstance(kind, T.StructType):
+        for f in kind.fields:
+            yield from _leaves(f.dataType, (*path, f.name))
+    else:
+        yield path, kind
+
+
+def _retyped(kind: T.DataType, types: Mapping[tuple[str, ...], T.DataType], path: tuple[str, ...] = ()) -> T.DataType:
+    """``kind`` with its values' types replaced by path."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_retyped(kind.elementType, types, path), True)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _retyped(f.dataType, types, (*path, f.name)), True) for f in kind.fields])
+    return types[path]
+
+
+def _values(kind: T.DataType, path: tuple[str, ...]) -> Column:
+    """All values of a path, as an array of strings."""
+    def field(name):
+        return lambda x: x[name]
+
+    at = F.array(F.struct(*[F.col(f"`{f.name}`") for f in kind.fields]))
+    for name in path:
+        step = next(f.dataType for f in kind.fields if f.name == name)
+        at = F.transform(at, field(name))
+        if isinstance(step, T.ArrayType):
+            at, step = F.flatten(F.filter(at, lambda x: x.isNotNull())), step.elementType
+        kind = step
+    return F.filter(at, lambda x: x.isNotNull())
+
+
+def infer_xml_schema(spark, path: str, row_tag: str, sampling_ratio: float = 1.0, **options) -> T.StructType:
+    """The schema of an XML folder, inferred from (a sample of) its rows and then corrected over all of them.
+
+    Inference reads a code like ``01.10`` as the number 1.1. Here every value of a column that was inferred as a
+    number, a date, a time or a boolean is looked at as text, in one aggregate over the whole folder: numbers stay
+    whole or double if their type gives their text back; numbers that all have the same count of decimals become
+    decimals of that scale, which also keep it; dates and booleans stay if their type's text is theirs;
+    anything else is text. Attributes that no sampled row has are missing: the default reads all.
+    """
+    def reader():
+        made = spark.read.format("xml").option("rowTag", row_tag)
+        for k, v in options.items():
+            made = made.option(k, v)
+        return made
+
+    guessed = reader().option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).load(path).schema
+    types = {p: (T.StringType() if isinstance(t, T.NullType) else t) for p, t in _leaves(guessed)}
+    as_text = _retyped(guessed, {p: T.StringType() for p in types})
+    doubtful = [(p, t) for p, t in types.items() if not isinstance(t, T.StringType)]
+    if not doubtful:
+        return as_text
+    rows = reader().schema(as_text).load(path)
+
+    def always(values: Column, test) -> Column:
+        return F.coalesce(F.every(F.forall(values, test)), F.lit(True))
+
+    def given_back(kind: T.DataType):
+        return lambda v: F.coalesce(v.try_cast(kind).cast("string") == v, F.lit(False))
+
+    checks = []
+    for i, (p, t) in enumerate(doubtful):
+        values = _values(as_text, p)
+        decimals = F.transform(F.filter(values, lambda v: v.rlike(_FIXED)), lambda v: F.length(v) - F.instr(v, "."))
+        checks += [always(values, lambda v: v.rlike(_WHOLE) & v.try_cast("long").isNotNull() & (v != "-0")).alias(f"whole{i}"),
+                   always(values, lambda v: v.rlike(_PLAIN) & (v != "-0")).alias(f"plain{i}"),
+                   always(values, lambda v: v.rlike(_FIXED) & (F.length(v) <= 30)).alias(f"fixed{i}"),
+                   F.min(F.array_min(decimals)).alias(f"low{i}"), F.max(F.array_max(decimals)).alias(f"high{i}"),
+                   always(values, given_back(t)).alias(f"same{i}")]
+    found = rows.agg(*checks).first()
+    for i, (p, t) in enumerate(doubtful):
+        numeric, scale = isinstance(t, T.NumericType), found[f"low{i}"]
+        if numeric and found[f"whole{i}"]:
+            types[p] = T.LongType()
+        elif numeric and found[f"fixed{i}"] and scale is not None and scale == found[f"high{i}"] <= 18:
+            types[p] = T.DecimalType(38, scale)
+        elif numeric and found[f"plain{i}"]:
+            types[p] = T.DoubleType()
+        elif numeric or not found[f"same{i}"]:
+            types[p] = T.StringType()
+    return _retyped(guessed, types)
+
+
 def write_xml_files(docs: DataFrame, out_dir: str, num_files: int, root_tag: str = "Файл",
                     doc_col: str = "doc", prefix: str = "part") -> DataFrame:
     """Write document-element strings as ``num_files`` XML files (one root
-    element per file, one file per task) to ``out_dir`` on shared storage.
-    Returns ``file, docs`` (an action runs when the result is consumed). Needs a
-    mounted folder: other schemes are refused."""
+    element per file, one file per task) to ``out_dir`` on shared storage (any store that the archive scan reads).
+    Returns ``file, docs`` (an action runs when the result is consumed)."""
     import pandas as pd
 
-    from .fs import is_local
-    if not is_local(out_dir):
-        raise ValueError(f"XML files can only be written to a mounted folder, not to {out_dir}")
+    from .archive import created
 
     def write(batches):
-        import os
-        import re
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        local = re.sub(r"^file:(//)?", "", out_dir)
-        os.makedirs(local, exist_ok=True)
-        target = os.path.join(local, f"{prefix}-{pid:05d}.xml")
-        tmp = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"   # renamed when complete
+        task = TaskContext.get()
+        target = f"{out_dir}/{prefix}-{task.partitionId():05d}.xml"
         n = 0
-        with open(tmp, "w", encoding="utf-8") as fh:
-            fh.write(f'<?xml version="1.0" encoding="utf-8"?>\n<{root_tag} КолДок="0">')
+        with created(target, task.taskAttemptId()) as out:
+            out.write(f'<?xml version="1.0" encoding="utf-8"?>\n<{root_tag} КолДок="0">'.encode())
             for pdf in batches:
                 for x in pdf[doc_col]:
-                    fh.write(x)
+                    out.write(x.encode())
                     n += 1
-            fh.write(f"</{root_tag}>\n")
-        os.replace(tmp, target)
+            out.write(f"</{root_tag}>\n".encode())
         yield pd.DataFrame([(target, n)], columns=["file", "docs"])
 
     return docs.select(doc_col).repartition(num_files).mapInPandas(write, "file string, docs long")
