@@ -71,3 +71,20 @@ def pass_columns(df: DataFrame, wanted: Sequence[str], reserved: Sequence[str])
     """Columns of ``df`` to carry along: all but ``wanted`` and names the operator adds."""
     taken = {c.lower() for c in (*wanted, *reserved)}
     return [c for c in df.columns if c.lower() not in taken]
+
+
+#: A key that more than one in so many rows have is hot; there are no more hot keys than that.
+HOT_SHARE = 10_000
+
+
+def joined_to_keys(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``side``, a written table of one small row per key whose ``_rows`` counts the rows that have the key.
+
+    Hot keys, fewer than ``HOT_SHARE`` whatever the table, are broadcast, so that their rows stay where they
+    are; the others are joined by the key, none of which has more rows than that share.
+    """
+    total = side.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    hot, plain = F.col("_rows") * HOT_SHARE > total, side.drop("_rows")
+    few = F.broadcast(side.where(hot).select(*plain.columns))
+    many = side.where(~hot).select(*plain.columns)
+    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(many, key))

@@ -6,16 +6,15 @@ dealt into shards by their leading bytes, and every shard gets a static binary-f
 filter (8-bit fingerprints, three probes, about 9 bits a digest, 1 in 256 false
 positives). An incoming batch is grouped among itself first (so that its own
 duplicates meet there), its digests are screened by the filter of their shard, and
-only the positives join the snapshot's exact buckets. Rows of groups with more
-than one member are then compared byte for byte with their group's representative;
-a text that differs under the same digest is grouped by its own bytes.
+only the positives join the snapshot's exact buckets. The texts of groups with more
+than one member are then compared byte for byte, as a set of texts per digest; texts
+that differ under the same digest are grouped by their own bytes.
 
 Scale. All shuffles before the byte check carry digests and ids only, and are
 pre-aggregated, so a digest that a third of all rows share arrives as one row per
 map task. Shards follow the digest, which spreads evenly, and their number
-follows the number of digests. The two joins by digest that carry rows of a hot
-group are plain sort-merge joins, whose large partitions Spark's adaptive execution
-splits. Filters stay in the tables of Spark; nothing is collected.
+follows the number of digests. The byte check moves a text once at the most, and of a
+group's copies one per map task; where few digests have copies, only these texts move. Filters stay in the tables of Spark; nothing is collected.
 
 Defined results: a null text counts as empty, so null and empty texts are equal.
 Of equal texts the largest id stays; rows that repeat this id stay together; a row
@@ -32,10 +31,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import joined_to_keys, written
 
 #: Digests a shard holds on average: a filter is built from so many at once.
 DIGESTS_PER_SHARD = 50_000
+#: The most digests that are broadcast to leave texts without copies where they are.
+FEW_DIGESTS = 200_000
 FILTER_SCHEMA = "shard long, seed long, segment long, segments long, prints binary"
 
 
@@ -179,20 +180,20 @@ def exact_duplicates(docs: DataFrame, in_snapshot: Column, key: str = "doc_id",
     ids = written(rows.select("doc_id", "text_sha256", F.coalesce(in_snapshot, F.lit(False)).alias("_old")), "digests")
     groups = written(merge_groups(grouped(ids.where("_old")), grouped(ids.where(~F.col("_old")))), "digest-groups")
 
-    # The byte check: rows of groups of several against a representative's text.
-    # Digest and id are one join key: a digest alone would deal a hot group to one task.
-    pick = F.xxhash64("text_sha256", "doc_id")
-    several = groups.where("group_size > 1").select("text_sha256", F.col("keep_id").alias("doc_id")).select(pick.alias("_pick"), F.col("text_sha256").alias("_sha"))
-    lead = (rows.withColumn("_pick", pick).join(several, "_pick").where(F.col("text_sha256") == F.col("_sha"))
-            .groupBy("text_sha256").agg(F.max("text").alias("_lead")))
-    odd = written(rows.join(lead, "text_sha256").where(F.col("text") != F.col("_lead")).select("doc_id", "text_sha256", "text"), "digest-clashes")
+    # The byte check: the set of texts under each digest of several rows. Copies are one text per map task.
+    several = groups.where("group_size > 1").select("text_sha256")
+    if several.count() <= FEW_DIGESTS:
+        rows_of_several = rows.join(F.broadcast(several), "text_sha256", "left_semi")
+    else:
+        rows_of_several = rows          # no text moves more than once, whichever
+    texts = rows_of_several.groupBy("text_sha256").agg(F.size(F.collect_set("text")).alias("texts"))
+    clashing = written(texts.where("texts > 1").select("text_sha256"), "digest-clashes")
 
-    decided = ids.drop("_old").join(groups, "text_sha256", "left").select(
+    decided = joined_to_keys(ids.drop("_old"), groups.withColumn("_rows", F.col("group_size")), "text_sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
-    if odd.isEmpty():
+    if clashing.isEmpty():
         return decided
     # Different texts under one digest: groups by the bytes themselves, for these digests alone.
-    clashing = odd.select("text_sha256").distinct()
     apart = rows.join(clashing, "text_sha256", "left_semi")
     own = apart.groupBy("text_sha256", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     redone = apart.join(own, ["text_sha256", "text"]).select(
