@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import joined_to_keys, written
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -17,12 +17,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         facing = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         facing = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = facing.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("_m", "a").alias("_m"))
-    moved = facing.join(least, "a")
+    least = written(facing.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("_m"), F.count(F.lit(1)).alias("_rows")), "least-neighbours")
+    moved = joined_to_keys(facing, least, "a")          # the centre of a star may face most nodes
     if large:
         out = moved.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
     else:
-        out = moved.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(least.withColumnRenamed("_m", "b"))
+        out = moved.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(least.select("a", F.col("_m").alias("b")))
     out = out.where("a <> b")
     return out if large else out.distinct()
 

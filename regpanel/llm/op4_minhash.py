@@ -29,12 +29,14 @@ Classes that share a band meet in a bucket:
   (two copies of one text with different edits, two texts that share a passage)
   inside the join, before they are rows.
 
-Pairs whose sketches (a byte per component) agree in too few places to be similar are
-not verified. So no link between two classes of one bucket is lost, and a group of copies
+Pairs whose sketches (a byte per component) agree in fewer than ``LEAST_AGREEING`` places are
+not verified: a pair at the least similarity agrees in so few with a probability of 6e-7, the one way in which a
+link between two classes of one bucket can be lost. A group of copies
 does not emit all its pairs. Components are contracted in Spark (``components``).
 
-Scale. A hot group of copies is reduced on the map side (distinct, min, count); the joins
-that carry a hot bucket or a hot hub are plain sort-merge joins, which adaptive
+Scale. A hot group of copies is reduced on the map side (distinct, min, count); groups and centres of stars that
+hold many rows are broadcast as one small row each, the others joined by key (``joined_to_keys``); the joins
+that carry a hot bucket or the texts of a hot hub are plain sort-merge joins, which adaptive
 execution splits. Texts are joined only for classes that meet another one, pairs
 travel with their sketches. Tables are
 written to the shared folder, so lost executors cost no more than a stage.
@@ -56,7 +58,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import joined_to_keys, written
 from .components import components
 
 WORDS = 5
@@ -338,9 +340,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # The first of a group has the smallest id; rows without id come last, by their text.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     each = rows.groupBy("cls").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n"))
-    each = each.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    total = each.groupBy("root").agg(F.min("_first").alias("first"), F.sum("_n").alias("group_size"))
-    named = written(each.select("cls", "root").join(total, "root").drop("root"), "near-classes")
+    each = written(each.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "near-roots")
+    total = written(each.groupBy("root").agg(F.min("_first").alias("first"), F.sum("_n").alias("group_size"), F.count(F.lit(1)).alias("_rows")), "near-groups")
+    named = written(joined_to_keys(each.select("cls", "root"), total, "root").drop("root"), "near-classes")
     return rows.select("doc_id", "text_hash", "cls").join(named, "cls").select(
         "doc_id", F.col("first.doc_id").alias("class_id"), "group_size",
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("kept"), "text_hash")
