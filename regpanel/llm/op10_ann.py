@@ -6,13 +6,13 @@ vectors that have it among their first ``POSTED``, with its position. A query wa
 files of its own first ``PROBED`` pivots, which accumulates the Spearman footrule
 distance of the two orders (a pivot missing from an order stands right behind its end):
 the distance falls by ``2 * (PROBED - max(position, position))`` for each pivot shared. The
-``RERANKED`` part of a shard that is nearest by footrule (ties included) is reranked by the
-exact inner product, the best ``K`` per shard are merged per query.
+``RERANKED`` part of a shard that is nearest by footrule (ties included; ``OVERSAMPLED`` times as many as are
+wanted at the least) is reranked by the exact inner product, the best per shard are merged per query.
 
 The measure is the inner product, so vectors get one more component that makes all
 norms equal, which turns largest inner product into smallest angle; equal norms stay as
-they are. Pivots are a sample of at most ``PIVOTS`` vectors taken by a hash of the id; every
-vector is indexed. Recall is measured against brute force in the tests and README.
+they are. Pivots are a sample of at most ``PIVOTS`` vectors taken by a hash of the id (all vectors, if there are fewer:
+orders of few pivots tell little); every vector is indexed. Recall is measured against brute force in the tests and README.
 
 Scale. The stated query set meets all rows in blocks: shards of about ``SHARD_ROWS``
 vectors and blocks of about ``QUERY_ROWS`` queries, dealt by a hash of the id, so a task's
@@ -40,8 +40,8 @@ from .common import written
 K = 20
 #: The most pivots (a bounded sample), pivots a vector is posted under, and pivots a query probes.
 PIVOTS, POSTED, PROBED = 2048, 32, 64
-#: Part of a shard that is reranked exactly, and the least number.
-RERANKED, LEAST_RERANKED = 0.16, 512
+#: Part of a shard that is reranked exactly, and the least number per neighbour wanted.
+RERANKED, OVERSAMPLED = 0.2, 3
 SHARD_ROWS, QUERY_ROWS = 4096, 4096
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -90,7 +90,7 @@ def search(ids: np.ndarray, v: np.ndarray, orders: np.ndarray, query_ids: np.nda
     by_pivot = np.argsort(flat, kind="stable")
     files = np.searchsorted(flat[by_pivot], np.arange(PIVOTS + 1))
     rows, position = by_pivot // posted, (by_pivot % posted).astype(np.int64)
-    rerank = max(LEAST_RERANKED, int(np.ceil(RERANKED * len(ids))))
+    rerank = max(OVERSAMPLED * k, int(np.ceil(RERANKED * len(ids))))
     for qid, q, order in zip(query_ids, queries, query_orders):
         near = np.zeros(len(ids), dtype=np.int64)
         for at, pivot in enumerate(order):
@@ -118,7 +118,7 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec
     rows = usable(vectors, key, vector)
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("most")).first()
     n, most = size["n"], float(size["most"] or 1.0)
-    wanted = max(1, min(PIVOTS, n // 4))
+    wanted = max(1, min(PIVOTS, n))
     token = F.pmod(F.xxhash64("vec_id", F.lit(29)), F.lit(1 << 30))
     sample = rows.where(token < min(1 << 30, (1 << 30) * 2 * (wanted + 50) // max(n, 1))).orderBy(token, "vec_id", "v").limit(wanted)
     pivots = levelled(np.array([r["v"] for r in sample.collect()] or [[0.0]], dtype=np.float64), most)
@@ -155,12 +155,3 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec
     ranked = best.withColumn("rank", F.expr("row_number() over (partition by query_id order by score desc, vec_id)"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-
-#: Brute force in DuckDB's SQL; equal to the index while a shard is reranked whole.
-ORACLE_SQL = """
-WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
-      FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
-SELECT query_id, rank::INT AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
-"""

@@ -94,7 +94,6 @@ ORACLE_SQL = {
     "op5_url_filter": op5_urls.ORACLE_SQL,
     "op7_chat_format": op7_chat.ORACLE_SQL,
     "op9_exact_dedup": OP9_SQL,
-    "op10_permutation_search": op10_ann.ORACLE_SQL,
     "op12_line_dedup": op12_lines.ORACLE_SQL,
     "op13_vector_codes": op13_codes.ORACLE_SQL,
 }

@@ -147,3 +147,14 @@ def test_near_edge_rows(edge_docs, no_docs):
     assert kept.columns == edge_docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 4, None, 6, 7, 8]))
     assert op4_minhash.near_duplicates(no_docs).collect() == [] and op4_minhash.drop_near_duplicates(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("share", [1, 4, 10_000])
+def test_rows_meet_hot_and_other_keys_alike(spark, monkeypatch, share):
+    from regpanel.llm import common
+    monkeypatch.setattr(common, "HOT_SHARE", share)
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 10}") for i in range(300)], "i int, k string")
+    side = rows.groupBy("k").agg(F.max("i").alias("m"), F.count(F.lit(1)).alias("_rows"))
+    got = sorted((r.i, r.k, r.m) for r in common.joined_to_keys(rows, side, "k").collect())
+    assert got == sorted((r.i, r.k, r.m) for r in rows.join(side, "k").collect()) and len(got) == 300
+    assert common.joined_to_keys(rows.limit(0), side.limit(0), "k").collect() == []
