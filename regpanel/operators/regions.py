@@ -101,6 +101,32 @@ def resolve_names(keys: DataFrame, key_col: str, regions: DataFrame,
              .select(key_col, F.coalesce("_r_exact", "_r_fuzzy").alias("_rid")))
 
 
+def region_mapping(values: DataFrame, regions: DataFrame, type_words: Sequence[str] = (),
+                   threshold: float = 80.0, code_col: str = "code", name_col: str = "name",
+                   short_col: str = "short_name", iso_col: str = "iso_code", order_col: str = "_row",
+                   materialize: bool = True) -> DataFrame:
+    """J7 + A8 for all values of a one-column table: ``_key`` (each distinct value), ``_rn, _rc, _ri``
+    (the region's name, code and ISO code). Written once, and broadcast when it proved small."""
+    key = values.columns[0]
+    mapping = resolve_names(values.distinct(), key, regions, type_words, threshold, code_col, name_col,
+                            short_col, order_col)
+    info = regions.select(F.col(order_col).alias("_rid"), F.col(name_col).alias("_rn"),
+                          F.col(code_col).cast("string").alias("_rc"), F.col(iso_col).alias("_ri"))
+    # ``info`` is a projection of ``regions``: same row count, same bound.
+    info = F.broadcast(info) if is_bounded(regions) else info
+    mapping = mapping.join(info, "_rid", "left").select(F.col(key).alias("_key"), "_rn", "_rc", "_ri")
+    return broadcast_materialized(mapping) if materialize else mapping
+
+
+def apply_region_mapping(df: DataFrame, column: str, mapping: DataFrame, out_name: str | None = None,
+                         out_code: str = "region_code", out_iso: str = "region_iso_code") -> DataFrame:
+    """``column`` replaced by the mapped region name, with its code and ISO code; null for a
+    value that is unresolved or not in the mapping. One row per key, so the row count holds."""
+    out = df.join(mapping.withColumnRenamed("_key", column), on=column, how="left")
+    return (out.withColumns({out_name or column: F.col("_rn"), out_code: F.col("_rc"), out_iso: F.col("_ri")})
+               .drop("_rn", "_rc", "_ri"))
+
+
 def normalize_regions(df: DataFrame, column: str, regions: DataFrame,
                       type_words: Sequence[str] = (), threshold: float = 80.0,
                       out_name: str | None = None, out_code: str = "region_code",
@@ -112,28 +138,10 @@ def normalize_regions(df: DataFrame, column: str, regions: DataFrame,
     """Replace ``column`` by the canonical region name and add its code
     and ISO code; unresolved (or null) keys give nulls. The lookup runs once
     per distinct value, then joins back (row count unchanged). ``candidates``
-    (one column) may supply a superset of the values to resolve."""
-    out_name = out_name or column
-    # The values to resolve: the column's distinct values, or -- when the
-    # caller knows a small superset (e.g. values of dimension tables) --
-    # that set, so the (possibly expensive) input is not scanned twice.
-    distinct = (candidates.select(F.col(candidates.columns[0]).alias(column))
-                if candidates is not None else df.select(column)).distinct()
-    mapping = resolve_names(distinct, column, regions, type_words, threshold,
-                            code_col, name_col, short_col, order_col)
-    info = regions.select(F.col(order_col).alias("_rid"),
-                          F.col(name_col).alias("_rn"),
-                          F.col(code_col).cast("string").alias("_rc"),
-                          F.col(iso_col).alias("_ri"))
-    # ``info`` is a projection of ``regions``: same row count, same bound.
-    info = F.broadcast(info) if is_bounded(regions) else info
-    mapping = (mapping.join(info, "_rid", "left").select(column, "_rn", "_rc", "_ri"))
-    # One row per distinct key, so the join back cannot change the row
-    # count. The mapping is computed once (a narrow scan of one column),
-    # written, and broadcast when small -- the wide rows are not shuffled.
-    if materialize:
-        mapping = broadcast_materialized(mapping)
-    out = df.join(mapping, on=column, how="left")
-    return (out.withColumns({out_name: F.col("_rn"), out_code: F.col("_rc"),
-                             out_iso: F.col("_ri")})
-               .drop("_rn", "_rc", "_ri"))
+    (one column) may supply a superset of the values to resolve, so the (possibly
+    expensive) input is not scanned twice."""
+    values = (candidates if candidates is not None else df).select(
+        F.col(candidates.columns[0] if candidates is not None else column).alias("_value"))
+    mapping = region_mapping(values, regions, type_words, threshold, code_col, name_col, short_col, iso_col,
+                             order_col, materialize)
+    return apply_region_mapping(df, column, mapping, out_name, out_code, out_iso)

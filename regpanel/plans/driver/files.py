@@ -11,7 +11,8 @@ from .geocoding import _GEOCODED, _geo_dims, _geocode_ctes
 from .registry import _HULL_SQL, _registry_snapshots
 from .sources import _files, _orders_xml, _packed
 
-_YEARS = [str(y) for y in range(1992, 1999)]
+#: Every year that the tables hold.
+_YEARS = [str(y) for y in range(1992, 2003)]
 _PER_YEAR = ", ".join(f"sum(CASE WHEN year(o_orderdate) = {y} THEN o_totalprice END) AS y{y}" for y in _YEARS)
 
 

@@ -47,6 +47,37 @@ def next_known_fill_hot_q(spark, sf_dir):
                       F.when(~F.isnan("price_filled"), F.col("price_filled")).alias("price_filled"))
 
 
+_TIED = ("CASE WHEN l_orderkey % 3 = 0 THEN TIMESTAMP '1996-01-01' ELSE CAST(l_shipdate AS TIMESTAMP) END AS day, "
+         "'order-' || lpad(CAST(l_orderkey AS VARCHAR), 9, '0') || '/' || CAST(l_linenumber AS VARCHAR) AS ref")
+
+
+@register("next_known_fill_text", f"""
+WITH l AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE 'part-' || CAST(l_partkey AS VARCHAR) END AS k, {_TIED},
+                  CASE WHEN (l_orderkey + l_linenumber) % 4 = 0 THEN 'v' || CAST(l_suppkey AS VARCHAR) END AS v FROM lineitem)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       first_value(v IGNORE NULLS) OVER (PARTITION BY k ORDER BY day, ref, l_partkey, l_suppkey, l_extendedprice, l_quantity
+                                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS by_day,
+       first_value(v IGNORE NULLS) OVER (PARTITION BY k ORDER BY ref, l_partkey, l_suppkey, l_extendedprice, l_quantity
+                                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS by_ref
+FROM l
+""")
+def next_known_fill_text_q(spark, sf_dir):
+    """W1 with a third of the rows on one key, ordered by text, and by a day that all rows of the key share."""
+    from ...operators.intervals import next_known_fill
+    order = F.col("l_orderkey")
+    hot = order % 3 == 0
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+        F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("part-"), F.col("l_partkey").cast("string"))).alias("k"),
+        F.when(hot, F.lit("1996-01-01").cast("timestamp")).otherwise(F.col("l_shipdate").cast("timestamp")).alias("day"),
+        F.concat(F.lit("order-"), F.lpad(order.cast("string"), 9, "0"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("ref"),
+        F.when((order + F.col("l_linenumber")) % 4 == 0, F.concat(F.lit("v"), F.col("l_suppkey").cast("string"))).alias("v"))
+    by = ["ref", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    out = next_known_fill(rows, "k", ["day", *by], "v", "by_day")
+    out = next_known_fill(out, "k", by, "v", "by_ref")
+    return out.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "by_day", "by_ref")
+
+
 # ------------------------------------------------------------ A12, native type
 @register("spearman_large_integers", f"""
 WITH d AS (SELECT o_orderpriority AS g, o_orderkey + {BIG} AS x, o_custkey AS y FROM orders),
@@ -112,7 +143,8 @@ def _validation_run(spark, sf_dir, group, years):
     return run_validation(snaps, stats, codes.unionByName(headers), regions, list(years), EXCLUDED_NATIONS)
 
 
-_ALL_YEARS = tuple(str(y) for y in range(1992, 1999))
+#: Every year that the tables hold.
+_ALL_YEARS = tuple(str(y) for y in range(1992, 2003))
 
 
 def _correlations(name, keys, where="TRUE"):

@@ -30,7 +30,7 @@ from ..operators.dedupe import broadcast_if_bounded, broadcast_materialized
 from ..operators.intervals import hull_last_end
 from ..operators.keys import fill_when_null_and_in
 from ..operators.matching import MatchPass, dictionary_lookup, waterfall_match
-from ..operators.regions import normalize_regions
+from ..operators.regions import apply_region_mapping, region_mapping
 from ..operators.reshape import cities_standard, joint_geodata
 from ..session import cut_lineage
 
@@ -42,37 +42,40 @@ def _canon(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: canonical_text(c) for c in columns})
 
 
-def normalize_addresses(addresses: DataFrame, abbreviations: DataFrame, regions: DataFrame,
-                        prepend_types: Sequence[str] = ()) -> DataFrame:
+def compose_addresses(addresses: DataFrame, abbreviations: DataFrame,
+                      prepend_types: Sequence[str] = ()) -> DataFrame:
     """Step 1 on distinct address tuples: keeps the raw columns (as
-    ``_raw_*``, the join key back to the records) and adds the normalised
-    ones."""
+    ``_raw_*``, the join key back to the records), expands the types and adds the composed
+    parts."""
     df = addresses.select(*ADDRESS_COLUMNS,
                           *[F.col(c).alias(f"_raw_{c}") for c in ADDRESS_COLUMNS])
     for part in ADDRESS_PARTS:
         df = dictionary_lookup(df, f"{part}_type", abbreviations)
         df = df.withColumn(part, join_name_and_type(f"{part}_name", f"{part}_type",
                                                     prepend_types))
-    df = normalize_regions(df, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD)
-    text = ADDRESS_COLUMNS + ADDRESS_PARTS + ["region_code", "region_iso_code"]
-    return _canon(df, text)
+    return df
+
+
+def known_regions(composed: DataFrame, cities: DataFrame, settlements: DataFrame,
+                  regions: DataFrame) -> DataFrame:
+    """Every region value that the geocoder resolves, before and after the waterfall: those of
+    the addresses and the gazetteer, and the canonical text of the names they resolve to."""
+    value = F.col("region").alias("v")
+    return (composed.select(value).unionByName(cities.select(value)).unionByName(settlements.select(value))
+            .unionByName(regions.select(canonical_text("name").alias("v"))))
 
 
 def settlements_standard(settlements: DataFrame, abbreviations: DataFrame,
-                         regions: DataFrame) -> DataFrame:
+                         mapping: DataFrame) -> DataFrame:
     std = settlements.select("id", "region", "municipality", "settlement", "type")
     std = dictionary_lookup(std, "type", abbreviations)
-    # A dimension's distinct regions are cheap to recompute: no lineage cut.
-    std = normalize_regions(std, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD,
-                            materialize=False)
+    std = apply_region_mapping(std, "region", mapping)
     return _canon(std, ["region", "municipality", "settlement", "type"])
 
 
-def city_standard(cities: DataFrame, regions: DataFrame) -> DataFrame:
+def city_standard(cities: DataFrame, mapping: DataFrame) -> DataFrame:
     std = cities_standard(cities, city_area_type=CITY_MARKER)
-    std = normalize_regions(std, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD,
-                            materialize=False)
-    return _canon(std, ["region", "area", "city", "settlement"])
+    return _canon(apply_region_mapping(std, "region", mapping), ["region", "area", "city", "settlement"])
 
 
 def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
@@ -89,12 +92,16 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
     # The abbreviation dictionary is derived (three variants, first wins):
     # compute it once; every lookup then reads the small written table.
     abbreviations = broadcast_materialized(abbreviations)
-    addresses = cut_lineage(records.select(*ADDRESS_COLUMNS).distinct())
-    addr = normalize_addresses(addresses, abbreviations, regions, prepend_types)
+    addresses = records.select(*ADDRESS_COLUMNS).distinct()
+    composed = cut_lineage(compose_addresses(addresses, abbreviations, prepend_types))
+    # One lookup for all region values there are, in place of one per table.
+    found = region_mapping(known_regions(composed, cities, settlements, regions), regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD)
+    addr = _canon(apply_region_mapping(composed, "region", found),
+                  ADDRESS_COLUMNS + ADDRESS_PARTS + ["region_code", "region_iso_code"])
     # Standards feed 14 passes and their size checks: write them once (they
     # are dimension-sized).
-    standards = {"s": cut_lineage(settlements_standard(settlements, abbreviations, regions)),
-                 "c": cut_lineage(city_standard(cities, regions))}
+    standards = {"s": cut_lineage(settlements_standard(settlements, abbreviations, found)),
+                 "c": cut_lineage(city_standard(cities, found))}
     passes = [MatchPass(n, left, right, std, tag=std) for n, left, right, std in WATERFALL]
     mapped = waterfall_match(addr, standards, passes, id_col="id", out_id="geo_id",
                              out_type="type")
@@ -114,12 +121,7 @@ def geocode(records: DataFrame, cities: DataFrame, settlements: DataFrame,
     geo = broadcast_if_bounded(geo.withColumnRenamed("region", "_geo_region"))
     rec = rec.join(geo, ["geo_id", "type"], "left")
     rec = rec.withColumn("region", F.coalesce("_geo_region", "_addr_region"))
-    # Every region value now comes from the geodata or the address mapping,
-    # both small: resolve those values instead of re-scanning the records.
-    known = geo.select(F.col("_geo_region").alias("v")).unionByName(
-        mapping.select(F.col("_addr_region").alias("v")))
-    rec = normalize_regions(rec, "region", regions, REGION_TYPE_WORDS, FUZZY_THRESHOLD,
-                            candidates=known)
+    rec = apply_region_mapping(rec, "region", found)
     rec = fill_when_null_and_in(rec, "settlement", "region", FEDERAL_CITIES)
     rec = rec.select(*PRODUCT_COLUMNS)
     # Equal starts: the larger end wins (the source left the tie open).

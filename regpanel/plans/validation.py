@@ -12,7 +12,7 @@ from ..assets.fixed import (CORRELATION_EXCLUDED_GROUPS, EXCLUDED_REGIONS, REGIO
 from ..operators.dedupe import distinct_rows, first_wins
 from ..operators.keys import exclude_substrings, normalized_difference, override_values
 from ..operators.quality import describe, group_counts, group_sums, spearman
-from ..operators.regions import normalize_regions
+from ..operators.regions import apply_region_mapping, region_mapping
 from ..operators.reshape import to_long
 from ..session import cut_lineage
 
@@ -97,15 +97,20 @@ def prepare_statistics(stats: DataFrame, classifier: DataFrame, regions: DataFra
                        year_columns: Sequence[str], manual_fixes: dict[str, str] | None = None,
                        exclude: Sequence[str] = (), region_col: str = "region_name",
                        activity_col: str = "activity", order_col: str = "_row") -> DataFrame:
-    """Published statistics (wide, one column per year) -> long
-    ``region, group, year, count_stat``.
+    """``statistics_sums`` with its regions resolved: ``resolved_statistics``."""
+    s = statistics_sums(stats, classifier, year_columns, region_col, activity_col, order_col)
+    mapping = region_mapping(s.select(region_col), regions, REGION_TYPE_WORDS, 80.0)
+    return resolved_statistics(s, mapping, year_columns, manual_fixes, exclude, region_col)
+
+
+def statistics_sums(stats: DataFrame, classifier: DataFrame, year_columns: Sequence[str], region_col: str = "region_name",
+                    activity_col: str = "activity", order_col: str = "_row") -> DataFrame:
+    """Published statistics (wide, one column per year) summed per raw region and group, written once.
 
     Activity labels map to groups through the classifier's group header rows
     (blank code); a duplicated (region, activity) keeps its first row in file
     order (without ``order_col``: the least row); counts are summed per (region,
-    group), missing ones as 0; region names resolve through J7, then the
-    manual overrides apply (exact match on the raw name); the excluded raw
-    names (trimmed) drop; years melt to rows (R2).
+    group), missing ones as 0.
     """
     headers = (classifier.filter(F.col("code").isNull() | (F.trim(F.col("code")) == ""))
                          .groupBy(F.col("name").alias(activity_col)).agg(F.min("group").alias("group")))
@@ -113,9 +118,15 @@ def prepare_statistics(stats: DataFrame, classifier: DataFrame, regions: DataFra
     order = [order_col] if order_col in stats.columns else list(year_columns)
     s = first_wins(s, [region_col, activity_col], order, [*year_columns, "group"])
     s = s.groupBy(region_col, "group").agg(*[F.coalesce(F.sum(y), F.lit(0.0)).alias(y) for y in year_columns])
-    # Written before the names are resolved, which reads them and then the rows.
-    s = cut_lineage(s.withColumn("region", F.col(region_col)))
-    s = normalize_regions(s, "region", regions, REGION_TYPE_WORDS, 80.0)
+    return cut_lineage(s)
+
+
+def resolved_statistics(sums: DataFrame, mapping: DataFrame, year_columns: Sequence[str], manual_fixes: dict[str, str] | None = None,
+                        exclude: Sequence[str] = (), region_col: str = "region_name") -> DataFrame:
+    """Sums per raw region -> long ``region, group, year, count_stat``: region names resolve through J7, then the
+    manual overrides apply (exact match on the raw name); the excluded raw
+    names (trimmed) drop; years melt to rows (R2)."""
+    s = apply_region_mapping(sums.withColumn("region", F.col(region_col)), "region", mapping)
     s = override_values(s, region_col, "region", manual_fixes or {})
     excluded = [e.strip() for e in exclude]
     if excluded:
@@ -132,8 +143,12 @@ def registry_by_region(counts: DataFrame, classifier: DataFrame, regions: DataFr
     (canonical region, year, group): classifier by code, sums, region
     resolution, sums again (rows whose region does not resolve drop)."""
     g = cut_lineage(counts_by_group(counts, classifier, count_col=count_col))
-    g = normalize_regions(g, "region", regions, REGION_TYPE_WORDS, 80.0)
-    g = g.filter(F.col("region").isNotNull())
+    return resolved_registry(g, region_mapping(g.select("region"), regions, REGION_TYPE_WORDS, 80.0), count_col)
+
+
+def resolved_registry(by_group: DataFrame, mapping: DataFrame, count_col: str = "count") -> DataFrame:
+    """Counts per (raw region, year, group) -> ``count_reestr`` per (canonical region, year, group)."""
+    g = apply_region_mapping(by_group, "region", mapping).filter(F.col("region").isNotNull())
     return group_sums(g, ["region", "year", "group"], [count_col]) \
         .withColumnRenamed(count_col, "count_reestr")
 
@@ -151,9 +166,12 @@ def run_validation(snapshots: DataFrame, statistics: DataFrame, classifier: Data
     snaps = exclude_substrings(snapshots, "region_name", [r.upper() for r in excluded_regions])
     # Legal entities only: the organisation's number, not a person's.
     snaps = snaps.filter(F.col("org_tin").isNotNull()).withColumn("tin", F.lpad(F.col("org_tin").cast("string"), 10, "0"))
-    reg = registry_by_region(registry_counts(snaps), classifier, regions)
-    stat = prepare_statistics(statistics, classifier, regions, year_columns,
-                              STATISTICS_REGION_FIXES, STATISTICS_EXCLUDED)
-    table = cut_lineage(compare(reg, stat))
+    by_group = cut_lineage(counts_by_group(registry_counts(snaps), classifier))
+    sums = statistics_sums(statistics, classifier, year_columns)
+    # One lookup for the region names of both sides.
+    names = by_group.select("region").unionByName(sums.select(F.col("region_name").alias("region")))
+    mapping = region_mapping(names, regions, REGION_TYPE_WORDS, 80.0)
+    stat = resolved_statistics(sums, mapping, year_columns, STATISTICS_REGION_FIXES, STATISTICS_EXCLUDED)
+    table = cut_lineage(compare(resolved_registry(by_group, mapping), stat))
     return LazyFrames({"table": lambda _: table, "long": lambda _: long_form(table),
                        **summary_builders(table, "count_reestr", "count_stat", CORRELATION_EXCLUDED_GROUPS)})

@@ -257,3 +257,14 @@ def test_order_buckets_are_monotone(spark):
     same = df.select(F.lit("x").alias("s"), F.lit(1).alias("i"))
     assert same.withColumn("b", order_bucket(same, ["s", "i"], 16)).select("b").distinct().count() == 1
     assert same.limit(0).withColumn("b", order_bucket(same.limit(0), ["s", "i"], 16)).collect() == []
+
+
+# ------------------------------------------------------------------ the entry
+@pytest.mark.parametrize("missing", ["zstandard", "regpanel.llm", "corpus_pipeline"])
+def test_entry_stands_without_the_corpus_part(missing):
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.modules['{missing}'] = None\nimport __spark_entry__ as e\nfrom regpanel.plans import driver\n"
+            "assert set(e.queries()) == set(driver.QUERIES) and set(e.oracle_sql()) == set(driver.ORACLE_SQL)")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
