@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
@@ -22,29 +22,32 @@ def fold_of(key: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+#: Bytes of text that the driver takes per class of a labelled sample, at the most (but one text at least).
+SAMPLE_BYTES = 64 << 20
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, folds: int, held_fold: int,
-                    per_class: int, key: str = "doc_id", text: str = "text") -> list[tuple[str, int]]:
+                    per_class: int, key: str = "doc_id", text: str = "text", most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
     """A bounded sample of labelled texts for the driver to fit a classifier on.
 
-    About ``per_class`` rows of each class (all, if there are fewer) are taken
-    by a hash of their key, at a rate derived from the class counts, so the
-    sample does not depend on partitioning. Rows held out never enter. A key
-    labelled twice counts as 1 if any of its labels is 1.
+    Of each class the ``per_class`` keys of least hash are taken (all, if there are fewer), and their texts in
+    that order while they fit ``most_bytes``, so the sample does not depend on partitioning. Rows held out
+    never enter. A key labelled twice counts as 1 if any of its labels is 1; a key on rows of several texts stands
+    for one of them (of least hash), which Spark picks before anything reaches the driver.
     """
     marked = (labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y"))
               .where("_k is not null and _y in (0, 1)").groupBy("_k").agg(F.max("_y").alias("_y"))
               .where(~fold_of("_k", folds, held_fold)))
-    counts = {r["_y"]: r["n"] for r in marked.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    scale = 1 << 30
-    keep = F.lit(False)
-    for value, n in counts.items():
-        limit = min(scale, round(scale * per_class / max(n, 1)))
-        keep = keep | ((F.col("_y") == value) & (F.pmod(F.xxhash64(F.col("_k"), F.lit(17)), F.lit(scale)) < limit))
-    # The keys are bounded by the sample's size, so the texts are not shuffled to find them.
-    chosen = F.broadcast(marked.where(keep).limit(8 * per_class))
-    rows = (docs.select(F.col(key).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-            .join(chosen, "_k").select("_k", "_t", "_y").toArrow())
-    # A fixed order, and a repeated key or text counts once.
+    place = F.xxhash64(F.col("_k"), F.lit(17))
+    least = [marked.where(F.col("_y") == y).orderBy(place, "_k").limit(per_class) for y in (0, 1)]
+    # No more keys than two classes have places, so the texts are not shuffled to find them.
+    chosen = F.broadcast(least[0].unionByName(least[1]))
+    found = docs.select(F.col(key).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t")).join(chosen, "_k")
+    one = found.groupBy("_k", "_y").agg(F.min_by("_t", F.struct(F.xxhash64("_t"), F.col("_t"))).alias("_t"))
+    before = Window.partitionBy("_y").orderBy(place, "_k").rowsBetween(Window.unboundedPreceding, -1)
+    fits = F.coalesce(F.sum(F.octet_length("_t")).over(before), F.lit(0)) + F.octet_length("_t") <= most_bytes
+    rows = one.withColumn("_fits", fits | (F.row_number().over(Window.partitionBy("_y").orderBy(place, "_k")) == 1)).where("_fits").select("_t", "_y").toArrow()
+    # A fixed order, and a repeated text counts once.
     return sorted(set(zip(rows.column("_t").to_pylist(), rows.column("_y").to_pylist())))
 
 

@@ -20,9 +20,13 @@ Training (on the driver, over a bounded sample of labelled rows):
    size + ordinary``. They differ in the toxic part alone and give the compressor
    tables of one shape, so a window without toxic matter has the same length under
    both;
-4. the threshold on a window's saving and the two-feature logistic score (windows
-   over the threshold, largest saving) are calibrated on a fold of the sample which
-   neither dictionary has seen.
+4. the threshold on a window's saving, the ordinary rate (the part of the windows of ordinary
+   texts that reach it all the same) and the weights of the logistic score are calibrated on a fold of
+   the sample which neither dictionary has seen.
+
+A text of many windows has some over the threshold by chance. It is called toxic when it has as many as
+the ordinary rate would give a text of its length with a chance of ``CHANCE`` at the most (by Poisson's
+distribution, one at the least); the score falls and rises with the windows under and over that count.
 
 Scoring is a ``mapInPandas`` pass without a shuffle; the model (under 64 KB) is
 broadcast. Every window of the whole text is compressed.
@@ -38,6 +42,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -57,6 +62,8 @@ WINDOW_WORDS = 16
 #: Windows are compressed in calls of this many, so a text of any length needs bounded memory.
 CALL_WINDOWS = 4096
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 8_192
+#: How often an ordinary text may have so many windows over the threshold that it is called toxic.
+CHANCE = 0.02
 LIFT, LEAST_CONTEXTS, LEAST_SHARE = 10.0, 5, 5e-5
 #: Ends every window and both dictionaries. A frame pays for its headers only if something in
 #: it can be compressed, and the compressor does not search the last bytes: with this, neither matters.
@@ -103,32 +110,54 @@ def lengths(c: zstandard.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
     return np.fromiter(map(len, map(c.compress, parts)), dtype=np.int64, count=len(parts))
 
 
+def needed(rate: float, windows: float) -> int:
+    """The least count, 1 or more, that a Poisson variable of mean ``rate * windows`` reaches with a
+    probability of at most ``CHANCE``."""
+    mean = rate * windows
+    if mean > 500:                       # the normal tail: 2.054 standard deviations are 2 percent
+        return int(mean + 2.054 * mean ** 0.5) + 1
+    count, term = 1, exp(-mean)
+    below = term
+    while 1 - below > CHANCE:
+        term *= mean / count
+        below += term
+        count += 1
+    return count
+
+
 @dataclass
 class Toxicity:
     """A fitted model; ``toxic is None`` means that nothing could be learnt."""
     ordinary: bytes = b""
     toxic: bytes | None = None
     threshold: int = 0
-    weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    weights: tuple[float, float] = (0.0, 0.0)
+    rate: float = 0.0
 
-    def savings(self, texts: list[str], codes: WordCodes) -> tuple[np.ndarray, np.ndarray]:
-        """Per text: the largest saving of a window, and how many reach the threshold."""
+    def savings(self, texts: list[str], codes: WordCodes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: the largest saving of a window, how many reach the threshold, and how many there are."""
         filler = np.random.default_rng(3).bytes(len(self.toxic))
         plain, toxic = compressor(filler + self.ordinary + TRAILER), compressor(self.toxic + self.ordinary + TRAILER)
-        most, over = np.zeros(len(texts)), np.zeros(len(texts))
+        most, over, count = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts))
         for i, text in enumerate(texts):
             for parts in windows(text, codes):
                 saved = lengths(plain, parts) - lengths(toxic, parts)
                 most[i] = max(most[i], saved.max())
                 over[i] += np.count_nonzero(saved >= self.threshold)
-        return most, over
+                count[i] += len(parts)
+        return most, over, count
 
     def scores(self, texts: list[str], codes: WordCodes) -> np.ndarray:
         if self.toxic is None or not texts:
             return np.zeros(len(texts))
-        most, over = self.savings(texts, codes)
-        b, wm, wo = self.weights
-        return 1.0 / (1.0 + np.exp(-np.clip(b + wm * (most - self.threshold) + wo * np.minimum(over, 4), -40, 40)))
+        return 1.0 / (1.0 + np.exp(-self.features(texts, codes) @ np.array(self.weights)))
+
+    def features(self, texts: list[str], codes: WordCodes) -> np.ndarray:
+        """Windows beyond the count that is needed (half of one more, so that the sign decides), and the largest saving
+        beyond the threshold, as less than half a window."""
+        most, over, count = self.savings(texts, codes)
+        beyond = over - np.array([needed(self.rate, n) for n in count])
+        return np.stack([np.clip(beyond, -4, 3) + 0.5, 0.49 * np.tanh((most - self.threshold) / 8)], axis=1)
 
 
 def contexts(texts: list[str], ids: dict[str, int]) -> np.ndarray:
@@ -197,23 +226,23 @@ def fit(sample: list[tuple[str, int]], seed: int = 7) -> Toxicity:
     m = Toxicity(train_dictionary([plain[i] for i in rng.permutation(len(plain))[:50_000]], ORDINARY_BYTES),
                  train_dictionary([b"".join(marked[i:i + 8]) for i in range(0, len(marked), 8)], TOXIC_BYTES))
     texts, y = [t for t, _ in check], np.array([y for _, y in check], dtype=np.float64)
-    most, _ = m.savings(texts, codes)
+    most, _, _ = m.savings(texts, codes)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) if 0 < y.mean() < 1 else np.ones(len(y))
     errors = [(float((weight * ((most >= k) != (y == 1))).sum()), k) for k in range(1, 25)]
     least = min(errors)[0]
     # Of the thresholds that err least, one in the lower half: a stem alone saves less than a whole word.
     good = [k for e, k in errors if e <= least + 1e-9]
     m.threshold = good[len(good) // 3]
-    _, over = m.savings(texts, codes)
-    # The two weights: a small logistic regression, started at the threshold.
-    x = np.stack([np.ones(len(y)), most - m.threshold, np.minimum(over, 4)], axis=1)
-    w = np.array([-1.0, 0.3, 2.0])
+    _, over, count = m.savings(texts, codes)
+    m.rate = float(over[y == 0].sum() / max(count[y == 0].sum(), 1))
+    # The weights: a small logistic regression. The second never outweighs the first, whose sign decides.
+    x, w = m.features(texts, codes), np.array([1.0, 0.5])
     for _ in range(400):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
+        p = 1 / (1 + np.exp(-x @ w))
         w -= 0.2 * (x * (weight * (p - y))[:, None]).mean(axis=0)
-        w[1:] = np.maximum(w[1:], 0.0)
-    # A score of 0.5 is where a window reaches the threshold.
-    m.weights = (-(w[2]) / 2 if w[2] > 0 else float(w[0]), float(w[1]), float(w[2]))
+        w[0] = max(w[0], 0.1)
+        w[1] = min(max(w[1], 0.0), w[0])
+    m.weights = (float(w[0]), float(w[1]))
     return m
 
 
