@@ -5,9 +5,9 @@ Random indexing: every token has a sparse ternary *index vector* derived from
 a hash of the token; the *context vector* of a token is the sum of the index
 vectors of its neighbours over the training texts. Tokens are hashed into a
 fixed number of rows, so the model has a fixed size and an unseen token still
-has a vector (its own index vector). A document is pooled into the mean of its
-token vectors, the mean agreement of tokens one and two places apart (which
-tells repetition), and a few shape figures. The network (one hidden tanh layer)
+has a vector (its own index vector). A document is pooled into the mean and the spread of its
+token vectors and the mean agreement (inner product) of the vectors of tokens one and two places apart, which
+tells repetition and disorder. Nothing but these vectors is an input. The network (one hidden tanh layer)
 is fitted with Adam on the driver over a bounded sample of labelled rows
 (``SAMPLE_PER_CLASS`` a class, not counting the held-out rows); a fold of that sample sets the temperature.
 
@@ -98,18 +98,19 @@ def pooled(text: str, vectors: np.ndarray, cache: RowCache) -> np.ndarray:
     """Features of one whole text."""
     rows = token_rows(text, cache)
     n = len(rows)
-    out = np.zeros(DIM + len(LAGS) + 4, dtype=np.float64)
+    out = np.zeros(2 * DIM + len(LAGS), dtype=np.float64)
     if not n:
         return out
-    total, agree = np.zeros(DIM), np.zeros(len(LAGS))
+    total, squares, agree = np.zeros(DIM), np.zeros(DIM), np.zeros(len(LAGS))
     for start in range(0, n, CHUNK_TOKENS):
         v = vectors[rows[start:start + CHUNK_TOKENS + max(LAGS)]]
         total += v[:CHUNK_TOKENS].sum(axis=0, dtype=np.float64)
+        squares += np.square(v[:CHUNK_TOKENS]).sum(axis=0, dtype=np.float64)
         for i, lag in enumerate(LAGS):
             agree[i] += float(np.einsum("ij,ij->", v[:-lag], v[lag:])) if len(v) > lag else 0.0
     out[:DIM] = total / n
     out[DIM:DIM + len(LAGS)] = agree / n
-    out[-4:] = np.log1p(n), len(np.unique(rows)) / n, np.log1p(len(text)) - np.log1p(n), 1.0
+    out[DIM + len(LAGS):] = np.sqrt(np.maximum(squares / n - out[:DIM] ** 2, 0.0))
     return out
 
 
