@@ -89,3 +89,54 @@ def test_held_out_accuracy(spark, name, label, folds, fold):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").toPandas()
     both = got[got.held_out].merge(labels, on="doc_id")
     assert len(both) > 50 and (both.predicted == both[label]).mean() > 0.95
+
+
+def test_a_long_text_may_have_what_chance_gives():
+    assert [op1_toxicity.needed(0.002, n) for n in (0, 1, 9, 40, 400)] == [1, 1, 1, 2, 4]
+    assert op1_toxicity.needed(0.0, 1e9) == 1 and 1060 < op1_toxicity.needed(0.001, 1e6) < 1080
+    for mean in (0.3, 7.0, 80.0):
+        draws = np.random.default_rng(1).poisson(mean, 200_000)
+        assert (draws >= op1_toxicity.needed(mean, 1)).mean() <= 0.022
+
+
+def test_clean_texts_of_any_length_are_left_alone():
+    # One ordinary text in twenty holds a telling word: a long text that is made of them is no toxic one.
+    rng, docs = corpus(6, 1600)
+    sample = []
+    for i, d in enumerate(docs):
+        for _ in range(3 if i % 4 == 0 else int(i % 20 == 1)):
+            d[rng.randrange(len(d))] = rng.choice(["qwyzzard", "kreemble", "vorpax", "mimblewick"])
+        sample.append((" ".join(d), int(i % 4 == 0)))
+    model = op1_toxicity.fit(sorted(sample[:1000]))
+    assert model.rate > 0
+    clean, toxic = ([t for t, y in sample[1000:] if y == k] for k in (0, 1))
+    codes = op1_toxicity.WordCodes()
+    joined = [" ".join(rng.sample(clean, 50)) for _ in range(40)]
+    assert (model.scores(joined, codes) >= 0.5).mean() <= 0.05
+    assert (model.scores([" ".join(rng.sample(toxic, 20)) for _ in range(20)], codes) >= 0.5).all()
+
+
+def test_a_sample_is_bounded_before_it_is_collected(spark):
+    from regpanel.llm.common import labelled_sample
+    docs = spark.createDataFrame([(7 if i % 3 == 0 else i, f"text {i} " + "x" * 100, "clash") for i in range(900)], "doc_id long, text string, _y string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(900)] + [(7, 1), (7, None), (None, 1)], "doc_id long, toxic int")
+    take = lambda **more: labelled_sample(docs, labels, "toxic", folds=5, held_fold=0, **more)
+    every = take(per_class=5000)
+    # A third of the rows share one key, which is one text.
+    assert sum(int(t.split()[1]) % 3 == 0 for t, _ in every) <= 1
+    some = take(per_class=20)
+    assert len(some) <= 40 and set(some) <= set(every) and some == labelled_sample(docs.repartition(7), labels.repartition(3), "toxic", folds=5, held_fold=0, per_class=20)
+    assert sum(len(t) for t, y in take(per_class=5000, most_bytes=1500) if y) <= 1500
+    assert len(take(per_class=5000, most_bytes=10)) == 2
+
+
+def test_pooling_against_a_loop_over_tokens():
+    rng, docs = corpus(8, 3)
+    vectors, cache = op6_quality.index_vectors(), op6_quality.RowCache()
+    for d in [*docs, ["one"], []]:
+        v = [vectors[r] for r in op6_quality.token_rows(" ".join(d), cache)]
+        n, dim = max(len(v), 1), op6_quality.DIM
+        mean = [sum(float(x[i]) for x in v) / n for i in range(dim)]
+        agree = [sum(sum(float(a) * float(b) for a, b in zip(x, y)) for x, y in zip(v, v[lag:])) / n for lag in op6_quality.LAGS]
+        spread = [(sum((float(x[i]) - m) ** 2 for x in v) / n) ** 0.5 for i, m in enumerate(mean)]
+        assert np.allclose(op6_quality.pooled(" ".join(d), vectors, cache), mean + agree + spread, atol=1e-6)
