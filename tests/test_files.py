@@ -268,3 +268,49 @@ def test_entry_stands_without_the_corpus_part(missing):
     code = (f"import sys; sys.modules['{missing}'] = None\nimport __spark_entry__ as e\nfrom regpanel.plans import driver\n"
             "assert set(e.queries()) == set(driver.QUERIES) and set(e.oracle_sql()) == set(driver.ORACLE_SQL)")
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+# ------------------------------------------------------------------ S3, members by their places
+def test_members_are_read_by_their_places(spark):
+    d = scratch()
+    texts = {f"файл{i}.xml" if i % 3 else f"m{i}.xml": f'<?xml version="1.0" encoding="utf-8"?><x>{"ж" * 50 * i}</x>' for i in range(9)}
+    with open(f"{d}/a.zip", "wb") as f:
+        f.write(b"bytes before the archive")
+        with zipfile.ZipFile(f, "w") as z:
+            for i, (name, text) in enumerate(texts.items()):
+                with z.open(zipfile.ZipInfo(name), "w", force_zip64=i == 4) as m:
+                    m.write(text.encode())
+                z.filelist[-1].comment = b"c" * i
+                z.writestr(f"deflated-{name}", text, compress_type=zipfile.ZIP_DEFLATED)
+            z.writestr("rare.xml", "<rare/>", compress_type=zipfile.ZIP_BZIP2)
+    want = sorted([(n, t.split("?>")[1]) for n, t in texts.items()] + [("deflated-" + n, t.split("?>")[1]) for n, t in texts.items()] + [("rare.xml", "<rare/>")])
+    listed = archive.list_members(archive.list_archives(spark, d)).where("member <> 'rare.xml'")
+    assert rows(archive.scan_archives(spark, d), "member", "xml") == want
+    assert rows(archive.read_members(archive.list_members(archive.list_archives(spark, d)).select("archive", "member")), "member", "xml") == want
+    # The second phase goes to the members' own bytes: the directory is not read by every task again.
+    kept = spark.createDataFrame(listed.collect(), listed.schema)
+    with open(f"{d}/a.zip", "r+b") as f:
+        at = f.read().index(b"PK\x01\x02")
+        f.truncate(at)
+    assert rows(archive.read_members(kept), "member", "xml") == [w for w in want if w[0] != "rare.xml"]
+
+
+def test_an_archive_of_many_members(spark):
+    d, n = scratch(), 70_000   # more than a directory without 64-bit fields counts
+    files = spark.range(n).selectExpr("'a.zip' AS name", "format_string('m%06d.xml', id) AS member", "format_string('<x>%d</x>', id) AS xml")
+    archive.write_named_archives(files, d).collect()
+    with zipfile.ZipFile(f"{d}/a.zip") as z:
+        assert z.testzip() is None and z.namelist() == [f"m{i:06d}.xml" for i in range(n)]
+    got = archive.scan_archives(spark, d)
+    assert got.selectExpr("sum(CAST(regexp_extract(xml, '[0-9]+', 0) AS LONG))", "count(DISTINCT member)").first()[:] == (n * (n - 1) // 2, n)
+
+
+def test_a_broken_member_is_an_error(spark):
+    d = scratch()
+    with zipfile.ZipFile(f"{d}/a.zip", "w") as z:
+        z.writestr("m.xml", "<x>whole</x>")
+    with open(f"{d}/a.zip", "r+b") as f:
+        f.seek(f.read().index(b"whole"))
+        f.write(b"other")
+    with pytest.raises(Exception, match="CRC"):
+        archive.scan_archives(spark, d).collect()
