@@ -21,8 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import flatten_multi
-
 CORRUPT = "_corrupt_record"
 
 
@@ -67,19 +65,20 @@ def file_schema(paths: Sequence[str], doc_tag: str,
 
 
 def path_values(doc: Column, path: str) -> Column:
-    """All values of ``path`` inside one parsed document, as an array."""
+    """All values of ``path`` inside one parsed document, as an array; a missing attribute is a null in it, and an
+    array without elements may be null. (Fields of an array of structs are read without a lambda, which would run uncompiled.)"""
     elems, attr = _split(path)
     if not elems:
-        return F.when(doc[attr].isNotNull(), F.array(doc[attr])).otherwise(
-            F.array().cast("array<string>"))
-    def child(name):  # one-argument lambda (a 2-argument one gets the index)
-        return lambda x: x[name]
-
+        return F.array(doc[attr])
     level = doc[elems[0]]
     for e in elems[1:]:
-        level = F.flatten(F.transform(F.coalesce(level, F.array()), child(e)))
-    vals = F.transform(F.coalesce(level, F.array()), lambda x: x[attr])
-    return F.filter(vals, lambda v: v.isNotNull())
+        level = F.flatten(level[e])
+    return level[attr]
+
+
+def _joined(values: Column) -> Column:
+    """``flatten_multi`` of values that may be null: no value -> null, one -> it, several -> joined."""
+    return F.when(F.array_max(values).isNotNull(), F.array_join(values, ","))
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -127,7 +126,7 @@ def parse_files(files: DataFrame, elements: Mapping[str, str], xml_col: str = "x
                           F.explode_outer(F.col(f"_f.{doc_tag}")).alias("_d"))
                   .filter(F.col("_d").isNotNull()))
     d = F.col("_d")
-    cols = [flatten_multi(path_values(d, p)).alias(name) for p, name in elements.items()]
+    cols = [_joined(path_values(d, p)).alias(name) for p, name in elements.items()]
     out = docs.select(*keep, *cols, *root_attrs.values())
     return out, bad
 
@@ -150,7 +149,7 @@ def parse_files_once(files: DataFrame, elements: Mapping[str, str], xml_col: str
     # A valid member without documents yields one empty row: drop it.
     rows = rows.filter(F.col("_d").isNotNull() | F.col(CORRUPT).isNotNull())
     d = F.col("_d")
-    cols = [flatten_multi(path_values(d, p)).alias(name) for p, name in elements.items()]
+    cols = [_joined(path_values(d, p)).alias(name) for p, name in elements.items()]
     status = F.when(F.col(CORRUPT).isNotNull(), F.lit("quarantine")).otherwise(F.lit("ok"))
     return rows.select(*keep, *cols, *root_attrs.values(), CORRUPT, status.alias("_status"))
 
@@ -213,19 +212,20 @@ def _retyped(kind: T.DataType, types: Mapping[tuple[str, ...], T.DataType], path
     return types[path]
 
 
-def _values(kind: T.DataType, path: tuple[str, ...]) -> Column:
-    """All values of a path, as an array of strings."""
+def _values(kind: T.DataType, path: tuple[str, ...]) -> tuple[Column, bool]:
+    """The value of a path as a string, or all its values as an array where an array lies on the path (True then)."""
     def field(name):
         return lambda x: x[name]
 
-    at = F.array(F.struct(*[F.col(f"`{f.name}`") for f in kind.fields]))
-    for name in path:
-        step = next(f.dataType for f in kind.fields if f.name == name)
-        at = F.transform(at, field(name))
-        if isinstance(step, T.ArrayType):
-            at, step = F.flatten(F.filter(at, lambda x: x.isNotNull())), step.elementType
-        kind = step
-    return F.filter(at, lambda x: x.isNotNull())
+    at, many = F.col(f"`{path[0]}`"), False
+    kind = next(f.dataType for f in kind.fields if f.name == path[0])
+    for name in (*path[1:], None):
+        if isinstance(kind, T.ArrayType):
+            at, kind, many = F.flatten(F.filter(at, lambda x: x.isNotNull())) if many else at, kind.elementType, True
+        if name is not None:
+            at = F.transform(at, field(name)) if many else at[name]
+            kind = next(f.dataType for f in kind.fields if f.name == name)
+    return (F.filter(at, lambda x: x.isNotNull()), True) if many else (at, False)
 
 
 def infer_xml_schema(spark, path: str, row_tag: str, sampling_ratio: float = 1.0, **options) -> T.StructType:
@@ -251,32 +251,37 @@ def infer_xml_schema(spark, path: str, row_tag: str, sampling_ratio: float = 1.0
         return as_text
     rows = reader().schema(as_text).load(path)
 
-    def always(values: Column, test) -> Column:
-        return F.coalesce(F.every(F.forall(values, test)), F.lit(True))
-
     def given_back(kind: T.DataType):
         return lambda v: F.coalesce(v.try_cast(kind).cast("string") == v, F.lit(False))
 
+    def places(v: Column) -> Column:
+        return F.when(v.rlike(_FIXED), F.length(v) - F.instr(v, "."))
+
     checks = []
     for i, (p, t) in enumerate(doubtful):
-        values = _values(as_text, p)
-        decimals = F.transform(F.filter(values, lambda v: v.rlike(_FIXED)), lambda v: F.length(v) - F.instr(v, "."))
-        checks += [always(values, lambda v: v.rlike(_WHOLE) & v.try_cast("long").isNotNull() & (v != "-0")).alias(f"whole{i}"),
-                   always(values, lambda v: v.rlike(_PLAIN) & (v != "-0")).alias(f"plain{i}"),
-                   always(values, lambda v: v.rlike(_FIXED) & (F.length(v) <= 30)).alias(f"fixed{i}"),
-                   F.min(F.array_min(decimals)).alias(f"low{i}"), F.max(F.array_max(decimals)).alias(f"high{i}"),
-                   always(values, given_back(t)).alias(f"same{i}")]
+        values, many = _values(as_text, p)
+
+        def always(test) -> Column:
+            return F.coalesce(F.every(F.forall(values, test) if many else F.when(values.isNotNull(), test(values))), F.lit(True))
+
+        if not isinstance(t, T.NumericType):
+            checks.append(always(given_back(t)).alias(f"same{i}"))
+            continue
+        decimals = F.transform(values, places) if many else F.array(places(values))
+        checks += [always(lambda v: v.rlike(_WHOLE) & v.try_cast("long").isNotNull() & (v != "-0")).alias(f"whole{i}"),
+                   always(lambda v: v.rlike(_PLAIN) & (v != "-0")).alias(f"plain{i}"),
+                   always(lambda v: v.rlike(_FIXED) & (F.length(v) <= 30)).alias(f"fixed{i}"),
+                   F.min(F.array_min(decimals)).alias(f"low{i}"), F.max(F.array_max(decimals)).alias(f"high{i}")]
     found = rows.agg(*checks).first()
     for i, (p, t) in enumerate(doubtful):
-        numeric, scale = isinstance(t, T.NumericType), found[f"low{i}"]
-        if numeric and found[f"whole{i}"]:
+        if not isinstance(t, T.NumericType):
+            types[p] = t if found[f"same{i}"] else T.StringType()
+        elif found[f"whole{i}"]:
             types[p] = T.LongType()
-        elif numeric and found[f"fixed{i}"] and scale is not None and scale == found[f"high{i}"] <= 18:
-            types[p] = T.DecimalType(38, scale)
-        elif numeric and found[f"plain{i}"]:
-            types[p] = T.DoubleType()
-        elif numeric or not found[f"same{i}"]:
-            types[p] = T.StringType()
+        elif found[f"fixed{i}"] and found[f"low{i}"] is not None and found[f"low{i}"] == found[f"high{i}"] <= 18:
+            types[p] = T.DecimalType(38, found[f"low{i}"])
+        else:
+            types[p] = T.DoubleType() if found[f"plain{i}"] else T.StringType()
     return _retyped(guessed, types)
 
 
@@ -285,7 +290,7 @@ def write_xml_files(docs: DataFrame, out_dir: str, num_files: int, root_tag: str
     """Write document-element strings as ``num_files`` XML files (one root
     element per file, one file per task) to ``out_dir`` on shared storage (any store that the archive scan reads).
     Returns ``file, docs`` (an action runs when the result is consumed)."""
-    import pandas as pd
+    import pyarrow as pa
 
     from .archive import created
 
@@ -296,11 +301,10 @@ def write_xml_files(docs: DataFrame, out_dir: str, num_files: int, root_tag: str
         n = 0
         with created(target, task.taskAttemptId()) as out:
             out.write(f'<?xml version="1.0" encoding="utf-8"?>\n<{root_tag} КолДок="0">'.encode())
-            for pdf in batches:
-                for x in pdf[doc_col]:
-                    out.write(x.encode())
-                    n += 1
+            for batch in batches:
+                out.writelines(x.encode() for x in batch.column(0).to_pylist())
+                n += batch.num_rows
             out.write(f"</{root_tag}>\n".encode())
-        yield pd.DataFrame([(target, n)], columns=["file", "docs"])
+        yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([n], pa.int64())], ["file", "docs"])
 
-    return docs.select(doc_col).repartition(num_files).mapInPandas(write, "file string, docs long")
+    return docs.select(doc_col).repartition(num_files).mapInArrow(write, "file string, docs long")

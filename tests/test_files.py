@@ -314,3 +314,27 @@ def test_a_broken_member_is_an_error(spark):
         f.write(b"other")
     with pytest.raises(Exception, match="CRC"):
         archive.scan_archives(spark, d).collect()
+
+
+# ------------------------------------------------------------------ S2 and S9, what runs per row
+def test_attributes_are_read_without_lambdas(spark):
+    elements = {"@a": "a", "B/@b": "b", "B/C/@c": "c"}
+    docs = ['<D a="1"><B b="x"><C c="p"/><C/><C c="q"/></B></D>', '<D><B/><B b=""><C/></B></D>', "<D/>", '<D a=""><B b="y"/><B b="z"/></D>']
+    files = spark.createDataFrame([(str(i), f"<F>{d}</F>") for i, d in enumerate(docs)], "member string, xml string")
+    got, _ = xml.parse_files(files, elements, doc_tag="D")
+    assert rows(got) == [("0", "1", "x", "p,q"), ("1", None, "", None), ("2", None, None, None), ("3", "", "y,z", None)]
+    for made in (got, xml.parse_files_once(files, elements, doc_tag="D")):
+        assert "lambda" not in made._jdf.queryExecution().toString()
+
+
+def test_inference_checks_plain_attributes_without_lambdas(spark, monkeypatch):
+    d = scratch()
+    docs = ['<D n="1" f="1.50" g="2.5" z="01" t="2020-01-02" b="true"><E f="1.0"/><L v="1"/></D>',
+            '<D n="2" f="2.25" z="2" t="2020-01-03" b="no"><E f="2.0"/><L v="2.5"/><L v="3"/></D>']
+    with open(f"{d}/a.xml", "w") as f:
+        f.write("<F>" + "".join(docs) + "</F>")
+    lambdas, forall = [], F.forall
+    monkeypatch.setattr(xml.F, "forall", lambda *a: lambdas.append(a) or forall(*a))
+    got = xml.infer_xml_schema(spark, d, "D").simpleString()
+    assert got == "struct<E:struct<_f:decimal(38,1)>,L:array<struct<_v:double>>,_b:string,_f:decimal(38,2),_g:decimal(38,1),_n:bigint,_t:date,_z:string>"
+    assert len(lambdas) == 3   # the three tests of the one number in an array
