@@ -190,6 +190,10 @@ def read_xml_documents(spark, path: str, row_tag: str, schema: T.StructType | No
 #: Numbers whose text a double gives back: no leading zero, no trailing zero after the point, 15 digits.
 _PLAIN = r"^-?(?=(\d\.?){1,15}$)(0|[1-9]\d*)(\.\d*[1-9])?$"
 _WHOLE, _FIXED = r"^-?(0|[1-9]\d*)$", r"^-?(0|[1-9]\d*)\.\d+$"
+#: The bit of the decimal of scale 0 among those of the types that keep a text.
+_SCALES = 16
+#: Texts of values that Spark's own formats give back.
+_SHAPES = {T.BooleanType: "^(true|false)$", T.DateType: r"^\d{4}-\d\d-\d\d$", T.TimestampType: r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{1,6})?$"}
 
 
 def _leaves(kind: T.DataType, path: tuple[str, ...] = ()):
@@ -228,11 +232,18 @@ def _values(kind: T.DataType, path: tuple[str, ...]) -> tuple[Column, bool]:
     return (F.filter(at, lambda x: x.isNotNull()), True) if many else (at, False)
 
 
+def _on_path(i: int):
+    def labelled(v: Column) -> Column:
+        return F.struct(F.lit(i).alias("path"), v.alias("text"))
+
+    return labelled
+
+
 def infer_xml_schema(spark, path: str, row_tag: str, sampling_ratio: float = 1.0, **options) -> T.StructType:
     """The schema of an XML folder, inferred from (a sample of) its rows and then corrected over all of them.
 
-    Inference reads a code like ``01.10`` as the number 1.1. Here every value of a column that was inferred as a
-    number, a date, a time or a boolean is looked at as text, in one aggregate over the whole folder: numbers stay
+    Inference reads a code like ``01.10`` as the number 1.1. Here every value is looked at as text, in one aggregate
+    over the whole folder (with options, every value of what Spark guesses to be no text): numbers stay
     whole or double if their type gives their text back; numbers that all have the same count of decimals become
     decimals of that scale, which also keep it; dates and booleans stay if their type's text is theirs;
     anything else is text. Attributes that no sampled row has are missing: the default reads all.
@@ -243,45 +254,59 @@ def infer_xml_schema(spark, path: str, row_tag: str, sampling_ratio: float = 1.0
             made = made.option(k, v)
         return made
 
-    guessed = reader().option("inferSchema", "true").option("samplingRatio", str(sampling_ratio)).load(path).schema
+    # Guessing a type tries every parser on every value; with the formats that Spark has by itself, the aggregate below
+    # tells types by the texts alone, and inference gives the nesting. Formats of the caller's need the guess.
+    typed = "true" if options else "false"
+    guessed = reader().option("inferSchema", typed).option("samplingRatio", str(sampling_ratio)).load(path).schema
     types = {p: (T.StringType() if isinstance(t, T.NullType) else t) for p, t in _leaves(guessed)}
     as_text = _retyped(guessed, {p: T.StringType() for p in types})
-    doubtful = [(p, t) for p, t in types.items() if not isinstance(t, T.StringType)]
+    doubtful = [(p, t) for p, t in types.items() if not (options and isinstance(t, T.StringType))]
     if not doubtful:
         return as_text
-    rows = reader().schema(as_text).load(path)
-
-    def given_back(kind: T.DataType):
-        return lambda v: F.coalesce(v.try_cast(kind).cast("string") == v, F.lit(False))
-
-    def places(v: Column) -> Column:
-        return F.when(v.rlike(_FIXED), F.length(v) - F.instr(v, "."))
-
-    checks = []
-    for i, (p, t) in enumerate(doubtful):
+    # What the texts are held against, apart from numbers: the types there can be.
+    others = list(dict.fromkeys(t for _, t in doubtful if not isinstance(t, T.NumericType))) if options else [T.BooleanType(), T.DateType(), T.TimestampType()]
+
+    def given_back(v: Column, kind: T.DataType) -> Column:
+        shape, same = _SHAPES.get(type(kind)), F.coalesce(v.try_cast(kind).cast("string") == v, F.lit(False))
+        return same if options or not shape else v.rlike(shape) & same
+
+    def bits(n: int) -> Column:
+        return F.lit(n).cast("long")
+
+    def fits(v: Column) -> Column:
+        """The types that keep a text, as bits: whole, plain, then ``others`` in turn, and from ``_SCALES`` on the decimals by scale."""
+        places = F.length(v) - F.instr(v, ".")
+        plain = F.when(v.rlike(_PLAIN), bits(2)).otherwise(bits(0))
+        whole = F.when(v.try_cast("long").isNotNull(), bits(1)).otherwise(bits(0))
+        scaled = F.when((F.length(v) <= 30) & (places <= 18), F.call_function("shiftleft", bits(1), places + _SCALES)).otherwise(bits(0))
+        found = F.when(v == "-0", bits(0)).when(v.rlike(_WHOLE), whole.bitwiseOR(plain)).when(v.rlike(_FIXED), scaled.bitwiseOR(plain))
+        for j, t in enumerate(others):
+            found = found.when(given_back(v, t), bits(4 << j))
+        return found.otherwise(bits(0))
+
+    # One row per value: the test is compiled once, however many paths there are.
+    single, arrays = [], []
+    for i, (p, _) in enumerate(doubtful):
         values, many = _values(as_text, p)
-
-        def always(test) -> Column:
-            return F.coalesce(F.every(F.forall(values, test) if many else F.when(values.isNotNull(), test(values))), F.lit(True))
-
-        if not isinstance(t, T.NumericType):
-            checks.append(always(given_back(t)).alias(f"same{i}"))
-            continue
-        decimals = F.transform(values, places) if many else F.array(places(values))
-        checks += [always(lambda v: v.rlike(_WHOLE) & v.try_cast("long").isNotNull() & (v != "-0")).alias(f"whole{i}"),
-                   always(lambda v: v.rlike(_PLAIN) & (v != "-0")).alias(f"plain{i}"),
-                   always(lambda v: v.rlike(_FIXED) & (F.length(v) <= 30)).alias(f"fixed{i}"),
-                   F.min(F.array_min(decimals)).alias(f"low{i}"), F.max(F.array_max(decimals)).alias(f"high{i}")]
-    found = rows.agg(*checks).first()
-    for i, (p, t) in enumerate(doubtful):
-        if not isinstance(t, T.NumericType):
-            types[p] = t if found[f"same{i}"] else T.StringType()
-        elif found[f"whole{i}"]:
-            types[p] = T.LongType()
-        elif found[f"fixed{i}"] and found[f"low{i}"] is not None and found[f"low{i}"] == found[f"high{i}"] <= 18:
-            types[p] = T.DecimalType(38, found[f"low{i}"])
+        if many:
+            arrays.append(F.transform(F.coalesce(values, F.array().cast("array<string>")), _on_path(i)))
         else:
-            types[p] = T.DoubleType() if found[f"plain{i}"] else T.StringType()
+            single.append(_on_path(i)(values))
+    values = reader().schema(as_text).load(path).select(F.explode(F.concat(*([F.array(*single)] if single else []), *arrays)).alias("v")).select("v.*")
+    kept = dict(values.where(F.col("text").isNotNull()).groupBy("path").agg(F.bit_and(fits(F.col("text")))).collect())
+    for i, (p, t) in enumerate(doubtful):
+        # Where no row has a value: text, unless a type was guessed from something.
+        found, types[p] = kept.get(i, -1 if options else 0), T.StringType()
+        if not options or isinstance(t, T.NumericType):
+            if found & 1:
+                types[p] = T.LongType()
+            elif found >> _SCALES:
+                types[p] = T.DecimalType(38, (found >> _SCALES).bit_length() - 1)
+            elif found & 2:
+                types[p] = T.DoubleType()
+        for j, other in enumerate(others):
+            if found & 4 << j and (not options or other == t):
+                types[p] = other
     return _retyped(guessed, types)
 
 
