@@ -88,18 +88,37 @@ def _key(columns: Sequence[str]) -> Column:
 
 
 # ------------------------------------------------------------------ W1
+def hot_keys(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Keys (``_k``) with more than one in ``buckets`` of the rows: fewer than ``buckets`` by definition."""
+    counts = df.groupBy(_key(keys).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("_n") * buckets > rows).select("_k", F.lit(True).alias("_hot"))
+
+
 def bucketed_next_known(df: DataFrame, keys: list[str], order: list[str], value_col: str,
                         out_col: str, buckets: int | None = None) -> DataFrame:
-    """Next-known-value fill (see ``intervals.next_known_fill``)."""
-    rows = df.withColumn("_k", _key(keys)).withColumn("_b", order_bucket(df, order, buckets))
-    known = F.when(F.col(value_col).isNotNull(), F.struct(*order))
-    first = rows.groupBy("_k", "_b").agg(F.min_by(value_col, known).alias("_first"))
+    """Next-known-value fill (see ``intervals.next_known_fill``).
+
+    A key with no more rows than a task's share is one bucket. Only hot keys are cut, and only their rows are read for the bounds and for
+    what the later buckets carry back. The carried values enter the window as rows of their own that come first in their bucket,
+    so the rows are shuffled once and joined with nothing but the table of hot keys.
+    """
+    n = buckets or _num_buckets(df)
+    hot = F.broadcast(hot_keys(df, keys, n))
+    keyed = df.withColumn("_k", _key(keys))
+    known = keyed.join(hot.select("_k"), "_k", "left_semi")
+    bucket = order_bucket(known, order, buckets)
+    first = known.withColumn("_b", bucket).groupBy("_k", "_b").agg(
+        F.min_by(value_col, F.when(F.col(value_col).isNotNull(), F.struct(*order))).alias("_first"))
     later = Window.partitionBy("_k").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = first.select("_k", "_b", F.last("_first", ignorenulls=True).over(later).alias("_carry"))
-    here = (Window.partitionBy("_k", "_b").orderBy(*[F.col(c).desc() for c in order])
+    carry = first.select("_k", "_b", F.last("_first", ignorenulls=True).over(later).alias("_value")).where(F.col("_value").isNotNull())
+    rows = keyed.join(hot, "_k", "left").withColumn("_b", F.when(F.col("_hot"), bucket).otherwise(F.lit(0))).drop("_hot")
+    rows = rows.withColumns({"_value": F.col(value_col), "_carried": F.lit(False)})
+    both = rows.unionByName(carry.withColumn("_carried", F.lit(True)), allowMissingColumns=True)
+    here = (Window.partitionBy("_k", "_b").orderBy(F.desc("_carried"), *[F.col(c).desc() for c in order])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = rows.withColumn("_own", F.last(value_col, ignorenulls=True).over(here)).join(carry, ["_k", "_b"], "left")
-    return filled.withColumn(out_col, F.coalesce("_own", "_carry")).select(*dict.fromkeys([*df.columns, out_col]))
+    filled = both.withColumn("_value", F.last("_value", ignorenulls=True).over(here)).where(~F.col("_carried"))
+    return filled.withColumn(out_col, F.col("_value")).select(*dict.fromkeys([*df.columns, out_col]))
 
 
 # ------------------------------------------------------------------ ranks

@@ -349,3 +349,18 @@ def test_types_told_by_texts_are_those_of_inference(spark):
     want = "struct<_b:string,_e:string,_t:timestamp,_u:timestamp,_w:string,_y:boolean,_z:string,a:struct<b:bigint>,c:string,g:string,n:string>"
     assert xml.infer_xml_schema(spark, d, "D").simpleString() == want
     assert xml.infer_xml_schema(spark, d, "D", mode="PERMISSIVE").simpleString() == want   # an option: Spark's guess comes first
+
+
+# ------------------------------------------------------------------ W1, hot keys alone are cut
+def test_only_hot_keys_are_cut_and_rows_are_not_joined(spark):
+    from regpanel.operators.scan import hot_keys
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN NULL ELSE id % 500 END AS k", "3000 - id AS t",
+                                      "CASE WHEN id % 7 = 0 THEN id END AS v")
+    assert sorted(str(r._k.k) for r in hot_keys(df, ["k"], 16).collect()) == ["-1", "None"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = next_known_fill(df, "k", ["t"], "v", "f", buckets=16)
+        assert rows(got) == rows(next_known_fill(df, "k", ["t"], "v", "f", method="window"))
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
