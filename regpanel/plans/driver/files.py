@@ -276,6 +276,15 @@ def _document(values):
     return element("Документ", tree)
 
 
+#: Order keys whose documents share an archive: an archive is one file with one writer, so a year has several.
+_KEYS_PER_ARCHIVE = 1 << 19
+
+
+def _archive(date, key):
+    """The archive of a document: those of a year follow each other in the order of the keys."""
+    return F.format_string("data-%d-%012d.zip", F.year(date), F.floor(F.col(key) / _KEYS_PER_ARCHIVE))
+
+
 def _dump(rows, name, member, doc):
     """Rows as archive members, the documents of a member in one file."""
     files = rows.groupBy(name.alias("name"), member.alias("member")).agg(F.array_join(F.sort_array(F.collect_list(doc)), "").alias("docs"))
@@ -317,11 +326,10 @@ def full_pipeline_q(spark, sf_dir):
     as_text = {"data_date": F.date_format("data_date", "dd.MM.yyyy")}
     smb = _document({path: as_text.get(c, F.col(c)) for path, c in ELEMENTS["smb"].items()})
     # A snapshot a member, so that the order of a day's snapshots is that of their members.
-    archive = F.format_string("data-%d.zip", F.year("data_date"))
-    write_named_archives(_dump(snaps, archive, F.format_string("m%012d.xml", "_snap"), smb), f"{base}/download/smb").count()
+    write_named_archives(_dump(snaps, _archive("data_date", "_snap"), F.format_string("m%012d.xml", "_snap"), smb), f"{base}/download/smb").count()
     o = table(spark, sf_dir, "orders")
     period, run = F.format_string("31.12.%d", F.year("o_orderdate")), F.format_string("m%012d.xml", F.floor(F.col("o_orderkey") / 64))
-    archive = F.format_string("data-%d.zip", F.year("o_orderdate"))
+    archive = _archive("o_orderdate", "o_orderkey")
     common = {"СведНП/@ИННЮЛ": F.col("o_custkey"), "@ДатаСост": period, "@ДатаДок": F.date_format("o_orderdate", "dd.MM.yyyy")}
     for ds, own in (("revexp", {"СведДохРасх/@СумДоход": F.col("o_totalprice"), "СведДохРасх/@СумРасход": F.lit(0)}), ("empl", {"СведССЧР/@КолРаб": F.col("o_orderkey") % 500})):
         write_named_archives(_dump(o, archive, run, _document(common | own)), f"{base}/download/{ds}").count()

@@ -364,3 +364,12 @@ def test_only_hot_keys_are_cut_and_rows_are_not_joined(spark):
         assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# ------------------------------------------------------------------ C9, more than one archive a year
+def test_archives_of_a_year_follow_the_keys(spark):
+    from regpanel.plans.driver.files import _KEYS_PER_ARCHIVE, _archive
+    keys = [0, _KEYS_PER_ARCHIVE - 1, _KEYS_PER_ARCHIVE, 11 * _KEYS_PER_ARCHIVE]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").withColumn("d", F.lit("1996-05-01").cast("date"))
+    names = [r.n for r in df.orderBy("k").select(_archive("d", "k").alias("n")).collect()]
+    assert names == sorted(names) and len(set(names)) == 3 and names[0] == names[1]
