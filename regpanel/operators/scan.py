@@ -56,8 +56,11 @@ def _sampled_bounds(df: DataFrame, columns: Sequence[str], n: int) -> tuple[Colu
     unit = 1 << 30
     rows = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("rows")).scalar()
     drawn = F.pmod(F.xxhash64(*columns), F.lit(unit)) < F.lit(float(unit * SAMPLE_PER_BOUND * n)) / rows
+    # The generator keeps the filter above the projection that makes the columns: from a filter pushed under it that
+    # holds k of its expressions, Spark derives 2^k constraints as soon as a join or filter lies above.
+    places = df.select(F.inline(F.array(F.struct(*columns))))
     # Equal places are drawn together, and count once: the set is bounded even if all rows are equal.
-    sample = df.where(drawn).agg(F.sort_array(F.collect_set(F.struct(*[bound(c) for c in columns]))).alias("s"))
+    sample = places.where(drawn).agg(F.sort_array(F.collect_set(F.struct(*[bound(c) for c in columns]))).alias("s"))
     cuts = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get(F.col("s"), F.floor(i * F.size("s") / n).cast("int")))
     return F.struct(*[F.col(c) for c in columns]), sample.select(F.filter(cuts, lambda x: x.isNotNull()).alias("b"))
 
