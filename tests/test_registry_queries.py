@@ -70,3 +70,7 @@ def test_rows_are_drawn_above_the_projection_that_makes_the_order(spark):
 
 def test_registry_hull_of_derived_columns(spark, small):
     same_as_sql(spark, small, "registry_hull")
+
+
+def test_panel_of_registry_and_facts(spark, small):
+    same_as_sql(spark, small, "panel_registry_facts")
