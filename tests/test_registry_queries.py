@@ -74,3 +74,7 @@ def test_registry_hull_of_derived_columns(spark, small):
 
 def test_panel_of_registry_and_facts(spark, small):
     same_as_sql(spark, small, "panel_registry_facts")
+
+
+def test_geocoded_registry(spark, small):
+    same_as_sql(spark, small, "geocode_pipeline")
